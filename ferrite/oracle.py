@@ -78,3 +78,150 @@ def register(name: str, sql: str) -> None:
 
 
 register("readings_scan", with_readings("SELECT * FROM readings"))
+
+
+# ---------------------------------------------------------------- profiling
+from ferrite.schema import (  # noqa: E402
+    CATEGORICAL_DOMAIN, FEATURE_COLS, NUMERIC_DOMAIN, NUMERIC_FEATURES, TARGET,
+)
+
+ALL_COLS = ["reading_id", "ts", "machine_id", "machine_type", "vibration_rms",
+            "temperature_motor", "current_phase_avg", "pressure_level", "rpm",
+            "operating_mode", "hours_since_maintenance", "ambient_temp", "rul_hours",
+            "failure_within_24h", "failure_type", "estimated_repair_cost"]
+PROFILE_NUMERIC = [c for c in NUMERIC_FEATURES] + ["rul_hours", TARGET, "estimated_repair_cost"]
+VALUE_COLS = ["machine_type", "operating_mode", TARGET, "failure_type"]
+SENSORS5 = ["vibration_rms", "temperature_motor", "current_phase_avg", "pressure_level", "rpm"]
+
+
+def _long(cols, ids=(), src="readings", cast="DOUBLE"):
+    idl = "".join(f"{i}, " for i in ids)
+    return "\n UNION ALL ".join(
+        f"SELECT {idl}'{c}' AS column_name, CAST({c} AS {cast}) AS value FROM {src}" for c in cols)
+
+
+register("feature_projection", with_readings(
+    f"SELECT reading_id, {', '.join(FEATURE_COLS)}, {TARGET} FROM readings"))
+
+register("null_profile", with_readings(
+    "SELECT column_name, n_null, round(n_null * 100.0 / n, 6) AS pct_null FROM ("
+    + "\n UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, count(*) AS n FROM readings"
+        for c in ALL_COLS) + ") t"))
+
+register("duplicate_rows", with_readings(
+    "SELECT CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_distinct, "
+    "CAST(sum(c - 1) AS BIGINT) AS n_duplicates FROM ("
+    f"SELECT count(*) AS c FROM readings GROUP BY {', '.join(FEATURE_COLS + [TARGET])}) g"))
+
+register("distinct_counts", with_readings(
+    "\n UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM readings"
+        for c in ALL_COLS)))
+
+register("value_shares", with_readings(
+    "SELECT column_name, value, n, round(n / sum(n) OVER (PARTITION BY column_name), 6) AS share FROM ("
+    "SELECT column_name, value, count(*) AS n FROM ("
+    + _long(VALUE_COLS, cast="VARCHAR") + ") l GROUP BY column_name, value) c"))
+
+register("describe", with_readings(
+    "SELECT column_name, count(value) AS count, round(avg(value), 6) AS mean, "
+    "round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, "
+    "round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50, "
+    "round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max FROM ("
+    + _long(PROFILE_NUMERIC) + ") l GROUP BY column_name"))
+
+register("kpis", with_readings(
+    "SELECT n_rows, n_failures, n_non_failures, "
+    "round(n_failures * 100.0 / n_rows, 6) AS failure_rate_pct, "
+    "round(n_non_failures / NULLIF(n_failures, 0), 6) AS class_ratio, "
+    "round(n_non_failures / n_rows, 6) AS naive_accuracy FROM ("
+    f"SELECT count(*) AS n_rows, count_if({TARGET} = 1) AS n_failures, "
+    f"count_if({TARGET} = 0) AS n_non_failures FROM readings) a"))
+
+register("machine_type_profile", with_readings(
+    "SELECT machine_type, n_rows, n_failures, round(n_failures / n_rows, 6) AS failure_rate, "
+    f"round(nulls / (n_rows * {len(SENSORS5)}), 6) AS sensor_null_share FROM ("
+    f"SELECT machine_type, count(*) AS n_rows, count_if({TARGET} = 1) AS n_failures, "
+    + " + ".join(f"(count(*) - count({c}))" for c in SENSORS5)
+    + " AS nulls FROM readings GROUP BY machine_type) a"))
+
+register("domain_violations", with_readings(
+    "\n UNION ALL ".join(
+        [f"SELECT '{c}' AS column_name, count_if(NOT ({c} BETWEEN {lo} AND {hi})) AS n_violations, "
+         "count(*) AS n_rows FROM readings" for c, (lo, hi) in NUMERIC_DOMAIN.items()]
+        + [f"SELECT '{c}' AS column_name, count_if(NOT ({c} IN ({', '.join(repr(v) for v in lv)}))) "
+           "AS n_violations, count(*) AS n_rows FROM readings"
+           for c, lv in CATEGORICAL_DOMAIN.items()])))
+
+
+def _corr_sql(cols):
+    parts = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CASE WHEN stddev_pop({a}) > 0 "
+                             f"THEN CAST(1.0 AS DOUBLE) END AS r FROM readings")
+            else:
+                parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), "
+                             f"CAST({b} AS DOUBLE)), 6) AS r FROM readings")
+    return "\n UNION ALL ".join(parts)
+
+
+register("correlation_matrix", with_readings(_corr_sql(PROFILE_NUMERIC)))
+
+
+def _hist_sql(cols, bins, by=None, per_group=False, density=False):
+    ids = [by] if by else []
+    idl = "".join(f"{i}, " for i in ids)
+    bkeys = ["column_name"] + (ids if per_group else [])
+    bk = ", ".join(bkeys)
+    long = f"(SELECT * FROM ({_long(cols, ids)}) x WHERE value IS NOT NULL)"
+    bounds = f"(SELECT {bk}, min(value) AS lo, max(value) AS hi, count(value) AS n_values FROM {long} l GROUP BY {bk})"
+    binexpr = (f"least(coalesce(CAST(floor((l.value - b.lo) * {bins} / NULLIF(b.hi - b.lo, 0)) AS BIGINT) + 1, 1), {bins})")
+    on = " AND ".join(f"l.{k} = b.{k}" for k in bkeys)
+    counts = (f"(SELECT {''.join(f'l.{i}, ' for i in ids)}l.column_name, {binexpr} AS bin, count(*) AS n "
+              f"FROM {long} l JOIN {bounds} b ON {on} GROUP BY ALL)")
+    if by and not per_group:
+        gsrc = (f"(SELECT b.*, k.{by} FROM {bounds} b CROSS JOIN "
+                f"(SELECT DISTINCT {by} FROM readings WHERE {by} IS NOT NULL) k)")
+        ngroup = (f"(SELECT {by}, column_name, count(*) AS n_group FROM {long} l GROUP BY {by}, column_name)")
+    else:
+        gsrc = bounds
+        ngroup = None
+    grid = f"(SELECT g.*, CAST(s.bin AS BIGINT) AS bin FROM {gsrc} g, range(1, {bins} + 1) s(bin))"
+    q = f"SELECT {''.join(f'g.{i}, ' for i in ids)}g.column_name, g.bin, "
+    q += f"round(g.lo + (g.hi - g.lo) * (g.bin - 1) / {bins}, 6) AS bin_lo, "
+    q += f"round(g.lo + (g.hi - g.lo) * g.bin / {bins}, 6) AS bin_hi, coalesce(c.n, 0) AS n"
+    if density:
+        ng = "ng.n_group" if ngroup else "g.n_values"
+        q += f", round(coalesce(c.n, 0) / NULLIF({ng} * ((g.hi - g.lo) / {bins}), 0), 6) AS density"
+    q += f" FROM {grid} g LEFT JOIN {counts} c ON "
+    q += " AND ".join(f"g.{k} = c.{k}" for k in ids + ["column_name", "bin"])
+    if ngroup:
+        q += f" LEFT JOIN {ngroup} ng ON ng.{by} = g.{by} AND ng.column_name = g.column_name"
+    return q
+
+
+register("histogram", with_readings(_hist_sql(NUMERIC_FEATURES, 50)))
+register("class_histogram_density", with_readings(
+    _hist_sql(NUMERIC_FEATURES, 30, by=TARGET, per_group=True, density=True)))
+register("class_histogram_overlay", with_readings(
+    _hist_sql(NUMERIC_FEATURES, 50, by=TARGET, per_group=False, density=True)))
+
+
+def _box_sql(cols, by):
+    long = f"(SELECT * FROM ({_long(cols, [by])}) x WHERE value IS NOT NULL)"
+    q = (f"(SELECT {by}, column_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
+         f"quantile_cont(value, 0.75) AS q3 FROM {long} l GROUP BY {by}, column_name)")
+    f = (f"(SELECT *, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS hf FROM {q} q)")
+    return (f"SELECT l.{by}, l.column_name, count(*) AS n, round(any_value(f.q1), 6) AS q1, "
+            f"round(any_value(f.median), 6) AS median, round(any_value(f.q3), 6) AS q3, "
+            f"round(any_value(f.q3) - any_value(f.q1), 6) AS iqr, "
+            f"round(min(CASE WHEN l.value >= f.lf THEN l.value END), 6) AS whisker_lo, "
+            f"round(max(CASE WHEN l.value <= f.hf THEN l.value END), 6) AS whisker_hi, "
+            f"count_if(l.value < f.lf OR l.value > f.hf) AS n_outliers "
+            f"FROM {long} l JOIN {f} f ON l.{by} = f.{by} AND l.column_name = f.column_name GROUP BY l.{by}, l.column_name")
+
+
+register("box_stats", with_readings(_box_sql(NUMERIC_FEATURES, TARGET)))
