@@ -73,8 +73,27 @@ def with_readings(body: str, scored: bool = False, extra_ctes: str = "") -> str:
 SQL: dict[str, str] = {}
 
 
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB types count_if as HUGEINT; Spark as BIGINT.  Cast each call."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(tok) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j])
+        out.append("CAST(" + tok + _bigint_count_if(sql[j + len(tok):k]) + ") AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, sql: str) -> None:
-    SQL[name] = sql.strip()
+    SQL[name] = _bigint_count_if(sql.strip())
 
 
 register("readings_scan", with_readings("SELECT * FROM readings"))
@@ -225,3 +244,65 @@ def _box_sql(cols, by):
 
 
 register("box_stats", with_readings(_box_sql(NUMERIC_FEATURES, TARGET)))
+
+
+# ------------------------------------------------------- splits / resampling
+def _h(seed, extra=""):
+    return f"md5(CAST(reading_id AS VARCHAR) || '-' || '{seed}'{extra})"
+
+
+def split_ctes(src="readings", seed=42, frac=0.2, out="split", names=("train", "test"), where=""):
+    """CTE text: `{out}` = (reading_id, y, part) with exact stratified quotas."""
+    w = f" WHERE {where}" if where else ""
+    return f"""
+{out}_h AS (SELECT reading_id, {TARGET} AS y, {_h(seed)} AS h FROM {src}{w}),
+{out}_c AS (SELECT y, count(*) AS n_c FROM {out}_h GROUP BY y),
+{out}_t AS (SELECT y, n_c, sum(n_c) OVER () AS n,
+   CAST(ceil(sum(n_c) OVER () * {frac}) AS BIGINT) AS n_out FROM {out}_c),
+{out}_q0 AS (SELECT y, n_c, n, n_out, (n_out * n_c) // n AS base, (n_out * n_c) % n AS rem FROM {out}_t),
+{out}_q AS (SELECT y, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, y) <= n_out - sum(base) OVER ()
+   THEN 1 ELSE 0 END AS quota FROM {out}_q0),
+{out}_r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY h, reading_id) AS rk FROM {out}_h),
+{out} AS (SELECT r.reading_id, r.y, CASE WHEN r.rk <= q.quota THEN '{names[1]}' ELSE '{names[0]}' END AS part
+   FROM {out}_r r JOIN {out}_q q ON r.y = q.y)"""
+
+
+register("stratified_split", with_readings(
+    f"SELECT reading_id, y AS {TARGET}, part AS split FROM split", extra_ctes=split_ctes()))
+
+register("split_summary", with_readings(
+    f"SELECT part AS split, y AS {TARGET}, count(*) AS n FROM split GROUP BY part, y",
+    extra_ctes=split_ctes()))
+
+register("inner_split", with_readings(
+    f"SELECT reading_id, y AS {TARGET}, part AS inner_split FROM fitval",
+    extra_ctes=split_ctes() + ",\ntrain_rows AS (SELECT r.* FROM readings r JOIN split s "
+    "ON r.reading_id = s.reading_id WHERE s.part = 'train')," + split_ctes(
+        "train_rows", out="fitval", names=("fit", "validation"))))
+
+register("fold_assignment", with_readings(
+    f"SELECT reading_id, y AS {TARGET}, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM ("
+    f"SELECT s.reading_id, s.y, row_number() OVER (PARTITION BY s.y ORDER BY {_h(42)}, s.reading_id) AS rk "
+    "FROM split s WHERE s.part = 'train') f", extra_ctes=split_ctes()))
+
+register("class_weights", with_readings(
+    f"SELECT {TARGET}, n_class, sum(n_class) OVER () / (count(*) OVER () * n_class) AS weight FROM ("
+    f"SELECT {TARGET}, count(*) AS n_class FROM readings GROUP BY {TARGET}) c"))
+
+register("undersample", with_readings(
+    f"SELECT reading_id, {TARGET} FROM ("
+    f"SELECT reading_id, {TARGET}, row_number() OVER (PARTITION BY {TARGET} "
+    f"ORDER BY {_h(42)}, reading_id) AS rk FROM readings) x WHERE rk <= "
+    f"(SELECT min(c) FROM (SELECT count(*) AS c FROM readings GROUP BY {TARGET}))"))
+
+register("oversample", with_readings(
+    f"SELECT reading_id, {TARGET}, CAST(s.copy AS INTEGER) AS copy FROM ("
+    f"SELECT r.reading_id, r.{TARGET}, CAST(floor(c.n_max / c.n_class) AS INTEGER) "
+    f"+ CASE WHEN r.rk <= c.n_max % c.n_class THEN 1 ELSE 0 END AS copies FROM ("
+    f"SELECT reading_id, {TARGET}, row_number() OVER (PARTITION BY {TARGET} ORDER BY {_h(42)}, reading_id) AS rk "
+    f"FROM readings) r JOIN (SELECT {TARGET}, count(*) AS n_class, max(count(*)) OVER () AS n_max "
+    f"FROM readings GROUP BY {TARGET}) c ON r.{TARGET} = c.{TARGET}) x, "
+    "LATERAL range(1, x.copies + 1) s(copy)"))
+
+register("hash_sample", with_readings(
+    f"SELECT reading_id, {TARGET} FROM readings ORDER BY {_h(42)}, reading_id LIMIT 100"))

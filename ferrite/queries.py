@@ -96,3 +96,63 @@ def q_class_histogram_overlay(spark, sf):
 @query
 def q_box_stats(spark, sf):
     return P.box_stats(readings(spark, sf), NUMERIC_FEATURES, TARGET)
+
+
+# ------------------------------------------------------- splits / resampling
+from pyspark.sql import functions as F  # noqa: E402
+
+from ferrite.operators import resample as R  # noqa: E402
+from ferrite.operators import splits as S  # noqa: E402
+
+
+def _keyed(spark, sf):
+    return readings(spark, sf).select(KEY, TARGET)
+
+
+def split_readings(spark, sf, seed=42):
+    return S.stratified_split(readings(spark, sf), TARGET, 0.2, seed)
+
+
+@query
+def q_stratified_split(spark, sf):
+    return S.stratified_split(_keyed(spark, sf), TARGET, 0.2, 42)
+
+
+@query
+def q_split_summary(spark, sf):
+    s = S.stratified_split(_keyed(spark, sf), TARGET, 0.2, 42)
+    return s.groupBy("split", TARGET).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_inner_split(spark, sf):
+    s = S.stratified_split(_keyed(spark, sf), TARGET, 0.2, 42)
+    train = s.where(F.col("split") == "train").drop("split")
+    return S.stratified_split(train, TARGET, 0.2, 42, split_col="inner_split",
+                              names=("fit", "validation"))
+
+
+@query
+def q_fold_assignment(spark, sf):
+    s = S.stratified_split(_keyed(spark, sf), TARGET, 0.2, 42)
+    return S.fold_assignment(s.where(F.col("split") == "train").drop("split"), 5)
+
+
+@query
+def q_class_weights(spark, sf):
+    return R.class_weights(readings(spark, sf), TARGET)
+
+
+@query
+def q_undersample(spark, sf):
+    return R.undersample(_keyed(spark, sf), TARGET, 42)
+
+
+@query
+def q_oversample(spark, sf):
+    return R.oversample(_keyed(spark, sf), TARGET, 42)
+
+
+@query
+def q_hash_sample(spark, sf):
+    return S.hash_sample(_keyed(spark, sf), 100, 42)
