@@ -306,3 +306,213 @@ register("oversample", with_readings(
 
 register("hash_sample", with_readings(
     f"SELECT reading_id, {TARGET} FROM readings ORDER BY {_h(42)}, reading_id LIMIT 100"))
+
+
+# ---------------------------------------------------------------- preparation
+from ferrite.schema import CATEGORICAL_DOMAIN as _CD, CATEGORICAL_FEATURES  # noqa: E402
+
+
+def _q(name):
+    return '"' + name + '"'
+
+
+def prepared_sql_body(src_split="split"):
+    """SQL for G1-G5: train-fitted median + population-std scaling, one-hot."""
+    stats = []
+    for c in NUMERIC_FEATURES:
+        stats.append(f"(SELECT quantile_cont({c}, 0.5) FROM tr) AS med_{c}")
+    med = "SELECT " + ", ".join(stats)
+    mom = "SELECT m.*, " + ", ".join(
+        f"(SELECT avg(coalesce({c}, m.med_{c})) FROM tr) AS mu_{c}, "
+        f"(SELECT stddev_pop(coalesce({c}, m.med_{c})) FROM tr) AS sd_{c}" for c in NUMERIC_FEATURES
+    ) + " FROM med m"
+    cols = []
+    for c in NUMERIC_FEATURES:
+        cols.append(f"round((coalesce(r.{c}, p.med_{c}) - p.mu_{c}) / "
+                    f"CASE WHEN p.sd_{c} > 0 THEN p.sd_{c} ELSE 1 END, 6) AS {_q('num__' + c)}")
+    for c in CATEGORICAL_FEATURES:
+        for lv in sorted(_CD[c]):
+            cols.append(f"CASE WHEN r.{c} = '{lv}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END "
+                        f"AS {_q('cat__' + c + '_' + lv)}")
+    ctes = (f"tr AS (SELECT r.* FROM readings r JOIN {src_split} s ON r.reading_id = s.reading_id "
+            f"WHERE s.part = 'train'),\nmed AS ({med}),\nprm AS ({mom})")
+    body = (f"SELECT r.reading_id, s.part AS split, {', '.join(cols)} FROM readings r "
+            f"JOIN {src_split} s ON r.reading_id = s.reading_id CROSS JOIN prm p")
+    return ctes, body
+
+
+_pc, _pb = prepared_sql_body()
+register("impute_scale_encode", with_readings(_pb, extra_ctes=split_ctes() + ",\n" + _pc))
+register("feature_names", with_readings(
+    "SELECT CAST(slot AS INTEGER) AS slot, feature FROM (VALUES "
+    + ", ".join(f"({i}, '{n}')" for i, n in enumerate(
+        ["num__" + c for c in NUMERIC_FEATURES]
+        + [f"cat__{c}_{lv}" for c in CATEGORICAL_FEATURES for lv in sorted(_CD[c])]))
+    + ") v(slot, feature) WHERE (SELECT count(*) FROM readings) > 0"))
+
+
+# ---------------------------------------------------------------- evaluation
+SWEEP_SQL = "(VALUES " + ", ".join(f"(CAST({round(0.05 * j, 2)} AS DOUBLE))" for j in range(1, 20)) + ") g(threshold)"
+
+MODEL_SCORES_CTE = """
+model_scores AS (
+SELECT reading_id, failure_within_24h AS y, 'composite' AS model,
+ CAST(floor(least(greatest(((coalesce(temperature_motor, 62) - 28) / 67 * 3
+   + (coalesce(vibration_rms, 2.35) - 0.35) / 4 * 1.5
+   + hours_since_maintenance / 575.6) / 5, 0), 1) * 1000) AS DOUBLE) / 1000 AS score FROM readings
+UNION ALL
+SELECT reading_id, failure_within_24h, 'temperature',
+ CAST(floor(least(greatest((coalesce(temperature_motor, 62) - 28) / 67, 0), 1) * 1000) AS DOUBLE) / 1000
+ FROM readings
+UNION ALL
+SELECT reading_id, failure_within_24h, 'vibration',
+ CAST(floor(least(greatest((coalesce(vibration_rms, 2.35) - 0.35) / 4, 0), 1) * 1000) AS DOUBLE) / 1000
+ FROM readings)"""
+
+
+def _rates_sql(tp="tp", fp="fp", fn="fn", tn="tn"):
+    return (f"round(({tp} + {tn}) / ({tp} + {fp} + {fn} + {tn}), 6) AS accuracy, "
+            f"round(coalesce({tp} / NULLIF({tp} + {fp}, 0), 0), 6) AS precision, "
+            f"round(coalesce({tp} / NULLIF({tp} + {fn}, 0), 0), 6) AS recall, "
+            f"round(coalesce(2 * {tp} / NULLIF(2 * {tp} + {fp} + {fn}, 0), 0), 6) AS f1")
+
+
+def _conf_sql(src, t, groups=""):
+    g = f"{groups}, " if groups else ""
+    gb = f" GROUP BY {groups}" if groups else ""
+    return (f"SELECT {g}count_if(y = 0 AND score < {t}) AS tn, count_if(y = 0 AND score >= {t}) AS fp, "
+            f"count_if(y = 1 AND score < {t}) AS fn, count_if(y = 1 AND score >= {t}) AS tp FROM {src}{gb}")
+
+
+SCORED_AS = "(SELECT reading_id, y, s AS score FROM scored)"
+
+register("confusion", with_readings(
+    f"SELECT tn, fp, fn, tp, {_rates_sql()} FROM ({_conf_sql(SCORED_AS, 0.5)}) c", scored=True))
+
+register("classification_report", with_readings(
+    "SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, "
+    "CAST(support AS BIGINT) AS support FROM ("
+    "SELECT '0' AS label, coalesce(tn / NULLIF(tn + fn, 0), 0) AS precision, coalesce(tn / NULLIF(tn + fp, 0), 0) AS recall, "
+    "coalesce(2 * tn / NULLIF(2 * tn + fp + fn, 0), 0) AS f1, tn + fp AS support FROM c "
+    "UNION ALL SELECT '1', coalesce(tp / NULLIF(tp + fp, 0), 0), coalesce(tp / NULLIF(tp + fn, 0), 0), "
+    "coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), tp + fn FROM c "
+    "UNION ALL SELECT 'accuracy', NULL, NULL, (tp + tn) / (tp + tn + fp + fn), tp + tn + fp + fn FROM c "
+    "UNION ALL SELECT 'macro avg', (coalesce(tn / NULLIF(tn + fn, 0), 0) + coalesce(tp / NULLIF(tp + fp, 0), 0)) / 2, "
+    "(coalesce(tn / NULLIF(tn + fp, 0), 0) + coalesce(tp / NULLIF(tp + fn, 0), 0)) / 2, "
+    "(coalesce(2 * tn / NULLIF(2 * tn + fp + fn, 0), 0) + coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0)) / 2, "
+    "tp + tn + fp + fn FROM c "
+    "UNION ALL SELECT 'weighted avg', (coalesce(tn / NULLIF(tn + fn, 0), 0) * (tn + fp) + coalesce(tp / NULLIF(tp + fp, 0), 0) * (tp + fn)) / (tp + tn + fp + fn), "
+    "(coalesce(tn / NULLIF(tn + fp, 0), 0) * (tn + fp) + coalesce(tp / NULLIF(tp + fn, 0), 0) * (tp + fn)) / (tp + tn + fp + fn), "
+    "(coalesce(2 * tn / NULLIF(2 * tn + fp + fn, 0), 0) * (tn + fp) + coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0) * (tp + fn)) / (tp + tn + fp + fn), "
+    "tp + tn + fp + fn FROM c) r",
+    scored=True, extra_ctes=f"c AS ({_conf_sql(SCORED_AS, 0.5)})"))
+
+
+def _cum_sql(src, groups=""):
+    p = f"PARTITION BY {groups} " if groups else ""
+    g = f"{groups}, " if groups else ""
+    return (f"(SELECT {g}score, tp, fp, sum(tp) OVER ({p}ORDER BY score DESC) AS ctp, "
+            f"sum(fp) OVER ({p}ORDER BY score DESC) AS cfp, sum(tp) OVER ({p.strip()}) AS n_pos, "
+            f"sum(fp) OVER ({p.strip()}) AS n_neg FROM (SELECT {g}score, count_if(y = 1) AS tp, "
+            f"count_if(y = 0) AS fp FROM {src} GROUP BY {g}score) d)")
+
+
+def _auc_sql(src, groups=""):
+    g = f"{groups}, " if groups else ""
+    gb = f" GROUP BY {groups}" if groups else ""
+    return (f"SELECT {g}round(sum(fp * (2 * ctp - tp)) / (2 * any_value(n_pos) * any_value(n_neg)), 6) AS roc_auc, "
+            f"round(sum(tp * (ctp / (ctp + cfp))) / any_value(n_pos), 6) AS average_precision "
+            f"FROM {_cum_sql(src, groups)} c{gb}")
+
+
+register("roc_auc_ap", with_readings(_auc_sql(SCORED_AS), scored=True))
+register("roc_curve", with_readings(
+    f"SELECT score AS threshold, round(cfp / n_neg, 6) AS fpr, round(ctp / n_pos, 6) AS tpr FROM {_cum_sql(SCORED_AS)} c "
+    "UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE)", scored=True))
+register("pr_curve", with_readings(
+    f"SELECT score AS threshold, round(ctp / (ctp + cfp), 6) AS precision, round(ctp / n_pos, 6) AS recall "
+    f"FROM {_cum_sql(SCORED_AS)} c "
+    "UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(1.0 AS DOUBLE), CAST(0.0 AS DOUBLE)", scored=True))
+
+
+def _sweep_sql(src, groups=""):
+    g = f"{groups}, " if groups else ""
+    sg = "".join(f"s.{x.strip()}, " for x in groups.split(",")) if groups else ""
+    return (f"SELECT {g}threshold, round(coalesce(tp / NULLIF(tp + fp, 0), 0), 6) AS precision, "
+            f"round(coalesce(tp / NULLIF(tp + fn, 0), 0), 6) AS recall, "
+            f"round(coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 6) AS f1, "
+            f"CAST(fn AS BIGINT) AS fn, CAST(fp AS BIGINT) AS fp FROM ("
+            f"SELECT {sg}g.threshold, count_if(s.y = 1 AND s.score >= g.threshold) AS tp, "
+            f"count_if(s.y = 0 AND s.score >= g.threshold) AS fp, count_if(s.y = 1 AND s.score < g.threshold) AS fn "
+            f"FROM {src} s CROSS JOIN {SWEEP_SQL} GROUP BY ALL) x")
+
+
+def _best_sql(sweep, groups=""):
+    p = f"PARTITION BY {groups} " if groups else ""
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER ({p}ORDER BY f1 DESC, threshold ASC) AS rn "
+            f"FROM ({sweep}) w) b WHERE rn = 1")
+
+
+register("threshold_sweep", with_readings(_sweep_sql(SCORED_AS), scored=True))
+register("best_threshold", with_readings(_best_sql(_sweep_sql(SCORED_AS)), scored=True))
+
+register("risk_tiers", with_readings(
+    "SELECT reading_id, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.4 THEN 'moderate' ELSE 'low' END AS tier, "
+    "CAST(s >= 0.7 AS INTEGER) AS decision FROM scored", scored=True))
+
+register("risk_tier_counts", with_readings(
+    "SELECT CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.4 THEN 'moderate' ELSE 'low' END AS tier, "
+    "count(*) AS n, count_if(y = 1) AS n_failures FROM scored GROUP BY 1", scored=True))
+
+register("model_auc", with_readings(_auc_sql("model_scores", "model"), extra_ctes=MODEL_SCORES_CTE))
+
+# Threshold chosen on the validation part of train, applied on test.
+_SEL_CTES = (split_ctes() + ",\ntrain_rows AS (SELECT r.* FROM readings r JOIN split s "
+             "ON r.reading_id = s.reading_id WHERE s.part = 'train')," + split_ctes(
+                 "train_rows", out="fitval", names=("fit", "validation")) + "," + MODEL_SCORES_CTE
+             + ",\nval AS (SELECT m.* FROM model_scores m JOIN fitval f ON m.reading_id = f.reading_id "
+             "WHERE f.part = 'validation'),\ntst AS (SELECT m.* FROM model_scores m JOIN split s "
+             "ON m.reading_id = s.reading_id WHERE s.part = 'test'),\n"
+             f"best AS ({_best_sql(_sweep_sql('val', 'model'), 'model')}),\n"
+             "tconf AS (SELECT t.model, b.threshold, "
+             "count_if(t.y = 0 AND t.score < b.threshold) AS tn, count_if(t.y = 0 AND t.score >= b.threshold) AS fp, "
+             "count_if(t.y = 1 AND t.score < b.threshold) AS fn, count_if(t.y = 1 AND t.score >= b.threshold) AS tp "
+             "FROM tst t JOIN best b ON t.model = b.model GROUP BY ALL),\n"
+             "dconf AS (SELECT model, count_if(y = 0 AND score < 0.5) AS tn, count_if(y = 0 AND score >= 0.5) AS fp, "
+             "count_if(y = 1 AND score < 0.5) AS fn, count_if(y = 1 AND score >= 0.5) AS tp FROM tst GROUP BY model),\n"
+             f"areas AS ({_auc_sql('tst', 'model')})")
+
+register("threshold_selection", with_readings(
+    "SELECT b.model, b.threshold AS selected_threshold, b.precision AS validation_precision, "
+    "b.recall AS validation_recall, b.f1 AS validation_f1, b.fn AS validation_fn, b.fp AS validation_fp, "
+    "round(coalesce(2 * d.tp / NULLIF(2 * d.tp + d.fp + d.fn, 0), 0), 6) AS test_f1_default, "
+    "CAST(d.fn AS BIGINT) AS test_fn_default, CAST(d.fp AS BIGINT) AS test_fp_default, "
+    "round(coalesce(t.tp / NULLIF(t.tp + t.fp, 0), 0), 6) AS test_precision, "
+    "round(coalesce(t.tp / NULLIF(t.tp + t.fn, 0), 0), 6) AS test_recall, "
+    "round(coalesce(2 * t.tp / NULLIF(2 * t.tp + t.fp + t.fn, 0), 0), 6) AS test_f1, "
+    "CAST(t.fn AS BIGINT) AS test_fn, CAST(t.fp AS BIGINT) AS test_fp "
+    "FROM best b JOIN dconf d ON b.model = d.model JOIN tconf t ON b.model = t.model",
+    extra_ctes=_SEL_CTES))
+
+register("model_comparison", with_readings(
+    "SELECT model, threshold, tn, fp, fn, tp, accuracy, precision, recall, f1, roc_auc, average_precision, "
+    "CAST(row_number() OVER (ORDER BY f1 DESC, recall DESC, model ASC) AS INTEGER) AS rank FROM ("
+    f"SELECT t.model, t.threshold, t.tn, t.fp, t.fn, t.tp, {_rates_sql('t.tp', 't.fp', 't.fn', 't.tn')}, "
+    "a.roc_auc, a.average_precision FROM tconf t JOIN areas a ON t.model = a.model) x",
+    extra_ctes=_SEL_CTES))
+
+register("rebuild_matrix", with_readings(
+    "SELECT model, CAST(n_neg - fp AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, "
+    f"CAST(n_pos - fn AS BIGINT) AS tp, {_rates_sql('(n_pos - fn)', 'fp', 'fn', '(n_neg - fp)')} FROM ("
+    "SELECT t.model, t.fn, t.fp, c.n_pos, c.n_neg FROM tconf t CROSS JOIN "
+    "(SELECT count_if(y = 1) AS n_pos, count_if(y = 0) AS n_neg FROM split WHERE part = 'test') c) x",
+    extra_ctes=_SEL_CTES))
+
+register("fold_summary", with_readings(
+    "SELECT model, round(avg(f1), 6) AS cv_f1_mean, round(stddev_pop(f1), 6) AS cv_f1_std, count(*) AS n_folds FROM ("
+    "SELECT model, fold, coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0) AS f1 FROM ("
+    "SELECT m.model, f.fold, count_if(m.y = 1 AND m.score >= 0.5) AS tp, count_if(m.y = 0 AND m.score >= 0.5) AS fp, "
+    "count_if(m.y = 1 AND m.score < 0.5) AS fn FROM model_scores m JOIN ("
+    f"SELECT reading_id, (row_number() OVER (PARTITION BY y ORDER BY {_h(42)}, reading_id) - 1) % 5 AS fold "
+    "FROM split WHERE part = 'train') f ON m.reading_id = f.reading_id GROUP BY ALL) c) x GROUP BY model",
+    extra_ctes=split_ctes() + "," + MODEL_SCORES_CTE))

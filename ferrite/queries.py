@@ -156,3 +156,148 @@ def q_oversample(spark, sf):
 @query
 def q_hash_sample(spark, sf):
     return S.hash_sample(_keyed(spark, sf), 100, 42)
+
+
+# ---------------------------------------------------------------- preparation
+from ferrite.operators import prepare as G  # noqa: E402
+from ferrite.session import materialize  # noqa: E402
+
+
+def fitted_preparation(spark, sf, seed=42):
+    """Split, fit the preprocessor on train only, transform every row."""
+    s = materialize(split_readings(spark, sf, seed))
+    model = G.build_preprocessor().fit(s.where(F.col("split") == "train"))
+    names = G.feature_names(model)
+    return s, model, names
+
+
+@query
+def q_impute_scale_encode(spark, sf):
+    s, model, names = fitted_preparation(spark, sf)
+    out = G.with_named_features(model.transform(s), names, keep=[KEY, "split"])
+    return out.select(KEY, "split", *[F.round(F.col(n), 6).alias(n) for n in names])
+
+
+@query
+def q_feature_names(spark, sf):
+    _, model, names = fitted_preparation(spark, sf)
+    return G.feature_name_table(spark, names)
+
+
+# ---------------------------------------------------------------- evaluation
+from ferrite.functions import decide, risk_tier  # noqa: E402
+from ferrite.operators import evaluate as E  # noqa: E402
+from ferrite.sources.readings import model_scores, scored  # noqa: E402
+
+
+def _scored(spark, sf):
+    return scored(spark, sf).withColumnRenamed("s", "score")
+
+
+@query
+def q_confusion(spark, sf):
+    return E.confusion(_scored(spark, sf), 0.5, digits=6)
+
+
+@query
+def q_classification_report(spark, sf):
+    return E.classification_report(_scored(spark, sf), 0.5)
+
+
+@query
+def q_roc_auc_ap(spark, sf):
+    return E.auc_ap(_scored(spark, sf))
+
+
+@query
+def q_roc_curve(spark, sf):
+    return E.roc_curve(_scored(spark, sf))
+
+
+@query
+def q_pr_curve(spark, sf):
+    return E.pr_curve(_scored(spark, sf))
+
+
+@query
+def q_threshold_sweep(spark, sf):
+    return E.threshold_sweep(_scored(spark, sf))
+
+
+@query
+def q_best_threshold(spark, sf):
+    return E.best_threshold(E.threshold_sweep(_scored(spark, sf)))
+
+
+@query
+def q_risk_tiers(spark, sf):
+    s = scored(spark, sf)
+    return s.select(KEY, risk_tier(F.col("s"), 0.7).alias("tier"), decide(F.col("s"), 0.7).alias("decision"))
+
+
+@query
+def q_risk_tier_counts(spark, sf):
+    s = scored(spark, sf)
+    return s.groupBy(risk_tier(F.col("s"), 0.7).alias("tier")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("n_failures"))
+
+
+@query
+def q_model_auc(spark, sf):
+    return E.auc_ap(model_scores(readings(spark, sf)), ["model"])
+
+
+def _selection_parts(spark, sf):
+    """Validation and test score tables of the three fixed scorers."""
+    r = readings(spark, sf)
+    s = S.stratified_split(r.select(KEY, TARGET), TARGET, 0.2, 42)
+    train = s.where(F.col("split") == "train").drop("split")
+    fv = S.stratified_split(train, TARGET, 0.2, 42, split_col="part", names=("fit", "validation"))
+    ms = model_scores(r)
+    val = ms.join(fv.where(F.col("part") == "validation").select(KEY), KEY)
+    test = ms.join(s.where(F.col("split") == "test").select(KEY), KEY)
+    return val, test
+
+
+def _selection(spark, sf):
+    val, test = _selection_parts(spark, sf)
+    best = E.best_threshold(E.threshold_sweep(val, ["model"]), ["model"])
+    at_t = E.metrics_at(test, best, ["model"], with_areas=False)
+    at_d = E.confusion(test, 0.5, ["model"], digits=6)
+    return val, test, best, at_t, at_d
+
+
+@query
+def q_threshold_selection(spark, sf):
+    _, _, best, at_t, at_d = _selection(spark, sf)
+    b = best.select("model", F.col("threshold").alias("selected_threshold"),
+                    *[F.col(c).alias(f"validation_{c}") for c in ("precision", "recall", "f1", "fn", "fp")])
+    d = at_d.select("model", F.col("f1").alias("test_f1_default"), F.col("fn").alias("test_fn_default"),
+                    F.col("fp").alias("test_fp_default"))
+    t = at_t.select("model", *[F.col(c).alias(f"test_{c}") for c in ("precision", "recall", "f1", "fn", "fp")])
+    return b.join(d, "model").join(t, "model")
+
+
+@query
+def q_model_comparison(spark, sf):
+    _, test, _, at_t, _ = _selection(spark, sf)
+    table = at_t.join(E.auc_ap(test, ["model"]), "model")
+    return E.rank_models(table).withColumn("rank", F.col("rank").cast("int"))
+
+
+@query
+def q_rebuild_matrix(spark, sf):
+    _, test, _, at_t, _ = _selection(spark, sf)
+    totals = test.where(F.col("model") == "composite").agg(
+        F.count_if(F.col("y") == 1).alias("n_pos"), F.count_if(F.col("y") == 0).alias("n_neg"))
+    return E.rebuild_matrix(at_t.select("model", "fn", "fp"), totals, ["model"])
+
+
+@query
+def q_fold_summary(spark, sf):
+    r = readings(spark, sf)
+    s = S.stratified_split(r.select(KEY, TARGET), TARGET, 0.2, 42)
+    folds = S.fold_assignment(s.where(F.col("split") == "train").drop("split"), 5)
+    ms = model_scores(r).join(folds.select(KEY, "fold"), KEY)
+    per_fold = E.confusion(ms, 0.5, ["model", "fold"])
+    return E.fold_summary(per_fold, ["model"], "f1")

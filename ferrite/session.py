@@ -61,3 +61,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used before a table feeds several passes (Estimator fits, tuning), so
+    the passes neither recompute the lineage nor depend on executor-local
+    cache blocks: a lost executor costs a re-read, not a recomputation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -81,6 +81,31 @@ def fixed_score(r: DataFrame | None = None) -> Column:
     return F.floor(F.least(F.greatest(s, _d(0)), _d(1)) * 1000).cast("double") / 1000
 
 
+def _quantised(x: Column) -> Column:
+    return F.floor(F.least(F.greatest(x, _d(0)), _d(1)) * 1000).cast("double") / 1000
+
+
+# Three model-free scorers standing in for trained models in
+# the oracle-checked comparison queries (same formulas as the SQL side).
+SCORER_NAMES = ["composite", "temperature", "vibration"]
+
+
+def scorer_columns() -> dict[str, Column]:
+    return {
+        "composite": fixed_score(),
+        "temperature": _quantised((F.coalesce(F.col("temperature_motor"), _d(62)) - 28) / 67),
+        "vibration": _quantised((F.coalesce(F.col("vibration_rms"), _d(2.35)) - 0.35) / 4),
+    }
+
+
+def model_scores(r: DataFrame, key_cols=("reading_id",)) -> DataFrame:
+    """Long table (key, model, y, score): one row per reading and scorer."""
+    cols = scorer_columns()
+    wide = r.select(*key_cols, F.col("failure_within_24h").alias("y"),
+                    *[c.alias(n) for n, c in cols.items()])
+    return wide.unpivot([*key_cols, "y"], list(cols), "model", "score")
+
+
 def scored_from_readings(r: DataFrame) -> DataFrame:
     return r.select("reading_id", F.col("failure_within_24h").alias("y"),
                     fixed_score().alias("s"))
