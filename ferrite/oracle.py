@@ -516,3 +516,60 @@ register("fold_summary", with_readings(
     f"SELECT reading_id, (row_number() OVER (PARTITION BY y ORDER BY {_h(42)}, reading_id) - 1) % 5 AS fold "
     "FROM split WHERE part = 'train') f ON m.reading_id = f.reading_id GROUP BY ALL) c) x GROUP BY model",
     extra_ctes=split_ctes() + "," + MODEL_SCORES_CTE))
+
+
+# ---------------------------------------------------------------- explanation
+PERM_COLS = list(NUMERIC_FEATURES)
+_SCORE_EXPR = ("CAST(floor(least(greatest(((coalesce(temperature_motor, 62) - 28) / 67 * 3 "
+               "+ (coalesce(vibration_rms, 2.35) - 0.35) / 4 * 1.5 + hours_since_maintenance / 575.6) / 5, 0), 1) "
+               "* 1000) AS DOUBLE) / 1000")
+
+
+def _perm_sql(repeats=10):
+    test = ("tst AS (SELECT r.* FROM readings r JOIN split s ON r.reading_id = s.reading_id "
+            "WHERE s.part = 'test')")
+    base = (f"base AS (SELECT reading_id, row_number() OVER (ORDER BY {_h(42, chr(32) + '|| ' + repr('-base'))}, "
+            "reading_id) AS rk FROM tst)")
+    longv = "\n UNION ALL ".join(
+        f"SELECT reading_id, '{c}' AS pc, CAST({c} AS DOUBLE) AS v FROM tst" for c in PERM_COLS)
+    donors = (f"donors AS (SELECT l.pc, g.rep, row_number() OVER (PARTITION BY l.pc, g.rep ORDER BY "
+              f"md5(CAST(l.reading_id AS VARCHAR) || '-42-' || l.pc || '-' || CAST(g.rep AS VARCHAR)), l.reading_id) AS rk, "
+              f"l.v FROM ({longv}) l CROSS JOIN range(0, {repeats}) g(rep))")
+    moved = ("moved AS (SELECT b.reading_id, d.pc, d.rep, d.v FROM base b JOIN donors d ON b.rk = d.rk)")
+    sel = ", ".join(f"CASE WHEN m.pc = '{c}' THEN m.v ELSE CAST(t.{c} AS DOUBLE) END AS {c}" for c in PERM_COLS)
+    perm = (f"perm AS (SELECT t.reading_id, t.failure_within_24h AS y, m.pc, m.rep, {sel} "
+            "FROM tst t JOIN moved m ON t.reading_id = m.reading_id)")
+    f1 = ("coalesce(2 * count_if(y = 1 AND score >= 0.5) / NULLIF(2 * count_if(y = 1 AND score >= 0.5) "
+          "+ count_if(y = 0 AND score >= 0.5) + count_if(y = 1 AND score < 0.5), 0), 0)")
+    pf1 = f"pf1 AS (SELECT pc, rep, {f1} AS f1 FROM (SELECT *, {_SCORE_EXPR} AS score FROM perm) x GROUP BY pc, rep)"
+    bf1 = (f"bf1 AS (SELECT {f1} AS f1 FROM (SELECT failure_within_24h AS y, {_SCORE_EXPR} AS score FROM tst) x)")
+    imp = ("imp AS (SELECT pc AS feature, round(avg(b.f1 - p.f1), 6) AS importance_mean, "
+           "round(stddev_pop(b.f1 - p.f1), 6) AS importance_std FROM pf1 p CROSS JOIN bf1 b GROUP BY pc)")
+    return split_ctes() + ",\n" + ",\n".join([test, base, donors, moved, perm, pf1, bf1, imp])
+
+
+register("permutation_importance", with_readings("SELECT * FROM imp", extra_ctes=_perm_sql()))
+register("top_importances", with_readings(
+    "SELECT * FROM imp ORDER BY importance_mean DESC, feature ASC LIMIT 10", extra_ctes=_perm_sql()))
+
+# The composite score's linear coefficients (before clamping).
+LINEAR_COEF = {"temperature_motor": 3 / 67 / 5, "vibration_rms": 1.5 / 4 / 5,
+               "hours_since_maintenance": 1 / 575.6 / 5}
+_IMPUTE_SQL = {"temperature_motor": "coalesce(temperature_motor, 62)",
+               "vibration_rms": "coalesce(vibration_rms, 2.35)",
+               "hours_since_maintenance": "hours_since_maintenance"}
+
+
+def _contrib_sql():
+    sample = (f"smp AS (SELECT * FROM readings ORDER BY {_h(42)}, reading_id LIMIT 100)")
+    mu = "mu AS (SELECT " + ", ".join(f"avg({e}) AS {c}" for c, e in _IMPUTE_SQL.items()) + " FROM readings)"
+    parts = [f"SELECT s.reading_id, '{c}' AS feature, round({e.replace(c, 's.' + c)}, 6) AS value, "
+             f"round({LINEAR_COEF[c]!r} * ({e.replace(c, 's.' + c)} - m.{c}), 6) AS phi FROM smp s CROSS JOIN mu m"
+             for c, e in _IMPUTE_SQL.items()]
+    return f"{sample},\n{mu},\ncontrib AS ({' UNION ALL '.join(parts)})"
+
+
+register("linear_contributions", with_readings("SELECT * FROM contrib", extra_ctes=_contrib_sql()))
+register("contribution_summary", with_readings(
+    "SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_phi, round(corr(value, phi), 6) AS direction "
+    "FROM contrib GROUP BY feature", extra_ctes=_contrib_sql()))

@@ -301,3 +301,48 @@ def q_fold_summary(spark, sf):
     ms = model_scores(r).join(folds.select(KEY, "fold"), KEY)
     per_fold = E.confusion(ms, 0.5, ["model", "fold"])
     return E.fold_summary(per_fold, ["model"], "f1")
+
+
+# ---------------------------------------------------------------- explanation
+from ferrite.operators import explain as X  # noqa: E402
+from ferrite.oracle import LINEAR_COEF  # noqa: E402
+from ferrite.sources.readings import fixed_score  # noqa: E402
+
+
+def _fixed_score_fn(df):
+    return df.withColumn("score", fixed_score())
+
+
+def _test_rows(spark, sf):
+    r = readings(spark, sf)
+    s = S.stratified_split(r.select(KEY, TARGET), TARGET, 0.2, 42)
+    return r.join(s.where(F.col("split") == "test").select(KEY), KEY).withColumnRenamed(TARGET, "y")
+
+
+@query
+def q_permutation_importance(spark, sf):
+    return X.permutation_importance(_test_rows(spark, sf), NUMERIC_FEATURES, _fixed_score_fn, 0.5, 10, 42)
+
+
+@query
+def q_top_importances(spark, sf):
+    imp = X.permutation_importance(_test_rows(spark, sf), NUMERIC_FEATURES, _fixed_score_fn, 0.5, 10, 42)
+    return X.top_features(imp, 10)
+
+
+def _imputed_for_score(df):
+    return df.select(KEY, F.coalesce("temperature_motor", F.lit(62.0)).alias("temperature_motor"),
+                     F.coalesce("vibration_rms", F.lit(2.35)).alias("vibration_rms"),
+                     F.col("hours_since_maintenance").cast("double").alias("hours_since_maintenance"))
+
+
+@query
+def q_linear_contributions(spark, sf):
+    r = _imputed_for_score(readings(spark, sf))
+    return X.linear_contributions(S.hash_sample(r, 100, 42), r, LINEAR_COEF)
+
+
+@query
+def q_contribution_summary(spark, sf):
+    r = _imputed_for_score(readings(spark, sf))
+    return X.contribution_summary(X.linear_contributions(S.hash_sample(r, 100, 42), r, LINEAR_COEF))
