@@ -346,3 +346,75 @@ def q_linear_contributions(spark, sf):
 def q_contribution_summary(spark, sf):
     r = _imputed_for_score(readings(spark, sf))
     return X.contribution_summary(X.linear_contributions(S.hash_sample(r, 100, 42), r, LINEAR_COEF))
+
+
+# ---------------------------------------------------------- models (rows-only)
+from ferrite.operators import models as M  # noqa: E402
+from ferrite.plans import training as TR  # noqa: E402
+from ferrite.plans.preparation import run_preprocessing  # noqa: E402
+from ferrite.session import work_dir  # noqa: E402
+
+_PREPARED = {}
+
+
+def prepared(spark, sf):
+    """The written prepared table for ``sf`` (one preparation per session)."""
+    k = (spark.sparkContext.applicationId, sf)
+    if k not in _PREPARED:
+        out = work_dir(spark, "prepared-" + sf.strip("/").replace("/", "_"))
+        _PREPARED[k] = run_preprocessing(readings(spark, sf), out)
+    return _PREPARED[k]
+
+
+def _model_scores_query(kind, params):
+    def q(spark, sf):
+        p = prepared(spark, sf)
+        model = M.fit(kind, p.part("train"), params, balanced=(kind != "mlp"))
+        return M.score(model, p.part("test"))
+    q.__name__ = f"q_{kind}_score"
+    return q
+
+
+# The reference's default hyperparameters per family.
+REFERENCE_DEFAULTS = {"lr": {"C": 1.0, "max_iter": 1000}, "rf": {"n_estimators": 100},
+                      "gbt": {"max_iter": 100, "learning_rate": 0.1, "min_samples_leaf": 20},
+                      "mlp": {"units_1": 32, "units_2": 16, "learning_rate": 0.005, "batch_size": 64}}
+
+for _k in ("lr", "rf", "gbt", "mlp"):
+    query(_model_scores_query(_k, REFERENCE_DEFAULTS[_k]))
+
+
+@query
+def q_rebalancing_comparison(spark, sf):
+    return TR.rebalancing_comparison(prepared(spark, sf))
+
+
+@query
+def q_random_search(spark, sf):
+    _, table = M.random_search("lr", prepared(spark, sf).part("train"), M.LR_SPACE, n_iter=20, folds=3)
+    return table
+
+
+@query
+def q_cross_validation(spark, sf):
+    return TR.stability(prepared(spark, sf), ["lr"], REFERENCE_DEFAULTS, k=5)
+
+
+@query
+def q_threshold_tuning(spark, sf):
+    return TR.threshold_tuning(prepared(spark, sf), ["lr", "mlp"], REFERENCE_DEFAULTS)
+
+
+@query
+def q_final_selection(spark, sf):
+    tuning = TR.threshold_tuning(prepared(spark, sf), ["lr", "rf", "gbt", "mlp"], REFERENCE_DEFAULTS)
+    return TR.final_selection(tuning)
+
+
+@query
+def q_loss_history(spark, sf):
+    p = prepared(spark, sf)
+    model = M.fit("lr", p.part("train"), REFERENCE_DEFAULTS["lr"])
+    h = M.training_history(model)
+    best = h.agg(F.min_by("epoch", "loss").alias("best_epoch"))
+    return h.crossJoin(best)
