@@ -418,3 +418,51 @@ def q_loss_history(spark, sf):
     h = M.training_history(model)
     best = h.agg(F.min_by("epoch", "loss").alias("best_epoch"))
     return h.crossJoin(best)
+
+
+# ------------------------------------------------- scoring, streaming, Shapley
+from ferrite.operators import prepare as _G  # noqa: E402
+from ferrite.sources import files as A  # noqa: E402
+from ferrite.streaming import scoring as K  # noqa: E402
+
+
+def _scoring_model(spark, sf, kind="lr"):
+    """Preprocessor + classifier as one saved PipelineModel."""
+    p = prepared(spark, sf)
+    clf = M.fit(kind, p.part("train"), REFERENCE_DEFAULTS[kind], balanced=(kind != "mlp"))
+    path = work_dir(spark, f"models/{kind}-" + sf.strip("/").replace("/", "_"))
+    A.save_model(M.scoring_pipeline(p.preprocessor, clf), path)
+    return path
+
+
+@query
+def q_batch_score(spark, sf):
+    path = _scoring_model(spark, sf)
+    return K.score_readings(A.load_pipeline(path), readings(spark, sf), 0.5)
+
+
+@query
+def q_stream_score(spark, sf):
+    import uuid
+    path = _scoring_model(spark, sf)
+    run = work_dir(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    K.stream_scores(spark, sf, path, 0.5, f"{run}/out", f"{run}/checkpoint", "events.parquet")
+    return spark.read.parquet(f"{run}/out")
+
+
+@query
+def q_shapley_sampling(spark, sf):
+    """Monte Carlo Shapley values of the GBT pipeline on 20 rows x 10 background rows."""
+    p = prepared(spark, sf)
+    clf = M.fit("gbt", p.part("train"), {"max_iter": 30, "max_depth": 4})
+    pipe = M.scoring_pipeline(p.preprocessor, clf)
+    raw = readings(spark, sf).select(KEY, *_G.NUMERIC_FEATURES, *_G.CATEGORICAL_FEATURES)
+    rows = S.hash_sample(raw, 20, 42)
+    background = S.hash_sample(raw, 10, 7)
+
+    def score_fn(df):
+        out = M.failure_probability(pipe.transform(df))
+        return out.drop(*[c for c in out.columns if c.startswith("_") and c.endswith(("_idx", "_ohe"))])
+
+    players = list(_G.NUMERIC_FEATURES) + list(_G.CATEGORICAL_FEATURES)
+    return X.shapley_sampling(rows, background, players, score_fn, seed=42)

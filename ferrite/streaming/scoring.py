@@ -27,12 +27,17 @@ def score_readings(model: PipelineModel, rows: DataFrame, threshold: float) -> D
                     risk_tier(F.col("probability_failure"), threshold).alias("tier"))
 
 
-def stream_scores(spark: SparkSession, events_path: str, model_path: str, threshold: float,
-                  out_path: str, checkpoint_path: str, max_files_per_trigger: int = 8) -> None:
-    """K6: score an events file stream into a Parquet sink, all available data."""
-    schema = spark.read.parquet(events_path).schema
-    events = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(events_path))
+def stream_scores(spark: SparkSession, source_dir: str, model_path: str, threshold: float,
+                  out_path: str, checkpoint_path: str, file_glob: str = "events*.parquet",
+                  max_files_per_trigger: int = 8) -> None:
+    """K6: score new event files of ``source_dir`` into a Parquet sink.
+
+    ``availableNow`` processes every file present in bounded micro-batches
+    and stops; rerunning with the same checkpoint only picks up new files.
+    """
+    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source_dir).schema
+    events = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
     model = PipelineModel.load(model_path)
     scored = score_readings(model, readings_from_events(events), threshold)
     q = (scored.writeStream.format("parquet").option("path", out_path)
