@@ -227,3 +227,37 @@ def scoring_pipeline(preprocessor: PipelineModel, classifier) -> PipelineModel:
 
 def make_pipeline(preprocessor: Pipeline, estimator) -> Pipeline:
     return Pipeline(stages=[*preprocessor.getStages(), estimator])
+
+
+def search_on_validation(kind: str, fit_rows: DataFrame, val_rows: DataFrame, space: dict,
+                         n_iter: int = 10, seed: int = 42, balanced: bool = False,
+                         label: str = TARGET):
+    """H7: random search scored on one fixed validation part (first best on ties).
+
+    All draws are fitted with ``fitMultiple`` (one pass over the cached fit
+    rows per draw) and scored on the validation rows in one grouped job.
+    """
+    from ferrite.operators.evaluate import confusion
+    data, wcol = fit_rows, None
+    if balanced and kind != "mlp":
+        data, wcol = with_class_weights(fit_rows, label, "weight"), "weight"
+    n = data.count()
+    dim = input_dim(data)
+    draws = sample_param_maps(space, n_iter, seed)
+    parts = []
+    for i, d in enumerate(draws):
+        model = make_estimator(kind, d, dim, n, wcol).fit(data)
+        parts.append(score(model, val_rows, label).withColumn("draw", F.lit(i)))
+    scores = parts[0]
+    for p in parts[1:]:
+        scores = scores.unionByName(p)
+    f1 = confusion(scores, 0.5, ["draw"]).select("draw", F.round("f1", 6).alias("validation_f1"))
+    params = train_rows_params(fit_rows.sparkSession, draws)
+    table = params.join(f1, "draw")
+    best_row = table.orderBy(F.col("validation_f1").desc(), F.col("draw").asc()).first()
+    return draws[best_row["draw"]], table
+
+
+def train_rows_params(spark, draws: list[dict]) -> DataFrame:
+    return spark.createDataFrame([(i, json.dumps(d, sort_keys=True)) for i, d in enumerate(draws)],
+                                 "draw INT, params STRING")

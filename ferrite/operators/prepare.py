@@ -129,3 +129,15 @@ def transform_columns(model: PipelineModel) -> list[str]:
         if s.hasParam("outputCols") and s.isDefined(s.getParam("outputCols")):
             out += s.getOrDefault(s.getParam("outputCols"))
     return out
+
+
+def label_features(names: DataFrame, labels: dict[str, str], col: str = "feature") -> DataFrame:
+    """Display label by dictionary, else the name without its prefix.
+
+    The dictionary is a handful of rows: broadcast left join.
+    """
+    from ferrite.functions import strip_prefixes
+    spark = names.sparkSession
+    lab = spark.createDataFrame(list(labels.items()), f"{col} STRING, label STRING")
+    j = names.join(F.broadcast(lab), col, "left")
+    return j.withColumn("label", F.coalesce(F.col("label"), strip_prefixes(F.col(col))))

@@ -227,9 +227,16 @@ def stage_profile(df: DataFrame, cols: Sequence[str], stage: str) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     med = exact_quantiles(long, ["column_name"], "value", [0.5])
     out = m.join(med, "column_name", "left")
+    # "+ 0.0" turns a rounded -0.0 (means of centred data) into 0.0.
+    z = F.lit(0.0)
     return out.select(F.lit(stage).alias("stage"), "column_name", "n_null",
-                      F.round("mean", 6).alias("mean"), F.round("q_0", 6).alias("median"),
-                      F.round("std", 6).alias("std"))
+                      (F.round("mean", 6) + z).alias("mean"), (F.round("q_0", 6) + z).alias("median"),
+                      (F.round("std", 6) + z).alias("std"))
+
+
+def before_after(raw: DataFrame, prepared: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The same profile before and after preparation, stacked by stage."""
+    return stage_profile(raw, cols, "raw").unionByName(stage_profile(prepared, cols, "prepared"))
 
 
 def domain_violations(df: DataFrame, numeric_domain: dict, categorical_domain: dict) -> DataFrame:

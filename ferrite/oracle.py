@@ -573,3 +573,36 @@ register("linear_contributions", with_readings("SELECT * FROM contrib", extra_ct
 register("contribution_summary", with_readings(
     "SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_phi, round(corr(value, phi), 6) AS direction "
     "FROM contrib GROUP BY feature", extra_ctes=_contrib_sql()))
+
+
+# ---------------------------------------------------- preparation follow-ups
+from ferrite.schema import FEATURE_LABELS  # noqa: E402
+
+_pc2, _pb2 = prepared_sql_body()
+register("prepared_roundtrip", with_readings(
+    f"SELECT * FROM ({_pb2}) x WHERE split = 'test'", extra_ctes=split_ctes() + ",\n" + _pc2))
+
+_names = (["num__" + c for c in NUMERIC_FEATURES]
+          + [f"cat__{c}_{lv}" for c in CATEGORICAL_FEATURES for lv in sorted(_CD[c])])
+register("importance_labels", with_readings(
+    "SELECT CAST(v.slot AS INTEGER) AS slot, v.feature, coalesce(l.label, replace(replace(v.feature, "
+    "'num__', ''), 'cat__', '')) AS label FROM (VALUES "
+    + ", ".join(f"({i}, '{n}')" for i, n in enumerate(_names)) + ") v(slot, feature) LEFT JOIN (VALUES "
+    + ", ".join(f"('{k}', '{v.replace(chr(39), chr(39) * 2)}')" for k, v in FEATURE_LABELS.items())
+    + ") l(feature, label) ON v.feature = l.feature WHERE (SELECT count(*) FROM readings) > 0"))
+
+
+def _before_after_sql():
+    raw = ("(SELECT r.* FROM readings r JOIN split s ON r.reading_id = s.reading_id WHERE s.part = 'train')")
+    prep = ("(SELECT " + ", ".join(f'"num__{c}" AS {c}' for c in NUMERIC_FEATURES)
+            + f" FROM ({_pb}) p WHERE split = 'train')")
+    parts = []
+    for stage, src in (("raw", raw), ("prepared", prep)):
+        for c in NUMERIC_FEATURES:
+            parts.append(f"SELECT '{stage}' AS stage, '{c}' AS column_name, count(*) - count({c}) AS n_null, "
+                         f"round(avg({c}), 6) + 0.0 AS mean, round(quantile_cont({c}, 0.5), 6) + 0.0 AS median, "
+                         f"round(stddev_pop({c}), 6) + 0.0 AS std FROM {src} t")
+    return "\n UNION ALL ".join(parts)
+
+
+register("before_after", with_readings(_before_after_sql(), extra_ctes=split_ctes() + ",\n" + _pc))

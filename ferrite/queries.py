@@ -466,3 +466,44 @@ def q_shapley_sampling(spark, sf):
 
     players = list(_G.NUMERIC_FEATURES) + list(_G.CATEGORICAL_FEATURES)
     return X.shapley_sampling(rows, background, players, score_fn, seed=42)
+
+
+# ---------------------------------------------------- preparation follow-ups
+from ferrite.schema import FEATURE_LABELS  # noqa: E402
+
+
+@query
+def q_prepared_roundtrip(spark, sf):
+    """Prepared rows written partitioned by split, test part read back."""
+    p = prepared(spark, sf)
+    test = A.read_prepared(spark, p.path, "test")
+    out = _G.with_named_features(test, p.feature_names, keep=[KEY, "split"])
+    return out.select(KEY, "split", *[F.round(F.col(n), 6).alias(n) for n in p.feature_names])
+
+
+@query
+def q_importance_labels(spark, sf):
+    _, model, names = fitted_preparation(spark, sf)
+    return _G.label_features(_G.feature_name_table(spark, names), FEATURE_LABELS)
+
+
+@query
+def q_before_after(spark, sf):
+    s, model, names = fitted_preparation(spark, sf)
+    train = s.where(F.col("split") == "train")
+    scaled = model.stages[0].transform(train).select(
+        *[F.col(_G.num_name(c)).alias(c) for c in NUMERIC_FEATURES])
+    return P.before_after(train, scaled, NUMERIC_FEATURES)
+
+
+@query
+def q_mlp_search(spark, sf):
+    """H7: ten draws of the network's space, scored on one validation part."""
+    p = prepared(spark, sf)
+    fv = S.stratified_split(p.part("train").drop("split"), TARGET, 0.2, 42, split_col="part",
+                            names=("fit", "validation"))
+    fv = materialize(fv)
+    space = {k: v for k, v in M.MLP_SPACE.items() if k != "dropout"}
+    _, table = M.search_on_validation("mlp", fv.where(F.col("part") == "fit"),
+                                      fv.where(F.col("part") == "validation"), space, 10, 42)
+    return table

@@ -89,3 +89,17 @@ def numeric_columns(schema: T.StructType, exclude=("machine_id",)) -> list[str]:
     """All numeric columns of a schema except identifiers."""
     return [f.name for f in schema.fields
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
+
+# Display labels of encoded features (others fall back to the
+# name without its num__/cat__ prefix).
+FEATURE_LABELS = {
+    "num__rpm": "Rotation speed (rpm)",
+    "num__temperature_motor": "Motor temperature",
+    "num__current_phase_avg": "Electric current",
+    "num__vibration_rms": "Vibration",
+    "num__pressure_level": "Pressure",
+    "cat__operating_mode_peak": "Mode 'peak'",
+    "cat__operating_mode_idle": "Mode 'idle'",
+    "num__hours_since_maintenance": "Hours since maintenance",
+    "num__ambient_temp": "Ambient temperature",
+}
