@@ -53,3 +53,44 @@ def oversample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY,
               + F.when(F.col("_rank") <= F.col("n_max") % F.col("n_class"), 1).otherwise(0)).cast("int")
     out = r.withColumn(copy_col, F.explode(F.sequence(F.lit(1), copies)))
     return out.drop("_rank", "n_class", "n_max")
+
+
+def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int = 5, seed=42,
+          key: str = KEY, minority: int = 1) -> DataFrame:
+    """synthetic minority rows until the classes are equal.
+
+    Synthetic row i (1..n_maj - n_min) takes minority row ``(i-1) % P + 1``
+    in hash order as parent, its neighbour ``md5(i-k) % k + 1`` among the
+    exact k nearest minority rows, and a gap ``g`` in [0, 1) from
+    ``md5(i-g)``: ``x + g * (nn - x)``.  Parents are exploded from the
+    minority rows themselves (no driver loop, no single task).  Returns
+    the input rows plus the synthetic ones (key = -i).
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from ferrite.functions import hash_unit
+    from ferrite.operators.neighbors import knn
+    from ferrite.operators.splits import ranked
+
+    counts = class_counts(df, label)
+    c = counts.agg(F.sum(F.when(F.col(label) == minority, F.col("n_class"))).alias("P"),
+                   F.sum(F.when(F.col(label) != minority, F.col("n_class"))).alias("N"))
+    mino = df.where(F.col(label) == minority).select(key, label, vector_to_array(F.col(features)).alias("_x"))
+    nn = knn(mino, key, "_x", k)
+    r = ranked(mino, label, seed, key, "_r").crossJoin(F.broadcast(c))  # one row
+    n_syn = F.greatest(F.col("N") - F.col("P"), F.lit(0))
+    copies = F.when(F.col("_r") <= n_syn, F.floor((n_syn - F.col("_r")) / F.col("P")) + 1).otherwise(0)
+    syn = r.withColumn("_t", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1)))
+    syn = syn.withColumn("_i", F.col("_r") + F.col("_t") * F.col("P"))
+    hi = F.col("_i").cast("string")
+    j = F.pmod(F.conv(F.substring(F.md5(F.concat(hi, F.lit("-k"))), 1, 8), 16, 10).cast("bigint"), F.lit(k)) + 1
+    g = hash_unit(F.md5(F.concat(hi, F.lit("-g"))))
+    syn = syn.select(key, "_x", "_i", j.alias("nn_rank"), g.alias("_g"))
+    syn = syn.join(nn.select(key, "nn_rank", "nn_key"), [key, "nn_rank"])
+    nbr = mino.select(F.col(key).alias("nn_key"), F.col("_x").alias("_nx"))
+    syn = syn.join(nbr, "nn_key")
+    new = F.zip_with(F.col("_x"), F.col("_nx"), lambda a, b: a + F.col("_g") * (b - a))
+    out = syn.select((-F.col("_i")).cast(df.schema[key].dataType).alias(key),
+                     F.lit(minority).cast(df.schema[label].dataType).alias(label),
+                     array_to_vector(new).alias(features))
+    return df.select(key, label, features).unionByName(out)

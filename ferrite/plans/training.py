@@ -20,6 +20,7 @@ from ferrite.operators import resample as R
 from ferrite.operators.splits import stratified_split
 from ferrite.plans.preparation import Prepared
 from ferrite.schema import KEY, TARGET
+from ferrite.session import materialize
 
 
 def _union(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -37,7 +38,7 @@ def test_metrics(scores: DataFrame, group: str = "model", threshold=0.5) -> Data
         "fn", "fp")
 
 
-def rebalancing_comparison(prep: Prepared, seed: int = 42, smote=None) -> DataFrame:
+def rebalancing_comparison(prep: Prepared, seed: int = 42, with_smote: bool = True) -> DataFrame:
     """H9: one LR per rebalancing technique, test metrics at 0.5."""
     train, test = prep.part("train"), prep.part("test")
     variants = {
@@ -46,8 +47,9 @@ def rebalancing_comparison(prep: Prepared, seed: int = 42, smote=None) -> DataFr
         "over_sampling": (R.oversample(train, TARGET, seed).drop("copy"), False),
         "under_sampling": (R.undersample(train, TARGET, seed), False),
     }
-    if smote is not None:
-        variants["smote"] = (smote(train), False)
+    if with_smote:
+        variants["smote"] = (materialize(R.smote(train.select(KEY, TARGET, "features"), TARGET,
+                                                 seed=seed)), False)
     scores = []
     for name, (data, balanced) in variants.items():
         model = M.fit("lr", data, {"C": 1.0, "max_iter": 1000}, balanced=balanced)

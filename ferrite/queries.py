@@ -507,3 +507,12 @@ def q_mlp_search(spark, sf):
     _, table = M.search_on_validation("mlp", fv.where(F.col("part") == "fit"),
                                       fv.where(F.col("part") == "validation"), space, 10, 42)
     return table
+
+
+@query
+def q_smote(spark, sf):
+    """training rows plus synthetic minority rows (exact 5-NN, hashed gaps)."""
+    from pyspark.ml.functions import vector_to_array
+    p = prepared(spark, sf)
+    out = R.smote(p.part("train").select(KEY, TARGET, "features"), TARGET, seed=42)
+    return out.select(KEY, TARGET, vector_to_array("features").alias("features"))

@@ -95,3 +95,37 @@ def test_models_learn_better_than_naive(spark):
     for kind in ("lr_score", "gbt_score"):
         sc = REGISTRY[kind](spark, SF_MED)
         assert E.confusion(sc, 0.5).first()["f1"] > 0.6
+
+
+def test_knn_matches_brute_force(spark):
+    import numpy as np
+
+    from ferrite.operators.neighbors import knn
+    rng = np.random.default_rng(3)
+    pts = np.round(rng.normal(size=(300, 4)), 1)  # coarse values: many distance ties
+    pts[:40] = pts[0]  # a hot group of identical points
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(pts)], "id LONG, x ARRAY<DOUBLE>")
+    got = {}
+    for r in knn(df, "id", "x", 5).collect():
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["dist"]))
+    assert len(got) == 300
+    for i in range(300):
+        d = np.sqrt(((pts - pts[i]) ** 2).sum(1))
+        d[i] = np.inf
+        mine = [dist for _, dist in sorted(got[i])]
+        assert np.allclose(np.sort(d)[:5], mine, atol=1e-9)
+
+
+def test_smote_rows_lie_between_parents_and_balance(spark):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    rows = [(i, 1 if i % 4 == 0 else 0, [float(i % 7), float(i % 5), float(i % 3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "reading_id LONG, failure_within_24h INT, f ARRAY<DOUBLE>")
+    df = df.select("reading_id", "failure_within_24h", array_to_vector("f").alias("features"))
+    out = R.smote(df, seed=1)
+    counts = {r[TARGET]: r["count"] for r in out.groupBy(TARGET).count().collect()}
+    assert counts[0] == counts[1] == 150
+    mino = [r[2] for r in rows if r[1] == 1]
+    lo = [min(v[j] for v in mino) for j in range(3)]
+    hi = [max(v[j] for v in mino) for j in range(3)]
+    for r in out.where("reading_id < 0").select(vector_to_array("features").alias("x")).collect():
+        assert all(lo[j] - 1e-12 <= r["x"][j] <= hi[j] + 1e-12 for j in range(3))
