@@ -40,7 +40,7 @@ def permuted_rows(df: DataFrame, cols: Sequence[str], repeats: int = 10, seed=42
     vals = vals.crossJoin(F.broadcast(grid.select("perm_repeat").distinct()))  # x repeats (bounded)
     h = hash_key(seed, key, F.col("perm_column"), F.col("perm_repeat").cast("string"))
     donors = hash_ranks(vals.withColumn("_h", h), ["perm_column", "perm_repeat"], "_h", key,
-                        rank_col="_rank").select("perm_column", "perm_repeat", "_rank",
+                        rank_col="_rank", broadcast_offsets=False).select("perm_column", "perm_repeat", "_rank",
                                                  F.col("_value").alias("_new"))
     receivers = base.crossJoin(F.broadcast(grid))  # columns x repeats rows: bounded
     moved = receivers.join(donors, ["perm_column", "perm_repeat", "_rank"]).select(

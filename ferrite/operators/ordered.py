@@ -36,7 +36,7 @@ def _default_buckets(df: DataFrame) -> int:
 def running_totals(df: DataFrame, partition_cols: Sequence[str],
                    order: Sequence[Column], value_cols: Sequence[str],
                    bucket: Column | None = None, n_buckets: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", broadcast_offsets: bool = True) -> DataFrame:
     """Add ``cum_<v>``: running sum of each value column, inclusive.
 
     ``order`` must be a total order inside each partition group (ties make
@@ -61,7 +61,10 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str],
         for v in value_cols])
     inside = (Window.partitionBy(*pcols, _B).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
-    out = df.join(F.broadcast(offsets), on=[*pcols, _B], how="inner")
+    # With few partition groups the offsets are small by construction and
+    # broadcast; with many (e.g. column x repeat groups) the join is left to
+    # AQE, which broadcasts only if the measured size is under its threshold.
+    out = df.join(F.broadcast(offsets) if broadcast_offsets else offsets, on=[*pcols, _B], how="inner")
     out = out.select(*df.columns, *[
         (F.sum(v).over(inside) + F.col(f"_off_{v}")).alias(f"{prefix}{v}")
         for v in value_cols])
@@ -69,7 +72,8 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str],
 
 
 def hash_ranks(df: DataFrame, partition_cols: Sequence[str], hash_col: str,
-               key_col: str, depth: int = 4, rank_col: str = "rank") -> DataFrame:
+               key_col: str, depth: int = 4, rank_col: str = "rank",
+               broadcast_offsets: bool = True) -> DataFrame:
     """1-based rank inside each partition group in (hash, key) order.
 
     The bucket is the first ``depth`` hex characters of the digest, which
@@ -79,7 +83,7 @@ def hash_ranks(df: DataFrame, partition_cols: Sequence[str], hash_col: str,
     ranked = running_totals(
         df.withColumn(one, F.lit(1).cast("bigint")), partition_cols,
         [F.col(hash_col), F.col(key_col)], [one],
-        bucket=F.substring(F.col(hash_col), 1, depth))
+        bucket=F.substring(F.col(hash_col), 1, depth), broadcast_offsets=broadcast_offsets)
     return ranked.withColumnRenamed(f"cum_{one}", rank_col).drop(one)
 
 
