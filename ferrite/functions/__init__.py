@@ -1,3 +1,3 @@
 from ferrite.functions.exprs import (  # noqa: F401
-    decide, hash_key, hash_unit, ratio, risk_tier, round6, strip_prefixes,
+    attach_one_row, decide, hash_key, hash_unit, ratio, risk_tier, round6, strip_prefixes,
 )

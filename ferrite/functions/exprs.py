@@ -58,3 +58,15 @@ def round6(c) -> Column:
 def strip_prefixes(c: Column) -> Column:
     """Encoded feature name without its ``num__`` / ``cat__`` prefix."""
     return F.replace(F.replace(c, F.lit("num__"), F.lit("")), F.lit("cat__"), F.lit(""))
+
+
+def attach_one_row(df, one_row):
+    """Append the columns of a one-row table (a global aggregate such as
+    class totals or a baseline metric) to every row of ``df``.
+
+    ``one_row`` must be the result of a global aggregate, i.e. exactly one
+    row; it is broadcast, so ``df`` streams through without a shuffle.
+    This is the only product join in the library.
+    """
+    from pyspark.sql import functions as F
+    return df.crossJoin(F.broadcast(one_row))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrite.functions import decide, ratio
+from ferrite.functions import attach_one_row, decide, ratio
 from ferrite.operators.ordered import running_totals
 
 # The sweep grid 0.05, 0.10, ..., 0.95 (stored rounded).
@@ -82,7 +82,7 @@ def score_table(scores: DataFrame, groups: Sequence[str] = (), label: str = "y",
     cum = running_totals(d, groups, [F.col(score).desc()], ["tp", "fp"])
     tot = d.groupBy(*groups).agg(F.sum("tp").alias("n_pos"), F.sum("fp").alias("n_neg"))
     # One row per group: bounded by the number of groups.
-    return cum.join(F.broadcast(tot), list(groups)) if groups else cum.crossJoin(F.broadcast(tot))
+    return cum.join(F.broadcast(tot), list(groups)) if groups else attach_one_row(cum, tot)
 
 
 def auc_ap(scores: DataFrame, groups: Sequence[str] = (), label: str = "y",
@@ -139,10 +139,10 @@ def threshold_sweep(scores: DataFrame, groups: Sequence[str] = (), label: str =
     bucket = sum(((s >= F.lit(float(t))).cast("int") for t in thresholds), F.lit(0))
     b = scores.groupBy(*groups, bucket.alias("b")).agg(
         F.count_if(y == 1).cast("bigint").alias("pos"), F.count_if(y == 0).cast("bigint").alias("neg"))
-    grid = scores.sparkSession.createDataFrame(
-        [(j + 1, float(t)) for j, t in enumerate(thresholds)], "j INT, threshold DOUBLE")
-    keys = b.select(*groups).distinct()
-    full = keys.crossJoin(F.broadcast(grid))  # groups x grid: bounded
+    grid = F.array(*[F.struct(F.lit(j + 1).alias("j"), F.lit(float(t)).alias("threshold"))
+                     for j, t in enumerate(thresholds)])
+    full = b.select(*groups).distinct().select(*groups, F.explode(grid).alias("_t")).select(
+        *groups, "_t.j", "_t.threshold")
     # tp(j) = positives in buckets >= j; fp likewise.
     j = full.join(b, list(groups), "left").groupBy(*groups, "j", "threshold").agg(
         F.sum(F.when(F.col("b") >= F.col("j"), F.col("pos")).otherwise(0)).alias("tp"),
@@ -181,7 +181,7 @@ def metrics_at(scores: DataFrame, thresholds: DataFrame, groups: Sequence[str],
 
 def rebuild_matrix(metrics: DataFrame, totals: DataFrame, groups: Sequence[str]) -> DataFrame:
     """TN/FP/FN/TP and rates from FN, FP and the class totals."""
-    j = metrics.crossJoin(F.broadcast(totals.select("n_pos", "n_neg")))  # totals: one row
+    j = attach_one_row(metrics, totals.select("n_pos", "n_neg"))
     tp = (F.col("n_pos") - F.col("fn")).cast("bigint")
     tn = (F.col("n_neg") - F.col("fp")).cast("bigint")
     fp, fn = F.col("fp").cast("bigint"), F.col("fn").cast("bigint")

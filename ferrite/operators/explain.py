@@ -17,7 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrite.functions import hash_key
+from ferrite.functions import attach_one_row, hash_key
 from ferrite.operators.evaluate import confusion
 from ferrite.operators.ordered import hash_ranks
 from ferrite.schema import KEY
@@ -33,16 +33,17 @@ def permuted_rows(df: DataFrame, cols: Sequence[str], repeats: int = 10, seed=42
     """
     base = hash_ranks(df.select(key).withColumn("_h", hash_key(seed, key, "base")),
                       [], "_h", key, rank_col="_rank").select(key, "_rank")
-    grid = df.sparkSession.createDataFrame(
-        [(c, r) for c in cols for r in range(repeats)], "perm_column STRING, perm_repeat INT")
     vals = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [key], list(cols), "perm_column", "_value")
-    vals = vals.crossJoin(F.broadcast(grid.select("perm_repeat").distinct()))  # x repeats (bounded)
+    vals = vals.withColumn("perm_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     h = hash_key(seed, key, F.col("perm_column"), F.col("perm_repeat").cast("string"))
     donors = hash_ranks(vals.withColumn("_h", h), ["perm_column", "perm_repeat"], "_h", key,
                         rank_col="_rank", broadcast_offsets=False).select("perm_column", "perm_repeat", "_rank",
                                                  F.col("_value").alias("_new"))
-    receivers = base.crossJoin(F.broadcast(grid))  # columns x repeats rows: bounded
+    grid = F.array(*[F.struct(F.lit(c).alias("perm_column"), F.lit(r).alias("perm_repeat"))
+                     for c in cols for r in range(repeats)])
+    receivers = base.select(key, "_rank", F.explode(grid).alias("_g")).select(
+        key, "_rank", "_g.perm_column", "_g.perm_repeat")
     moved = receivers.join(donors, ["perm_column", "perm_repeat", "_rank"]).select(
         key, "perm_column", "perm_repeat", "_new")
     out = df.join(moved, key)
@@ -59,7 +60,7 @@ def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn: ScoreFn
     base = confusion(score_fn(df), threshold, (), label, "score").select(F.col("f1").alias("_base_f1"))
     perm = score_fn(permuted_rows(df, cols, repeats, seed, key))
     f1s = confusion(perm, threshold, ["perm_column", "perm_repeat"], label, "score")
-    drops = f1s.crossJoin(F.broadcast(base)).select(
+    drops = attach_one_row(f1s, base).select(
         F.col("perm_column").alias("feature"), (F.col("_base_f1") - F.col("f1")).alias("drop"))
     return drops.groupBy("feature").agg(
         F.round(F.avg("drop"), 6).alias("importance_mean"),
@@ -77,7 +78,7 @@ def linear_contributions(rows: DataFrame, background: DataFrame, coefficients: d
     cols = list(coefficients)
     means = background.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
     m = means.select(*[F.col(c).alias(f"_mu_{c}") for c in cols])
-    j = rows.crossJoin(F.broadcast(m))  # one row
+    j = attach_one_row(rows, m)
     entries = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"),
                         (F.lit(float(w)) * (F.col(c).cast("double") - F.col(f"_mu_{c}"))).alias("phi"))
                for c, w in coefficients.items()]
@@ -93,34 +94,44 @@ def contribution_summary(contrib: DataFrame) -> DataFrame:
 
 
 def shapley_sampling(rows: DataFrame, background: DataFrame, cols: Sequence[str],
-                     score_fn: ScoreFn, seed=42, key: str = KEY,
+                     score_fn: ScoreFn, n_draws: int = 10, seed=42, key: str = KEY,
                      bg_key: str = KEY) -> DataFrame:
     """I4 (any model): Monte Carlo Shapley values.
 
-    Every (row, background row) pair draws a feature order from
-    ``md5(row-background-feature)``; hybrid ``p`` takes the first ``p``
-    features of that order from the row and the rest from the background
-    row.  All (p+1) hybrids are scored in one pass and consecutive score
-    differences are the feature's marginal contribution; averaged over the
-    background rows they sum to ``f(x) - mean f(background)``.  Cost is
-    rows x background x (p+1): keep both small (F8 samples).
+    Each explained row draws ``n_draws`` background rows (uniformly, with
+    replacement, by hashed rank - an equi join, no pairing of tables) and,
+    per draw, a random feature order from ``md5(row-draw-feature)``.  Hybrid
+    ``p`` takes the first ``p`` features of that order from the row and the
+    rest from the background row; all (p+1) hybrids are scored in one pass
+    and consecutive differences are the feature's marginal contribution.
+    Per row, ``sum(phi) = f(x) - base_value`` with ``base_value`` the mean
+    score of its drawn background rows.  Cost: rows x draws x (p+1).
     """
     cols = list(cols)
     p = len(cols)
-    b = background.select(F.col(bg_key).alias("_bg"), *[F.col(c).alias(f"_z_{c}") for c in cols])
-    pairs = rows.select(key, *cols).crossJoin(F.broadcast(b))  # rows x background, both sampled
-    # Position of each feature in this pair's random order (1..p).
+    bg = hash_ranks(background.select(F.col(bg_key).alias("_bg"), *[F.col(c).alias(f"_z_{c}") for c in cols])
+                    .withColumn("_hb", hash_key(seed, "_bg", "bg")), [], "_hb", "_bg", rank_col="_br")
+    n_bg = bg.agg(F.count(F.lit(1)).alias("_nb"))
+    draws = attach_one_row(rows.select(key, *cols), n_bg).withColumn(
+        "_d", F.explode(F.sequence(F.lit(1), F.lit(n_draws))))
+    hd = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.col("_d").cast("string"), F.lit(str(seed))))
+    draws = draws.withColumn("_br", F.pmod(F.conv(F.substring(hd, 1, 12), 16, 10).cast("bigint"),
+                                           F.col("_nb")) + 1)
+    pairs = draws.join(bg.drop("_hb"), "_br")
     orders = F.array(*[F.struct(
-        F.md5(F.concat_ws("-", F.col(key).cast("string"), F.col("_bg").cast("string"), F.lit(str(seed)),
+        F.md5(F.concat_ws("-", F.col(key).cast("string"), F.col("_d").cast("string"), F.lit(str(seed)),
                           F.lit(c))).alias("h"), F.lit(c).alias("c")) for c in cols])
     pairs = pairs.withColumn("_order", F.transform(F.array_sort(orders), lambda s: s["c"]))
     hyb = pairs.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(p))))
     pos = {c: F.array_position(F.col("_order"), F.lit(c)) for c in cols}
-    hyb = hyb.select(key, "_bg", "_order", "_p", *[
+    hyb = hyb.select(key, "_d", "_order", "_p", *[
         F.when(pos[c] <= F.col("_p"), F.col(c)).otherwise(F.col(f"_z_{c}")).alias(c) for c in cols])
     scored = score_fn(hyb)
-    w = Window.partitionBy(key, "_bg").orderBy("_p")  # p+1 rows per group
-    d = scored.select(key, "_bg", "_order", "_p",
-                      (F.col("score") - F.lag("score").over(w)).alias("_delta")).where(F.col("_p") > 0)
-    d = d.select(key, F.element_at(F.col("_order"), F.col("_p").cast("int")).alias("feature"), "_delta")
-    return d.groupBy(key, "feature").agg(F.avg("_delta").alias("phi"))
+    w = Window.partitionBy(key, "_d").orderBy("_p")  # p+1 rows per (row, draw)
+    d = scored.select(key, "_d", "_order", "_p", "score",
+                      (F.col("score") - F.lag("score").over(w)).alias("_delta"))
+    base = d.where(F.col("_p") == 0).groupBy(key).agg(F.avg("score").alias("base_value"))
+    d = d.where(F.col("_p") > 0).select(
+        key, F.element_at(F.col("_order"), F.col("_p").cast("int")).alias("feature"), "_delta")
+    phi = d.groupBy(key, "feature").agg(F.avg("_delta").alias("phi"))
+    return phi.join(base, key)

@@ -173,17 +173,13 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None
         *ids, "column_name", bin_of(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
     counts = binned.groupBy(*ids, "column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
     if by and not range_per_group:
-        classes = df.select(by).where(F.col(by).isNotNull()).distinct()
-        grid_src = bounds.crossJoin(F.broadcast(classes))  # few classes x few columns
+        # (class, column) groups with values, each with the pooled bounds.
+        groups = long.groupBy(by, "column_name").agg(F.count(F.lit(1)).alias("n_group"))
+        grid_src = groups.join(F.broadcast(bounds), "column_name")  # one row per column
     else:
-        grid_src = bounds
-    grid = grid_src.select(*ids, "column_name", "lo", "hi", "n_values",
+        grid_src = bounds.withColumn("n_group", F.col("n_values"))
+    grid = grid_src.select(*ids, "column_name", "lo", "hi", "n_group",
                            F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
-    if by and not range_per_group:
-        nsrc = long.groupBy(by, "column_name").agg(F.count(F.lit(1)).alias("n_group"))
-        grid = grid.join(nsrc, [by, "column_name"], "left")
-    else:
-        grid = grid.withColumn("n_group", F.col("n_values"))
     out = grid.join(counts, [*ids, "column_name", "bin"], "left")
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
     cnt = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))

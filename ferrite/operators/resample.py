@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferrite.functions import attach_one_row
 from ferrite.operators.splits import class_counts, ranked
 from ferrite.schema import KEY, TARGET
 
@@ -34,7 +35,7 @@ def undersample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY) ->
     c = class_counts(df, label)
     n_min = c.agg(F.min("n_class").alias("n_min"))
     r = ranked(df, label, seed, key, "_rank")
-    return r.join(F.broadcast(n_min), how="cross").where(F.col("_rank") <= F.col("n_min")) \
+    return attach_one_row(r, n_min).where(F.col("_rank") <= F.col("n_min")) \
             .drop("_rank", "n_min")
 
 
@@ -77,7 +78,7 @@ def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int
                    F.sum(F.when(F.col(label) != minority, F.col("n_class"))).alias("N"))
     mino = df.where(F.col(label) == minority).select(key, label, vector_to_array(F.col(features)).alias("_x"))
     nn = knn(mino, key, "_x", k)
-    r = ranked(mino, label, seed, key, "_r").crossJoin(F.broadcast(c))  # one row
+    r = attach_one_row(ranked(mino, label, seed, key, "_r"), c)
     n_syn = F.greatest(F.col("N") - F.col("P"), F.lit(0))
     copies = F.when(F.col("_r") <= n_syn, F.floor((n_syn - F.col("_r")) / F.col("P")) + 1).otherwise(0)
     syn = r.withColumn("_t", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1)))

@@ -202,8 +202,8 @@ def _hist_sql(cols, bins, by=None, per_group=False, density=False):
     counts = (f"(SELECT {''.join(f'l.{i}, ' for i in ids)}l.column_name, {binexpr} AS bin, count(*) AS n "
               f"FROM {long} l JOIN {bounds} b ON {on} GROUP BY ALL)")
     if by and not per_group:
-        gsrc = (f"(SELECT b.*, k.{by} FROM {bounds} b CROSS JOIN "
-                f"(SELECT DISTINCT {by} FROM readings WHERE {by} IS NOT NULL) k)")
+        gsrc = (f"(SELECT b.*, k.{by} FROM {bounds} b JOIN "
+                f"(SELECT DISTINCT {by}, column_name FROM {long} l) k ON b.column_name = k.column_name)")
         ngroup = (f"(SELECT {by}, column_name, count(*) AS n_group FROM {long} l GROUP BY {by}, column_name)")
     else:
         gsrc = bounds

@@ -185,7 +185,7 @@ def q_feature_names(spark, sf):
 
 
 # ---------------------------------------------------------------- evaluation
-from ferrite.functions import decide, risk_tier  # noqa: E402
+from ferrite.functions import attach_one_row, decide, risk_tier  # noqa: E402
 from ferrite.operators import evaluate as E  # noqa: E402
 from ferrite.sources.readings import model_scores, scored  # noqa: E402
 
@@ -417,7 +417,7 @@ def q_loss_history(spark, sf):
     model = M.fit("lr", p.part("train"), REFERENCE_DEFAULTS["lr"])
     h = M.training_history(model)
     best = h.agg(F.min_by("epoch", "loss").alias("best_epoch"))
-    return h.crossJoin(best)
+    return attach_one_row(h, best)
 
 
 # ------------------------------------------------- scoring, streaming, Shapley
@@ -452,20 +452,20 @@ def q_stream_score(spark, sf):
 
 @query
 def q_shapley_sampling(spark, sf):
-    """Monte Carlo Shapley values of the GBT pipeline on 20 rows x 10 background rows."""
+    """Monte Carlo Shapley values of the GBT pipeline: 20 rows, 10 background draws each."""
     p = prepared(spark, sf)
     clf = M.fit("gbt", p.part("train"), {"max_iter": 30, "max_depth": 4})
     pipe = M.scoring_pipeline(p.preprocessor, clf)
     raw = readings(spark, sf).select(KEY, *_G.NUMERIC_FEATURES, *_G.CATEGORICAL_FEATURES)
     rows = S.hash_sample(raw, 20, 42)
-    background = S.hash_sample(raw, 10, 7)
+    background = p.part("train").select(KEY, *_G.NUMERIC_FEATURES, *_G.CATEGORICAL_FEATURES)
 
     def score_fn(df):
         out = M.failure_probability(pipe.transform(df))
         return out.drop(*[c for c in out.columns if c.startswith("_") and c.endswith(("_idx", "_ohe"))])
 
     players = list(_G.NUMERIC_FEATURES) + list(_G.CATEGORICAL_FEATURES)
-    return X.shapley_sampling(rows, background, players, score_fn, seed=42)
+    return X.shapley_sampling(rows, background, players, score_fn, n_draws=10, seed=42)
 
 
 # ---------------------------------------------------- preparation follow-ups

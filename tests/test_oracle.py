@@ -47,7 +47,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(rel.columns) == cols
     idx = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key)
-    assert got == want
+    assert len(got) == len(want)
+    if got != want:
+        # Summation order differs between engines; a value may round to the
+        # other side of a 6th-decimal boundary.  Compare floats within 1.5e-6.
+        got_s = sorted(got, key=lambda r: tuple(str(x) if not isinstance(x, float) else "" for x in r))
+        want_s = sorted(want, key=lambda r: tuple(str(x) if not isinstance(x, float) else "" for x in r))
+        for a, b in zip(got_s, want_s):
+            for x, y in zip(a, b):
+                if isinstance(x, float) and isinstance(y, float):
+                    assert x == pytest.approx(y, abs=1.5e-6)
+                else:
+                    assert x == y
 
 
 def test_every_oracle_has_a_query():
