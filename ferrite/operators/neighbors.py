@@ -69,3 +69,67 @@ def knn(points: DataFrame, key: str, vec: str, k: int = 5, max_rounds: int = 40)
     for d in done[1:]:
         out = out.unionByName(d)
     return out.select(F.col("_k").alias(key), "nn_rank", F.col("_nk").alias("nn_key"), "dist")
+
+
+def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42) -> DataFrame:
+    """Exact k-NN over points that may repeat: (key, nn_rank, nn_key, dist).
+
+    Identical vectors are collapsed first (one row per distinct vector with
+    its multiplicity), so a vector repeated by a third of all rows is one
+    row for the grid search.  A point's nearest points are then the other
+    copies of its own vector (distance 0; taken cyclically in hash order,
+    so every copy gets different partners), followed by copies of the
+    nearest other distinct vectors in distance order.  Nothing pairs the
+    members of a group with each other: each point emits at most k rows.
+    """
+    from ferrite.functions import hash_key
+    from ferrite.operators.ordered import hash_ranks
+
+    pts = points.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
+    pts = pts.withColumn("_vid", F.md5(F.to_json(F.col("_v"))))
+    members = hash_ranks(pts.withColumn("_h", hash_key(seed, "_k")), ["_vid"], "_h", "_k",
+                         rank_col="_q", broadcast_offsets=False).select("_k", "_vid", "_q")
+    distinct = pts.groupBy("_vid").agg(F.first("_v").alias("_v"), F.count(F.lit(1)).alias("_m"))
+    distinct = materialize(distinct)
+    sizes = distinct.select("_vid", "_m")
+    n_distinct = distinct.count()
+    mem = members.join(sizes, "_vid")
+
+    # Own copies: t = 1..min(k, m-1), partner rank ((q-1+t) mod m) + 1.
+    own_n = F.least(F.lit(k), F.col("_m") - 1)
+    own = mem.where(own_n > 0).select("_k", "_vid", "_q", "_m",
+                                      F.explode(F.sequence(F.lit(1), own_n.cast("int"))).alias("_t"))
+    own = own.select("_k", F.col("_t").alias("nn_rank"), "_vid",
+                     (F.pmod(F.col("_q") - 1 + F.col("_t"), F.col("_m")) + 1).alias("_pq"))
+    own = own.join(members.select(F.col("_vid"), F.col("_q").alias("_pq"), F.col("_k").alias("nn_key")),
+                   ["_vid", "_pq"]).select("_k", "nn_rank", "nn_key", F.lit(0.0).alias("dist"))
+
+    parts = [own]
+    if n_distinct > 1:
+        kd = min(k, n_distinct - 1)
+        near = _knn_subset(distinct, kd)
+        # Copies still needed per point: need = k - min(k, m-1).
+        w = Window.partitionBy("_vid").orderBy("nn_rank")  # at most k rows per vector
+        near = near.join(sizes.select(F.col("_vid").alias("nn_vid"), F.col("_m").alias("_mn")), "nn_vid")
+        near = near.withColumn("_before", F.coalesce(F.sum("_mn").over(
+            w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        need = F.lit(k) - F.least(F.lit(k), F.col("_m") - 1)
+        take = F.least(F.greatest(need - F.col("_before"), F.lit(0)), F.col("_mn"))
+        ext = mem.where(F.col("_m") <= k).join(near, "_vid").where(take > 0)
+        ext = ext.select("_k", "_q", "_m", "nn_vid", "_mn", "dist", "_before",
+                         F.explode(F.sequence(F.lit(1), take.cast("int"))).alias("_t"))
+        ext = ext.select("_k", "nn_vid", "dist",
+                         (F.least(F.lit(k), F.col("_m") - 1) + F.col("_before") + F.col("_t")).alias("nn_rank"),
+                         (F.pmod(F.col("_q") - 1 + F.col("_t") - 1, F.col("_mn")) + 1).alias("_pq"))
+        ext = ext.join(members.select(F.col("_vid").alias("nn_vid"), F.col("_q").alias("_pq"),
+                                      F.col("_k").alias("nn_key")), ["nn_vid", "_pq"])
+        parts.append(ext.select("_k", "nn_rank", "nn_key", "dist"))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select(F.col("_k").alias(key), F.col("nn_rank").cast("int").alias("nn_rank"),
+                      F.col("nn_key").alias("nn_key"), "dist")
+
+
+def _knn_subset(distinct: DataFrame, k: int) -> DataFrame:
+    """k-NN among distinct vectors: (_vid, nn_rank, nn_vid, dist)."""
+    r = knn(distinct.select("_vid", "_v"), "_vid", "_v", k)
+    return r.select("_vid", "nn_rank", F.col("nn_key").alias("nn_vid"), "dist")

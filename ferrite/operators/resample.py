@@ -70,14 +70,14 @@ def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     from ferrite.functions import hash_unit
-    from ferrite.operators.neighbors import knn
+    from ferrite.operators.neighbors import knn_points
     from ferrite.operators.splits import ranked
 
     counts = class_counts(df, label)
     c = counts.agg(F.sum(F.when(F.col(label) == minority, F.col("n_class"))).alias("P"),
                    F.sum(F.when(F.col(label) != minority, F.col("n_class"))).alias("N"))
     mino = df.where(F.col(label) == minority).select(key, label, vector_to_array(F.col(features)).alias("_x"))
-    nn = knn(mino, key, "_x", k)
+    nn = knn_points(mino, key, "_x", k, seed)
     r = attach_one_row(ranked(mino, label, seed, key, "_r"), c)
     n_syn = F.greatest(F.col("N") - F.col("P"), F.lit(0))
     copies = F.when(F.col("_r") <= n_syn, F.floor((n_syn - F.col("_r")) / F.col("P")) + 1).otherwise(0)

@@ -99,16 +99,22 @@ def test_models_learn_better_than_naive(spark):
         assert E.confusion(sc, 0.5).first()["f1"] > 0.6
 
 
-def test_knn_matches_brute_force(spark):
+@pytest.mark.parametrize("fn", ["knn", "knn_points"])
+def test_knn_matches_brute_force(spark, fn):
     import numpy as np
 
-    from ferrite.operators.neighbors import knn
+    from ferrite.operators import neighbors
     rng = np.random.default_rng(3)
     pts = np.round(rng.normal(size=(300, 4)), 1)  # coarse values: many distance ties
-    pts[:40] = pts[0]  # a hot group of identical points
+    if fn == "knn_points":
+        pts[:100] = pts[0]  # a hot group: a third of all points identical
+        pts[100:103] = pts[100]  # a small duplicate group (fewer copies than k)
     df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(pts)], "id LONG, x ARRAY<DOUBLE>")
     got = {}
-    for r in knn(df, "id", "x", 5).collect():
+    rows = getattr(neighbors, fn)(df, "id", "x", 5).collect()
+    assert len({(r["id"], r["nn_key"]) for r in rows}) == len(rows) == 300 * 5
+    assert all(r["id"] != r["nn_key"] for r in rows)
+    for r in rows:
         got.setdefault(r["id"], []).append((r["nn_rank"], r["dist"]))
     assert len(got) == 300
     for i in range(300):
