@@ -79,8 +79,8 @@ def score_table(scores: DataFrame, groups: Sequence[str] = (), label: str = "y",
     y = F.col(label)
     d = scores.groupBy(*groups, score).agg(F.count_if(y == 1).cast("bigint").alias("tp"),
                                           F.count_if(y == 0).cast("bigint").alias("fp"))
-    cum = running_totals(d, groups, [F.col(score).desc()], ["tp", "fp"])
-    tot = d.groupBy(*groups).agg(F.sum("tp").alias("n_pos"), F.sum("fp").alias("n_neg"))
+    cum, tot = running_totals(d, groups, [F.col(score).desc()], ["tp", "fp"], return_totals=True)
+    tot = tot.withColumnRenamed("tp", "n_pos").withColumnRenamed("fp", "n_neg")
     # One row per group: bounded by the number of groups.
     return cum.join(F.broadcast(tot), list(groups)) if groups else attach_one_row(cum, tot)
 

@@ -36,14 +36,16 @@ def _default_buckets(df: DataFrame) -> int:
 def running_totals(df: DataFrame, partition_cols: Sequence[str],
                    order: Sequence[Column], value_cols: Sequence[str],
                    bucket: Column | None = None, n_buckets: int | None = None,
-                   prefix: str = "cum_", broadcast_offsets: bool = True) -> DataFrame:
+                   prefix: str = "cum_", broadcast_offsets: bool = True,
+                   return_totals: bool = False):
     """Add ``cum_<v>``: running sum of each value column, inclusive.
 
     ``order`` must be a total order inside each partition group (ties make
     running sums depend on the physical order).  ``bucket`` must be
     monotone in ``order`` inside a partition group; if omitted, the rows
     are range-partitioned on (partition_cols, order) and the partition id
-    serves as the bucket.
+    serves as the bucket.  ``return_totals`` also returns the per-group
+    totals, summed from the bucket totals (no further pass over the rows).
     """
     pcols = list(partition_cols)
     if bucket is None:
@@ -68,23 +70,32 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str],
     out = out.select(*df.columns, *[
         (F.sum(v).over(inside) + F.col(f"_off_{v}")).alias(f"{prefix}{v}")
         for v in value_cols])
-    return out.drop(_B)
+    out = out.drop(_B)
+    if return_totals:
+        group = totals.groupBy(*pcols).agg(*[F.sum(v).alias(v) for v in value_cols])
+        return out, group
+    return out
 
 
 def hash_ranks(df: DataFrame, partition_cols: Sequence[str], hash_col: str,
                key_col: str, depth: int = 4, rank_col: str = "rank",
-               broadcast_offsets: bool = True) -> DataFrame:
+               broadcast_offsets: bool = True, return_totals: bool = False):
     """1-based rank inside each partition group in (hash, key) order.
 
     The bucket is the first ``depth`` hex characters of the digest, which
     is monotone in the digest order: 16**depth buckets at most.
     """
     one = "_one"
-    ranked = running_totals(
+    res = running_totals(
         df.withColumn(one, F.lit(1).cast("bigint")), partition_cols,
         [F.col(hash_col), F.col(key_col)], [one],
-        bucket=F.substring(F.col(hash_col), 1, depth), broadcast_offsets=broadcast_offsets)
-    return ranked.withColumnRenamed(f"cum_{one}", rank_col).drop(one)
+        bucket=F.substring(F.col(hash_col), 1, depth), broadcast_offsets=broadcast_offsets,
+        return_totals=return_totals)
+    ranked, sizes = res if return_totals else (res, None)
+    ranked = ranked.withColumnRenamed(f"cum_{one}", rank_col).drop(one)
+    if return_totals:
+        return ranked, sizes.withColumnRenamed(one, "n_group")
+    return ranked
 
 
 def exact_quantiles(long_df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -99,9 +110,9 @@ def exact_quantiles(long_df: DataFrame, group_cols: Sequence[str], value_col: st
     v = F.col(value_col)
     counts = (long_df.where(v.isNotNull())
               .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n")))
-    cum = running_totals(counts, g, [v], ["_n"], n_buckets=n_buckets)
+    cum, sizes = running_totals(counts, g, [v], ["_n"], n_buckets=n_buckets, return_totals=True)
     cum = cum.withColumn("_lo_rank", F.col("cum__n") - F.col("_n"))  # 0-based first rank
-    sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_total"))
+    sizes = sizes.withColumnRenamed("_n", "_total")
     # Ranks needed per group: floor and ceil of p*(n-1) for every p.
     targets = []
     for i, p in enumerate(probs):

@@ -32,9 +32,8 @@ def with_class_weights(df: DataFrame, label: str = TARGET, weight_col: str = "we
 
 def undersample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY) -> DataFrame:
     """every class cut to the smallest class size, first rows in hash order."""
-    c = class_counts(df, label)
+    r, c = ranked(df, label, seed, key, "_rank", with_counts=True)
     n_min = c.agg(F.min("n_class").alias("n_min"))
-    r = ranked(df, label, seed, key, "_rank")
     return attach_one_row(r, n_min).where(F.col("_rank") <= F.col("n_min")) \
             .drop("_rank", "n_min")
 
@@ -47,9 +46,9 @@ def oversample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY,
     for its first ``n_max % n_c`` rows in hash order: exact class sizes,
     copies spread as evenly as possible.  ``copy`` numbers them from 1.
     """
-    c = class_counts(df, label)
+    r, c = ranked(df, label, seed, key, "_rank", with_counts=True)
     c = c.select(label, "n_class", F.max("n_class").over(Window.partitionBy()).alias("n_max"))
-    r = ranked(df, label, seed, key, "_rank").join(F.broadcast(c), label)
+    r = r.join(F.broadcast(c), label)  # one row per class
     copies = (F.floor(F.col("n_max") / F.col("n_class"))
               + F.when(F.col("_rank") <= F.col("n_max") % F.col("n_class"), 1).otherwise(0)).cast("int")
     out = r.withColumn(copy_col, F.explode(F.sequence(F.lit(1), copies)))

@@ -42,18 +42,25 @@ def class_quotas(counts: DataFrame, label: str, fraction: float) -> DataFrame:
     return c.select(label, "n_class", (F.col("_base") + extra).cast("bigint").alias("quota"))
 
 
-def ranked(df: DataFrame, label: str, seed, key: str = KEY, rank_col: str = "rank") -> DataFrame:
-    """Rank of each row inside its class in hash order (1-based)."""
-    return hash_ranks(df.withColumn(_H, hash_key(seed, key)), [label], _H, key,
-                      rank_col=rank_col).drop(_H)
+def ranked(df: DataFrame, label: str, seed, key: str = KEY, rank_col: str = "rank",
+           with_counts: bool = False):
+    """Rank of each row inside its class in hash order (1-based).
+
+    ``with_counts`` also returns the class-count table (label, n_class),
+    summed from the rank buckets rather than from another pass.
+    """
+    r, sizes = hash_ranks(df.withColumn(_H, hash_key(seed, key)), [label], _H, key,
+                          rank_col=rank_col, return_totals=True)
+    r = r.drop(_H)
+    return (r, sizes.withColumnRenamed("n_group", "n_class")) if with_counts else r
 
 
 def stratified_split(df: DataFrame, label: str = TARGET, fraction: float = 0.2, seed=42,
                      key: str = KEY, split_col: str = "split",
                      names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """add ``split_col`` = names[1] for the held-out rows, names[0] otherwise."""
-    quotas = class_quotas(class_counts(df, label), label, fraction)
-    r = ranked(df, label, seed, key, "_rank")
+    r, counts = ranked(df, label, seed, key, "_rank", with_counts=True)
+    quotas = class_quotas(counts, label, fraction)
     # One row per class: bounded by the number of classes.
     j = r.join(F.broadcast(quotas.select(label, "quota")), label)
     part = F.when(F.col("_rank") <= F.col("quota"), F.lit(names[1])).otherwise(F.lit(names[0]))
