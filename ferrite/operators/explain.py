@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ferrite.functions import attach_one_row, hash_key
 from ferrite.operators.evaluate import confusion
-from ferrite.operators.ordered import hash_ranks
+from ferrite.operators.ordered import depth_for, hash_ranks
 from ferrite.schema import KEY
+from ferrite.session import materialize
 
 ScoreFn = Callable[[DataFrame], DataFrame]  # adds a `score` column
 
@@ -31,14 +32,15 @@ def permuted_rows(df: DataFrame, cols: Sequence[str], repeats: int = 10, seed=42
 
     Output: all columns of ``df`` plus ``perm_column`` and ``perm_repeat``.
     """
+    n = df.count()
     base = hash_ranks(df.select(key).withColumn("_h", hash_key(seed, key, "base")),
-                      [], "_h", key, rank_col="_rank").select(key, "_rank")
+                      [], "_h", key, depth=depth_for(n), rank_col="_rank").select(key, "_rank")
     vals = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [key], list(cols), "perm_column", "_value")
     vals = vals.withColumn("perm_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     h = hash_key(seed, key, F.col("perm_column"), F.col("perm_repeat").cast("string"))
     donors = hash_ranks(vals.withColumn("_h", h), ["perm_column", "perm_repeat"], "_h", key,
-                        rank_col="_rank", broadcast_offsets=False).select("perm_column", "perm_repeat", "_rank",
+                        depth=depth_for(n), rank_col="_rank", broadcast_offsets=False).select("perm_column", "perm_repeat", "_rank",
                                                  F.col("_value").alias("_new"))
     grid = F.array(*[F.struct(F.lit(c).alias("perm_column"), F.lit(r).alias("perm_repeat"))
                      for c in cols for r in range(repeats)])
@@ -56,7 +58,13 @@ def permuted_rows(df: DataFrame, cols: Sequence[str], repeats: int = 10, seed=42
 def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn: ScoreFn,
                            threshold: float = 0.5, repeats: int = 10, seed=42,
                            key: str = KEY, label: str = "y") -> DataFrame:
-    """F1 drop per permuted column; mean and population std over repeats."""
+    """F1 drop per permuted column; mean and population std over repeats.
+
+    The rows feed four branches (baseline, base ranks, donors, receivers),
+    so they are written once to the checkpoint folder instead of being
+    re-derived by each branch.
+    """
+    df = materialize(df)
     base = confusion(score_fn(df), threshold, (), label, "score").select(F.col("f1").alias("_base_f1"))
     perm = score_fn(permuted_rows(df, cols, repeats, seed, key))
     f1s = confusion(perm, threshold, ["perm_column", "perm_repeat"], label, "score")

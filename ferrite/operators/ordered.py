@@ -26,6 +26,20 @@ from pyspark.sql import functions as F
 
 MAX_BUCKETS = 1 << 16
 _B = "_bucket"
+ROWS_PER_BUCKET = 200_000
+MAX_DEPTH = 5
+
+
+def depth_for(n_rows: int) -> int:
+    """Hex-prefix length giving about ROWS_PER_BUCKET rows per bucket.
+
+    1 (16 buckets) up to 5 (about a million buckets) - enough for 10^11
+    rows per group with buckets of 10^5 rows.
+    """
+    d, buckets = 1, 16
+    while d < MAX_DEPTH and n_rows / buckets > ROWS_PER_BUCKET:
+        d, buckets = d + 1, buckets * 16
+    return d
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -78,13 +92,17 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str],
 
 
 def hash_ranks(df: DataFrame, partition_cols: Sequence[str], hash_col: str,
-               key_col: str, depth: int = 4, rank_col: str = "rank",
+               key_col: str, depth: int | None = None, rank_col: str = "rank",
                broadcast_offsets: bool = True, return_totals: bool = False):
     """1-based rank inside each partition group in (hash, key) order.
 
     The bucket is the first ``depth`` hex characters of the digest, which
-    is monotone in the digest order: 16**depth buckets at most.
+    is monotone in the digest order: 16**depth buckets at most.  Without
+    ``depth`` it is sized from the row count (a cheap pass when ``df`` is a
+    scan or a written table).
     """
+    if depth is None:
+        depth = depth_for(df.count())
     one = "_one"
     res = running_totals(
         df.withColumn(one, F.lit(1).cast("bigint")), partition_cols,
