@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ferrite.operators.resample import with_class_weights
 from ferrite.operators.splits import fold_assignment
 from ferrite.schema import KEY, TARGET
+from ferrite.session import materialize
 
 # The reference's search spaces (the LR solver axis has no
 # Spark twin and is dropped).
@@ -46,6 +47,19 @@ MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest",
 
 SPARK_MAX_DEPTH = 30
 FEATURES = "features"
+PARALLELISM = 4
+
+
+def parallel_map(fn, items, parallelism: int = PARALLELISM) -> list:
+    """Run independent fits concurrently from driver threads (each fit is
+    its own set of distributed Spark jobs), like CrossValidator's
+    ``parallelism``; results keep the input order."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 
 def logistic(C: float = 1.0, max_iter: int = 1000, total_weight: float = 1.0,
@@ -161,6 +175,7 @@ def random_search(kind: str, train: DataFrame, space: dict, n_iter: int = 20, fo
     wcol = None
     if balanced and kind != "mlp":
         data, wcol = with_class_weights(data, label, "weight"), "weight"
+    data = materialize(data)  # read by every fold of every draw
     n = data.count()
     dim = input_dim(data)
     draws = sample_param_maps(space, n_iter, seed)
@@ -196,12 +211,13 @@ def fit(kind: str, train: DataFrame, params: dict | None = None, balanced: bool
 def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = None, k: int = 5,
                            seed: int = 42, balanced: bool = True, label: str = TARGET) -> DataFrame:
     """H8: out-of-fold scores (key, fold, y, score); weights recomputed per fold."""
-    data = fold_assignment(train, k, label, seed)
-    parts = []
-    for f in range(k):
+    data = materialize(fold_assignment(train, k, label, seed))
+
+    def one(f):
         model = fit(kind, data.where(F.col("fold") != f), params, balanced, label)
-        held = data.where(F.col("fold") == f)
-        parts.append(score(model, held, label, keep=(KEY, "fold")))
+        return score(model, data.where(F.col("fold") == f), label, keep=(KEY, "fold"))
+
+    parts = parallel_map(one, range(k))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -244,10 +260,12 @@ def search_on_validation(kind: str, fit_rows: DataFrame, val_rows: DataFrame, sp
     n = data.count()
     dim = input_dim(data)
     draws = sample_param_maps(space, n_iter, seed)
-    parts = []
-    for i, d in enumerate(draws):
-        model = make_estimator(kind, d, dim, n, wcol).fit(data)
-        parts.append(score(model, val_rows, label).withColumn("draw", F.lit(i)))
+
+    def one(i):
+        model = make_estimator(kind, draws[i], dim, n, wcol).fit(data)
+        return score(model, val_rows, label).withColumn("draw", F.lit(i))
+
+    parts = parallel_map(one, range(len(draws)))
     scores = parts[0]
     for p in parts[1:]:
         scores = scores.unionByName(p)

@@ -50,11 +50,12 @@ def rebalancing_comparison(prep: Prepared, seed: int = 42, with_smote: bool = Tr
     if with_smote:
         variants["smote"] = (materialize(R.smote(train.select(KEY, TARGET, "features"), TARGET,
                                                  seed=seed)), False)
-    scores = []
-    for name, (data, balanced) in variants.items():
+    def one(item):
+        name, (data, balanced) = item
         model = M.fit("lr", data, {"C": 1.0, "max_iter": 1000}, balanced=balanced)
-        scores.append(M.score(model, test).withColumn("technique", F.lit(name)))
-    return test_metrics(_union(scores), "technique")
+        return M.score(model, test).withColumn("technique", F.lit(name))
+
+    return test_metrics(_union(M.parallel_map(one, list(variants.items()))), "technique")
 
 
 def stability(prep: Prepared, kinds: Sequence[str], params: dict | None = None, k: int = 5,
@@ -73,12 +74,14 @@ def fit_all(prep: Prepared, kinds: Sequence[str], params: dict | None = None,
     """Fit each model on the training rows (or ``part``); return models and timings."""
     params = params or {}
     data = part if part is not None else prep.part("train")
-    models, times = {}, {}
-    for kind in kinds:
+
+    def one(kind):
         t0 = time.time()
-        models[kind] = M.fit(kind, data, params.get(kind), balanced=(kind != "mlp"))
-        times[kind] = time.time() - t0
-    return models, times
+        m = M.fit(kind, data, params.get(kind), balanced=(kind != "mlp"))
+        return m, time.time() - t0
+
+    res = M.parallel_map(one, kinds)
+    return ({k: r[0] for k, r in zip(kinds, res)}, {k: r[1] for k, r in zip(kinds, res)})
 
 
 def score_all(models: dict, rows: DataFrame) -> DataFrame:
@@ -107,8 +110,8 @@ def threshold_tuning(prep: Prepared, kinds: Sequence[str], params: dict | None =
     are then evaluated on test at 0.5 and at the chosen threshold.
     """
     train, test = prep.part("train"), prep.part("test")
-    fv = stratified_split(train.drop("split"), TARGET, 0.2, seed, split_col="part",
-                          names=("fit", "validation"))
+    fv = materialize(stratified_split(train.drop("split"), TARGET, 0.2, seed, split_col="part",
+                                      names=("fit", "validation")))
     fit_models, _ = fit_all(prep, kinds, params, fv.where(F.col("part") == "fit"))
     val_scores = score_all(fit_models, fv.where(F.col("part") == "validation"))
     best = E.best_threshold(E.threshold_sweep(val_scores, ["model"]), ["model"])
