@@ -199,13 +199,21 @@ def random_search(kind: str, train: DataFrame, space: dict, n_iter: int = 20, fo
 def fit(kind: str, train: DataFrame, params: dict | None = None, balanced: bool = True,
         label: str = TARGET):
     """Fit one model on prepared rows (``features`` + label)."""
-    params = params or {}
+    params = dict(params or {})
+    early = params.pop("validation_fraction", None)
     data, wcol = train, None
     if balanced and kind != "mlp":
         data, wcol = with_class_weights(train, label, "weight"), "weight"
     total = data.count() if kind == "lr" else 1.0
     dim = input_dim(data) if kind == "mlp" else 0
-    return make_estimator(kind, params, dim, total, wcol).fit(data)
+    est = make_estimator(kind, params, dim, total, wcol)
+    if early and kind == "gbt":
+        # a stratified held-out share stops boosting once the validation
+        # loss stops improving (Spark's validationTol).
+        from ferrite.operators.splits import validation_indicator
+        data = materialize(validation_indicator(data, float(early), label, col="is_validation"))
+        est.setValidationIndicatorCol("is_validation")
+    return est.fit(data)
 
 
 def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = None, k: int = 5,

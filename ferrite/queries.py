@@ -516,3 +516,13 @@ def q_smote(spark, sf):
     p = prepared(spark, sf)
     out = R.smote(p.part("train").select(KEY, TARGET, "features"), TARGET, seed=42)
     return out.select(KEY, TARGET, vector_to_array("features").alias("features"))
+
+
+@query
+def q_gbt_early_stopping(spark, sf):
+    """H4 + F9: boosting with a 10 % stratified validation share; test scores
+    and the number of trees kept."""
+    p = prepared(spark, sf)
+    params = {**REFERENCE_DEFAULTS["gbt"], "max_iter": 300, "validation_fraction": 0.1}
+    model = M.fit("gbt", p.part("train"), params)
+    return M.score(model, p.part("test")).withColumn("n_trees", F.lit(model.getNumTrees))

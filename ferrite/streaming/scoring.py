@@ -27,6 +27,15 @@ def score_readings(model: PipelineModel, rows: DataFrame, threshold: float) -> D
                     risk_tier(F.col("probability_failure"), threshold).alias("tier"))
 
 
+def score_scenario(spark: SparkSession, model: PipelineModel, threshold: float, **values) -> DataFrame:
+    """One scenario row (raw sensor values) to probability, decision and tier."""
+    from ferrite.schema import READINGS_SCHEMA
+    from ferrite.sources.files import scenario_row
+    values = {"reading_id": 0, "machine_id": 0, **values}
+    row = scenario_row(spark, READINGS_SCHEMA, **values)
+    return score_readings(model, row, threshold)
+
+
 def stream_scores(spark: SparkSession, source_dir: str, model_path: str, threshold: float,
                   out_path: str, checkpoint_path: str, file_glob: str = "events*.parquet",
                   max_files_per_trigger: int = 8) -> None:

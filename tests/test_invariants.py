@@ -137,3 +137,23 @@ def test_smote_rows_lie_between_parents_and_balance(spark):
     hi = [max(v[j] for v in mino) for j in range(3)]
     for r in out.where("reading_id < 0").select(vector_to_array("features").alias("x")).collect():
         assert all(lo[j] - 1e-12 <= r["x"][j] <= hi[j] + 1e-12 for j in range(3))
+
+
+def test_scenario_scoring_matches_batch(spark):
+    from ferrite.queries import _scoring_model
+    from ferrite.sources.files import load_pipeline
+    from ferrite.streaming.scoring import score_readings, score_scenario
+    model = load_pipeline(_scoring_model(spark, SF_SMALL))
+    r = readings(spark, SF_SMALL).where("reading_id = 5")
+    row = r.first().asDict()
+    one = score_scenario(spark, model, 0.5, **{k: v for k, v in row.items()
+                                              if k not in ("reading_id", "machine_id", "ts")}).first()
+    batch = score_readings(model, r, 0.5).first()
+    assert one["probability_failure"] == batch["probability_failure"]
+    assert one["tier"] == batch["tier"] and one["decision"] == batch["decision"]
+
+
+def test_gbt_early_stopping_keeps_fewer_trees(spark):
+    df = REGISTRY["gbt_early_stopping"](spark, SF_MED)
+    n_trees = df.first()["n_trees"]
+    assert 1 <= n_trees < 300
