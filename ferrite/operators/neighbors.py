@@ -1,74 +1,184 @@
 """Exact k nearest neighbours inside one table, without all pairs.
 
-Points are placed on a grid over the two coordinates with the largest
-spread.  A query point is compared only with the points of its own and
-the eight surrounding cells.  Any point outside that 3x3 block differs by
-more than one cell width ``w`` in a projected coordinate, hence is farther
-than ``w`` in full space; so a query whose k-th candidate lies within
-``w`` has its exact answer.  The remaining queries retry with ``2w``
-(only they are exploded again), until every query is answered.  Each
-round is materialised to the checkpoint folder, so lineage stays short
-and a lost executor only repeats one round.
+The points are cut into a k-d tree whose leaves hold at most
+``leaf_size`` points: each level splits every oversized node 16 ways at
+approximate quantiles of its widest coordinate (one ``percentile_approx``
+per node, map-side combined), so no task holds a whole node and the depth
+is about log16(n / leaf_size).  Every node keeps the tight bounding box of
+its points.
+
+The search is then exact without comparing all points of any group that
+grows with the data:
+
+1. inside its own leaf (at most ``leaf_size`` points) every point finds
+   its k-th nearest distance ``r``; a point in a leaf of k or fewer points
+   takes the farthest corner distance of its parent's box instead (the
+   parent holds more than ``leaf_size`` points);
+2. a descent from the root keeps, level by level, only the child boxes
+   within ``r`` of the point; the leaves reached contribute their points;
+3. the candidates within ``r`` are ranked by (distance, md5 of the
+   neighbour key, key).
+
+Every point within ``r`` lies in a box within ``r`` (box distances are
+computed with the same floating-point operations, and are never larger
+than the distance to a point inside), so the answer is exact whatever the
+quantiles were.  Identical vectors cannot be split apart: callers with
+repeated vectors use ``knn_points``, which collapses them first.  Each
+level is materialised to the checkpoint folder, so lineage stays short
+and a lost executor repeats one level.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrite.session import materialize
 
+LEAF_SIZE = 32
+FANOUT = 16  # one hex digit of the node path per level
+# Node tables with at most this many rows (two vectors each) are broadcast
+# to the frontier joins; larger levels are shuffle-joined on the node path.
+BROADCAST_NODES = 100_000
+
 
 def _sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def knn(points: DataFrame, key: str, vec: str, k: int = 5, max_rounds: int = 40) -> DataFrame:
+def _sum_sq(terms: Column) -> Column:
+    return F.aggregate(F.transform(terms, lambda t: t * t), F.lit(0.0), lambda s, v: s + v)
+
+
+def _box_min(q: Column, lo: Column, hi: Column) -> Column:
+    """Smallest distance from ``q`` to the box; never above the distance to a point inside."""
+    gap = F.transform(q, lambda x, i: F.greatest(F.lit(0.0), F.element_at(lo, i + 1) - x,
+                                                 x - F.element_at(hi, i + 1)))
+    return F.sqrt(_sum_sq(gap))
+
+
+def _box_max(q: Column, lo: Column, hi: Column) -> Column:
+    """Largest distance from ``q`` to any point of the box."""
+    far = F.transform(q, lambda x, i: F.greatest(F.abs(x - F.element_at(lo, i + 1)),
+                                                 F.abs(x - F.element_at(hi, i + 1))))
+    return F.sqrt(_sum_sq(far))
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_NODES else df
+
+
+def _parent(node: Column) -> Column:
+    return F.substring(node, F.lit(1), F.length(node) - 1)
+
+
+def _node_stats(points: DataFrame, dim: int) -> DataFrame:
+    x = [F.col("_v")[i] for i in range(dim)]
+    return points.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"),
+                                       F.array(*[F.min(c) for c in x]).alias("_lo"),
+                                       F.array(*[F.max(c) for c in x]).alias("_hi"))
+
+
+def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE, max_levels: int = 64):
+    """Cut ``(_k, _v)`` into leaves: (leaf points ``(_k, _v, _node)``, nodes, rows per depth).
+
+    ``_node`` is the hex path from the root (``''``); nodes carry ``_n``,
+    the box ``_lo``/``_hi`` and ``_leaf``.  A node is split when it holds
+    more than ``leaf_size`` points and they differ in some coordinate; the
+    split puts the smallest and the largest value of the widest coordinate
+    into different children, so every split makes progress.
+    """
+    active = materialize(points.select("_k", "_v", F.lit("").alias("_node")))
+    stats = materialize(_node_stats(active, dim))
+    qs = [i / FANOUT for i in range(1, FANOUT)]
+    spread = F.zip_with("_hi", "_lo", lambda h, lo: h - lo)
+    leaf_parts, node_parts, sizes = [], [], []
+    for level in range(max_levels + 1):
+        stats = stats.withColumn("_leaf", (F.col("_n") <= leaf_size) | (F.array_max(spread) <= 0)
+                                 | F.lit(level == max_levels))
+        node_parts.append(stats.select("_node", "_n", "_lo", "_hi", "_leaf"))
+        sizes.append(stats.count())
+        split = stats.where(~F.col("_leaf"))
+        if split.isEmpty():
+            leaf_parts.append(active)
+            break
+        split = split.select("_node", F.array_position(spread, F.array_max(spread)).cast("int").alias("_d"))
+        split = split.join(stats.select("_node", "_hi"), "_node").select(
+            "_node", "_d", F.element_at("_hi", F.col("_d")).alias("_mx"))
+        split = materialize(split)
+        leaf_parts.append(active.join(_sized(split.select("_node"), sizes[-1]), "_node", "left_anti"))
+        x = F.element_at("_v", F.col("_d"))
+        sub = active.join(_sized(split, sizes[-1]), "_node")
+        cuts = sub.groupBy("_node").agg(F.percentile_approx(x, qs, 10000).alias("_b"))
+        cuts = split.join(cuts, "_node")
+        sub = active.join(_sized(cuts, sizes[-1]), "_node")
+        # All cuts equal to the maximum: count cuts <= x, else cuts < x.
+        child = F.when(F.element_at("_b", 1) < F.col("_mx"), F.size(F.filter("_b", lambda b: b < x))) \
+                 .otherwise(F.size(F.filter("_b", lambda b: b <= x)))
+        active = materialize(sub.select("_k", "_v", F.concat("_node", F.hex(child)).alias("_node")))
+        stats = materialize(_node_stats(active, dim))
+    leaves = leaf_parts[0]
+    for p in leaf_parts[1:]:
+        leaves = leaves.unionByName(p)
+    nodes = node_parts[0]
+    for p in node_parts[1:]:
+        nodes = nodes.unionByName(p)
+    return materialize(leaves), materialize(nodes), sizes
+
+
+def knn(points: DataFrame, key: str, vec: str, k: int = 5, leaf_size: int = LEAF_SIZE,
+        max_levels: int = 64) -> DataFrame:
     """(key, nn_rank 1..k, nn_key, dist) for every point; ties by md5 of the neighbour key."""
     pts = points.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
-    dim = len(pts.first()["_v"])
-    stats = pts.select(*[F.col("_v")[i].alias(f"c{i}") for i in range(dim)]).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[(F.max(f"c{i}") - F.min(f"c{i}")).alias(f"r{i}") for i in range(dim)]).first()
-    n = stats["n"]
+    first = pts.first()
+    if first is None:
+        raise ValueError(f"need more than k={k} points, got 0")
+    dim = len(first["_v"])
+    leaf_size = max(leaf_size, 2 * (k + 1))
+    leaves, nodes, sizes = kd_tree(pts, dim, leaf_size, max_levels)
+    n = sizes and nodes.where(F.col("_node") == "").first()["_n"]
     if n <= k:
         raise ValueError(f"need more than k={k} points, got {n}")
-    spread = sorted(range(dim), key=lambda i: -(stats[f"r{i}"] or 0.0))[:2]
-    a, b = spread
-    extent = max(stats[f"r{a}"] or 0.0, stats[f"r{b}"] or 0.0, 1e-12)
-    w = extent / max(1.0, math.sqrt(n / 4.0))  # about 4 points per occupied cell when uniform
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                        for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    pending = pts
-    done = []
-    for _ in range(max_rounds):
-        cell = lambda v: (F.floor(v[a] / F.lit(w)), F.floor(v[b] / F.lit(w)))
-        ca, cb = cell(F.col("_v"))
-        data = pts.select(F.col("_k").alias("_nk"), F.col("_v").alias("_nv"),
-                          ca.alias("_ca"), cb.alias("_cb"))
-        qa, qb = cell(F.col("_v"))
-        q = pending.select("_k", "_v", F.explode(offsets).alias("_o")).select(
-            "_k", "_v", (qa + F.col("_o.dx")).alias("_ca"), (qb + F.col("_o.dy")).alias("_cb"))
-        pairs = q.join(data, ["_ca", "_cb"]).where(F.col("_k") != F.col("_nk"))
-        pairs = pairs.select("_k", "_nk", F.sqrt(_sq_dist(F.col("_v"), F.col("_nv"))).alias("dist"))
-        order = Window.partitionBy("_k").orderBy("dist", F.md5(F.col("_nk").cast("string")), "_nk")
-        top = pairs.withColumn("nn_rank", F.row_number().over(order)).where(F.col("nn_rank") <= k)
-        kth = top.groupBy("_k").agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_d"))
-        ok = kth.where((F.col("_c") == k) & (F.col("_d") <= F.lit(w))).select("_k")
-        answered = materialize(top.join(ok, "_k", "left_semi"))
-        done.append(answered)
-        pending = materialize(pending.join(answered.select("_k").distinct(), "_k", "left_anti"))
-        if pending.isEmpty():
+
+    # 1. Inside the own leaf (at most leaf_size points, or identical vectors).
+    mates = leaves.select(F.col("_k").alias("_nk"), F.col("_v").alias("_nv"), "_node")
+    own = leaves.join(mates, "_node").where(F.col("_k") != F.col("_nk")) \
+                .select("_k", "_nk", F.sqrt(_sq_dist(F.col("_v"), F.col("_nv"))).alias("dist"))
+    own = materialize(own)
+    by_dist = Window.partitionBy("_k").orderBy("dist")  # at most leaf_size - 1 rows per point
+    radius = own.withColumn("_i", F.row_number().over(by_dist)).where(F.col("_i") == k) \
+                .select("_k", F.col("dist").alias("_r"))
+    leaf_n = nodes.where(F.col("_leaf")).select("_node", "_n")
+    few = leaves.join(leaf_n.where(F.col("_n") <= k), "_node")  # leaves of k or fewer points
+    few = few.join(nodes.select(F.col("_node").alias("_p"), "_lo", "_hi"),
+                   _parent(F.col("_node")) == F.col("_p")) \
+             .select("_k", _box_max(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_r"))
+    q = materialize(leaves.join(radius.unionByName(few), "_k"))
+
+    # 2. Descent: keep the child boxes within r of the point.
+    frontier = q.select("_k", "_v", "_r", F.col("_node").alias("_own"), F.lit("").alias("_at"))
+    reached = []
+    for depth in range(1, len(sizes)):
+        ch = nodes.where(F.length("_node") == depth).select(
+            _parent(F.col("_node")).alias("_at"), F.col("_node").alias("_child"), "_lo", "_hi", "_leaf")
+        step = frontier.join(_sized(ch, sizes[depth]), "_at") \
+                       .where(_box_min(F.col("_v"), F.col("_lo"), F.col("_hi")) <= F.col("_r"))
+        step = materialize(step.select("_k", "_v", "_r", "_own", F.col("_child").alias("_at"), "_leaf"))
+        reached.append(step.where(F.col("_leaf") & (F.col("_at") != F.col("_own")))
+                           .select("_k", "_v", "_r", F.col("_at").alias("_node")))
+        frontier = step.where(~F.col("_leaf")).drop("_leaf")
+        if frontier.isEmpty():
             break
-        w *= 2.0
-    else:
-        raise RuntimeError("k-NN did not converge")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(F.col("_k").alias(key), "nn_rank", F.col("_nk").alias("nn_key"), "dist")
+
+    # 3. Candidates within r from the other leaves reached, then the k best.
+    cand = own
+    for part in reached:
+        far = part.join(mates, "_node").select("_k", "_nk", "_r",
+                                               F.sqrt(_sq_dist(F.col("_v"), F.col("_nv"))).alias("dist"))
+        cand = cand.unionByName(far.where(F.col("dist") <= F.col("_r")).drop("_r"))
+    order = Window.partitionBy("_k").orderBy("dist", F.md5(F.col("_nk").cast("string")), "_nk")
+    top = cand.withColumn("nn_rank", F.row_number().over(order)).where(F.col("nn_rank") <= k)
+    return top.select(F.col("_k").alias(key), "nn_rank", F.col("_nk").alias("nn_key"), "dist")
 
 
 def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42) -> DataFrame:

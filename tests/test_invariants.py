@@ -124,6 +124,31 @@ def test_knn_matches_brute_force(spark, fn):
         assert np.allclose(np.sort(d)[:5], mine, atol=1e-9)
 
 
+def test_knn_tree_leaves_bounded_when_projections_coincide(spark):
+    """A third of the points share their two widest coordinates: the tree
+    still cuts them into leaves of at most leaf_size, and k-NN stays exact."""
+    import numpy as np
+
+    from pyspark.sql import functions as F
+
+    from ferrite.operators import neighbors
+    rng = np.random.default_rng(5)
+    pts = rng.normal(size=(240, 3)) * [10.0, 10.0, 1.0]
+    pts[:80, :2] = 0.0
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(pts)], "id LONG, x ARRAY<DOUBLE>")
+    leaves, nodes, _ = neighbors.kd_tree(df.select(F.col("id").alias("_k"), F.col("x").alias("_v")), 3, 12)
+    assert leaves.count() == 240
+    assert nodes.where("_leaf").agg(F.max("_n")).first()[0] <= 12
+    rows = neighbors.knn(df, "id", "x", 5, leaf_size=12).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["dist"]))
+    for i in range(240):
+        d = np.sqrt(((pts - pts[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert np.allclose(np.sort(d)[:5], [x for _, x in sorted(got[i])], atol=1e-9)
+
+
 def test_smote_rows_lie_between_parents_and_balance(spark):
     from pyspark.ml.functions import array_to_vector, vector_to_array
     rows = [(i, 1 if i % 4 == 0 else 0, [float(i % 7), float(i % 5), float(i % 3)]) for i in range(200)]
