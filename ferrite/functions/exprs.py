@@ -64,9 +64,9 @@ def attach_one_row(df, one_row):
     """Append the columns of a one-row table (a global aggregate such as
     class totals or a baseline metric) to every row of ``df``.
 
-    ``one_row`` must be the result of a global aggregate, i.e. exactly one
-    row; it is broadcast, so ``df`` streams through without a shuffle.
-    This is the only product join in the library.
+    Each column becomes a scalar subquery: Spark computes the aggregate
+    once (MergeScalarSubqueries folds the columns into one subquery) and
+    inlines the values, so ``df`` streams through without a join or a
+    shuffle.  A ``one_row`` with more than one row fails the query.
     """
-    from pyspark.sql import functions as F
-    return df.crossJoin(F.broadcast(one_row))
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])

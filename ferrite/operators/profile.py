@@ -124,24 +124,29 @@ def group_profile(df: DataFrame, by: str, sensors: Sequence[str], label: str = T
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair, pairwise deletion of nulls.
 
-    One aggregate: one ``corr`` per unordered pair plus one ``stddev_pop``
-    per column for the diagonal (1 where the column varies).  Long form
-    (col_a, col_b, r).
+    Each row is spread into one (pair, a, b) row per unordered pair and
+    the diagonal, then grouped by pair: ``corr`` skips a row when either
+    side is null, ``stddev_pop`` of the diagonal gives 1 where the column
+    varies.  The partial aggregate runs before the shuffle (one row per
+    pair and task) and stays inside whole-stage codegen, unlike one wide
+    ``agg`` of a ``corr`` per pair.  Long form (col_a, col_b, r).
     """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     d = lambda c: F.col(c).cast("double")
-    wide = df.agg(*[F.corr(d(a), d(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
-                  *[F.stddev_pop(d(c)).alias(f"s{i}") for i, c in enumerate(cols)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            entries.append(F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"),
-                                    F.col(f"p{i}").alias("r")))
-    for i, c in enumerate(cols):
-        entries.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"),
-                                F.when(F.col(f"s{i}") > 0, F.lit(1.0)).alias("r")))
-    out = wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    spread = F.array(*[F.struct(F.lit(i).alias("pair"), d(a).alias("a"), d(b).alias("b"))
+                       for i, (a, b) in enumerate(pairs)])
+    g = df.select(F.inline(spread)).groupBy("pair").agg(F.corr("a", "b").alias("r"),
+                                                        F.stddev_pop("a").alias("s"))
+    first = F.array(*[F.lit(a) for a, _ in pairs])
+    second = F.array(*[F.lit(b) for _, b in pairs])
+    g = g.select(F.element_at(first, F.col("pair") + 1).alias("a"),
+                 F.element_at(second, F.col("pair") + 1).alias("b"), "r", "s")
+    r = F.when(F.col("a") == F.col("b"), F.when(F.col("s") > 0, F.lit(1.0))).otherwise(F.col("r"))
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")))) \
+            .otherwise(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")),
+                               F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))))
+    out = g.select(r.alias("r"), F.explode(both).alias("e")).select("e.*", "r")
     return out.select("col_a", "col_b", F.round("r", 6).alias("r"))
 
 
