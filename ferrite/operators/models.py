@@ -85,7 +85,11 @@ def random_forest(n_estimators: int = 100, max_depth: int | None = None, min_sam
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=int(n_estimators),
                                 maxDepth=SPARK_MAX_DEPTH if max_depth is None else int(max_depth),
                                 minInstancesPerNode=int(min_samples_leaf), featureSubsetStrategy="sqrt",
-                                seed=seed, maxBins=64)
+                                seed=seed, maxBins=64,
+                                # Deep trees: split more nodes per pass over the data, and keep
+                                # node ids with the rows (checkpointed to the shared folder)
+                                # instead of shipping the growing trees to every task.
+                                maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
