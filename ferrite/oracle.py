@@ -582,6 +582,15 @@ _pc2, _pb2 = prepared_sql_body()
 register("prepared_roundtrip", with_readings(
     f"SELECT * FROM ({_pb2}) x WHERE split = 'test'", extra_ctes=split_ctes() + ",\n" + _pc2))
 
+register("raw_csv_source", with_readings(
+    "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, "
+    + ", ".join(c for c in ALL_COLS if c not in ("reading_id", "ts")) + " FROM readings"))
+
+register("result_csv_roundtrip", with_readings(
+    "SELECT " + ", ".join(f"CAST(round(CAST({c} AS DECIMAL(18, 6)), 4) AS DOUBLE) AS {c}"
+                          for c in ("threshold", "precision", "recall", "f1"))
+    + f", fn, fp FROM ({_sweep_sql(SCORED_AS)}) s", scored=True))
+
 _names = (["num__" + c for c in NUMERIC_FEATURES]
           + [f"cat__{c}_{lv}" for c in CATEGORICAL_FEATURES for lv in sorted(_CD[c])])
 register("importance_labels", with_readings(

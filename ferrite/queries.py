@@ -481,6 +481,32 @@ def q_prepared_roundtrip(spark, sf):
     return out.select(KEY, "split", *[F.round(F.col(n), 6).alias(n) for n in p.feature_names])
 
 
+@query
+def q_raw_csv_source(spark, sf):
+    """A1-A3: the readings written as the raw CSV (semicolon separated, a
+    ``timestamp`` text column, empty cells for nulls) to the shared work
+    folder, located as the first existing of several candidate paths and
+    scanned with the fixed schema (NaN to NULL)."""
+    from ferrite.schema import RAW_CSV_SCHEMA
+    base = work_dir(spark, "raw-csv-" + sf.strip("/").replace("/", "_"))
+    raw = readings(spark, sf).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                                     *RAW_CSV_SCHEMA.fieldNames()[1:])
+    raw.write.mode("overwrite").option("header", True).option("sep", ";").csv(f"{base}/readings")
+    path = A.resolve_path(spark, [f"{base}/absent", f"{base}/readings"])
+    return A.read_readings_csv(spark, path, sep=";")
+
+
+@query
+def q_result_csv_roundtrip(spark, sf):
+    """A result table (the threshold sweep) written as CSV rounded to
+    4 decimals, read back trimming padded cells and inferring types."""
+    base = work_dir(spark, "results-" + sf.strip("/").replace("/", "_"))
+    A.write_result(E.threshold_sweep(_scored(spark, sf)), f"{base}/threshold_sweep", digits=4)
+    back = A.read_result_csv(spark, f"{base}/threshold_sweep")
+    return back.select(*[F.col(c).cast("double").alias(c) for c in ("threshold", "precision", "recall", "f1")],
+                       *[F.col(c).cast("bigint").alias(c) for c in ("fn", "fp")])
+
+
 @query
 def q_importance_labels(spark, sf):
     _, model, names = fitted_preparation(spark, sf)
