@@ -33,10 +33,17 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """Column names and Spark SQL types (metadata only, no scan)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "position INT, column STRING, type STRING")
+    """Position, name, Spark SQL type and non-null count per column.
+
+    Types come from the schema; the counts are one aggregate (one scan),
+    spread to one row per column.
+    """
+    fields = list(df.schema.fields)
+    wide = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+    entries = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                        F.lit(f.dataType.simpleString()).alias("data_type"),
+                        F.col(f"c{i}").alias("n_non_null")) for i, f in enumerate(fields)]
+    return wide.select(F.inline(F.array(*entries)))
 
 
 def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -128,6 +128,19 @@ register("null_profile", with_readings(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, count(*) AS n FROM readings"
         for c in ALL_COLS) + ") t"))
 
+register("shape", with_readings(
+    f"SELECT count(*) AS n_rows, CAST({len(ALL_COLS)} AS BIGINT) AS n_columns FROM readings"))
+
+# Spark SQL type names of the readings columns, in order.
+READINGS_TYPES = ["bigint", "timestamp_ntz", "bigint", "string", "double", "double", "double",
+                  "double", "double", "string", "double", "double", "double", "int", "string",
+                  "bigint"]
+register("column_types", with_readings(
+    "SELECT CAST(position AS INTEGER) AS position, column_name, data_type, n_non_null FROM ("
+    + "\n UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, count({c}) AS n_non_null "
+        "FROM readings" for i, (c, t) in enumerate(zip(ALL_COLS, READINGS_TYPES))) + ") t"))
+
 register("duplicate_rows", with_readings(
     "SELECT CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_distinct, "
     "CAST(sum(c - 1) AS BIGINT) AS n_duplicates FROM ("

@@ -36,6 +36,16 @@ def q_null_profile(spark, sf):
     return P.null_profile(readings(spark, sf), ALL_COLS)
 
 
+@query
+def q_shape(spark, sf):
+    return P.shape(readings(spark, sf))
+
+
+@query
+def q_column_types(spark, sf):
+    return P.column_types(readings(spark, sf))
+
+
 @query
 def q_duplicate_rows(spark, sf):
     return P.duplicate_rows(readings(spark, sf), FEATURE_COLS + [TARGET])
