@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,36 +40,44 @@ def build_session(master: str | None = None, app_name: str = "ferrite",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, read from the session.
 
-    On a cluster the setting names a shared (distributed) folder and is
-    used as is.  Only when it is unset (local tests) a private folder is
-    created and registered.
+    A private folder is made only where the setting is unset and every task
+    runs in this process (master ``local`` or ``local[...]``, as in tests).
+    On any other master the setting must name a folder all executors share.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ferrite-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A sub-folder that no earlier call returned: rerunning a query never
+    overwrites a table that another lazy frame still reads."""
+    return work_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage: write ``df`` as Parquet to the shared folder and read it back.
 
     Used before a table feeds several passes (Estimator fits, tuning), so
     the passes neither recompute the lineage nor depend on executor-local
     cache blocks: a lost executor costs a re-read, not a recomputation.
+    Parquet keeps column pruning and filter pushdown for what follows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

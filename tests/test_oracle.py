@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ferrite.oracle import SQL
+from ferrite.queries import REGISTRY
 from tests.conftest import SF_SMALL
 
 TABLES = ["events"]
@@ -38,12 +40,12 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = REGISTRY[name](spark, SF_SMALL)
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
-    rel = duck.sql(entry.oracle_sql()[name])
+    rel = duck.sql(SQL[name])
     assert sorted(rel.columns) == cols
     idx = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key)
@@ -63,6 +65,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(SQL) <= set(REGISTRY) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
