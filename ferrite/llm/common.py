@@ -7,9 +7,12 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ferrite.session import materialize
+
 # Arrow batches that feed Python are cut by rows and by bytes, so that a run
 # of very long texts cannot fill a Python worker.
 BATCH_ROWS = 1000
@@ -37,12 +40,11 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
     """Every row of ``df`` with ``fields`` appended, batch by batch in Python.
 
     ``start()`` runs once in each task and returns ``f(*columns)``: given the
-    Python lists of the ``inputs`` columns of a batch it returns one list per
+    Arrow arrays of the ``inputs`` columns of a batch it returns one list per
     field.  An input column named like a field (in any case) is replaced by
     it.  No rows are dropped or reordered, and there is no shuffle.
     """
-    spark = df.sparkSession
-    small_batches(spark)
+    small_batches(df.sparkSession)
     taken = {f.name.lower() for f in fields}
     keep = [c for c in df.columns if c.lower() not in taken]
     need = keep + [c for c in inputs if c not in keep]
@@ -52,7 +54,7 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
         f = start()
         for batch in batches:
             columns = dict(zip(need, batch.columns))
-            made = f(*[columns[c].to_pylist() for c in inputs])
+            made = f(*[columns[c] for c in inputs])
             yield pa.RecordBatch.from_arrays(
                 [columns[c] for c in keep] + [pa.array(v, t) for v, t in zip(made, arrow_types)],
                 names=[*keep, *[x.name for x in fields]])
@@ -61,6 +63,61 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
     return df.select(*[df[f"`{c}`"] for c in need]).mapInArrow(run, schema)
 
 
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """The values of a string column as UTF-8 bytes."""
+    return column.cast(pa.binary()).to_pylist()
+
+
+# ---- groups of bounded size, links and components --------------------------
+
+def bounded_shards(members: DataFrame, key: str, order: str, limit: int) -> DataFrame:
+    """``members`` of keys with two rows or more, with ``_i``, ``_k`` and ``_slice``.
+
+    A key with more than ``limit`` rows is cut into slices by a hash of
+    ``order``, and a member of slice s goes to one shard (_i, _k) for each
+    other slice: any two members of a key meet in a shard, and a shard holds
+    about twice ``limit`` rows at most.  Other keys are one shard (0, 0).
+    """
+    sizes = members.groupBy(key).agg(F.count("*").alias("_size")).filter("_size > 1")
+    g = F.ceil(F.col("_size") / limit)
+    cut = members.join(sizes, key).withColumn("_g", g.cast("int")).withColumn(
+        "_slice", F.pmod(F.xxhash64(F.col(order), F.lit(1)), F.col("_g")).cast("int"))
+    return cut.withColumn("_with", F.explode(F.expr("sequence(0, _g - 1)"))).withColumns({
+        "_i": F.least("_slice", "_with"), "_k": F.greatest("_slice", "_with")}).drop("_size", "_g", "_with")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for each node of ``links`` (a, b: long): the least node reachable.
+
+    Large-star and small-star rounds over the table of links: each round joins
+    links to the least neighbour of their node, so the number of rounds grows
+    with the logarithm of the longest chain.  Each round is written to the
+    shared folder.  Nothing but a count and a checksum comes to the driver.
+    """
+    def tidy(df: DataFrame) -> DataFrame:
+        return df.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+    def state(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first())
+
+    now = materialize(tidy(links), "links")
+    mark = state(now)
+    while mark[0]:
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = tidy(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = materialize(large, "links")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
+            least.select("a", F.col("m").alias("b")))
+        now = materialize(tidy(small), "links")
+        before, mark = mark, state(now)
+        if mark == before:
+            break
+    stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
 # ---- word hashes over bytes ------------------------------------------------
 
 _P = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.sharding import op1_shuffle_shards
+from ferrite.llm.simhash import op10_simhash_bktree
 
 REGISTRY = {
     "op1_shuffle_shards": op1_shuffle_shards,
+    "op3_decontaminate": op3_decontaminate,
+    "op10_simhash_bktree": op10_simhash_bktree,
 }
 
 #: Shuffles, trained models, tokenizers and graph reachability have no SQL twin;
