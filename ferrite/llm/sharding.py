@@ -95,7 +95,7 @@ def communication_matrix(sizes: DataFrame, capacities: list[int], levels: int, s
     Row sums are the block sizes and column sums the capacities, exactly.
     """
     spark = sizes.sparkSession
-    nodes = spark.range(1).select(F.lit(0).cast("long").alias("node"),
+    nodes = spark.range(1).select(F.col("id").alias("node"),
                                   F.array(*[F.lit(c).cast("long") for c in capacities]).alias("cap"))
     for level in range(1, levels + 1):
         at = F.shiftright("block", levels - level)
