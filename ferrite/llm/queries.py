@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ferrite.llm.bpe import op5_bpe_chunks
 from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.sharding import op1_shuffle_shards
 from ferrite.llm.simhash import op10_simhash_bktree
@@ -9,6 +10,7 @@ from ferrite.llm.simhash import op10_simhash_bktree
 REGISTRY = {
     "op1_shuffle_shards": op1_shuffle_shards,
     "op3_decontaminate": op3_decontaminate,
+    "op5_bpe_chunks": op5_bpe_chunks,
     "op10_simhash_bktree": op10_simhash_bktree,
 }
 
