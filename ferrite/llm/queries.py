@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ferrite.llm.bpe import op5_bpe_chunks
 from ferrite.llm.decontamination import op3_decontaminate
+from ferrite.llm.language import op6_language_codes
+from ferrite.llm.pii import op7_pii_deobfuscated
 from ferrite.llm.sharding import op1_shuffle_shards
 from ferrite.llm.simhash import op10_simhash_bktree
 
@@ -11,6 +13,8 @@ REGISTRY = {
     "op1_shuffle_shards": op1_shuffle_shards,
     "op3_decontaminate": op3_decontaminate,
     "op5_bpe_chunks": op5_bpe_chunks,
+    "op6_language_codes": op6_language_codes,
+    "op7_pii_deobfuscated": op7_pii_deobfuscated,
     "op10_simhash_bktree": op10_simhash_bktree,
 }
 
