@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ferrite.llm.bpe import op5_bpe_chunks
 from ferrite.llm.decontamination import op3_decontaminate
+from ferrite.llm.embeddings import op4_pivot_permutations
+from ferrite.llm.html import op9_html_density
 from ferrite.llm.language import op6_language_codes
 from ferrite.llm.pii import op7_pii_deobfuscated
 from ferrite.llm.sharding import op1_shuffle_shards
@@ -12,9 +14,11 @@ from ferrite.llm.simhash import op10_simhash_bktree
 REGISTRY = {
     "op1_shuffle_shards": op1_shuffle_shards,
     "op3_decontaminate": op3_decontaminate,
+    "op4_pivot_permutations": op4_pivot_permutations,
     "op5_bpe_chunks": op5_bpe_chunks,
     "op6_language_codes": op6_language_codes,
     "op7_pii_deobfuscated": op7_pii_deobfuscated,
+    "op9_html_density": op9_html_density,
     "op10_simhash_bktree": op10_simhash_bktree,
 }
 
