@@ -7,12 +7,14 @@ from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.embeddings import op4_pivot_permutations
 from ferrite.llm.html import op9_html_density
 from ferrite.llm.language import op6_language_codes
+from ferrite.llm.lines import op2_line_set_join
 from ferrite.llm.pii import op7_pii_deobfuscated
 from ferrite.llm.sharding import op1_shuffle_shards
 from ferrite.llm.simhash import op10_simhash_bktree
 
 REGISTRY = {
     "op1_shuffle_shards": op1_shuffle_shards,
+    "op2_line_set_join": op2_line_set_join,
     "op3_decontaminate": op3_decontaminate,
     "op4_pivot_permutations": op4_pivot_permutations,
     "op5_bpe_chunks": op5_bpe_chunks,
