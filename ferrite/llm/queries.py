@@ -7,6 +7,7 @@ from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.embeddings import op4_pivot_permutations
 from ferrite.llm.html import op9_html_density
 from ferrite.llm.language import op6_language_codes
+from ferrite.llm.licenses import op8_license_windows
 from ferrite.llm.lines import op2_line_set_join
 from ferrite.llm.pii import op7_pii_deobfuscated
 from ferrite.llm.sharding import op1_shuffle_shards
@@ -20,6 +21,7 @@ REGISTRY = {
     "op5_bpe_chunks": op5_bpe_chunks,
     "op6_language_codes": op6_language_codes,
     "op7_pii_deobfuscated": op7_pii_deobfuscated,
+    "op8_license_windows": op8_license_windows,
     "op9_html_density": op9_html_density,
     "op10_simhash_bktree": op10_simhash_bktree,
 }
