@@ -8,66 +8,46 @@ is about log16(n / leaf_size).  Every node keeps the tight bounding box of
 its points.
 
 The search is then exact without comparing all points of any group that
-grows with the data:
-
-1. inside its own leaf (at most ``leaf_size`` points) every point finds
-   its k-th nearest distance ``r``; a point in a leaf of k or fewer points
-   takes the farthest corner distance of its parent's box instead (the
-   parent holds more than ``leaf_size`` points);
-2. a descent from the root keeps, level by level, only the child boxes
-   within ``r`` of the point; the leaves reached contribute their points;
-3. the candidates within ``r`` are ranked by (distance, md5 of the
-   neighbour key, key).
+grows with the data; its unit is a leaf, a block of points of bounded size:
+
+1. inside its own leaf every point finds its k-th nearest distance ``r``; a
+   point in a leaf of k or fewer points takes the farthest corner distance
+   of its parent's box instead (the parent holds more points);
+2. a descent from the root keeps, for each leaf, only the child boxes
+   within the largest ``r`` of its points: pairs of leaves;
+3. for a pair of leaves the points of the first within their own ``r`` of
+   the second's box meet its points, in numpy; what lies within ``r`` and is
+   among the k nearest of the pair (ties included) is a candidate;
+4. candidates are ranked by (distance, md5 of the neighbour key, key).
 
 Every point within ``r`` lies in a box within ``r`` (box distances are
 computed with the same floating-point operations, and are never larger
 than the distance to a point inside), so the answer is exact whatever the
 quantiles were.  Identical vectors cannot be split apart: callers with
 repeated vectors use ``knn_points``, which collapses them first.  Each
-level is materialised to the checkpoint folder, so lineage stays short
-and a lost executor repeats one level.
+level is written to the shared folder, so lineage stays short and a lost
+executor repeats one level.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrite.session import materialize
 
-LEAF_SIZE = 32
+LEAF_SIZE = 1024
 FANOUT = 16  # one hex digit of the node path per level
-# Node tables with at most this many rows (two vectors each) are broadcast
-# to the frontier joins; larger levels are shuffle-joined on the node path.
-BROADCAST_NODES = 100_000
-
-
-def _sq_dist(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
 def _sum_sq(terms: Column) -> Column:
     return F.aggregate(F.transform(terms, lambda t: t * t), F.lit(0.0), lambda s, v: s + v)
 
 
-def _box_min(q: Column, lo: Column, hi: Column) -> Column:
-    """Smallest distance from ``q`` to the box; never above the distance to a point inside."""
-    gap = F.transform(q, lambda x, i: F.greatest(F.lit(0.0), F.element_at(lo, i + 1) - x,
-                                                 x - F.element_at(hi, i + 1)))
-    return F.sqrt(_sum_sq(gap))
-
-
-def _box_max(q: Column, lo: Column, hi: Column) -> Column:
-    """Largest distance from ``q`` to any point of the box."""
-    far = F.transform(q, lambda x, i: F.greatest(F.abs(x - F.element_at(lo, i + 1)),
-                                                 F.abs(x - F.element_at(hi, i + 1))))
-    return F.sqrt(_sum_sq(far))
-
-
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_NODES else df
-
-
 def _parent(node: Column) -> Column:
     return F.substring(node, F.lit(1), F.length(node) - 1)
 
@@ -79,23 +59,23 @@ def _node_stats(points: DataFrame, dim: int) -> DataFrame:
                                        F.array(*[F.max(c) for c in x]).alias("_hi"))
 
 
-def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE, max_levels: int = 64):
+def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE):
     """Cut ``(_k, _v)`` into leaves: (leaf points ``(_k, _v, _node)``, nodes, rows per depth).
 
     ``_node`` is the hex path from the root (``''``); nodes carry ``_n``,
     the box ``_lo``/``_hi`` and ``_leaf``.  A node is split when it holds
     more than ``leaf_size`` points and they differ in some coordinate; the
     split puts the smallest and the largest value of the widest coordinate
-    into different children, so every split makes progress.
+    into different children, so every node is smaller than its parent and the
+    splitting ends.
     """
     active = materialize(points.select("_k", "_v", F.lit("").alias("_node")))
     stats = materialize(_node_stats(active, dim))
     qs = [i / FANOUT for i in range(1, FANOUT)]
     spread = F.zip_with("_hi", "_lo", lambda h, lo: h - lo)
     leaf_parts, node_parts, sizes = [], [], []
-    for level in range(max_levels + 1):
-        stats = stats.withColumn("_leaf", (F.col("_n") <= leaf_size) | (F.array_max(spread) <= 0)
-                                 | F.lit(level == max_levels))
+    while True:
+        stats = stats.withColumn("_leaf", (F.col("_n") <= leaf_size) | (F.array_max(spread) <= 0))
         node_parts.append(stats.select("_node", "_n", "_lo", "_hi", "_leaf"))
         sizes.append(stats.count())
         split = stats.where(~F.col("_leaf"))
@@ -106,12 +86,12 @@ def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE, max_levels:
         split = split.join(stats.select("_node", "_hi"), "_node").select(
             "_node", "_d", F.element_at("_hi", F.col("_d")).alias("_mx"))
         split = materialize(split)
-        leaf_parts.append(active.join(_sized(split.select("_node"), sizes[-1]), "_node", "left_anti"))
+        leaf_parts.append(active.join(split.select("_node"), "_node", "left_anti"))
         x = F.element_at("_v", F.col("_d"))
-        sub = active.join(_sized(split, sizes[-1]), "_node")
+        sub = active.join(split, "_node")
         cuts = sub.groupBy("_node").agg(F.percentile_approx(x, qs, 10000).alias("_b"))
         cuts = split.join(cuts, "_node")
-        sub = active.join(_sized(cuts, sizes[-1]), "_node")
+        sub = active.join(cuts, "_node")
         # All cuts equal to the maximum: count cuts <= x, else cuts < x.
         child = F.when(F.element_at("_b", 1) < F.col("_mx"), F.size(F.filter("_b", lambda b: b < x))) \
                  .otherwise(F.size(F.filter("_b", lambda b: b <= x)))
@@ -126,56 +106,109 @@ def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE, max_levels:
     return materialize(leaves), materialize(nodes), sizes
 
 
-def knn(points: DataFrame, key: str, vec: str, k: int = 5, leaf_size: int = LEAF_SIZE,
-        max_levels: int = 64) -> DataFrame:
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances, the squares summed coordinate by coordinate."""
+    total = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        total += (a[:, j, None] - b[None, :, j]) ** 2
+    return np.sqrt(total)
+
+
+def _to_box(a: np.ndarray, lo: np.ndarray, hi: np.ndarray, farthest: bool = False) -> np.ndarray:
+    """Distance from each point to the box; never above that to a point inside (``farthest``: never below)."""
+    total = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        x = a[:, j]
+        gap = np.maximum(abs(x - lo[j]), abs(x - hi[j])) if farthest else np.maximum(0.0, np.maximum(lo[j] - x, x - hi[j]))
+        total += gap ** 2
+    return np.sqrt(total)
+
+
+def _own_radii(k: int):
+    """Per leaf: each point's k-th distance inside it, and the largest of them."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            radii = []
+            for vectors, lo, hi in zip(batch["_vs"], batch["_plo"], batch["_phi"]):
+                x = np.stack(vectors)
+                if len(x) > k:
+                    d = _distances(x, x)
+                    np.fill_diagonal(d, np.inf)
+                    radii.append(np.partition(d, k - 1, axis=1)[:, k - 1])
+                else:
+                    radii.append(_to_box(x, lo, hi, farthest=True))
+            yield pd.DataFrame({"_node": batch["_node"], "_rs": [r.tolist() for r in radii], "_r": [float(r.max()) for r in radii]})
+    return run
+
+
+def _pair_candidates(k: int):
+    """Per pair of leaves: the points of the second that may be among the k nearest of one of the first."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for keys, vectors, radii, own, other, other_keys, other_vectors, lo, hi in zip(
+                    batch["_ks"], batch["_vs"], batch["_rs"], batch["_own"], batch["_node"], batch["_oks"], batch["_ovs"], batch["_lo"], batch["_hi"]):
+                x, r = np.stack(vectors), np.asarray(radii)
+                near = np.flatnonzero(_to_box(x, lo, hi) <= r)
+                if not len(near):
+                    continue
+                d = _distances(x[near], np.stack(other_vectors))
+                if own == other:
+                    d[np.arange(len(near)), near] = np.inf
+                kept = d <= r[near, None]
+                if d.shape[1] > k:
+                    kept &= d <= np.partition(d, k - 1, axis=1)[:, k - 1, None]
+                i, j = np.nonzero(kept)
+                yield pd.DataFrame({"_k": np.asarray(keys, object)[near[i]], "_nk": np.asarray(other_keys, object)[j], "dist": d[i, j]})
+    return run
+
+
+def knn(points: DataFrame, key: str, vec: str, k: int = 5, leaf_size: int = LEAF_SIZE) -> DataFrame:
     """(key, nn_rank 1..k, nn_key, dist) for every point; ties by md5 of the neighbour key."""
     pts = points.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
     first = pts.first()
     if first is None:
         raise ValueError(f"need more than k={k} points, got 0")
+    spark = points.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))  # a row is a leaf, or a pair of leaves
     dim = len(first["_v"])
-    leaf_size = max(leaf_size, 2 * (k + 1))
-    leaves, nodes, sizes = kd_tree(pts, dim, leaf_size, max_levels)
-    n = sizes and nodes.where(F.col("_node") == "").first()["_n"]
+    leaves, nodes, sizes = kd_tree(pts, dim, max(leaf_size, 2 * (k + 1)))
+    n = nodes.where(F.col("_node") == "").first()["_n"]
     if n <= k:
         raise ValueError(f"need more than k={k} points, got {n}")
 
-    # 1. Inside the own leaf (at most leaf_size points, or identical vectors).
-    mates = leaves.select(F.col("_k").alias("_nk"), F.col("_v").alias("_nv"), "_node")
-    own = leaves.join(mates, "_node").where(F.col("_k") != F.col("_nk")) \
-                .select("_k", "_nk", F.sqrt(_sq_dist(F.col("_v"), F.col("_nv"))).alias("dist"))
-    own = materialize(own)
-    by_dist = Window.partitionBy("_k").orderBy("dist")  # at most leaf_size - 1 rows per point
-    radius = own.withColumn("_i", F.row_number().over(by_dist)).where(F.col("_i") == k) \
-                .select("_k", F.col("dist").alias("_r"))
-    leaf_n = nodes.where(F.col("_leaf")).select("_node", "_n")
-    few = leaves.join(leaf_n.where(F.col("_n") <= k), "_node")  # leaves of k or fewer points
-    few = few.join(nodes.select(F.col("_node").alias("_p"), "_lo", "_hi"),
-                   _parent(F.col("_node")) == F.col("_p")) \
-             .select("_k", _box_max(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_r"))
-    q = materialize(leaves.join(radius.unionByName(few), "_k"))
-
-    # 2. Descent: keep the child boxes within r of the point.
-    frontier = q.select("_k", "_v", "_r", F.col("_node").alias("_own"), F.lit("").alias("_at"))
-    reached = []
+    # 1. One row for each leaf (at most leaf_size points, or identical vectors).
+    key_type = pts.schema["_k"].dataType.simpleString()
+    parents = nodes.select(F.col("_node").alias("_p"), F.col("_lo").alias("_plo"), F.col("_hi").alias("_phi"))
+    blocks = materialize(leaves.groupBy("_node").agg(F.collect_list(F.struct("_k", "_v")).alias("_pts")).select(
+        "_node", F.col("_pts._k").alias("_ks"), F.col("_pts._v").alias("_vs")))
+    radii = blocks.join(parents, _parent(F.col("_node")) == F.col("_p")).select("_node", "_vs", "_plo", "_phi") \
+        .mapInPandas(_own_radii(k), "_node string, _rs array<double>, _r double")
+    radii = materialize(radii)
+
+    # 2. Descent: keep the child boxes within the leaf's largest r of its box.
+    own = nodes.join(radii.select("_node", "_r"), "_node").select(
+        F.col("_node").alias("_own"), F.col("_lo").alias("_alo"), F.col("_hi").alias("_ahi"), "_r", F.col("_leaf"))
+    frontier = own.drop("_leaf").withColumn("_at", F.lit(""))
+    gap = F.transform("_alo", lambda lo, i: F.greatest(
+        F.lit(0.0), F.element_at("_lo", i + 1) - F.element_at("_ahi", i + 1), lo - F.element_at("_hi", i + 1)))
+    reached = [nodes.where((F.col("_node") == "") & F.col("_leaf")).select(F.col("_node").alias("_own"), "_node")]
     for depth in range(1, len(sizes)):
         ch = nodes.where(F.length("_node") == depth).select(
             _parent(F.col("_node")).alias("_at"), F.col("_node").alias("_child"), "_lo", "_hi", "_leaf")
-        step = frontier.join(_sized(ch, sizes[depth]), "_at") \
-                       .where(_box_min(F.col("_v"), F.col("_lo"), F.col("_hi")) <= F.col("_r"))
-        step = materialize(step.select("_k", "_v", "_r", "_own", F.col("_child").alias("_at"), "_leaf"))
-        reached.append(step.where(F.col("_leaf") & (F.col("_at") != F.col("_own")))
-                           .select("_k", "_v", "_r", F.col("_at").alias("_node")))
+        step = frontier.join(ch, "_at").where(F.sqrt(_sum_sq(gap)) <= F.col("_r"))
+        step = materialize(step.select("_own", "_alo", "_ahi", "_r", F.col("_child").alias("_at"), "_leaf"))
+        reached.append(step.where(F.col("_leaf")).select("_own", F.col("_at").alias("_node")))
         frontier = step.where(~F.col("_leaf")).drop("_leaf")
-        if frontier.isEmpty():
-            break
-
-    # 3. Candidates within r from the other leaves reached, then the k best.
-    cand = own
-    for part in reached:
-        far = part.join(mates, "_node").select("_k", "_nk", "_r",
-                                               F.sqrt(_sq_dist(F.col("_v"), F.col("_nv"))).alias("dist"))
-        cand = cand.unionByName(far.where(F.col("dist") <= F.col("_r")).drop("_r"))
+    pairs = reached[0]
+    for part in reached[1:]:
+        pairs = pairs.unionByName(part)
+
+    # 3. and 4. Candidates of the pairs, then the k best.
+    mine = blocks.join(radii.select("_node", "_rs"), "_node").withColumnRenamed("_node", "_own")
+    others = blocks.join(nodes.select("_node", "_lo", "_hi"), "_node").select(
+        "_node", F.col("_ks").alias("_oks"), F.col("_vs").alias("_ovs"), "_lo", "_hi")
+    cand = pairs.repartition("_own", "_node").join(mine, "_own").join(others, "_node").mapInPandas(
+        _pair_candidates(k), f"_k {key_type}, _nk {key_type}, dist double")
     order = Window.partitionBy("_k").orderBy("dist", F.md5(F.col("_nk").cast("string")), "_nk")
     top = cand.withColumn("nn_rank", F.row_number().over(order)).where(F.col("nn_rank") <= k)
     return top.select(F.col("_k").alias(key), "nn_rank", F.col("_nk").alias("nn_key"), "dist")
@@ -198,7 +231,7 @@ def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42) -> Da
     pts = points.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
     pts = pts.withColumn("_vid", F.md5(F.to_json(F.col("_v"))))
     members = hash_ranks(pts.withColumn("_h", hash_key(seed, "_k")), ["_vid"], "_h", "_k",
-                         rank_col="_q", broadcast_offsets=False).select("_k", "_vid", "_q")
+                         rank_col="_q").select("_k", "_vid", "_q")
     distinct = pts.groupBy("_vid").agg(F.first("_v").alias("_v"), F.count(F.lit(1)).alias("_m"))
     distinct = materialize(distinct)
     sizes = distinct.select("_vid", "_m")

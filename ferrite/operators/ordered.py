@@ -7,10 +7,9 @@ two levels:
 
 1. rows are assigned to a *bucket* that is monotone in the order
    (a hex prefix of a digest, or the partition id after a range
-   repartition);
-2. per-bucket totals (at most ``n_buckets`` rows per partition group) get
-   a running sum - the only un-partitioned window, over a table whose
-   size is bounded by the bucket count, which is broadcast back;
+   repartition, written with the rows);
+2. per-bucket totals (one row for each bucket of a partition group) get a
+   running sum - the only un-partitioned window - and are joined back;
 3. the running sum inside each bucket is a window partitioned by bucket.
 
 Hot keys are pre-aggregated before any of this (a value that holds a
@@ -24,63 +23,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 1 << 16
+from ferrite.session import materialize
+
 _B = "_bucket"
-ROWS_PER_BUCKET = 200_000
-MAX_DEPTH = 5
 
 
-def depth_for(n_rows: int) -> int:
-    """Hex-prefix length giving about ROWS_PER_BUCKET rows per bucket.
+def _buckets(df: DataFrame) -> int:
+    """Four buckets for each shuffle partition: the setting that grows with the data sizes them."""
+    return max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
-    1 (16 buckets) up to 5 (about a million buckets) - enough for 10^11
-    rows per group with buckets of 10^5 rows.
-    """
-    d, buckets = 1, 16
-    while d < MAX_DEPTH and n_rows / buckets > ROWS_PER_BUCKET:
-        d, buckets = d + 1, buckets * 16
-    return d
 
-
-def _default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(n * 4, MAX_BUCKETS))
+def hash_depth(df: DataFrame) -> int:
+    """Hex-prefix length that gives ``_buckets`` buckets or more; no pass over the rows."""
+    d = 1
+    while 16 ** d < _buckets(df):
+        d += 1
+    return d
 
 
 def running_totals(df: DataFrame, partition_cols: Sequence[str],
                    order: Sequence[Column], value_cols: Sequence[str],
                    bucket: Column | None = None, n_buckets: int | None = None,
-                   prefix: str = "cum_", broadcast_offsets: bool = True,
-                   return_totals: bool = False):
+                   prefix: str = "cum_", return_totals: bool = False):
     """Add ``cum_<v>``: running sum of each value column, inclusive.
 
     ``order`` must be a total order inside each partition group (ties make
     running sums depend on the physical order).  ``bucket`` must be
-    monotone in ``order`` inside a partition group; if omitted, the rows
-    are range-partitioned on (partition_cols, order) and the partition id
-    serves as the bucket.  ``return_totals`` also returns the per-group
+    monotone in ``order`` inside a partition group and a function of the row;
+    if omitted, the rows are range-partitioned on (partition_cols, order) and
+    written once with the partition id as their bucket, so that totals and
+    rows read the same buckets.  ``return_totals`` also returns the per-group
     totals, summed from the bucket totals (no further pass over the rows).
     """
     pcols = list(partition_cols)
     if bucket is None:
-        nb = min(n_buckets or _default_buckets(df), MAX_BUCKETS)
-        df = (df.repartitionByRange(nb, *[F.col(c) for c in pcols], *order)
-                .withColumn(_B, F.spark_partition_id()))
+        df = materialize(df.repartitionByRange(n_buckets or _buckets(df), *[F.col(c) for c in pcols], *order)
+                         .withColumn(_B, F.spark_partition_id()), "ordered")
     else:
         df = df.withColumn(_B, bucket)
     totals = df.groupBy(*pcols, _B).agg(*[F.sum(v).alias(v) for v in value_cols])
     before = (Window.partitionBy(*pcols).orderBy(_B)
               .rowsBetween(Window.unboundedPreceding, -1))
-    # Bounded by (#partition groups x #buckets) rows: safe to broadcast.
     offsets = totals.select(*pcols, _B, *[
         F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_off_{v}")
         for v in value_cols])
     inside = (Window.partitionBy(*pcols, _B).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
-    # With few partition groups the offsets are small by construction and
-    # broadcast; with many (e.g. column x repeat groups) the join is left to
-    # AQE, which broadcasts only if the measured size is under its threshold.
-    out = df.join(F.broadcast(offsets) if broadcast_offsets else offsets, on=[*pcols, _B], how="inner")
+    # AQE broadcasts the offsets if their measured size is under its threshold.
+    out = df.join(offsets, on=[*pcols, _B], how="inner")
     out = out.select(*df.columns, *[
         (F.sum(v).over(inside) + F.col(f"_off_{v}")).alias(f"{prefix}{v}")
         for v in value_cols])
@@ -93,22 +83,20 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str],
 
 def hash_ranks(df: DataFrame, partition_cols: Sequence[str], hash_col: str,
                key_col: str, depth: int | None = None, rank_col: str = "rank",
-               broadcast_offsets: bool = True, return_totals: bool = False):
+               return_totals: bool = False):
     """1-based rank inside each partition group in (hash, key) order.
 
     The bucket is the first ``depth`` hex characters of the digest, which
     is monotone in the digest order: 16**depth buckets at most.  Without
-    ``depth`` it is sized from the row count (a cheap pass when ``df`` is a
-    scan or a written table).
+    ``depth`` it follows the number of shuffle partitions.
     """
     if depth is None:
-        depth = depth_for(df.count())
+        depth = hash_depth(df)
     one = "_one"
     res = running_totals(
         df.withColumn(one, F.lit(1).cast("bigint")), partition_cols,
         [F.col(hash_col), F.col(key_col)], [one],
-        bucket=F.substring(F.col(hash_col), 1, depth), broadcast_offsets=broadcast_offsets,
-        return_totals=return_totals)
+        bucket=F.substring(F.col(hash_col), 1, depth), return_totals=return_totals)
     ranked, sizes = res if return_totals else (res, None)
     ranked = ranked.withColumnRenamed(f"cum_{one}", rank_col).drop(one)
     if return_totals:

@@ -64,7 +64,9 @@ def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int
     exact k nearest minority rows, and a gap ``g`` in [0, 1) from
     ``md5(i-g)``: ``x + g * (nn - x)``.  Parents are exploded from the
     minority rows themselves (no driver loop, no single task).  Returns
-    the input rows plus the synthetic ones (key = -i).
+    the input rows plus the synthetic ones (key = -i): both classes have N
+    rows then, or the input as it is where the minority is no smaller.  With
+    k minority rows or fewer the query fails.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
@@ -79,8 +81,11 @@ def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int
     nn = knn_points(mino, key, "_x", k, seed)
     r = attach_one_row(ranked(mino, label, seed, key, "_r"), c)
     n_syn = F.greatest(F.col("N") - F.col("P"), F.lit(0))
-    copies = F.when(F.col("_r") <= n_syn, F.floor((n_syn - F.col("_r")) / F.col("P")) + 1).otherwise(0)
-    syn = r.withColumn("_t", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1)))
+    copies = F.floor((n_syn - F.col("_r")) / F.col("P")) + 1
+    # a sequence to -1 would count down, so parents without a copy go first
+    enough = F.when(F.col("P") > k, F.col("_r")).otherwise(
+        F.raise_error(F.lit(f"smote needs more than k={k} minority rows")).cast("bigint"))
+    syn = r.where(F.col("_r") <= n_syn).withColumn("_r", enough).withColumn("_t", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1)))
     syn = syn.withColumn("_i", F.col("_r") + F.col("_t") * F.col("P"))
     hi = F.col("_i").cast("string")
     j = F.pmod(F.conv(F.substring(F.md5(F.concat(hi, F.lit("-k"))), 1, 8), 16, 10).cast("bigint"), F.lit(k)) + 1

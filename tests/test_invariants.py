@@ -164,6 +164,53 @@ def test_smote_rows_lie_between_parents_and_balance(spark):
         assert all(lo[j] - 1e-12 <= r["x"][j] <= hi[j] + 1e-12 for j in range(3))
 
 
+@pytest.mark.parametrize("majority, minority", [(50, 40), (40, 40), (40, 50), (20, 6), (30, 6)])
+def test_smote_sizes(spark, majority, minority):
+    """The minority grows to the majority's size whatever their ratio, and never shrinks."""
+    from pyspark.ml.functions import array_to_vector
+    rows = [(i, int(i < minority), [float(i % 7), float(i % 5), float(i)]) for i in range(majority + minority)]
+    df = spark.createDataFrame(rows, "reading_id LONG, failure_within_24h INT, f ARRAY<DOUBLE>")
+    df = df.select("reading_id", "failure_within_24h", array_to_vector("f").alias("features"))
+    out = R.smote(df, seed=1).collect()
+    assert sum(r[TARGET] == 1 for r in out) == max(minority, majority)
+    assert sum(r[TARGET] == 0 for r in out) == majority
+    assert len({r[KEY] for r in out}) == len(out)
+
+
+def test_smote_needs_more_than_k_minority_rows(spark):
+    from pyspark.ml.functions import array_to_vector
+    rows = [(i, int(i < 4), [float(i), 1.0]) for i in range(24)]
+    df = spark.createDataFrame(rows, "reading_id LONG, failure_within_24h INT, f ARRAY<DOUBLE>")
+    df = df.select("reading_id", "failure_within_24h", array_to_vector("f").alias("features"))
+    with pytest.raises(Exception, match="k=5"):
+        R.smote(df, seed=1).collect()
+
+
+def test_quantiles_and_areas_do_not_need_exchange_reuse(spark):
+    """Exact answers over 10^6 distinct values with and without reused exchanges."""
+    from pyspark.sql import functions as F
+
+    from ferrite.operators import evaluate as E
+    from ferrite.operators.ordered import exact_quantiles
+    n = 1_000_003
+    df = spark.range(n).select(F.lit(1).alias("g"), ((F.col("id") * 7919) % n).cast("double").alias("v"))
+    # score i/n is positive where i is a multiple of 3: both areas follow from counts
+    sc = df.select((F.col("v") / n).alias("score"), (F.col("v") % 3 == 0).cast("int").alias("y"))
+    got = []
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            q = exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75]).first()
+            got.append((q["q_0"], q["q_1"], q["q_2"], *E.auc_ap(sc).first()))
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+    assert got[0] == got[1]
+    assert got[0][:3] == ((n - 1) / 4, (n - 1) / 2, 3 * (n - 1) / 4)
+    positives = [i for i in range(n) if i % 3 == 0]
+    below = sum(p - r for r, p in enumerate(positives))  # negatives with a smaller score
+    assert got[0][3] == pytest.approx(below / len(positives) / (n - len(positives)), abs=1e-6)
+
+
 def test_scenario_scoring_matches_batch(spark):
     from ferrite.queries import _scoring_model
     from ferrite.sources.files import load_pipeline
