@@ -50,11 +50,6 @@ def risk_tier(score: Column, threshold, floor: float = MODERATE_RISK_FLOOR) -> C
             .otherwise(F.lit("low")))
 
 
-def round6(c) -> Column:
-    c = c if isinstance(c, Column) else F.col(c)
-    return F.round(c.cast("double"), 6)
-
-
 def strip_prefixes(c: Column) -> Column:
     """Encoded feature name without its ``num__`` / ``cat__`` prefix."""
     return F.replace(F.replace(c, F.lit("num__"), F.lit("")), F.lit("cat__"), F.lit(""))

@@ -3,11 +3,11 @@
 The four model families map onto Spark ML estimators; the reference's
 hyperparameter names are translated here (``C`` -> ``regParam`` through
 the training weight, ``n_estimators`` -> ``numTrees`` ...).  Tuning uses
-``CrossValidator`` with an explicit ``foldCol`` (exact stratified folds
-from ``splits.fold_assignment``) and ``parallelism`` for concurrent fits;
-the F1 of the failure class is ``fMeasureByLabel`` with label 1.
-Training data never passes through the driver: only fitted parameters
-and per-fold metrics come back.
+exact stratified folds from ``splits.fold_assignment`` and runs the fits of
+draws and folds concurrently; class weights, over-sampled copies and the
+regularisation scale come from the rows that a fold trains on, never from
+its validation rows.  Training data never passes through the driver: only
+fitted parameters and per-fold metrics come back.
 """
 
 from __future__ import annotations
@@ -15,19 +15,19 @@ from __future__ import annotations
 import itertools
 import json
 import random
+import statistics
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrite.operators.resample import with_class_weights
+from ferrite.operators.evaluate import confusion
+from ferrite.operators.resample import oversample, with_class_weights
 from ferrite.operators.splits import fold_assignment
 from ferrite.schema import KEY, TARGET
 from ferrite.session import materialize
@@ -41,6 +41,15 @@ GB_SPACE = {"max_iter": [100, 200, 300], "max_depth": [3, 5, 7],
             "learning_rate": [0.05, 0.1, 0.2], "min_samples_leaf": [20, 50, 100]}
 MLP_SPACE = {"units_1": [32, 64, 128], "units_2": [16, 32, 64], "dropout": [0.1, 0.2, 0.3],
              "learning_rate": [0.001, 0.005, 0.01], "batch_size": [32, 64, 128]}
+# Axes without a Spark twin are left out of the draws, else equal fits would
+# be drawn as different cells: RF has no split minimum, the network (l-bfgs)
+# no dropout and no learning rate.
+SEARCH_SPACES = {
+    "lr": LR_SPACE,
+    "rf": {k: v for k, v in RF_SPACE.items() if k != "min_samples_split"},
+    "gbt": GB_SPACE,
+    "mlp": {k: v for k, v in MLP_SPACE.items() if k not in ("dropout", "learning_rate")},
+}
 # Display names of the four models.
 MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest",
                "gbt": "Gradient Boosting", "mlp": "MLP"}
@@ -79,9 +88,9 @@ def logistic(C: float = 1.0, max_iter: int = 1000, total_weight: float = 1.0,
 
 
 def random_forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1,
-                  min_samples_split: int = 2, seed: int = 42, weight_col: str | None = None,
+                  seed: int = 42, weight_col: str | None = None,
                   label: str = TARGET) -> RandomForestClassifier:
-    """H3: ``min_samples_split`` has no Spark twin (ignored); depth None -> 30."""
+    """H3: depth None -> 30, Spark's deepest."""
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=int(n_estimators),
                                 maxDepth=SPARK_MAX_DEPTH if max_depth is None else int(max_depth),
                                 minInstancesPerNode=int(min_samples_leaf), featureSubsetStrategy="sqrt",
@@ -109,17 +118,19 @@ def gradient_boosting(max_iter: int = 100, max_depth: int = 5, learning_rate: fl
     return gb
 
 
-def mlp(input_dim: int, units_1: int = 32, units_2: int = 16, learning_rate: float = 0.001,
-        batch_size: int = 64, max_iter: int = 100, seed: int = 42, dropout: float | None = None,
-        label: str = TARGET) -> MultilayerPerceptronClassifier:
-    """H5: two hidden layers.  Spark's network has no dropout and no sample
-    weights (balance the classes by over-sampling instead); ``batch_size``
-    maps to ``blockSize`` and ``learning_rate`` to ``stepSize`` (used by the
-    ``gd`` solver)."""
+def mlp(input_dim: int, units_1: int = 32, units_2: int = 16, batch_size: int = 64, max_iter: int = 100,
+        seed: int = 42, label: str = TARGET) -> MultilayerPerceptronClassifier:
+    """H5: two hidden layers, fitted by l-bfgs over all rows.
+
+    Spark's network has no dropout, no sample weights and, with l-bfgs, no
+    step size.  ``batch_size`` sets ``blockSize``: rows stacked for one matrix
+    product.  That changes the order of summation, not the objective, so it
+    is not the mini-batch size of a stochastic method.  Classes are balanced
+    by over-sampling (``fit``).
+    """
     return MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=label,
                                           layers=[int(input_dim), int(units_1), int(units_2), 2],
-                                          blockSize=int(batch_size), stepSize=float(learning_rate),
-                                          maxIter=int(max_iter), seed=seed)
+                                          blockSize=int(batch_size), maxIter=int(max_iter), seed=seed)
 
 
 def make_estimator(kind: str, params: dict, input_dim: int, total_weight: float,
@@ -128,15 +139,14 @@ def make_estimator(kind: str, params: dict, input_dim: int, total_weight: float,
         return logistic(params.get("C", 1.0), params.get("max_iter", 1000), total_weight, weight_col)
     if kind == "rf":
         return random_forest(params.get("n_estimators", 100), params.get("max_depth"),
-                             params.get("min_samples_leaf", 1), params.get("min_samples_split", 2),
-                             weight_col=weight_col)
+                             params.get("min_samples_leaf", 1), weight_col=weight_col)
     if kind == "gbt":
         return gradient_boosting(params.get("max_iter", 100), params.get("max_depth", 5),
                                  params.get("learning_rate", 0.1), params.get("min_samples_leaf", 20),
                                  weight_col=weight_col)
     if kind == "mlp":
-        return mlp(input_dim, params.get("units_1", 32), params.get("units_2", 16),
-                   params.get("learning_rate", 0.001), params.get("batch_size", 64))
+        return mlp(input_dim, params.get("units_1", 32), params.get("units_2", 16), params.get("batch_size", 64),
+                   params.get("max_iter", 100))
     raise ValueError(f"unknown model kind {kind!r}")
 
 
@@ -163,50 +173,46 @@ def sample_param_maps(space: dict, n_iter: int, seed: int = 42) -> list[dict]:
     return cells if n_iter >= len(cells) else rng.sample(cells, n_iter)
 
 
-def f1_evaluator(label: str = TARGET) -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                             metricName="fMeasureByLabel", metricLabel=1.0)
-
-
 def random_search(kind: str, train: DataFrame, space: dict, n_iter: int = 20, folds: int = 3,
-                  seed: int = 42, balanced: bool = True, parallelism: int = 4,
+                  seed: int = 42, balanced: bool = True, parallelism: int = PARALLELISM,
                   label: str = TARGET):
     """H6: random search with stratified k-fold CV on F1 of class 1.
 
-    Returns (best params, table of draws with cv mean/std F1).
+    Every draw is fitted on every fold's training rows by ``fit``, so weights
+    and regularisation are the fold's own.  Returns (best params, table of
+    draws with cv mean/std F1); the first draw wins ties.
     """
-    data = fold_assignment(train, folds, label, seed)
-    wcol = None
-    if balanced and kind != "mlp":
-        data, wcol = with_class_weights(data, label, "weight"), "weight"
-    data = materialize(data)  # read by every fold of every draw
-    n = data.count()
-    dim = input_dim(data)
+    data = materialize(fold_assignment(train, folds, label, seed))  # read by every fold of every draw
     draws = sample_param_maps(space, n_iter, seed)
-    est = make_estimator(kind, {}, dim, n, wcol)
-    maps = []
-    for d in draws:
-        e = make_estimator(kind, d, dim, n, wcol)
-        maps.append({est.getParam(p.name): e.getOrDefault(p) for p in e.params
-                     if e.isDefined(p) and p.name not in ("featuresCol", "labelCol", "weightCol")})
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=f1_evaluator(label),
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    cvm = cv.fit(data)
-    rows = [(i, json.dumps(d, sort_keys=True), float(m), float(s))
-            for i, (d, m, s) in enumerate(zip(draws, cvm.avgMetrics, cvm.stdMetrics))]
+
+    def one(cell):
+        i, f = cell
+        model = fit(kind, data.where(F.col("fold") != f), draws[i], balanced, label)
+        return confusion(score(model, data.where(F.col("fold") == f), label)).first()["f1"]
+
+    f1s = parallel_map(one, [(i, f) for i in range(len(draws)) for f in range(folds)], parallelism)
+    per_draw = [f1s[i * folds:(i + 1) * folds] for i in range(len(draws))]
+    rows = [(i, json.dumps(d, sort_keys=True), float(statistics.fmean(v)), float(statistics.stdev(v)) if folds > 1 else None)
+            for i, (d, v) in enumerate(zip(draws, per_draw))]
     table = train.sparkSession.createDataFrame(rows, "draw INT, params STRING, cv_f1_mean DOUBLE, "
                                                      "cv_f1_std_sample DOUBLE")
-    best = max(range(len(draws)), key=lambda i: (cvm.avgMetrics[i], -i))
+    best = max(range(len(draws)), key=lambda i: (rows[i][2], -i))
     return draws[best], table
 
 
 def fit(kind: str, train: DataFrame, params: dict | None = None, balanced: bool = True,
         label: str = TARGET):
-    """Fit one model on prepared rows (``features`` + label)."""
+    """Fit one model on prepared rows (``features`` + label).
+
+    ``balanced``: class weights from these rows; for the network, which takes
+    no weights, whole copies of the smaller classes' rows (F5).
+    """
     params = dict(params or {})
     early = params.pop("validation_fraction", None)
     data, wcol = train, None
-    if balanced and kind != "mlp":
+    if balanced and kind == "mlp":
+        data = materialize(oversample(train.select(KEY, label, FEATURES), label))
+    elif balanced:
         data, wcol = with_class_weights(train, label, "weight"), "weight"
     total = data.count() if kind == "lr" else 1.0
     dim = input_dim(data) if kind == "mlp" else 0
@@ -237,15 +243,15 @@ def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = No
 
 
 def training_history(model) -> DataFrame | None:
-    """Objective per iteration and the best iteration."""
-    try:
-        hist = list(model.summary.objectiveHistory)
-    except Exception:  # noqa: BLE001 - models without a training summary
+    """Objective per iteration; None for models that keep none (trees)."""
+    if not getattr(model, "hasSummary", False):
+        return None
+    summary = model.summary() if callable(model.summary) else model.summary
+    if not hasattr(summary, "objectiveHistory"):
         return None
-    spark = model.summary.predictions.sparkSession if hasattr(model.summary, "predictions") else None
     from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(hist)], "epoch INT, loss DOUBLE")
+    return SparkSession.getActiveSession().createDataFrame(
+        [(i + 1, float(v)) for i, v in enumerate(summary.objectiveHistory)], "epoch INT, loss DOUBLE")
 
 
 def scoring_pipeline(preprocessor: PipelineModel, classifier) -> PipelineModel:
@@ -253,28 +259,18 @@ def scoring_pipeline(preprocessor: PipelineModel, classifier) -> PipelineModel:
     return PipelineModel(stages=[*preprocessor.stages, classifier])
 
 
-def make_pipeline(preprocessor: Pipeline, estimator) -> Pipeline:
-    return Pipeline(stages=[*preprocessor.getStages(), estimator])
-
-
 def search_on_validation(kind: str, fit_rows: DataFrame, val_rows: DataFrame, space: dict,
-                         n_iter: int = 10, seed: int = 42, balanced: bool = False,
+                         n_iter: int = 10, seed: int = 42, balanced: bool = True,
                          label: str = TARGET):
     """H7: random search scored on one fixed validation part (first best on ties).
 
-    All draws are fitted with ``fitMultiple`` (one pass over the cached fit
-    rows per draw) and scored on the validation rows in one grouped job.
+    The draws are fitted concurrently, each by ``fit``, and scored on the
+    validation rows in one grouped job.
     """
-    from ferrite.operators.evaluate import confusion
-    data, wcol = fit_rows, None
-    if balanced and kind != "mlp":
-        data, wcol = with_class_weights(fit_rows, label, "weight"), "weight"
-    n = data.count()
-    dim = input_dim(data)
     draws = sample_param_maps(space, n_iter, seed)
 
     def one(i):
-        model = make_estimator(kind, draws[i], dim, n, wcol).fit(data)
+        model = fit(kind, fit_rows, draws[i], balanced, label)
         return score(model, val_rows, label).withColumn("draw", F.lit(i))
 
     parts = parallel_map(one, range(len(draws)))
@@ -282,8 +278,7 @@ def search_on_validation(kind: str, fit_rows: DataFrame, val_rows: DataFrame, sp
     for p in parts[1:]:
         scores = scores.unionByName(p)
     f1 = confusion(scores, 0.5, ["draw"]).select("draw", F.round("f1", 6).alias("validation_f1"))
-    params = train_rows_params(fit_rows.sparkSession, draws)
-    table = params.join(f1, "draw")
+    table = materialize(train_rows_params(fit_rows.sparkSession, draws).join(f1, "draw"))
     best_row = table.orderBy(F.col("validation_f1").desc(), F.col("draw").asc()).first()
     return draws[best_row["draw"]], table
 

@@ -257,8 +257,3 @@ def domain_violations(df: DataFrame, numeric_domain: dict, categorical_domain: d
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *exprs)
     long = wide.unpivot(["_n"], list(numeric_domain) + list(categorical_domain), "column_name", "n_violations")
     return long.select("column_name", "n_violations", F.col("_n").alias("n_rows"))
-
-
-def schema_numeric(df: DataFrame, exclude=("machine_id",)) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name not in exclude]

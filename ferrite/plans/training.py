@@ -21,6 +21,7 @@ from ferrite.operators.splits import stratified_split
 from ferrite.plans.preparation import Prepared
 from ferrite.schema import KEY, TARGET
 from ferrite.session import materialize
+from ferrite.sources import files
 
 
 def _union(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -62,8 +63,7 @@ def stability(prep: Prepared, kinds: Sequence[str], params: dict | None = None,
               seed: int = 42) -> DataFrame:
     """K-fold F1 mean and population std per model."""
     params = params or {}
-    parts = [M.cross_validated_scores(kind, prep.part("train"), params.get(kind), k, seed,
-                                      balanced=(kind != "mlp")).withColumn("model", F.lit(kind))
+    parts = [M.cross_validated_scores(kind, prep.part("train"), params.get(kind), k, seed).withColumn("model", F.lit(kind))
              for kind in kinds]
     per_fold = E.confusion(_union(parts), 0.5, ["model", "fold"])
     return E.fold_summary(per_fold, ["model"], "f1")
@@ -77,7 +77,7 @@ def fit_all(prep: Prepared, kinds: Sequence[str], params: dict | None = None,
 
     def one(kind):
         t0 = time.time()
-        m = M.fit(kind, data, params.get(kind), balanced=(kind != "mlp"))
+        m = M.fit(kind, data, params.get(kind))
         return m, time.time() - t0
 
     res = M.parallel_map(one, kinds)
@@ -88,16 +88,47 @@ def score_all(models: dict, rows: DataFrame) -> DataFrame:
     return _union([M.score(m, rows).withColumn("model", F.lit(k)) for k, m in models.items()])
 
 
+def tuned_params(prep: Prepared, kinds: Sequence[str], defaults: dict, draws: dict, seed: int = 42) -> dict:
+    """The best parameters of each kind over its defaults.
+
+    ``draws`` has the number of draws for each kind; kinds without one keep
+    their defaults.  The network is scored on one validation part, the others
+    on three folds.
+    """
+    train, out = prep.part("train").drop("split"), {}
+    for kind in kinds:
+        table = None
+        if draws.get(kind):
+            if kind == "mlp":
+                fv = materialize(stratified_split(train, TARGET, 0.2, seed, split_col="part", names=("fit", "validation")))
+                _, found = M.search_on_validation(kind, fv.where(F.col("part") == "fit"), fv.where(F.col("part") == "validation"),
+                                                  M.SEARCH_SPACES[kind], draws[kind], seed)
+                table = found.orderBy(F.col("validation_f1").desc(), "draw")
+            else:
+                _, found = M.random_search(kind, train, M.SEARCH_SPACES[kind], draws[kind], 3, seed)
+                table = found.orderBy(F.col("cv_f1_mean").desc(), "draw")
+        out[kind] = files.best_params(table, defaults.get(kind, {}))
+    return out
+
+
+def display_name(model: str = "model"):
+    """The model's display name; names without one stay as they are."""
+    out = F.col(model)
+    for kind, name in M.MODEL_NAMES.items():
+        out = F.when(F.col(model) == kind, F.lit(name)).otherwise(out)
+    return out
+
+
 def compare_models(prep: Prepared, kinds: Sequence[str], params: dict | None = None,
                    folds: int = 5) -> DataFrame:
-    """Stability, train time and test metrics at 0.5 per model."""
+    """Display name, stability, train time and test metrics at 0.5 per model."""
     models, times = fit_all(prep, kinds, params)
     m = test_metrics(score_all(models, prep.part("test")))
     spark = prep.rows.sparkSession
     t = spark.createDataFrame([(k, float(v)) for k, v in times.items()], "model STRING, train_time_s DOUBLE")
-    out = m.join(t, "model")
+    out = m.join(t, "model", "left").withColumn("name", display_name())
     if folds:
-        out = out.join(stability(prep, kinds, params, folds), "model")
+        out = out.join(stability(prep, kinds, params, folds), "model", "left")
     return out
 
 
@@ -129,10 +160,15 @@ def threshold_tuning(prep: Prepared, kinds: Sequence[str], params: dict | None =
     return b.join(d, "model").join(t, "model")
 
 
-def final_selection(tuning: DataFrame, override: str | None = None) -> DataFrame:
-    """Rank by test F1 then recall; ``override`` forces the winner."""
+def final_selection(tuning: DataFrame, override: str | None = None, stability_table: DataFrame | None = None) -> DataFrame:
+    """Rank by test F1 then recall; ``override`` forces the winner.
+
+    ``stability_table`` (one row per model) is joined on the left, so a model
+    without folds keeps its row.
+    """
     table = tuning.withColumnRenamed("test_f1", "f1").withColumnRenamed("test_recall", "recall")
     ranked = E.rank_models(table, ("f1", "recall"))
     sel = (F.col("model") == F.lit(override)) if override else (F.col("rank") == 1)
-    return ranked.withColumn("selected", sel).withColumnRenamed("f1", "test_f1") \
-                 .withColumnRenamed("recall", "test_recall")
+    out = ranked.withColumn("selected", sel).withColumnRenamed("f1", "test_f1") \
+                .withColumnRenamed("recall", "test_recall").withColumn("name", display_name())
+    return out.join(stability_table, "model", "left") if stability_table is not None else out

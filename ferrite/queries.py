@@ -362,24 +362,24 @@ def q_contribution_summary(spark, sf):
 from ferrite.operators import models as M  # noqa: E402
 from ferrite.plans import training as TR  # noqa: E402
 from ferrite.plans.preparation import run_preprocessing  # noqa: E402
-from ferrite.session import work_dir  # noqa: E402
+from ferrite.session import fresh_dir  # noqa: E402
+from ferrite.sources import files as A  # noqa: E402
 
 _PREPARED = {}
 
 
 def prepared(spark, sf):
-    """The written prepared table for ``sf`` (one preparation per session)."""
-    k = (spark.sparkContext.applicationId, sf)
+    """The written prepared table for ``sf``, made anew when its files have changed."""
+    k = (spark.sparkContext.applicationId, sf, A.file_stamps(spark, f"{sf}/events.parquet"))
     if k not in _PREPARED:
-        out = work_dir(spark, "prepared-" + sf.strip("/").replace("/", "_"))
-        _PREPARED[k] = run_preprocessing(readings(spark, sf), out)
+        _PREPARED[k] = run_preprocessing(readings(spark, sf), fresh_dir(spark, "prepared"))
     return _PREPARED[k]
 
 
 def _model_scores_query(kind, params):
     def q(spark, sf):
         p = prepared(spark, sf)
-        model = M.fit(kind, p.part("train"), params, balanced=(kind != "mlp"))
+        model = M.fit(kind, p.part("train"), params)
         return M.score(model, p.part("test"))
     q.__name__ = f"q_{kind}_score"
     return q
@@ -388,7 +388,7 @@ def _model_scores_query(kind, params):
 # The reference's default hyperparameters per family.
 REFERENCE_DEFAULTS = {"lr": {"C": 1.0, "max_iter": 1000}, "rf": {"n_estimators": 100},
                       "gbt": {"max_iter": 100, "learning_rate": 0.1, "min_samples_leaf": 20},
-                      "mlp": {"units_1": 32, "units_2": 16, "learning_rate": 0.005, "batch_size": 64}}
+                      "mlp": {"units_1": 32, "units_2": 16, "batch_size": 64}}
 
 for _k in ("lr", "rf", "gbt", "mlp"):
     query(_model_scores_query(_k, REFERENCE_DEFAULTS[_k]))
@@ -401,46 +401,79 @@ def q_rebalancing_comparison(spark, sf):
 
 @query
 def q_random_search(spark, sf):
-    _, table = M.random_search("lr", prepared(spark, sf).part("train"), M.LR_SPACE, n_iter=20, folds=3)
+    _, table = M.random_search("lr", prepared(spark, sf).part("train"), M.SEARCH_SPACES["lr"], n_iter=20, folds=3)
+    return table
+
+
+# Tree fits are the dearest by far: their registered searches draw fewer cells.
+TREE_DRAWS = 2
+
+
+@query
+def q_random_search_rf(spark, sf):
+    _, table = M.random_search("rf", prepared(spark, sf).part("train"), M.SEARCH_SPACES["rf"], TREE_DRAWS, 3)
+    return table
+
+
+@query
+def q_random_search_gbt(spark, sf):
+    _, table = M.random_search("gbt", prepared(spark, sf).part("train"), M.SEARCH_SPACES["gbt"], TREE_DRAWS, 3)
     return table
 
 
 @query
 def q_cross_validation(spark, sf):
-    return TR.stability(prepared(spark, sf), ["lr"], REFERENCE_DEFAULTS, k=5)
+    """H8: five-fold F1 of all four models."""
+    return TR.stability(prepared(spark, sf), ["lr", "rf", "gbt", "mlp"], REFERENCE_DEFAULTS, k=5)
+
+
+@query
+def q_compare_models(spark, sf):
+    """The three classifiers at their defaults, with stability, training time and test metrics."""
+    return TR.compare_models(prepared(spark, sf), ["lr", "rf", "gbt"], REFERENCE_DEFAULTS)
 
 
 @query
 def q_threshold_tuning(spark, sf):
-    return TR.threshold_tuning(prepared(spark, sf), ["lr", "mlp"], REFERENCE_DEFAULTS)
+    return TR.threshold_tuning(prepared(spark, sf), ["lr", "rf", "gbt", "mlp"], REFERENCE_DEFAULTS)
 
 
 @query
 def q_final_selection(spark, sf):
-    tuning = TR.threshold_tuning(prepared(spark, sf), ["lr", "rf", "gbt", "mlp"], REFERENCE_DEFAULTS)
-    return TR.final_selection(tuning)
+    """H6 to H12 joined: search, best parameters over the defaults, refit,
+    threshold on validation rows, test metrics, stability and selection."""
+    p, kinds = prepared(spark, sf), ["lr", "rf", "gbt", "mlp"]
+    params = TR.tuned_params(p, kinds, REFERENCE_DEFAULTS, {"lr": 20, "mlp": 10})
+    return TR.final_selection(TR.threshold_tuning(p, kinds, params), None, TR.stability(p, ["lr", "mlp"], params))
+
+
+def _history(spark, sf, kind):
+    p = prepared(spark, sf)
+    h = M.training_history(M.fit(kind, p.part("train"), REFERENCE_DEFAULTS[kind]))
+    return attach_one_row(h, h.agg(F.min_by("epoch", "loss").alias("best_epoch")))
 
 
 @query
 def q_loss_history(spark, sf):
-    p = prepared(spark, sf)
-    model = M.fit("lr", p.part("train"), REFERENCE_DEFAULTS["lr"])
-    h = M.training_history(model)
-    best = h.agg(F.min_by("epoch", "loss").alias("best_epoch"))
-    return attach_one_row(h, best)
+    """The network's loss per iteration and its best iteration."""
+    return _history(spark, sf, "mlp")
+
+
+@query
+def q_loss_history_lr(spark, sf):
+    return _history(spark, sf, "lr")
 
 
 # ------------------------------------------------- scoring, streaming, Shapley
 from ferrite.operators import prepare as _G  # noqa: E402
-from ferrite.sources import files as A  # noqa: E402
 from ferrite.streaming import scoring as K  # noqa: E402
 
 
 def _scoring_model(spark, sf, kind="lr"):
     """Preprocessor + classifier as one saved PipelineModel."""
     p = prepared(spark, sf)
-    clf = M.fit(kind, p.part("train"), REFERENCE_DEFAULTS[kind], balanced=(kind != "mlp"))
-    path = work_dir(spark, f"models/{kind}-" + sf.strip("/").replace("/", "_"))
+    clf = M.fit(kind, p.part("train"), REFERENCE_DEFAULTS[kind])
+    path = fresh_dir(spark, f"model-{kind}")
     A.save_model(M.scoring_pipeline(p.preprocessor, clf), path)
     return path
 
@@ -453,29 +486,55 @@ def q_batch_score(spark, sf):
 
 @query
 def q_stream_score(spark, sf):
-    import uuid
     path = _scoring_model(spark, sf)
-    run = work_dir(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    run = fresh_dir(spark, "stream")
     K.stream_scores(spark, sf, path, 0.5, f"{run}/out", f"{run}/checkpoint", "events.parquet")
     return spark.read.parquet(f"{run}/out")
 
 
-@query
-def q_shapley_sampling(spark, sf):
-    """Monte Carlo Shapley values of the GBT pipeline: 20 rows, 10 background draws each."""
+def _shapley(spark, sf):
+    """Monte Carlo Shapley values of 100 test rows under the boosted trees: 10 background draws each."""
     p = prepared(spark, sf)
-    clf = M.fit("gbt", p.part("train"), {"max_iter": 30, "max_depth": 4})
-    pipe = M.scoring_pipeline(p.preprocessor, clf)
-    raw = readings(spark, sf).select(KEY, *_G.NUMERIC_FEATURES, *_G.CATEGORICAL_FEATURES)
-    rows = S.hash_sample(raw, 20, 42)
-    background = p.part("train").select(KEY, *_G.NUMERIC_FEATURES, *_G.CATEGORICAL_FEATURES)
+    pipe = M.scoring_pipeline(p.preprocessor, M.fit("gbt", p.part("train"), REFERENCE_DEFAULTS["gbt"]))
+    players = list(_G.NUMERIC_FEATURES) + list(_G.CATEGORICAL_FEATURES)
+    rows = S.hash_sample(p.part("test").select(KEY, *players), 100, 42)
 
     def score_fn(df):
         out = M.failure_probability(pipe.transform(df))
         return out.drop(*[c for c in out.columns if c.startswith("_") and c.endswith(("_idx", "_ohe"))])
 
-    players = list(_G.NUMERIC_FEATURES) + list(_G.CATEGORICAL_FEATURES)
-    return X.shapley_sampling(rows, background, players, score_fn, n_draws=10, seed=42)
+    return rows, X.shapley_sampling(rows, p.part("train").select(KEY, *players), players, score_fn, n_draws=10, seed=42)
+
+
+@query
+def q_shapley_sampling(spark, sf):
+    return _shapley(spark, sf)[1]
+
+
+@query
+def q_shapley_summary(spark, sf):
+    """I5 of the Shapley values; the direction of a categorical feature is null."""
+    rows, phi = _shapley(spark, sf)
+    values = rows.select(KEY, *[F.col(c).cast("double").alias(c) for c in _G.NUMERIC_FEATURES]).unpivot(
+        [KEY], list(_G.NUMERIC_FEATURES), "feature", "value")
+    return X.contribution_summary(phi.join(values, [KEY, "feature"], "left"))
+
+
+@query
+def q_model_permutation_importance(spark, sf):
+    """I1/I2 of the fitted boosted trees over the 14 encoded slots of the test rows."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    p = prepared(spark, sf)
+    model = M.fit("gbt", p.part("train"), REFERENCE_DEFAULTS["gbt"])
+    slots = p.feature_names
+    x = vector_to_array("features")
+    rows = p.part("test").select(KEY, F.col(TARGET).alias("y"), *[x[i].alias(c) for i, c in enumerate(slots)])
+
+    def score_fn(df):
+        features = array_to_vector(F.array(*[F.col(f"`{c}`") for c in slots]))
+        return M.failure_probability(model.transform(df.withColumn("features", features)))
+
+    return X.permutation_importance(rows, slots, score_fn, 0.5, 10, 42)
 
 
 # ---------------------------------------------------- preparation follow-ups
@@ -498,7 +557,7 @@ def q_raw_csv_source(spark, sf):
     folder, located as the first existing of several candidate paths and
     scanned with the fixed schema (NaN to NULL)."""
     from ferrite.schema import RAW_CSV_SCHEMA
-    base = work_dir(spark, "raw-csv-" + sf.strip("/").replace("/", "_"))
+    base = fresh_dir(spark, "raw-csv")
     raw = readings(spark, sf).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
                                      *RAW_CSV_SCHEMA.fieldNames()[1:])
     raw.write.mode("overwrite").option("header", True).option("sep", ";").csv(f"{base}/readings")
@@ -510,7 +569,7 @@ def q_raw_csv_source(spark, sf):
 def q_result_csv_roundtrip(spark, sf):
     """A result table (the threshold sweep) written as CSV rounded to
     4 decimals, read back trimming padded cells and inferring types."""
-    base = work_dir(spark, "results-" + sf.strip("/").replace("/", "_"))
+    base = fresh_dir(spark, "results")
     A.write_result(E.threshold_sweep(_scored(spark, sf)), f"{base}/threshold_sweep", digits=4)
     back = A.read_result_csv(spark, f"{base}/threshold_sweep")
     return back.select(*[F.col(c).cast("double").alias(c) for c in ("threshold", "precision", "recall", "f1")],
@@ -539,9 +598,8 @@ def q_mlp_search(spark, sf):
     fv = S.stratified_split(p.part("train").drop("split"), TARGET, 0.2, 42, split_col="part",
                             names=("fit", "validation"))
     fv = materialize(fv)
-    space = {k: v for k, v in M.MLP_SPACE.items() if k != "dropout"}
     _, table = M.search_on_validation("mlp", fv.where(F.col("part") == "fit"),
-                                      fv.where(F.col("part") == "validation"), space, 10, 42)
+                                      fv.where(F.col("part") == "validation"), M.SEARCH_SPACES["mlp"], 10, 42)
     return table
 
 

@@ -29,15 +29,9 @@ FEATURE_COLS = [
     "hours_since_maintenance",
     "ambient_temp",
 ]
-# Identifiers and columns only known during/after a failure (leakage).
-EXCLUDED_COLS = ["timestamp", "ts", "machine_id", "rul_hours", "failure_type",
-                 "estimated_repair_cost"]
+# Columns only known during or after a failure (leakage).
 LEAKING_COLS = ["rul_hours", "failure_type", "estimated_repair_cost"]
 
-# The five sensors that carry missing values.
-SENSOR_COLS = ["vibration_rms", "temperature_motor", "current_phase_avg",
-               "pressure_level", "rpm"]
-
 # Accepted domain per column (the scenario form's ranges).
 MACHINE_TYPES = ["CNC", "Pump", "Compressor", "Robotic Arm"]
 OPERATING_MODES = ["idle", "normal", "peak"]
@@ -57,7 +51,6 @@ CATEGORICAL_DOMAIN = {
 
 # Moderate-risk floor of the three risk tiers.
 MODERATE_RISK_FLOOR = 0.40
-DEFAULT_THRESHOLD = 0.70
 
 READINGS_SCHEMA = T.StructType([
     T.StructField("reading_id", T.LongType(), True),
@@ -90,8 +83,9 @@ def numeric_columns(schema: T.StructType, exclude=("machine_id",)) -> list[str]:
     return [f.name for f in schema.fields
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
-# Display labels of encoded features (others fall back to the
-# name without its num__/cat__ prefix).
+
+# Display labels of encoded features, worded here; the keys are fixed values
+# (others fall back to the name without its num__/cat__ prefix).
 FEATURE_LABELS = {
     "num__rpm": "Rotation speed (rpm)",
     "num__temperature_motor": "Motor temperature",

@@ -79,15 +79,22 @@ def round_numeric(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def write_result(df: DataFrame, path: str, digits: int | None = 4, fmt: str = "csv") -> None:
-    """A small result table (rounded unless digits is None)."""
+    """A result table as a folder of files (rounded unless digits is None)."""
     out = round_numeric(df, digits) if digits is not None else df
-    w = out.coalesce(1).write.mode("overwrite")
+    w = out.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
         w.format(fmt).save(path)
 
 
+def file_stamps(spark: SparkSession, path: str) -> tuple:
+    """Name, length and time of change of the files under ``path``, asked of its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
+
+
 def save_model(model, path: str) -> None:
     """Fitted pipeline or model, overwriting."""
     model.write().overwrite().save(path)
