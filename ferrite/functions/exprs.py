@@ -36,6 +36,11 @@ def ratio(num, den) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def relative_saving(a, b) -> Column:
+    """``(1 - a/b) * 100``: what a saves against b, in percent."""
+    return (F.lit(1.0) - ratio(a, b)) * 100
+
+
 def decide(score: Column, threshold) -> Column:
     """Class decision ``score >= t`` as 0/1."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))

@@ -7,7 +7,7 @@ views derived from `events`), so its work grows with them.
 from __future__ import annotations
 
 from ferrite.operators import profile as P
-from ferrite.oracle import ALL_COLS, PROFILE_NUMERIC, SENSORS5, VALUE_COLS
+from ferrite.oracle import ALL_COLS, PROFILE_NUMERIC, RAW_COLS, SCORER_NAMES, SENSORS5, VALUE_COLS
 from ferrite.schema import (
     CATEGORICAL_DOMAIN, FEATURE_COLS, KEY, NUMERIC_DOMAIN, NUMERIC_FEATURES, TARGET,
 )
@@ -48,7 +48,7 @@ def q_column_types(spark, sf):
 
 @query
 def q_duplicate_rows(spark, sf):
-    return P.duplicate_rows(readings(spark, sf), FEATURE_COLS + [TARGET])
+    return P.duplicate_rows(readings(spark, sf), RAW_COLS)
 
 
 @query
@@ -195,7 +195,7 @@ def q_feature_names(spark, sf):
 
 
 # ---------------------------------------------------------------- evaluation
-from ferrite.functions import attach_one_row, decide, risk_tier  # noqa: E402
+from ferrite.functions import attach_one_row, decide, ratio, relative_saving, risk_tier  # noqa: E402
 from ferrite.operators import evaluate as E  # noqa: E402
 from ferrite.sources.readings import model_scores, scored  # noqa: E402
 
@@ -291,7 +291,7 @@ def q_threshold_selection(spark, sf):
 @query
 def q_model_comparison(spark, sf):
     _, test, _, at_t, _ = _selection(spark, sf)
-    table = at_t.join(E.auc_ap(test, ["model"]), "model")
+    table = at_t.join(E.auc_ap(test, ["model"]), "model", "left")
     return E.rank_models(table).withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -346,16 +346,20 @@ def _imputed_for_score(df):
                      F.col("hours_since_maintenance").cast("double").alias("hours_since_maintenance"))
 
 
+def _contributions(spark, sf):
+    """100 test rows against the means of all readings."""
+    rows = S.hash_sample(_imputed_for_score(_test_rows(spark, sf)), 100, 42)
+    return X.linear_contributions(rows, _imputed_for_score(readings(spark, sf)), LINEAR_COEF)
+
+
 @query
 def q_linear_contributions(spark, sf):
-    r = _imputed_for_score(readings(spark, sf))
-    return X.linear_contributions(S.hash_sample(r, 100, 42), r, LINEAR_COEF)
+    return _contributions(spark, sf)
 
 
 @query
 def q_contribution_summary(spark, sf):
-    r = _imputed_for_score(readings(spark, sf))
-    return X.contribution_summary(X.linear_contributions(S.hash_sample(r, 100, 42), r, LINEAR_COEF))
+    return X.contribution_summary(_contributions(spark, sf))
 
 
 # ---------------------------------------------------------- models (rows-only)
@@ -588,7 +592,68 @@ def q_before_after(spark, sf):
     train = s.where(F.col("split") == "train")
     scaled = model.stages[0].transform(train).select(
         *[F.col(_G.num_name(c)).alias(c) for c in NUMERIC_FEATURES])
-    return P.before_after(train, scaled, NUMERIC_FEATURES)
+    return P.before_after(readings(spark, sf), scaled, NUMERIC_FEATURES)
+
+
+@query
+def q_before_after_histograms(spark, sf):
+    """40-bin histograms of the whole raw table and of the prepared training rows."""
+    raw = P.histogram(readings(spark, sf), NUMERIC_FEATURES, 40).withColumn("stage", F.lit("raw"))
+    train = materialize(q_impute_scale_encode(spark, sf).where(F.col("split") == "train"))
+    prep = train.select(*[F.col(_G.num_name(c)).alias(c) for c in NUMERIC_FEATURES])
+    both = raw.unionByName(P.histogram(prep, NUMERIC_FEATURES, 40).withColumn("stage", F.lit("prepared")))
+    return both.select("stage", "column_name", "bin", "n")
+
+
+@query
+def q_correlation_labelled(spark, sf):
+    """The matrix of features and target under their display labels."""
+    m = P.correlation_matrix(readings(spark, sf), NUMERIC_FEATURES + [TARGET])
+
+    def label(c):
+        out = F.col(c)
+        for name, text in FEATURE_LABELS.items():
+            out = F.when(F.concat(F.lit("num__"), F.col(c)) == name, F.lit(text)).otherwise(out)
+        return out
+
+    return m.select(label("col_a").alias("label_a"), label("col_b").alias("label_b"), "r")
+
+
+@query
+def q_threshold_savings(spark, sf):
+    """The scorers called a score, with what the chosen threshold saves in errors."""
+    _, _, _, at_t, at_d = _selection(spark, sf)
+    name = F.col("model")
+    for k, v in SCORER_NAMES.items():
+        name = F.when(F.col("model") == k, F.lit(v)).otherwise(name)
+    d = at_d.select("model", (F.col("fn") + F.col("fp")).alias("errors_default"))
+    t = at_t.select("model", (F.col("fn") + F.col("fp")).alias("errors_selected")).join(d, "model", "left")
+    return t.select(name.alias("name"), "errors_default", "errors_selected",
+                    F.round(relative_saving(F.col("errors_selected"), F.col("errors_default")), 6).alias("saving_pct"),
+                    F.round(ratio(F.col("errors_default"), F.col("errors_selected")), 6).alias("multiple")) \
+            .where(F.col("name").contains("score"))
+
+
+@query
+def q_status_counts(spark, sf):
+    """Rows by recoded status; an unknown label would have no status."""
+    status = F.when(F.col(TARGET) == 0, F.lit("Normal")).when(F.col(TARGET) == 1, F.lit("Failure"))
+    return readings(spark, sf).groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_smote_sizes(spark, sf):
+    """class sizes after SMOTE."""
+    return q_smote(spark, sf).groupBy(TARGET).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_stream_equals_batch(spark, sf):
+    """K5/K6: rows scored by the stream, and how many differ from the batch."""
+    stream, batch = q_stream_score(spark, sf), q_batch_score(spark, sf)
+    both = stream.alias("s").join(batch.alias("b"), KEY, "full")
+    same = F.abs(F.col("s.probability_failure") - F.col("b.probability_failure")) < 1e-12
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("n_different"))
 
 
 @query
