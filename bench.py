@@ -22,7 +22,7 @@ HEADLINE = [
     "kpis", "null_profile", "describe", "correlation_matrix", "histogram", "box_stats",
     "stratified_split", "fold_assignment", "oversample", "impute_scale_encode",
     "confusion", "roc_auc_ap", "threshold_sweep", "model_comparison",
-    "permutation_importance", "lr_score",
+    "permutation_importance", "lr_score", "smote", "rebalancing_comparison",
 ]
 
 

@@ -197,7 +197,7 @@ def q_feature_names(spark, sf):
 # ---------------------------------------------------------------- evaluation
 from ferrite.functions import attach_one_row, decide, ratio, relative_saving, risk_tier  # noqa: E402
 from ferrite.operators import evaluate as E  # noqa: E402
-from ferrite.sources.readings import model_scores, scored  # noqa: E402
+from ferrite.sources.readings import model_scores, scored, scorer_columns  # noqa: E402
 
 
 def _scored(spark, sf):
@@ -257,16 +257,23 @@ def q_model_auc(spark, sf):
     return E.auc_ap(model_scores(readings(spark, sf)), ["model"])
 
 
+def _wide_scores(spark, sf):
+    """Key, label and the three fixed scores, split into train and test: written once."""
+    wide = readings(spark, sf).select(KEY, TARGET, *[c.alias(n) for n, c in scorer_columns().items()])
+    return materialize(S.stratified_split(wide, TARGET, 0.2, 42))
+
+
+def _long_scores(wide, *keep):
+    return wide.withColumnRenamed(TARGET, "y").unpivot([KEY, "y", *keep], list(scorer_columns()), "model", "score")
+
+
 def _selection_parts(spark, sf):
-    """Validation and test score tables of the three fixed scorers."""
-    r = readings(spark, sf)
-    s = S.stratified_split(r.select(KEY, TARGET), TARGET, 0.2, 42)
-    train = s.where(F.col("split") == "train").drop("split")
-    fv = S.stratified_split(train, TARGET, 0.2, 42, split_col="part", names=("fit", "validation"))
-    ms = model_scores(r)
-    val = ms.join(fv.where(F.col("part") == "validation").select(KEY), KEY)
-    test = ms.join(s.where(F.col("split") == "test").select(KEY), KEY)
-    return val, test
+    """Validation and test score tables of the three fixed scorers; the scores ride along with the splits."""
+    s = _wide_scores(spark, sf)
+    fv = S.stratified_split(s.where(F.col("split") == "train").drop("split"), TARGET, 0.2, 42,
+                            split_col="part", names=("fit", "validation"))
+    return (_long_scores(materialize(fv.where(F.col("part") == "validation"))),
+            _long_scores(s.where(F.col("split") == "test")))
 
 
 def _selection(spark, sf):
@@ -305,11 +312,8 @@ def q_rebuild_matrix(spark, sf):
 
 @query
 def q_fold_summary(spark, sf):
-    r = readings(spark, sf)
-    s = S.stratified_split(r.select(KEY, TARGET), TARGET, 0.2, 42)
-    folds = S.fold_assignment(s.where(F.col("split") == "train").drop("split"), 5)
-    ms = model_scores(r).join(folds.select(KEY, "fold"), KEY)
-    per_fold = E.confusion(ms, 0.5, ["model", "fold"])
+    folds = S.fold_assignment(_wide_scores(spark, sf).where(F.col("split") == "train").drop("split"), 5)
+    per_fold = E.confusion(_long_scores(folds, "fold"), 0.5, ["model", "fold"])
     return E.fold_summary(per_fold, ["model"], "f1")
 
 
