@@ -1,7 +1,7 @@
 """Line deduplication by an exact set-similarity join, in DataFrame expressions.
 
 A line is the set of its five-word shingles (a line of fewer words is one
-token: itself).  Lines of equal sets are one class.  Classes with Jaccard
+token: itself).  Lines of equal words are one class.  Classes with Jaccard
 similarity of 0.8 or more are linked; a line goes if an earlier line is in its
 class or in a linked one.
 
@@ -34,34 +34,44 @@ SHINGLE = 5
 BUCKETS = 1 << 16
 #: Classes in a slice of a long list.
 SLICE = 128
-#: Bytes of document keys that may be broadcast; more are joined by a shuffle.
+#: Bytes of tokens or document keys that may be broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
-_BLANKS = r" \t\x0b\f\r"
+# The blanks that part words, in one SQL string.
+_BLANKS = "concat(' \t\r', decode(unhex('0B0C'), 'UTF-8'))"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, line_no, words) of every line; ``h`` tells texts of one id apart."""
-    return docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select(
-        "doc_id", "h", "line_no", _words(F.col("line")).alias("words"))
+    """(doc_id, h, line_no, line) of every line with words; ``h`` tells texts of one id apart.
 
+    ``line`` is in lower case, its words parted by one blank.  Most lines are
+    so but for the case, and a search for what is not is cheaper than a
+    replacement.  Blank lines go by their raw text, so that the filter does
+    not repeat the rest.
+    """
+    raw = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    return _normalised(raw.filter(F.expr(f"btrim(raw, {_BLANKS}) <> ''")))
+
+
+def _normalised(lines: DataFrame) -> DataFrame:
+    other = " or ".join(f"contains(raw, {b})" for b in (
+        r"'\t'", r"'\r'", "decode(unhex('0B'), 'UTF-8')", "decode(unhex('0C'), 'UTF-8')", "'  '"))
+    return lines.withColumn("line", F.expr(f"""if({other} or startswith(raw, ' ') or endswith(raw, ' '),
+        trim(regexp_replace(lower(raw), concat('[', {_BLANKS}, ']+'), ' ')), lower(raw))""")).drop("raw")
 
-def _words(line: Column) -> Column:
-    return F.split(F.btrim(F.lower(line), F.lit(" \t\x0b\f\r")), f"[{_BLANKS}]+")
 
+def _hashed_words(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("words", F.expr("transform(split(line, ' '), w -> xxhash64(w))")).drop("line")
 
-def _tokens(words: str) -> Column:
-    """Hashes of the shingles, repeats included; two of the whole line if it is shorter."""
-    places = ", ".join(f"{words}[i + {j}]" for j in range(SHINGLE))
-    return F.expr(f"""if(size({words}) < {SHINGLE},
-        array(xxhash64(concat_ws(' ', {words})), xxhash64(7, concat_ws(' ', {words}))),
-        transform(sequence(0, size({words}) - {SHINGLE}), i -> xxhash64({places})))""")
+
+_SHINGLE_HASH = "xxhash64(" + ", ".join(f"words[i + {j}]" for j in range(SHINGLE)) + ")"
 
 
 def _ranks(docs: DataFrame) -> str:
     """A SQL array of the ranks of the token buckets: 64 log2 of the bucket's count."""
-    counts = (_lines(docs).select(F.explode(_tokens("words")).alias("t"))
-              .groupBy(F.col("t").bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int").alias("bucket")).agg(F.count("*").alias("n")))
+    places = f"if(size(words) < {SHINGLE}, cast(array() as array<int>), sequence(0, size(words) - {SHINGLE}))"
+    counts = (_hashed_words(_lines(docs).select("line")).select("words", F.explode(F.expr(places)).alias("i"))
+              .groupBy(F.expr(f"cast({_SHINGLE_HASH} & {BUCKETS - 1} as int)").alias("bucket")).agg(F.count("*").alias("n")))
     ranks = [0] * BUCKETS
     for r in counts.collect():  # BUCKETS rows at most
         ranks[r.bucket] = int(64 * math.log2(r.n))
@@ -69,17 +79,20 @@ def _ranks(docs: DataFrame) -> str:
 
 
 def _with_keys(lines: DataFrame, ranks: str) -> DataFrame:
-    """``keys``: the set of a line, rarest first; rank above, 48 bits of the hash below."""
-    key = (f"transform(tokens, t -> shiftleft(cast(element_at({ranks}, cast(t & {BUCKETS - 1} as int) + 1) as bigint), 48)"
+    """``keys``: the set of a line, rarest first; rank above, 48 bits of the hash below.
+
+    A line of fewer words than a shingle matches only its equals, which the
+    class holds already: its set is left empty.
+    """
+    tokens = f"if(size(words) < {SHINGLE}, cast(array() as array<bigint>), transform(sequence(0, size(words) - {SHINGLE}), i -> {_SHINGLE_HASH}))"
+    key = (f"transform({tokens}, t -> shiftleft(cast(element_at({ranks}, cast(t & {BUCKETS - 1} as int) + 1) as bigint), 48)"
            f" | shiftrightunsigned(t, 16))")
-    return lines.withColumn("tokens", _tokens("words")).withColumn("keys", F.sort_array(F.array_distinct(F.expr(key)))).drop("tokens")
+    return _hashed_words(lines).withColumn("keys", F.sort_array(F.array_distinct(F.expr(key)))).drop("words")
 
 
-def _classed(docs: DataFrame, ranks: str) -> DataFrame:
-    """Lines with words, as (doc_id, h, line_no, k1, k2, keys); k1 and k2 name the class."""
-    # a short line has two tokens, so its name has 128 bits of its text, too
-    return _with_keys(_lines(docs).filter("words[0] <> ''"), ranks).select(
-        "doc_id", "h", "line_no", F.xxhash64("keys").alias("k1"), F.xxhash64(F.lit(7), "keys").alias("k2"), "keys")
+def _names() -> list[Column]:
+    """128 bits that name a line's class: the normalised line."""
+    return [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(7), "line").alias("k2")]
 
 
 def _place() -> Column:
@@ -89,8 +102,9 @@ def _place() -> Column:
 
 def _classes(docs: DataFrame, ranks: str) -> DataFrame:
     """(node, k1, k2, first, copies, prefix) of each class, written."""
-    prefix = F.expr("if(size(keys) < 4, cast(array() as array<bigint>), slice(keys, 1, size(keys) - (4 * size(keys) + 4) div 5 + 1))")
-    found = (_classed(docs, ranks).select("k1", "k2", _place().alias("place"), prefix.alias("prefix"))
+    prefix = F.expr("slice(keys, 1, if(size(keys) = 0, 0, size(keys) - (4 * size(keys) + 4) div 5 + 1))")
+    lines = _lines(docs).select(*_names(), _place().alias("place"), "line")
+    found = (_with_keys(lines, ranks).select("k1", "k2", "place", prefix.alias("prefix"))
              .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("copies"), F.first("prefix").alias("prefix")))
     return materialize(found.withColumn("node", F.monotonically_increasing_id()), "line-classes")
 
@@ -98,7 +112,9 @@ def _classes(docs: DataFrame, ranks: str) -> DataFrame:
 def _lists(classes: DataFrame) -> DataFrame:
     """(key, node): lists of classes that share a prefix token, one for each different list."""
     prefixes = classes.select("node", F.explode("prefix").alias("key"))
-    shared = prefixes.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
+    shared = materialize(prefixes.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key"), "line-tokens")
+    if shared.count() * 8 <= BROADCAST_BYTES:  # else the prefixes move to their tokens
+        shared = F.broadcast(shared)
     lists = materialize(prefixes.join(shared, "key"), "line-lists")
     same = lists.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
                                     F.sum(F.hash("node").cast("long")).alias("s"))
@@ -113,9 +129,10 @@ def _sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, ranks: str) ->
     size = by_doc.agg(F.sum(F.size("wanted") * 20 + 40)).first()[0] or 0
     side = F.broadcast(by_doc) if size <= BROADCAST_BYTES else by_doc
     text = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").alias("t")
-    lines = text.join(side.alias("w"), F.expr("t.h = w.h and t.doc_id <=> w.doc_id")).select(
+    raw = text.join(side.alias("w"), F.expr("t.h = w.h and t.doc_id <=> w.doc_id")).select(
         "t.doc_id", "t.h", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("x")).select(
-        "doc_id", "h", "x.line_no", "x.node", "x.copies", _words(F.col("lines")[F.col("x.line_no")]).alias("words"))
+        "doc_id", "h", "x.line_no", "x.node", "x.copies", F.col("lines")[F.col("x.line_no")].alias("raw"))
+    lines = _normalised(raw)
     sets = _with_keys(lines, ranks).select("node", _place().alias("first"), "copies", "keys")
     return materialize(sets.dropDuplicates(["node"]), "line-sets")  # repeated rows hold a line twice
 
@@ -142,8 +159,8 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     return out.select("x.*")
 
 
-def line_classes(docs: DataFrame) -> tuple[DataFrame, str]:
-    """Each class with its links, and the ranks that name its lines.
+def line_classes(docs: DataFrame) -> DataFrame:
+    """Each class of equal lines with its links.
 
     (k1, k2, first, copies, earlier, n_links, class_first): ``earlier`` tells
     that a linked class has an earlier line, ``class_first`` is the first line
@@ -161,7 +178,7 @@ def line_classes(docs: DataFrame) -> tuple[DataFrame, str]:
     out = classes.join(some, "node", "left").select(
         "k1", "k2", "first", "copies", F.coalesce("_earlier", F.lit(False)).alias("earlier"),
         (F.coalesce("_n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("class_first", "first").alias("class_first"))
-    return out, ranks
+    return out
 
 
 def line_links(docs: DataFrame) -> DataFrame:
@@ -173,8 +190,8 @@ def line_links(docs: DataFrame) -> DataFrame:
     and text are alike in every result.  Other columns are not looked at.
     """
     docs = docs.select("doc_id", "text")
-    classes, ranks = line_classes(docs)
-    lines = _classed(docs, ranks).drop("keys").join(classes, ["k1", "k2"])
+    classes = line_classes(docs)
+    lines = _lines(docs).select("doc_id", "h", "line_no", *_names()).join(classes, ["k1", "k2"])
     return lines.select("doc_id", "h", "line_no", "n_links", F.col("class_first.doc_id").alias("class_doc_id"),
                         F.col("class_first.line_no").alias("class_line_no"),
                         (F.col("earlier") | (_place() != F.col("first"))).alias("removed"))
