@@ -247,7 +247,12 @@ def op7_pii_deobfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of all documents; the four counts are of base spans, n_added of the others."""
     found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["base"])
-    listed = lambda a: F.concat_ws(",", F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
-    counts = [F.size(F.filter("pii", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"),
-                        F.size(F.filter("pii", lambda s: ~s["base"])).cast("long").alias("n_added"))
+
+    def listed(some):
+        return F.concat_ws(",", F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("pii")).alias("spans"), (F.size("pii") - F.size(base)).cast("long").alias("n_added"))
