@@ -32,9 +32,12 @@ from ferrite.llm.common import append_columns, table, utf8
 CUT_BITS = 9
 #: A chunk is cut at so many bytes where its content gives no cut.
 LONGEST_CHUNK = 1 << 14
-#: Bounds of a worker's caches: pieces in each of two generations, bytes of chunks likewise.
-CACHED_PIECES = 200_000
-CACHED_CHUNK_BYTES = 24 << 20
+#: Bounds of a worker's caches: pieces in each of two generations, bytes of chunks likewise
+#: (a chunk's ids and decoded text take about four times its bytes).
+CACHED_PIECES = 120_000
+CACHED_CHUNK_BYTES = 4 << 20
+#: Bytes of text whose pieces are looked up together.
+GROUP_BYTES = 1 << 20
 LONGEST_CACHED_PIECE = 64
 
 _GEAR = np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 32, 256, np.uint32)
@@ -191,7 +194,14 @@ def encoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         encoder = _encoder(spec.value)
 
         def f(texts):
-            made = encoder.encode([t or b"" for t in utf8(texts)])
+            made, group, size = [], [], 0
+            for t in utf8(texts):
+                group.append(t or b"")
+                size += len(group[-1])
+                if size >= GROUP_BYTES:
+                    made += encoder.encode(group)
+                    group, size = [], 0
+            made += encoder.encode(group)
             return [[len(i) // 4 for i, _ in made], [i for i, _ in made], [s.decode() for _, s in made]]
         return f
 
