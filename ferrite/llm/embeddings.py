@@ -1,7 +1,7 @@
 """Near-duplicate vectors through an index of pivot permutations.
 
-Reference points (pivots) are drawn from the vectors; each vector is described
-by its nearest pivots in order of nearness.  An inverted list for each pivot
+Reference points (pivots) are drawn from the vectors, those too near another
+left out; each vector is described by its nearest pivots in order of nearness.  An inverted list for each pivot
 holds the vectors that have it among their nearest.  Two vectors of a list
 that share enough pivots are candidates, and their cosine is verified in
 double precision.  A pair is handled only in the list of the first pivot it
@@ -33,6 +33,7 @@ PIVOT_BYTES = 16 << 20
 #: Members of a slice of a long list.
 SLICE = 512
 _PAIRS = 1 << 16  # pairs verified at once
+_THINNED = 1024  # drawn pivots compared at once with those kept
 
 
 def _unit(rows: list) -> np.ndarray:
@@ -48,15 +49,36 @@ def _valid(column: str):
     return F.coalesce(x.isNotNull() & (F.size(x) > 0) & ~odd & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
-def _pivots(members: DataFrame, n: int) -> dict[int, np.ndarray]:
-    """A bounded sample of the distinct vectors, by dimension, as unit rows."""
+def _apart(drawn: np.ndarray, cosine: float) -> np.ndarray:
+    """The unit rows of ``drawn`` in turn, without those nearer than ``cosine`` to one kept before."""
+    kept = drawn[:0]
+    for i in range(0, len(drawn), _THINNED):
+        some = drawn[i:i + _THINNED]
+        for j in range(0, len(kept), _THINNED):
+            some = some[(some @ kept[j:j + _THINNED].T < cosine).all(axis=1)]
+        near, live = some @ some.T >= cosine, np.ones(len(some), bool)
+        for j in range(len(some)):
+            if live[j]:
+                live[j + 1:] &= ~near[j, j + 1:]
+        kept = np.concatenate([kept, some[live]])
+    return kept
+
+
+def _pivots(members: DataFrame, n: int, cosine: float) -> dict[int, np.ndarray]:
+    """A bounded sample of the distinct vectors, by dimension, as unit rows.
+
+    Pivots lie twice the link angle apart (the farthest that two vectors
+    linked to a third can be), so a dense group has few pivots whatever its
+    size, and its members share them.
+    """
     width = members.agg(F.max(F.size("embedding"))).first()[0] or 1
     k = max(16, min(-(-n // VECTORS_PER_PIVOT), PIVOT_BYTES // (4 * width)))
     drawn = members.select("embedding").orderBy(F.xxhash64("embedding", F.lit("pivot"))).limit(k).collect()
     by_size: dict[int, list] = {}
     for r in drawn:
         by_size.setdefault(len(r.embedding), []).append(r.embedding)
-    return {d: _unit(rows).astype(np.float32) for d, rows in by_size.items()}
+    apart = 2 * cosine * cosine - 1
+    return {d: _apart(_unit(rows).astype(np.float32), apart) for d, rows in by_size.items()}
 
 
 def _described(members: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
@@ -128,7 +150,7 @@ def links(members: DataFrame, cosine: float = COSINE) -> DataFrame:
     ``members`` has node, copies and embedding (distinct, valid); sums of n
     over a node are its links, and the (a, b) span every group.
     """
-    described = materialize(_described(members, _pivots(members, members.count())), "vectors")
+    described = materialize(_described(members, _pivots(members, members.count(), cosine)), "vectors")
     lists = described.select("node", "copies", "embedding", "nearest", F.explode("nearest").alias("pivot"))
     shards = bounded_shards(lists, "pivot", "node", SLICE).select(
         "pivot", "_i", "_k", "_slice", "node", "copies", "nearest", "embedding")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from ferrite.llm.embeddings import near_duplicates
 
@@ -60,3 +61,18 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sorted(r.n_links for r in rows) == [0, 3, 3, 3, 3]
     assert [r.kept for r in rows if r.vec_id is None and r.n_links == 3] == [False]
     assert near_duplicates(df.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("cosine", [0.985, 0.93])  # of two members on average: all pairs linked, or one in twenty
+@pytest.mark.parametrize("size", [1000, 3000, 8000])
+def test_recall_in_a_dense_group_of_a_third_of_all_rows(spark, size, cosine):
+    rng, d = np.random.default_rng(7), 64
+    centre = rng.normal(size=d)
+    group = centre / np.linalg.norm(centre) + rng.normal(size=(size, d)) * np.sqrt((1 / cosine - 1) / d)
+    x = np.float32(np.concatenate([group, rng.normal(size=(2 * size, d))])).astype(float)
+    got = near_duplicates(spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], SCHEMA))
+    found = got.selectExpr("sum(n_links)").first()[0]
+    unit = x[:size] / np.linalg.norm(x[:size], axis=1, keepdims=True)
+    true = sum(int((unit[i:i + 1000] @ unit.T >= 0.95).sum()) for i in range(0, size, 1000)) - size
+    print(f"{size} members, mean cosine {cosine}: {true} links, recall {found / true:.4f}")
+    assert 0.99 * true <= found <= true
