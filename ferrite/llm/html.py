@@ -3,9 +3,10 @@
 Every block element of the DOM gets its characters per tag, adjusted by how
 much of its text and tags are links.  The element with the largest sum of its
 children's densities holds the main text; the least density on its path to the
-body is the threshold for other dense parts.  Elements that say they are not
-the article (menus, footers, adverts, forms, comments and so on) are left out
-before densities are taken.
+body is the threshold for other dense parts.  Elements that are not the
+article by their tag (menus, footers and so on) are left out before densities
+are taken.  Forms, and elements whose class, id or role says so (adverts,
+comments and so on), are left out only if their text agrees: see ``_marked_out``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section
 summary table tbody td tfoot th thead tr ul""".split())
-_LEFT_OUT = frozenset("""head script style noscript template iframe object svg math canvas audio video nav footer aside form button
+_LEFT_OUT = frozenset("""head script style noscript template iframe object svg math canvas audio video nav footer aside button
 select textarea input datalist dialog menu map title""".split())
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
               "option": ("option",)}
@@ -41,19 +42,34 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# A marked element is small below this share of the body's text, outside an article and in one.
+_SMALL, _SMALL_INSIDE = 0.5, 0.2
+# It is beside the article if an article outside of it has one in so many of its characters.
+_BESIDE = 4
+
+
 def _left_out(tag: str, attrs: list, in_article: bool) -> bool:
+    """Not the article, whatever its text."""
     if tag in _LEFT_OUT or (tag == "header" and not in_article):
         return True
+    return tag not in ("html", "body", "article", "main") and any(
+        name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _HIDDEN.search(value))
+        for name, value in attrs)
+
+
+def _marked(tag: str, attrs: list, in_article: bool) -> bool:
+    """Says that it is not the article, or is a form: left out only if its text agrees."""
     if tag in ("html", "body", "article", "main"):
         return False
     for name, value in attrs:
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _HIDDEN.search(value)):
-            return True
         if name in ("class", "id", "role") and value:
             words = {w.lower() for w in _WORDS.findall(value)}
+            if name == "id" and (tag in _HEADINGS or (tag == "section" and words - _NOT_MAIN)):
+                continue  # named after its own title
             if words & _NOT_MAIN or (not in_article and words & {"header", "masthead"}):
                 return True
-    return False
+    return tag == "form"
 
 
 class _Dom(HTMLParser):
@@ -62,6 +78,7 @@ class _Dom(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.out = ["html"], [0], [False]
+        self.marked, self.inside = [False], [False]  # may be left out; in an article
         self.own = [[0, 0, 0, 0]]  # characters, link characters, tags, link tags
         self.said: list[tuple[int, str]] = []  # (block, text); a blank stands where blocks meet
         self.stack: list[tuple[str, int, bool, bool]] = []  # (tag, block, in a link, in an article)
@@ -96,10 +113,13 @@ class _Dom(HTMLParser):
         link = link or tag == "a"
         article = article or tag in ("article", "main")
         out = self.out[block]
-        if tag in _BLOCK or tag in _LEFT_OUT or (not out and attrs and _left_out(tag, attrs, article)):
+        marked = not out and _marked(tag, attrs, article)
+        if tag in _BLOCK or tag in _LEFT_OUT or marked or (not out and attrs and _left_out(tag, attrs, article)):
             self.tags.append(tag)
             self.parents.append(block)
             self.out.append(out or _left_out(tag, attrs, article))
+            self.marked.append(marked)
+            self.inside.append(article)
             self.own.append([0, 0, 0, 0])
             block = len(self.tags) - 1
             self.said.append((block, " "))
@@ -154,12 +174,9 @@ def _density(c: int, lc: int, t: int, lt: int, share: float) -> float:
     return c / t * (value / base if base > 1e-9 else value)
 
 
-def main_text(page: str) -> str:
-    """The article of an HTML page, white space in blocks and between them one blank."""
-    dom = _Dom()
-    dom.feed(page)
-    dom.close()
-    n, parents, out, tags = len(dom.tags), dom.parents, dom.out, dom.tags
+def _densities(dom: _Dom, out: list[bool]) -> tuple[list, list[float], list[float]]:
+    """Totals, density and sum of the children's densities of each element that is not left out."""
+    n, parents = len(dom.tags), dom.parents
     totals = [list(x) if not o else [0, 0, 0, 0] for x, o in zip(dom.own, out)]
     for i in range(n - 1, 0, -1):
         if not out[i]:
@@ -172,6 +189,50 @@ def main_text(page: str) -> str:
     for i in range(1, n):
         if not out[i]:
             sums[parents[i]] += density[i]
+    return totals, density, sums
+
+
+def _marked_out(dom: _Dom) -> list[bool]:
+    """Which elements are left out: by tag, or marked and agreed by their text.
+
+    A marked element stays if it holds an article or main.  Else it goes if
+    half of its text or more is links, if an article that is not in a marked
+    element stands beside it, or if it has a small share of the body's text
+    and does not hold the largest sum of densities.
+    """
+    n, parents, out = len(dom.tags), dom.parents, list(dom.out)
+    if not any(m and not o for m, o in zip(dom.marked, out)):
+        return out
+    totals, _, sums = _densities(dom, out)
+    best = max(range(n), key=lambda i: sums[i])
+    holds, under, named = [False] * n, list(dom.marked), 0
+    for i in range(n - 1, 0, -1):
+        holds[parents[i]] |= not out[i] and (holds[i] or dom.tags[i] in ("article", "main"))
+    for i in range(1, n):
+        under[i] |= under[parents[i]]
+        if dom.tags[i] in ("article", "main") and not under[i] and not out[i]:
+            named = max(named, totals[i][0])
+    way, at = set(), best
+    while at and sums[best]:
+        way.add(at)
+        at = parents[at]
+    for i in range(1, n):
+        if out[parents[i]]:
+            out[i] = True
+        elif dom.marked[i] and not out[i] and not holds[i]:
+            chars, links = totals[i][:2]
+            small = chars <= (_SMALL_INSIDE if dom.inside[i] else _SMALL) * totals[0][0] and i not in way
+            out[i] = small or 2 * links >= chars or (not dom.inside[i] and chars <= _BESIDE * named)
+    return out
+
+
+def main_text(page: str) -> str:
+    """The article of an HTML page, white space in blocks and between them one blank."""
+    dom = _Dom()
+    dom.feed(page)
+    dom.close()
+    n, parents, tags, out = len(dom.tags), dom.parents, dom.tags, _marked_out(dom)
+    _, density, sums = _densities(dom, out)
     best = max(range(n), key=lambda i: sums[i])
     if not sums[best]:
         best = 0

@@ -24,6 +24,20 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='content-sidebar-wrap'><main>{BODY}</main></div>", STORY),
+    (f"<body><div class='layout has-sidebar'>{MENU}<div>{BODY}</div><div class=sidebar><p>See also</p></div></div>", STORY),
+    (f"<body><div class='single-post no-comments'>{BODY}</div><div id=comments><p>First!</p></div>", STORY),
+    (f"<body><form id='aspnetForm'>{MENU}<div>{BODY}</div><form><p>Your name</p></form></form>", STORY),
+    (f"<body><form id='aspnetForm'><article>{BODY}</article></form><form><p>Your name</p></form>", STORY),
+    (f"<article>{BODY}<h2 id='Related_work'>Work</h2><section id='search-algorithms'><p>Trees.</p></section></article>", f"{STORY} Work Trees."),
+    (f"<body><article>{BODY}</article><div class=comments>{'<p>A comment of some length on the story.</p>' * 20}</div>", STORY),
+    (f"<body><article>{BODY}</article><div class=related><a href=/a>{'Another story ' * 90}</a></div>", STORY),
+])
+def test_marked_elements_go_only_if_their_text_agrees(page, text):
+    assert main_text(page) == text
+
+
 def test_given_pages(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r.page_id: r.html for r in table(spark, sf, "pages").collect()}
