@@ -3,7 +3,8 @@
 Every block element of the DOM gets its characters per tag, adjusted by how
 much of its text and tags are links.  The element with the largest sum of its
 children's densities holds the main text; the least density on its path to the
-body is the threshold for other dense parts.  Elements that are not the
+body is the threshold for other dense parts.  An article or main element on
+that path widens the choice to the outermost such element.  Elements that are not the
 article by their tag (menus, footers and so on) are left out before densities
 are taken.  Forms, and elements whose class, id or role says so (adverts,
 comments and so on), are left out only if their text agrees: see ``_marked_out``.
@@ -240,22 +241,19 @@ def main_text(page: str) -> str:
     while path[-1]:
         path.append(parents[path[-1]])
     chosen = [False] * n
-    for wanted in ("article", "main"):
-        if holders := [i for i in path if tags[i] == wanted]:
-            chosen[holders[-1]] = True
-            break
-    else:
-        chosen[best] = True
-        # other parts that are as dense as the thinnest part of the way to the body
-        least = min((density[i] for i in path if tags[i] not in ("html",)), default=density[best])
-        top = list(range(n))  # of each subtree, the element with the largest sum
-        for i in range(n - 1, 0, -1):
-            if not out[i] and sums[top[i]] > sums[top[parents[i]]]:
-                top[parents[i]] = top[i]
-        way = set(path)
-        for i in range(1, n):
-            if not out[i] and i not in way and density[i] >= least and density[i] > 0:
-                chosen[top[i] if sums[top[i]] else i] = True
+    chosen[best] = True
+    if holders := [i for i in path if tags[i] in ("article", "main")]:
+        chosen[holders[-1]] = True  # the page's own word for the whole of it
+    # other parts that are as dense as the thinnest part of the way to the body
+    least = min((density[i] for i in path if tags[i] not in ("html",)), default=density[best])
+    top = list(range(n))  # of each subtree, the element with the largest sum
+    for i in range(n - 1, 0, -1):
+        if not out[i] and sums[top[i]] > sums[top[parents[i]]]:
+            top[parents[i]] = top[i]
+    way = set(path)
+    for i in range(1, n):
+        if not out[i] and i not in way and density[i] >= least and density[i] > 0:
+            chosen[top[i] if sums[top[i]] else i] = True
     for i in range(1, n):
         chosen[i] = not out[i] and (chosen[i] or chosen[parents[i]])
     text = "".join([s if chosen[i] else " " for i, s in dom.said])

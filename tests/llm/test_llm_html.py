@@ -38,6 +38,26 @@ def test_marked_elements_go_only_if_their_text_agrees(page, text):
     assert main_text(page) == text
 
 
+PARTS = ["".join(f"<p>Part {k}, sentence {i}, {'and so on, ' * (1 + k)}to its end.</p>" for i in range(6)) for k in range(3)]
+SAID = [re.sub("<[^>]*>", " ", p) for p in PARTS]
+
+
+def _said(*parts):
+    return " ".join(" ".join(parts).split())
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body>{MENU}<main><article>{PARTS[2]}</article><article>{PARTS[0]}</article></main>", _said(SAID[2], SAID[0])),
+    (f"<main>{''.join(f'<article>{p}</article>' for p in PARTS)}</main><footer>x</footer>", _said(*SAID)),
+    (f"<body>{MENU}<div><article>{PARTS[1]}</article><article>{PARTS[1]}</article></div>", _said(SAID[1], SAID[1])),
+    (f"<body>{MENU}<article>{PARTS[0]}</article><div>{PARTS[2]}</div><p><a href=/a>More</a></p>", _said(SAID[0], SAID[2])),
+    (f"<body>{MENU}<div>{PARTS[0]}</div><div>{PARTS[0]}</div><div><a href=/a>More</a> <a href=/b>Less</a></div>", _said(SAID[0], SAID[0])),
+    (f"<body><div><div>{PARTS[1]}</div></div><ul><li><a href=/a>Alpha</a></li><li><a href=/b>Beta</a></li></ul>", _said(SAID[1])),
+])
+def test_several_dense_parts_with_and_without_article_tags(page, text):
+    assert main_text(page) == text
+
+
 def test_given_pages(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r.page_id: r.html for r in table(spark, sf, "pages").collect()}
