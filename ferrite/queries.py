@@ -451,8 +451,8 @@ def q_final_selection(spark, sf):
     """H6 to H12 joined: search, best parameters over the defaults, refit,
     threshold on validation rows, test metrics, stability and selection."""
     p, kinds = prepared(spark, sf), ["lr", "rf", "gbt", "mlp"]
-    params = TR.tuned_params(p, kinds, REFERENCE_DEFAULTS, {"lr": 20, "mlp": 10})
-    return TR.final_selection(TR.threshold_tuning(p, kinds, params), None, TR.stability(p, ["lr", "mlp"], params))
+    params = TR.tuned_params(p, kinds, REFERENCE_DEFAULTS, {"lr": 20, "rf": 20, "gbt": 20, "mlp": 10})
+    return TR.final_selection(TR.threshold_tuning(p, kinds, params), None, TR.stability(p, kinds, params))
 
 
 def _history(spark, sf, kind):
