@@ -413,19 +413,15 @@ def q_random_search(spark, sf):
     return table
 
 
-# Tree fits are the dearest by far: their registered searches draw fewer cells.
-TREE_DRAWS = 2
-
-
 @query
 def q_random_search_rf(spark, sf):
-    _, table = M.random_search("rf", prepared(spark, sf).part("train"), M.SEARCH_SPACES["rf"], TREE_DRAWS, 3)
+    _, table = M.random_search("rf", prepared(spark, sf).part("train"), M.SEARCH_SPACES["rf"], n_iter=20, folds=3)
     return table
 
 
 @query
 def q_random_search_gbt(spark, sf):
-    _, table = M.random_search("gbt", prepared(spark, sf).part("train"), M.SEARCH_SPACES["gbt"], TREE_DRAWS, 3)
+    _, table = M.random_search("gbt", prepared(spark, sf).part("train"), M.SEARCH_SPACES["gbt"], n_iter=20, folds=3)
     return table
 
 

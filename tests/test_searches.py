@@ -24,3 +24,12 @@ def test_final_selection_searches_and_measures_all_families(calls, monkeypatch):
     assert Q.q_final_selection(None, "sf") == ("tuning", "stability")
     assert calls["draws"] == {"lr": 20, "rf": 20, "gbt": 20, "mlp": 10}
     assert set(calls["stable"]) == set(calls["kinds"]) == {"lr", "rf", "gbt", "mlp"} and calls["params"] == {"tuned": 1}
+
+
+@pytest.mark.parametrize("name, kind", [("q_random_search", "lr"), ("q_random_search_rf", "rf"), ("q_random_search_gbt", "gbt")])
+def test_searches_draw_twenty_cells_on_three_folds(calls, monkeypatch, name, kind):
+    monkeypatch.setattr(Q.M, "fit", lambda *a, **k: pytest.fail("no fit here"))
+    monkeypatch.setattr(Q.M, "random_search", lambda *a, **k: (None, (a, k)))
+    args, more = getattr(Q, name)(None, "sf")
+    assert args[0] == kind and args[2] == Q.M.SEARCH_SPACES[kind]
+    assert more == {"n_iter": 20, "folds": 3}
