@@ -85,27 +85,36 @@ _DIGIT_WORDS = (
     "zéro un deux trois quatre cinq six sept huit neuf",
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
-# Fixed values: "dot" and "plus" in words, and last labels trusted behind plain words.
+# Fixed values: "at" and "dot" in words, and last labels trusted behind plain words, also those longer than four letters.
+_AT_NAMES = "at|ät|arroba|arobase"
 _DOT_WORDS = "dot|point|punkt|punto"
-_LAST_LABELS = frozenset("com org net edu gov mil int info biz io co ai app dev de fr es uk eu us ca ch at it nl be pl ru in cn jp br example test".split())
+_LAST_LABELS = frozenset("""com org net edu gov mil int info biz io co ai app dev de fr es uk eu us ca ch at it nl be pl ru in cn jp br example test
+academy agency center cloud codes company design digital email energy events expert finance global group health house media
+museum network online photo schule shopping social solutions space store studio systems today tools travel video website
+world""".split())
+#: Labels that are English words: nothing is meant by "at this point in".
+_WORD_LABELS = frozenset("in it be at us".split())
 
 _INVISIBLE = "­​‌‍‎‏⁠﻿"
 _WIDE = re.compile("[­Ͱ-ԯ٠-٩۰-۹०-९​-‏‐-―⁠⁰-ₙ−①-⓿﻿！-～\U0001d400-\U0001d7ff]")
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
-_AT_MARK = re.compile(rf"\s?{_OPEN}\s?(?:at|@|ät|arroba|arobase)\s?{_SHUT}\s?", re.I)
+_AT_MARK = re.compile(rf"\s?{_OPEN}\s?(?:{_AT_NAMES}|@)\s?{_SHUT}\s?", re.I)
 _DOT_MARK = re.compile(rf"\s?{_OPEN}\s?(?:{_DOT_WORDS}|\.)\s?{_SHUT}\s?", re.I)
-_NAME, _LABEL = r"[A-Za-z0-9._%+-]+", r"[A-Za-z0-9-]+"
-_AT_WORDS = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(\s+at\s+|@){_LABEL}(?:(?:\s+dot\s+|\.){_LABEL})+(?![A-Za-z0-9])", re.I)
-_DOT_WORD = re.compile(r"\s+dot\s+", re.I)
-_BRACKETED = re.compile(rf"{_OPEN}\s?(?:at|@|ät|arroba|arobase|{_DOT_WORDS}|\.)\s?{_SHUT}", re.I)
+_LABEL = r"[A-Za-z0-9-]+"
+_AT_WORDS = re.compile(
+    rf"(?<=[A-Za-z0-9._%+-])(\s+({_AT_NAMES})\s+|@){_LABEL}(?:(?:\s+(?:{_DOT_WORDS})\s+|\.){_LABEL})+(?![A-Za-z0-9])", re.I)
+_DOT_WORD = re.compile(rf"\s+({_DOT_WORDS})\s+", re.I)
+_SHORT_LABEL = re.compile("[a-z]{2,4}")
+_BRACKETED = re.compile(rf"{_OPEN}\s?(?:{_AT_NAMES}|@|{_DOT_WORDS}|\.)\s?{_SHUT}", re.I)
 
 
 def _spelled(words: str) -> tuple[re.Pattern, re.Pattern, dict[str, str]]:
     values = {w: str(i) for i, w in enumerate(words.split())}
     one = "(?:" + "|".join(values) + ")"
     between = rf"(?:[\x20-]|\s(?:{_DOT_WORDS})\s)"
-    run = re.compile(rf"(?<!\w)(?:plus\x20)?{one}(?:{between}{one}){{3,}}(?!\w)", re.I)
-    token = re.compile(rf"(plus)\x20|\s({_DOT_WORDS})\s|({one})|[\x20-]", re.I)
+    any_one = f"(?:{one}|[0-9]++)"
+    run = re.compile(rf"(?<!\w)(?:plus\x20)?{any_one}(?:{between}{any_one})+(?!\w)", re.I)
+    token = re.compile(rf"(plus)\x20|\s({_DOT_WORDS})\s|({one})|([0-9]++)|[\x20-]", re.I)
     return run, token, values
 
 
@@ -149,21 +158,43 @@ def _plain(c: str) -> str:
     return same if len(same) == 1 and same.isascii() else _LOOKALIKES.get(same, c)
 
 
-def _word_edits(text: str) -> list[tuple[int, int, str]]:
-    """Edits for "name at host dot com" in plain words; its last label must be a known one."""
-    edits = []
+def _word_edits(tape: _Tape) -> list[tuple[int, int, str]]:
+    """Edits for "name at host dot com" in plain words, where a mark that was rewritten counts like a word.
+
+    The last label must be a known one, or have two to four letters if both
+    "at" and "dot" are said.
+    """
+    text, edits = tape.text, []
+
+    def rewritten(i: int) -> bool:
+        return tape.ends[i] - tape.starts[i] > 1
+
     for m in _AT_WORDS.finditer(text):
         dots = list(_DOT_WORD.finditer(text, m.end(1), m.end()))
-        if not dots or re.split(r"\s+dot\s+|\.", m[0], flags=re.I)[-1].lower() not in _LAST_LABELS:
+        if not dots and not any(text[i] == "." and rewritten(i) for i in range(m.end(1), m.end())):
+            continue
+        last = re.split(rf"\s+(?:{_DOT_WORDS})\s+|\.", m[0], flags=re.I)[-1].lower()
+        said = m[2] or rewritten(m.start(1))
+        if last not in _LAST_LABELS and not (said and _SHORT_LABEL.fullmatch(last)):
             continue
-        edits += [(*m.span(1), "@"), *((*d.span(), ".") for d in dots)]
+        if (m[2] or "").lower() == "at" and any(d[1].lower() == "point" for d in dots) and (
+                last in _WORD_LABELS or last not in _LAST_LABELS):
+            continue
+        edits += [*([(*m.span(1), "@")] if m[2] else []), *((*d.span(), ".") for d in dots)]
     return edits
 
 
 def _digit_edits(text: str, run: re.Pattern, token: re.Pattern, values: dict[str, str]) -> list[tuple[int, int, str]]:
+    """Edits for four digits and more, all spelled, or two and more of them spelled among figures."""
     edits = []
     for m in run.finditer(text):
-        for t in token.finditer(text, m.start(), m.end()):
+        tokens = list(token.finditer(text, m.start(), m.end()))
+        spelled, figures = sum(bool(t[3]) for t in tokens), sum(len(t[4] or "") for t in tokens)
+        if spelled + figures < 4 or spelled < 2:
+            continue
+        for i, t in enumerate(tokens):
+            if t[4] or (not any(t.groups()) and not any(x[3] for x in tokens[max(0, i - 1):i + 2])):
+                continue  # figures, and what stands between figures
             new = "+" if t[1] else "." if t[2] else values[t[3].lower()] if t[3] else ""
             edits.append((*t.span(), new))
     return edits
@@ -178,8 +209,8 @@ def _undisguised(text: str) -> _Tape | None:
     if any(o in lowered for o in "[({<") and _BRACKETED.search(tape.text):
         tape.rewrite([(*m.span(), "@") for m in _AT_MARK.finditer(tape.text)])
         tape.rewrite([(*m.span(), ".") for m in _DOT_MARK.finditer(tape.text)])
-    if "dot" in lowered:
-        tape.rewrite(_word_edits(tape.text))
+    if tape.text != text or any(w in lowered for w in _DOT_WORDS.split("|")):
+        tape.rewrite(_word_edits(tape))
     for run, token, values in _SPELLED:
         if sum(w in lowered for w in values) > 0:
             tape.rewrite(_digit_edits(tape.text, run, token, values))

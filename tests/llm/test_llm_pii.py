@@ -49,6 +49,29 @@ def test_disguises(text, kind, found):
     assert [(k, text[s:e]) for k, s, e, base in spans(text) if not base] == [(kind, found)]
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("write john at example [dot] com now", "email", "john at example [dot] com"),
+    ("write john at example (.) com now", "email", "john at example (.) com"),
+    ("a juan arroba ejemplo punto com hoy", "email", "juan arroba ejemplo punto com"),
+    ("an hans at beispiel punkt de heute", "email", "hans at beispiel punkt de"),
+    ("a jean arobase exemple point fr", "email", "jean arobase exemple point fr"),
+    ("write john at example dot xyz", "email", "john at example dot xyz"),
+    ("write john [at] example dot xyz", "email", "john [at] example dot xyz"),
+    ("write john at example dot online", "email", "john at example dot online"),
+    ("call +1 555 one two 3 4567 now", "phone", "+1 555 one two 3 4567"),
+    ("call plus one 555 two three 4 5 six seven", "phone", "plus one 555 two three 4 5 six seven"),
+    ("call +155512345 six seven", "phone", "+155512345 six seven"),
+    ("ip 192 dot one six 8 dot 1 dot one", "ip", "192 dot one six 8 dot 1 dot one"),
+])
+def test_disguises_in_other_words_and_mixed_forms(text, kind, found):
+    assert [(k, text[s:e]) for k, s, e, base in spans(text) if not base] == [(kind, found)]
+
+
+@pytest.mark.parametrize("text", ["we look at this point in time", "stop at that point it said", "look at example.com", "add 5 and one 7 2 3"])
+def test_clean_texts_in_other_words(text):
+    assert spans(text) == []
+
+
 @pytest.mark.parametrize("text", ["look at this dot matrix", "meet me at home", "one two three", "we sat at example dot matrix", "\u00e9t\u00e9 \u043f\u0440\u0438\u0432\u0435\u0442", ""])
 def test_clean_texts(text):
     assert spans(text) == []
