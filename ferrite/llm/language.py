@@ -23,8 +23,9 @@ BINS = 1 << 12
 ORDERS = (1, 2, 3)
 #: Bound of the labelled sample that the classifiers are fitted on, shared evenly by the languages.
 SAMPLE_ROWS = 1600
-#: Texts whose best codeword has less than this share of the weight are ambiguous.
-AMBIGUOUS = 0.5
+#: Texts are ambiguous where the shares of their two nearest codewords differ by less than
+#: one in ``CLEAN`` labelled rows does, within these bounds.
+CLEAN, LEAST_MARGIN, MOST_MARGIN = 200, 0.1, 0.9
 ROUNDS, PENALTY = 150, 1e-4
 UND = "und"
 _SEGMENT = 1 << 20
@@ -74,22 +75,39 @@ def codewords(n: int) -> np.ndarray:
     return best[1]
 
 
+def margin(shares: np.ndarray) -> float:
+    """The best share less the second (one language alone: its share)."""
+    first, second = [*np.sort(shares)[::-1], 0.0][:2]
+    return float(first - second)
+
+
 class Model:
     def __init__(self, languages: list[str], weights: np.ndarray, bias: np.ndarray):
         self.languages, self.weights, self.bias = languages, weights, bias
         self.code = codewords(len(languages))
+        self.least_margin = LEAST_MARGIN
+
+    def shares(self, x: np.ndarray) -> np.ndarray:
+        """Each language's share of the weight, for a profile."""
+        loss = np.logaddexp(0, -self.code * (x @ self.weights + self.bias)).sum(axis=1)
+        share = np.exp(loss.min() - loss)
+        return share / share.sum()
+
+    def set_margin(self, x: np.ndarray, y: np.ndarray) -> None:
+        """The least margin that a text needs, from labelled rows that are told rightly."""
+        found = [self.shares(row) for row in x]
+        margins = np.sort([margin(s) for s, i in zip(found, y) if s.argmax() == i])
+        if len(margins):
+            self.least_margin = float(np.clip(margins[len(margins) // CLEAN], LEAST_MARGIN, MOST_MARGIN))
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, ambiguous)."""
         x = profile(text) if text and self.languages else None
         if x is None:
             return UND, 0.0, True
-        margins = x @ self.weights + self.bias
-        loss = np.logaddexp(0, -self.code * margins).sum(axis=1)
-        share = np.exp(loss.min() - loss)
-        best = int(loss.argmin())
-        score = float(share[best] / share.sum())
-        return self.languages[best], score, score < AMBIGUOUS
+        shares = self.shares(x)
+        best = int(shares.argmax())
+        return self.languages[best], float(shares[best]), margin(shares) < self.least_margin
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -126,7 +144,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     y = np.array([languages.index(r.lang) for r in seen], int)
     code = codewords(len(languages))
     weights, bias = _logistic(x, code[y], 1 / np.maximum(1, np.bincount(y, minlength=len(languages)))[y])
-    return Model(languages, weights, bias)
+    model = Model(languages, weights, bias)
+    model.set_margin(x, y)
+    return model
 
 
 def _logistic(x: np.ndarray, sides: np.ndarray, row_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

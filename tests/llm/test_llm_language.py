@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from cases import clashing, frame
+from pyspark.sql import functions as F
 
 from ferrite.llm import language
 from ferrite.llm.common import table
@@ -22,6 +23,22 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got) and len(got) == 1000
 
 
+@pytest.mark.parametrize("languages", [["en", "de"], ["en", "de", "es", "fr"]])
+def test_mixed_texts_are_ambiguous_and_clean_ones_are_not(spark, languages):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").filter(F.col("lang").isin(languages))
+    model = fit(docs)
+    clean = {l: [r.text for r in docs.filter(language.held_out() & (F.col("lang") == l) & (F.length("text") > 200)).collect()] for l in languages}
+    mixed = []
+    for a, b in zip(languages[::2], languages[1::2]):
+        for x, y in zip(clean[a], clean[b]):
+            n = min(len(x), len(y))
+            mixed.append(model.predict(f"{x[:n]} {y[:n]}")[2])
+    kept = [not model.predict(t)[2] for texts in clean.values() for t in texts]
+    print(languages, model.least_margin, len(mixed), "mixed, flagged", np.mean(mixed), len(kept), "clean, kept", np.mean(kept))
+    assert len(mixed) > 10 and np.mean(mixed) > 0.5
+    assert len(kept) > 50 and np.mean(kept) > 0.98
+
+
 def test_profile_does_not_depend_on_segments(monkeypatch):
     text = "\u00e9 Hello w\u00f6rld, again " * 400
     whole = profile(text)
