@@ -6,7 +6,7 @@ word by word, so a hash collision marks nothing.  Words inside any verified
 window are hit.
 
 The benchmark travels as a broadcast of whole items, in blocks of at most
-``BLOCK_BYTES`` of text: a larger benchmark becomes more blocks, each one more
+``BLOCK_BYTES`` of text, measured before a block is collected: a larger benchmark becomes more blocks, each one more
 pass of the same rows through Python, without a shuffle.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrite.llm.common import append_columns, table, utf8, window_hashes, word_hashes
+from ferrite.session import materialize
 
 NGRAM = 13
 #: Benchmark text in one broadcast.
@@ -78,13 +79,20 @@ class _Windows:
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
-    """The benchmark's (id, text) in lists of about ``block_bytes`` of text."""
+    """The benchmark's distinct (id, text) in lists of at most ``block_bytes`` of text (or of one item)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("binary").alias("text")).filter("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for b in range(n):
-        yield [(r.id, bytes(r.text)) for r in
-               items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b).collect()]
+    yield from _cut(materialize(items.distinct(), "benchmark"), block_bytes, 0)
+
+
+def _cut(items: DataFrame, block_bytes: int, level: int):
+    """``items`` in lists, cut by a hash again until the measured bytes of each fit."""
+    total, n = items.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    if n <= 1 or total <= block_bytes:
+        yield [(r.id, bytes(r.text)) for r in items.collect()]
+        return
+    parts = -(-5 * total // (4 * block_bytes))  # a quarter more, so that most fit at once
+    for b in range(parts):
+        yield from _cut(items.filter(F.pmod(F.xxhash64("id", "text", F.lit(level)), F.lit(parts)) == b), block_bytes, level + 1)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:

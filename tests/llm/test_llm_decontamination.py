@@ -60,3 +60,13 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert scan(frame(spark, []), items).count() == 0
     assert {r.n_hit for r in scan(frame(spark), items).collect()} == {0}
+
+
+def test_blocks_hold_their_bytes_also_with_repeated_rows(spark):
+    from ferrite.llm.decontamination import _blocks
+    some = [(i, f"item {i} " + "word " * (20 + i % 7)) for i in range(40)]
+    items = spark.createDataFrame(some + [some[0]] * 50 + [(None, "no id"), (None, "no id"), (7, None)], "item_id long, text string")
+    blocks = list(_blocks(items, 1000))
+    assert max(sum(len(t) for _, t in b) for b in blocks) <= 1000
+    found = sorted((i or "", t.decode()) for b in blocks for i, t in b)
+    assert found == sorted([(str(i), t) for i, t in some] + [("", "no id")])
