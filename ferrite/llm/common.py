@@ -134,6 +134,17 @@ def byte_class(is_word: Callable[[int], bool]) -> np.ndarray:
 WORD_BYTES = byte_class(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 
 
+def segments(data: bytes, words: np.ndarray, size: int = _SEGMENT) -> Iterator[bytes]:
+    """``data`` in pieces of about ``size`` bytes (longer only where one word is), no word cut."""
+    at = 0
+    while at < len(data):
+        stop = min(len(data), at + size)
+        while stop < len(data) and words[data[stop]] and words[data[stop - 1]]:
+            stop += 1
+        yield data[at:stop] if at or stop < len(data) else data
+        at = stop
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, base, np.uint64))))

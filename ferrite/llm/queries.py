@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ferrite.llm import merkle, quality, spelling
 from ferrite.llm.bpe import op5_bpe_chunks
 from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.embeddings import op4_pivot_permutations
@@ -24,8 +25,15 @@ REGISTRY = {
     "op8_license_windows": op8_license_windows,
     "op9_html_density": op9_html_density,
     "op10_simhash_bktree": op10_simhash_bktree,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_pivotal_grams": spelling.op12_pivotal_grams,
+    "op13_quality_cascade": quality.op13_quality_cascade,
 }
 
-#: Shuffles, trained models, tokenizers and graph reachability have no SQL twin;
-#: tests/llm holds each query against a brute-force version.
-SQL: dict[str, str] = {}
+#: Shuffles, trained models and tokenizers have no SQL twin; tests/llm holds
+#: each of their queries against a brute-force version.
+SQL: dict[str, str] = {
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_pivotal_grams": spelling.SQL,
+    "op13_quality_cascade": quality.SQL,
+}

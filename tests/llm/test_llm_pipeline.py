@@ -65,4 +65,4 @@ def test_odd_rows_pass_every_stage(spark):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names

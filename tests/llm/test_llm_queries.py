@@ -2,11 +2,12 @@
 
 import hashlib
 
+import duckdb
 import pytest
 
 from ferrite.llm.common import table
 from ferrite.llm.pii import detect, spans
-from ferrite.llm.queries import REGISTRY
+from ferrite.llm.queries import REGISTRY, SQL
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -20,6 +21,9 @@ COLUMNS = {
     "op8_license_windows": ["doc_id", "n_matches", "licenses", "spans"],
     "op9_html_density": ["page_id", "url", "text", "n_chars"],
     "op10_simhash_bktree": ["doc_id", "fingerprint", "component_id"],
+    "op11_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_pivotal_grams": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op13_quality_cascade": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
 }
 
 
@@ -29,13 +33,27 @@ def test_columns_and_rows(spark, name):
     assert got.columns == COLUMNS[name]
     rows = got.collect()
     source = {"op4": "embeddings", "op9": "pages"}.get(name.split("_")[0], "documents")
-    if name != "op2_line_set_join":
+    if name == "op12_pivotal_grams":
+        assert rows and len({r.word for r in rows}) == len(rows)
+    elif name != "op2_line_set_join":
         assert len(rows) == table(spark, SF, source).count()
     else:
         texts = [r.text for r in table(spark, SF, source).collect()]
         assert len(rows) == sum(bool(line.strip()) for t in texts for line in t.split("\n"))
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark"):
+        con.sql(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
+    got = REGISTRY[name](spark, SF)
+    want = con.sql(SQL[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, got.select(*want.columns).toPandas().astype(object).where(lambda d: d.notna(), None).values.tolist())) == \
+        sorted(map(str, [list(r) for r in want.fetchall()]))
+
+
 def test_pii_digests(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     seen = 0
