@@ -15,9 +15,12 @@ an index of the prefixes of all words.
 Position limits.  Left of an unharmed bigram or right of it nothing was
 edited: the words agree up to its end, at the same place from the start, or
 from its start on, at the same place from the end.  The index is keyed by
-either part, lengths differ by one at most, and what is found is verified by
-edit distance within the join, so that no unverified pair leaves it.  Long
-lists of the index are cut into slices, and their pivots go to each slice.
+either part.  Where that part is short, the rest of both words begins or ends
+alike, since it holds one edit, and its first or last characters join the key.
+Lengths differ by one at most, odd character counts by two, and what is found
+is verified by edit distance within the join, so that no unverified pair
+leaves it.  Long lists of the index are cut into slices, and their pivots go
+to each slice.
 
 Forms are followed to the last by pointer doubling; each step at least doubles
 the count, so rounds are few.
@@ -46,6 +49,9 @@ FORM_RATIO = 2
 GRAM = 2
 #: One edit: three grams in a prefix, two pivots.
 EDITS = 1
+#: An unedited part of so many characters or fewer is short; so many of the rest's first or last join its key.
+SHORT_PART = 4
+RIM = 2
 #: Index entries in a slice of a long list.
 SLICE = 4096
 #: Words that a task sums up before it hands them on.
@@ -106,9 +112,9 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", change: Callable[[object
     return materialize(words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count), "spelling-words")
 
 
-def prefix(word: str, rank: Callable[[str], tuple]) -> tuple[list[int], tuple]:
+def prefix(word: str, rank: dict[str, int]) -> tuple[list[int], int]:
     """Places of the prefix grams of ``word``, rising, and the rank that its prefix ends with."""
-    ranks = [rank(word[i:i + GRAM]) for i in range(len(word) - GRAM + 1)]
+    ranks = [rank[word[i:i + GRAM]] for i in range(len(word) - GRAM + 1)]
     last = sorted(ranks)[min(GRAM * EDITS, len(ranks) - 1)]
     return [i for i, r in enumerate(ranks) if r <= last], last
 
@@ -133,8 +139,23 @@ def pivots(places: Sequence[int], weights: Sequence[int], k: int = EDITS + 1) ->
     return best[-1][k][1]
 
 
-def _key(side: str, part: str) -> int:
-    h = xxhash.xxh64_intdigest((side + part).encode())
+def keys(word: str, place: int) -> Iterator[int]:
+    """The index keys of the bigram at ``place``: 64-bit hashes of what is alike where it is unharmed.
+
+    Words one edit apart share a key: a rest of 2 * RIM characters or more on
+    both sides agrees in its first or last RIM (one edit lies in one half); a
+    shorter one on either side meets in the key without them.
+    """
+    for side, part, rest in (("<", word[:place + GRAM], word[place + GRAM:]), (">", word[place:], word[:place])):
+        if len(part) > SHORT_PART or len(rest) <= 2 * RIM:
+            yield _hash(side + part)
+        if len(part) <= SHORT_PART and len(rest) >= 2 * RIM:
+            yield _hash(f"{side}{part}^{rest[:RIM]}")
+            yield _hash(f"{side}{part}${rest[-RIM:]}")
+
+
+def _hash(key: str) -> int:
+    h = xxhash.xxh64_intdigest(key.encode())
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -145,28 +166,32 @@ def _grams(words: DataFrame) -> dict[str, int]:
 
 
 def _entries(words: DataFrame, count: dict[str, int]) -> DataFrame:
-    """(pivot, key, last_n, last_gram, word, n, len): the pivots and the prefix grams of each word, by either part."""
+    """(pivot, key, last, word, n, len, odd): the pivots and the prefix grams of each word, by either part.
+
+    ``odd`` has a bit for each (folded) character that the word holds an odd
+    number of times: one edit changes one bit for each character it adds or takes.
+    """
+    rank = {g: i for i, g in enumerate(sorted(count, key=lambda g: (count[g], g)))}
+    types = {"pivot": pa.bool_(), "key": pa.int64(), "last": pa.int32(), "word": pa.string(), "n": pa.int64(), "len": pa.int32(), "odd": pa.int64()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rank(gram):
-            return count[gram], gram
         for batch in batches:
             out = defaultdict(list)
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 places, last = prefix(word, rank)
                 chosen = pivots(places, [count[word[p:p + GRAM]] for p in places])
+                odd = 0
+                for c in word:
+                    odd ^= 1 << (ord(c) & 63)
+                odd -= odd >> 63 << 64
                 for is_pivot, some in ((True, chosen), (False, places)):
-                    for p in some:
-                        for key in (_key("<", word[:p + GRAM]), _key(">", word[p:])):
-                            for name, v in (("pivot", is_pivot), ("key", key), ("last_n", last[0]), ("last_gram", last[1]),
-                                            ("word", word), ("n", n), ("len", len(word))):
-                                out[name].append(v)
+                    for key in {k for p in some for k in keys(word, p)}:
+                        for name, v in zip(types, (is_pivot, key, last, word, n, len(word), odd)):
+                            out[name].append(v)
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["pivot"], pa.bool_()), pa.array(out["key"], pa.int64()), pa.array(out["last_n"], pa.int64()),
-                     pa.array(out["last_gram"], pa.string()), pa.array(out["word"], pa.string()), pa.array(out["n"], pa.int64()),
-                     pa.array(out["len"], pa.int32())], names=list(out))
+                yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in types.items()], names=list(types))
 
-    return materialize(words.mapInArrow(run, "pivot boolean, key long, last_n long, last_gram string, word string, n long, len int"), "spelling-grams")
+    return materialize(words.mapInArrow(run, "pivot boolean, key long, last int, word string, n long, len int, odd long"), "spelling-grams")
 
 
 def near_pairs(words: DataFrame, slice_size: int = SLICE) -> DataFrame:
@@ -181,7 +206,7 @@ def near_pairs(words: DataFrame, slice_size: int = SLICE) -> DataFrame:
     index = index.join(long_lists, "key", "left").withColumn("slice", F.expr("coalesce(pmod(xxhash64(word), g), 0)")).drop("g")
     probes = probes.join(long_lists, "key", "left").withColumn("slice", F.explode(F.expr("sequence(0, coalesce(g, 1) - 1)"))).drop("g")
     near = probes.alias("p").join(index.alias("i"), F.expr("""p.key = i.key and p.slice = i.slice and p.word <> i.word
-        and abs(p.len - i.len) <= 1 and (p.last_n < i.last_n or p.last_n = i.last_n and p.last_gram <= i.last_gram)
+        and abs(p.len - i.len) <= 1 and bit_count(p.odd ^ i.odd) <= 2 - abs(p.len - i.len) and p.last <= i.last
         and levenshtein(p.word, i.word, 1) >= 0"""))
     first = F.col("p.word") < F.col("i.word")
     pairs = near.select(*[F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(name) for x, y, c, name in (
@@ -212,9 +237,8 @@ def spelling_groups(words: DataFrame, ratio: int = FORM_RATIO) -> DataFrame:
     1; else null, as is ``form_n``.  ``root``: the last form, the word itself
     if it has none.  No words give no rows.
     """
-    pairs = near_pairs(words)
-    both = pairs.select(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("other"), F.col("b_n").alias("other_n")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.col("b_n").alias("n"), F.col("a").alias("other"), F.col("a_n").alias("other_n")))
+    both = near_pairs(words).select(F.expr("""inline(array(struct(a as word, b as other, b_n as other_n),
+        struct(b as word, a as other, a_n as other_n)))"""))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("m"), "other")).alias("best"))
     found = words.select("word", "n").join(best, "word", "left")
     is_form = F.expr(f"-best.m >= {ratio} * n")
