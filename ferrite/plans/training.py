@@ -88,26 +88,34 @@ def score_all(models: dict, rows: DataFrame) -> DataFrame:
     return _union([M.score(m, rows).withColumn("model", F.lit(k)) for k, m in models.items()])
 
 
-def tuned_params(prep: Prepared, kinds: Sequence[str], defaults: dict, draws: dict, seed: int = 42) -> dict:
-    """The best parameters of each kind over its defaults.
+def search_draws(prep: Prepared, kind: str, n_iter: int, seed: int = 42) -> DataFrame:
+    """H6/H7: the table of draws of one kind, the best first.
 
-    ``draws`` has the number of draws for each kind; kinds without one keep
-    their defaults.  The network is scored on one validation part, the others
-    on three folds.
+    The network is scored on one validation part, the others on three folds.
     """
-    train, out = prep.part("train").drop("split"), {}
-    for kind in kinds:
-        table = None
-        if draws.get(kind):
-            if kind == "mlp":
-                fv = materialize(stratified_split(train, TARGET, 0.2, seed, split_col="part", names=("fit", "validation")))
-                _, found = M.search_on_validation(kind, fv.where(F.col("part") == "fit"), fv.where(F.col("part") == "validation"),
-                                                  M.SEARCH_SPACES[kind], draws[kind], seed)
-                table = found.orderBy(F.col("validation_f1").desc(), "draw")
-            else:
-                _, found = M.random_search(kind, train, M.SEARCH_SPACES[kind], draws[kind], 3, seed)
-                table = found.orderBy(F.col("cv_f1_mean").desc(), "draw")
-        out[kind] = files.best_params(table, defaults.get(kind, {}))
+    train = prep.part("train").drop("split")
+    if kind == "mlp":
+        fv = materialize(stratified_split(train, TARGET, 0.2, seed, split_col="part", names=("fit", "validation")))
+        _, found = M.search_on_validation(kind, fv.where(F.col("part") == "fit"), fv.where(F.col("part") == "validation"),
+                                          M.SEARCH_SPACES[kind], n_iter, seed)
+        return found.orderBy(F.col("validation_f1").desc(), "draw")
+    _, found = M.random_search(kind, train, M.SEARCH_SPACES[kind], n_iter, 3, seed)
+    return found.orderBy(F.col("cv_f1_mean").desc(), "draw")
+
+
+def tuned_params(draws: dict[str, DataFrame], defaults: dict) -> dict:
+    """The best parameters of each kind over its defaults.
+
+    ``draws`` has result tables of searches (``validation_f1`` or
+    ``cv_f1_mean``); kinds without one keep their defaults.
+    """
+    out = {}
+    for kind, default in defaults.items():
+        table = draws.get(kind)
+        if table is not None:
+            by = "validation_f1" if "validation_f1" in table.columns else "cv_f1_mean"
+            table = table.orderBy(F.col(by).desc(), "draw")
+        out[kind] = files.best_params(table, default)
     return out
 
 
@@ -143,12 +151,12 @@ def threshold_tuning(prep: Prepared, kinds: Sequence[str], params: dict | None =
     train, test = prep.part("train"), prep.part("test")
     fv = materialize(stratified_split(train.drop("split"), TARGET, 0.2, seed, split_col="part",
                                       names=("fit", "validation")))
-    fit_models, _ = fit_all(prep, kinds, params, fv.where(F.col("part") == "fit"))
-    val_scores = score_all(fit_models, fv.where(F.col("part") == "validation"))
+    def scored(rows, held):
+        return _union(M.parallel_map(lambda k: M.fitted_scores(k, rows, held, (params or {}).get(k)).withColumn("model", F.lit(k)), kinds))
+
+    val_scores = scored(fv.where(F.col("part") == "fit"), fv.where(F.col("part") == "validation"))
     best = E.best_threshold(E.threshold_sweep(val_scores, ["model"]), ["model"])
-    if full_models is None:
-        full_models, _ = fit_all(prep, kinds, params)
-    test_scores = score_all(full_models, test)
+    test_scores = materialize(score_all(full_models, test) if full_models is not None else scored(train, test))
     at_t = E.metrics_at(test_scores, best, ["model"], with_areas=True)
     at_d = E.confusion(test_scores, 0.5, ["model"], digits=6)
     b = best.select("model", F.col("threshold").alias("selected_threshold"),

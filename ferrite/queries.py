@@ -6,6 +6,8 @@ views derived from `events`), so its work grows with them.
 
 from __future__ import annotations
 
+import uuid
+
 from ferrite.operators import profile as P
 from ferrite.oracle import ALL_COLS, PROFILE_NUMERIC, RAW_COLS, SCORER_NAMES, SENSORS5, VALUE_COLS
 from ferrite.schema import (
@@ -372,6 +374,7 @@ from ferrite.plans import training as TR  # noqa: E402
 from ferrite.plans.preparation import run_preprocessing  # noqa: E402
 from ferrite.session import fresh_dir  # noqa: E402
 from ferrite.sources import files as A  # noqa: E402
+from ferrite.sources import registry  # noqa: E402
 
 _PREPARED = {}
 
@@ -407,22 +410,33 @@ def q_rebalancing_comparison(spark, sf):
     return TR.rebalancing_comparison(prepared(spark, sf))
 
 
+#: Draws of the searches, as the reference has them.
+DRAWS = {"lr": 20, "rf": 20, "gbt": 20, "mlp": 10}
+
+
+def _made_from(spark, sf, *more):
+    return [sf, A.file_stamps(spark, f"{sf}/events.parquet"), *more]
+
+
+def _draws(spark, sf, kind):
+    """The result table of a search, read from the registry or made for it."""
+    made_from = _made_from(spark, sf, M.SEARCH_SPACES[kind], DRAWS[kind])
+    return registry.stored_table(spark, f"draws-{kind}", made_from, lambda: TR.search_draws(prepared(spark, sf), kind, DRAWS[kind]))
+
+
 @query
 def q_random_search(spark, sf):
-    _, table = M.random_search("lr", prepared(spark, sf).part("train"), M.SEARCH_SPACES["lr"], n_iter=20, folds=3)
-    return table
+    return _draws(spark, sf, "lr")
 
 
 @query
 def q_random_search_rf(spark, sf):
-    _, table = M.random_search("rf", prepared(spark, sf).part("train"), M.SEARCH_SPACES["rf"], n_iter=20, folds=3)
-    return table
+    return _draws(spark, sf, "rf")
 
 
 @query
 def q_random_search_gbt(spark, sf):
-    _, table = M.random_search("gbt", prepared(spark, sf).part("train"), M.SEARCH_SPACES["gbt"], n_iter=20, folds=3)
-    return table
+    return _draws(spark, sf, "gbt")
 
 
 @query
@@ -444,13 +458,34 @@ def q_threshold_tuning(spark, sf):
 
 @query
 def q_final_selection(spark, sf):
-    """H6 to H12 joined: search, best parameters over the defaults, refit,
+    """H6 to H12 joined: the searches' result tables, best parameters over the defaults, refit,
     threshold on validation rows, test metrics, stability and selection."""
-    p, kinds = prepared(spark, sf), ["lr", "rf", "gbt", "mlp"]
-    params = TR.tuned_params(p, kinds, REFERENCE_DEFAULTS, {"lr": 20, "rf": 20, "gbt": 20, "mlp": 10})
+    p, kinds = prepared(spark, sf), list(REFERENCE_DEFAULTS)
+    params = TR.tuned_params({k: _draws(spark, sf, k) for k in kinds}, REFERENCE_DEFAULTS)
     return TR.final_selection(TR.threshold_tuning(p, kinds, params), None, TR.stability(p, kinds, params))
 
 
+#: Small settings for what shows saving and reading, not quality.
+SMALL = {"lr": {"C": 1.0, "max_iter": 1000}, "rf": {"n_estimators": 10, "max_depth": 5}, "gbt": {"max_iter": 5, "max_depth": 3},
+         "mlp": {"units_1": 8, "units_2": 4, "max_iter": 20}}
+
+
+@query
+def q_saved_models(spark, sf):
+    """A10: all four classifiers, each saved with its preprocessing and read back: test rows whose scores differ."""
+    p, test = prepared(spark, sf), readings(spark, sf)
+
+    def one(kind):
+        made = M.scoring_pipeline(p.preprocessor, M.fit(kind, p.part("train"), SMALL[kind]))
+        path = registry.stored_model(spark, kind, _made_from(spark, sf, SMALL[kind], uuid.uuid4().hex), lambda: made)
+        a, b = (M.failure_probability(m.transform(test)).select(KEY, "score") for m in (made, A.load_pipeline(path)))
+        both = a.alias("a").join(b.alias("b"), KEY, "full")
+        return both.agg(F.lit(kind).alias("model"), F.count(F.lit(1)).alias("n_rows"),
+                        F.count_if(F.coalesce(F.abs(F.col("a.score") - F.col("b.score")) > 1e-12, F.lit(True))).alias("n_different"))
+
+    return TR._union(M.parallel_map(one, list(SMALL)))
+
+
 def _history(spark, sf, kind):
     p = prepared(spark, sf)
     h = M.training_history(M.fit(kind, p.part("train"), REFERENCE_DEFAULTS[kind]))
@@ -659,13 +694,7 @@ def q_stream_equals_batch(spark, sf):
 @query
 def q_mlp_search(spark, sf):
     """H7: ten draws of the network's space, scored on one validation part."""
-    p = prepared(spark, sf)
-    fv = S.stratified_split(p.part("train").drop("split"), TARGET, 0.2, 42, split_col="part",
-                            names=("fit", "validation"))
-    fv = materialize(fv)
-    _, table = M.search_on_validation("mlp", fv.where(F.col("part") == "fit"),
-                                      fv.where(F.col("part") == "validation"), M.SEARCH_SPACES["mlp"], 10, 42)
-    return table
+    return _draws(spark, sf, "mlp")
 
 
 @query
