@@ -6,12 +6,16 @@ word by word, so a hash collision marks nothing.  Words inside any verified
 window are hit.
 
 The benchmark travels as a broadcast of whole items, in blocks of at most
-``BLOCK_BYTES`` of text, measured before a block is collected: a larger benchmark becomes more blocks, each one more
-pass of the same rows through Python, without a shuffle.
+``BLOCK_BYTES`` of text, measured before a block is collected.  A larger
+benchmark becomes more blocks, each one more pass of the same rows through
+Python, without a shuffle; between passes the rows are written with their
+marks, so that one block at a time is in memory.  A worker builds the index of
+a block once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -32,7 +36,12 @@ _RANGE = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struc
 
 
 class _Windows:
-    """The windows of a block of items, by length, sorted by hash."""
+    """The different windows of a block of items, by length, sorted by hash.
+
+    A window that an item or several items repeat is kept once, with the list
+    of its items, so neither repeats in items nor in documents are compared
+    pairwise.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes]], ngram: int):
         found = defaultdict(list)
@@ -46,11 +55,34 @@ class _Windows:
             if n:
                 w = window_hashes(h, n)
                 found[n].append((w, np.full(len(w), at), np.arange(len(w))))
-        self.by_length = {}
-        for n, parts in found.items():
-            w, at, first = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(w, kind="stable")
-            self.by_length[n] = (w[order], at[order], first[order])
+        self.by_length = {n: self._different(n, *(np.concatenate(x) for x in zip(*parts))) for n, parts in found.items()}
+
+    def _different(self, n: int, w: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple:
+        """(hash, item and place of one occurrence, first of its items in ``of``) of each window, and ``of``."""
+        order = np.lexsort((at, w))
+        w, at, first = w[order], at[order], first[order]
+        one, of = [], []  # window: its occurrence; (window, item)
+        new = np.concatenate(([True], w[1:] != w[:-1]))
+        single = new & np.concatenate((new[1:], [True]))
+        same: list[tuple[int, list[bytes]]] = []  # windows of the present hash
+        for i in range(len(w)) if not single.all() else ():
+            if single[i]:
+                of.append((len(one), int(at[i])))
+                one.append(i)
+                continue
+            if new[i]:
+                same = []
+            words = self._span(int(at[i]), int(first[i]), n)
+            k = next((k for k, x in same if x == words), None)
+            if k is None:
+                k = len(one)
+                same.append((k, words))
+                one.append(i)
+            of.append((k, int(at[i])))
+        if single.all():
+            return w, at, first, np.arange(len(w) + 1), at
+        pairs = np.unique(np.array(of), axis=0)
+        return w[one], at[one], first[one], np.searchsorted(pairs[:, 0], np.arange(len(one) + 1)), pairs[:, 1]
 
     def _span(self, at: int, first: int, n: int) -> list[bytes]:
         data, s, e = self.words[at]
@@ -60,7 +92,7 @@ class _Windows:
         """Which words are hit, and by which items (their positions in the block)."""
         hit, items = np.zeros(len(h) + 1, np.int64), set()
         lowered = None
-        for n, (known, at, first) in self.by_length.items():
+        for n, (known, at, first, begin, of) in self.by_length.items():
             w = window_hashes(h, n)
             lo = np.searchsorted(known, w, "left")
             maybe = np.flatnonzero((lo < len(known)) & (known[np.minimum(lo, len(known) - 1)] == w))
@@ -68,16 +100,33 @@ class _Windows:
                 continue
             hi = np.searchsorted(known, w[maybe], "right")
             lowered = lowered if lowered is not None else data.lower()
+            seen: dict[int, list[tuple[list[bytes], bool]]] = {}  # by hash: the document's windows so far, and whether known
             for p, a, b in zip(maybe.tolist(), lo[maybe].tolist(), hi.tolist()):
                 words = [lowered[s:e] for s, e in zip(starts[p:p + n].tolist(), ends[p:p + n].tolist())]
-                same = [x for x in range(a, b) if self._span(int(at[x]), int(first[x]), n) == words]
-                if same:
+                before = seen.setdefault(a, [])
+                found = next((x for ws, x in before if ws == words), None)
+                if found is None:
+                    same = [k for k in range(a, b) if self._span(int(at[k]), int(first[k]), n) == words]
+                    found = bool(same)
+                    before.append((words, found))
+                    for k in same:
+                        items.update(of[begin[k]:begin[k + 1]].tolist())
+                if found:
                     hit[p] += 1
                     hit[p + n] -= 1
-                    items.update(int(at[x]) for x in same)
         return np.cumsum(hit)[:-1] > 0, items
 
 
+_INDEX: dict[str, _Windows] = {}  # a worker keeps the index of the block it works on
+
+
+def _index(name: str, items: list, ngram: int) -> _Windows:
+    if name not in _INDEX:
+        _INDEX.clear()
+        _INDEX[name] = _Windows(items, ngram)
+    return _INDEX[name]
+
+
 def _blocks(benchmark: DataFrame, block_bytes: int):
     """The benchmark's distinct (id, text) in lists of at most ``block_bytes`` of text (or of one item)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("binary").alias("text")).filter("text is not null")
@@ -104,20 +153,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, block_bytes:
     not listed; equal items are listed under each of their ids.  Columns of
     ``docs`` with these names are replaced.  An empty benchmark hits nothing.
     """
-    sc = docs.sparkSession.sparkContext
-    out, first = docs, True
-    blocks = list(_blocks_broadcast(sc, benchmark, block_bytes))
-    for number, shared in enumerate(blocks):
-        out = _scan_block(out, shared, ngram, first, number == len(blocks) - 1)
-        first = False
+    out, before = docs, None
+    blocks = iter(_blocks(benchmark, block_bytes))
+    items = next(blocks)
+    while items is not None:
+        following = next(blocks, None)
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+        marked = _scan_block(out, shared, ngram, before is None, following is None)
+        if following is not None:  # one block at a time is alive: its marks are written, its copies dropped
+            marked = materialize(marked, "marks")
+            shared.unpersist()
+        out, before, items = marked, shared, following
     return out.withColumn("contaminated", F.expr(f"n_hit > 0 and {ONE_IN} * n_hit >= n_words"))
 
 
-def _blocks_broadcast(sc, benchmark: DataFrame, block_bytes: int):
-    for items in _blocks(benchmark, block_bytes):
-        yield sc.broadcast(items)
-
-
 def _scan_block(docs: DataFrame, shared, ngram: int, first: bool, last: bool) -> DataFrame:
     """One block: marks so far come in ``_marks`` (first and end word, in turn) and ``_items``."""
     if last:
@@ -127,8 +176,10 @@ def _scan_block(docs: DataFrame, shared, ngram: int, first: bool, last: bool) ->
     else:
         fields = [T.StructField("_marks", T.ArrayType(T.LongType())), T.StructField("_items", T.ArrayType(T.StringType()))]
 
+    name = uuid.uuid4().hex
+
     def start():
-        windows = _Windows(shared.value, ngram)
+        windows = _index(name, shared.value, ngram)
 
         def f(texts, marks=None, known=None):
             rows = []
@@ -162,6 +213,9 @@ def _scan_block(docs: DataFrame, shared, ngram: int, first: bool, last: bool) ->
 def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documents") -> DataFrame:
     """The columns of ``docs`` without contaminated documents, or with their hit spans cut out.
 
+    Null, empty and wordless texts are clean and stay; repeated rows share
+    their verdict; very long texts are scanned whole; no rows give no rows.
+
     ``remove="spans"`` keeps every document and deletes the hit ranges from
     its text (``n_chars``, if there, is set anew).
     """
@@ -186,3 +240,21 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated")
+
+
+#: DuckDB twin of op3_decontaminate.
+SQL = r"""
+with low as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as a, 'abcdefghijklmnopqrstuvwxyz' as b, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' as word),
+d as (select doc_id, row_number() over () as k, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents, low),
+items as (select id, ws, least(13, len(ws)) as n from (
+  select item_id::varchar as id, regexp_extract_all(translate(text, a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark, low)
+  where len(ws) > 0),
+known as (select distinct id, n, array_to_string(ws[i:i + n - 1], ' ') as g from items, lateral (select unnest(range(1, len(ws) - n + 2)) as i)),
+windows as (select k, i, n, array_to_string(ws[i:i + n - 1], ' ') as g from d, (select distinct n from known), lateral (select unnest(range(1, len(ws) - n + 2)) as i)),
+found as (select k, i, n, id from windows join known using (n, g)),
+hits as (select k, count(distinct i + j) as n_hit from (select distinct k, i, n from found), lateral (select unnest(range(0, n)) as j) group by k),
+ids as (select k, count(id) as n_items, coalesce(string_agg(id, ',' order by id), '') as listed from (select distinct k, id from found) group by k)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(ws), false) as contaminated
+from d left join hits using (k) left join ids using (k)
+"""

@@ -6,8 +6,9 @@ children's densities holds the main text; the least density on its path to the
 body is the threshold for other dense parts.  An article or main element on
 that path widens the choice to the outermost such element.  Elements that are not the
 article by their tag (menus, footers and so on) are left out before densities
-are taken.  Forms, and elements whose class, id or role says so (adverts,
-comments and so on), are left out only if their text agrees: see ``_marked_out``.
+are taken, and so are those whose class, id or role says so (adverts, notices,
+comments and so on), whatever their size; a name that may be a wrapper's
+("layout has-sidebar") is left out unless it holds the text: see ``_marked_out``.
 """
 
 from __future__ import annotations
@@ -44,10 +45,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# A marked element is small below this share of the body's text, outside an article and in one.
-_SMALL, _SMALL_INSIDE = 0.5, 0.2
-# It is beside the article if an article outside of it has one in so many of its characters.
-_BESIDE = 4
+# Beside such a word these say nothing: "comment-list" is as plain as "comments".
+_NEUTRAL = frozenset("""list lists item items box block area section wrap wrapper container inner outer body bar panel group thread
+entry post posts articles stories story page site global primary secondary main left right top bottom first second
+count link links button meta text title form sign up""".split())
+#: What a name tells of an element: nothing, perhaps that it is not the article, surely so.
+_PLAIN, _MAYBE, _SURE = 0, 1, 2
 
 
 def _left_out(tag: str, attrs: list, in_article: bool) -> bool:
@@ -59,18 +62,33 @@ def _left_out(tag: str, attrs: list, in_article: bool) -> bool:
         for name, value in attrs)
 
 
-def _marked(tag: str, attrs: list, in_article: bool) -> bool:
-    """Says that it is not the article, or is a form: left out only if its text agrees."""
-    if tag in ("html", "body", "article", "main"):
-        return False
+def _mark(tag: str, attrs: list, in_article: bool) -> int:
+    """What class, id, role and tag say of an element.
+
+    A name is sure if all its words say so ("cookie-banner", "comment-list"),
+    and a form in an article; a name with other words besides ("layout
+    has-sidebar", "no-comments") and any other form may be a wrapper of the
+    whole page.  An article or main is marked by a sure name alone.
+    """
+    if tag in ("html", "body"):
+        return _PLAIN
+    mark = _PLAIN if tag != "form" else _SURE if in_article else _MAYBE
     for name, value in attrs:
-        if name in ("class", "id", "role") and value:
-            words = {w.lower() for w in _WORDS.findall(value)}
+        if name not in ("class", "id", "role") or not value:
+            continue
+        for token in value.split():
+            words = {w.lower() for w in _WORDS.findall(token)}
             if name == "id" and (tag in _HEADINGS or (tag == "section" and words - _NOT_MAIN)):
                 continue  # named after its own title
-            if words & _NOT_MAIN or (not in_article and words & {"header", "masthead"}):
-                return True
-    return tag == "form"
+            bad = words & _NOT_MAIN
+            if not in_article:
+                bad |= words & {"header", "masthead"}
+            if tag == "form":
+                bad -= {"form"}
+            if bad:
+                sure = not words - bad - _NEUTRAL
+                mark = max(mark, _SURE if sure else _PLAIN if tag in ("article", "main") else _MAYBE)
+    return mark
 
 
 class _Dom(HTMLParser):
@@ -79,7 +97,7 @@ class _Dom(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.out = ["html"], [0], [False]
-        self.marked, self.inside = [False], [False]  # may be left out; in an article
+        self.marked, self.inside = [_PLAIN], [False]  # what its name says; in an article
         self.own = [[0, 0, 0, 0]]  # characters, link characters, tags, link tags
         self.said: list[tuple[int, str]] = []  # (block, text); a blank stands where blocks meet
         self.stack: list[tuple[str, int, bool, bool]] = []  # (tag, block, in a link, in an article)
@@ -114,7 +132,7 @@ class _Dom(HTMLParser):
         link = link or tag == "a"
         article = article or tag in ("article", "main")
         out = self.out[block]
-        marked = not out and _marked(tag, attrs, article)
+        marked = _PLAIN if out else _mark(tag, attrs, article)
         if tag in _BLOCK or tag in _LEFT_OUT or marked or (not out and attrs and _left_out(tag, attrs, article)):
             self.tags.append(tag)
             self.parents.append(block)
@@ -194,37 +212,40 @@ def _densities(dom: _Dom, out: list[bool]) -> tuple[list, list[float], list[floa
 
 
 def _marked_out(dom: _Dom) -> list[bool]:
-    """Which elements are left out: by tag, or marked and agreed by their text.
+    """Which elements are left out: by tag, or by what their names say, whatever their size.
 
-    A marked element stays if it holds an article or main.  Else it goes if
-    half of its text or more is links, if an article that is not in a marked
-    element stands beside it, or if it has a small share of the body's text
-    and does not hold the largest sum of densities.
+    A surely marked element goes, unless all articles and mains of the page
+    are in such elements and it holds one.  An element that is perhaps marked
+    goes unless it holds an article or main, or is on the way to the largest
+    sum of densities (inside an article, or in a page without one).  If no
+    text would remain, names count for nothing.
     """
     n, parents, out = len(dom.tags), dom.parents, list(dom.out)
     if not any(m and not o for m, o in zip(dom.marked, out)):
         return out
-    totals, _, sums = _densities(dom, out)
-    best = max(range(n), key=lambda i: sums[i])
-    holds, under, named = [False] * n, list(dom.marked), 0
+    totals, _, _ = _densities(dom, out)
+    named = [not out[i] and dom.tags[i] in ("article", "main") and dom.marked[i] == _PLAIN and totals[i][0] > 0 for i in range(n)]
+    holds, under = list(named), [m == _SURE for m in dom.marked]
     for i in range(n - 1, 0, -1):
-        holds[parents[i]] |= not out[i] and (holds[i] or dom.tags[i] in ("article", "main"))
+        holds[parents[i]] |= holds[i]
     for i in range(1, n):
         under[i] |= under[parents[i]]
-        if dom.tags[i] in ("article", "main") and not under[i] and not out[i]:
-            named = max(named, totals[i][0])
-    way, at = set(), best
-    while at and sums[best]:
+    outside = any(a and not u for a, u in zip(named, under))
+    for i in range(1, n):
+        out[i] |= out[parents[i]] or (dom.marked[i] == _SURE and (outside or not holds[i]))
+    totals, _, sums = _densities(dom, out)
+    if not totals[0][0]:
+        return list(dom.out)
+    outside = any(a and not o for a, o in zip(named, out))
+    way, at = set(), max(range(n), key=lambda i: sums[i])
+    while at:
         way.add(at)
         at = parents[at]
+    by_sure = list(out)
     for i in range(1, n):
-        if out[parents[i]]:
-            out[i] = True
-        elif dom.marked[i] and not out[i] and not holds[i]:
-            chars, links = totals[i][:2]
-            small = chars <= (_SMALL_INSIDE if dom.inside[i] else _SMALL) * totals[0][0] and i not in way
-            out[i] = small or 2 * links >= chars or (not dom.inside[i] and chars <= _BESIDE * named)
-    return out
+        keeps = holds[i] or (i in way and (dom.inside[i] or not outside))
+        out[i] |= out[parents[i]] or (dom.marked[i] == _MAYBE and not keeps)
+    return out if _densities(dom, out)[0][0][0] else by_sure
 
 
 def main_text(page: str) -> str:
@@ -264,7 +285,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text`` (the main text of ``html``; empty if none) and ``n_chars``.
 
     A null or empty html gives an empty text.  Repeated rows give repeated
-    results.  Columns of ``pages`` named text or n_chars are replaced.
+    results; very long pages are read whole, one at a time.  Columns of ``pages`` named text or n_chars are replaced.
     """
     def start():
         def f(pages):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ferrite.llm import merkle, quality, spelling
+from ferrite.llm import decontamination, merkle, quality, spelling
 from ferrite.llm.bpe import op5_bpe_chunks
 from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.embeddings import op4_pivot_permutations
@@ -33,6 +33,7 @@ REGISTRY = {
 #: Shuffles, trained models and tokenizers have no SQL twin; tests/llm holds
 #: each of their queries against a brute-force version.
 SQL: dict[str, str] = {
+    "op3_decontaminate": decontamination.SQL,
     "op11_merkle_manifest": merkle.SQL,
     "op12_pivotal_grams": spelling.SQL,
     "op13_quality_cascade": quality.SQL,

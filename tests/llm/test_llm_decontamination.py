@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from cases import PASSAGE, clashing, frame, rows
 
@@ -70,3 +71,27 @@ def test_blocks_hold_their_bytes_also_with_repeated_rows(spark):
     assert max(sum(len(t) for _, t in b) for b in blocks) <= 1000
     found = sorted((i or "", t.decode()) for b in blocks for i, t in b)
     assert found == sorted([(str(i), t) for i, t in some] + [("", "no id")])
+
+
+def test_repeated_windows_are_not_compared_pairwise():
+    import time
+
+    from ferrite.llm.common import word_hashes
+    from ferrite.llm.decontamination import _Windows
+    data = b"a " * 20_000
+    before = time.perf_counter()
+    windows = _Windows([(str(i), data) for i in range(3)] + [("b", b"b " * 40 + b"c")], 13)
+    hit, items = windows.hits(data, *word_hashes(data))
+    assert hit.all() and len(hit) == 20_000 and items == {0, 1, 2}
+    assert time.perf_counter() - before < 5
+
+
+def test_windows_of_equal_hash_are_told_apart(monkeypatch):
+    from ferrite.llm import decontamination as D
+    monkeypatch.setattr(D, "window_hashes", lambda h, n: np.zeros(max(0, len(h) - n + 1), np.uint64))
+    windows = D._Windows([("x", b"a b c"), ("y", b"a b c a"), ("z", b"b c a")], 3)
+    data = b"q a b c a q"
+    hit, items = windows.hits(data, *D.word_hashes(data))
+    assert hit.tolist() == [False, True, True, True, True, False] and items == {0, 1, 2}
+    hit, items = windows.hits(b"a b c", *D.word_hashes(b"a b c"))
+    assert hit.all() and items == {0, 1}

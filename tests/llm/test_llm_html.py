@@ -38,6 +38,33 @@ def test_marked_elements_go_only_if_their_text_agrees(page, text):
     assert main_text(page) == text
 
 
+SHORT = "<p>Short story that we want.</p>"
+NOTICE = "".join(f"<p>We and our {i} partners store cookies on your device, and you may say what you think of it here.</p>" for i in range(6))
+COMMENTS = [f"<p>Comment {i}: a long and thoughtful remark on the story above, with thanks to its author.</p>" for i in range(10)]
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><article>{SHORT}</article><div class=cookie-banner>{NOTICE}</div>", "Short story that we want."),
+    (f"<body><div>{SHORT}</div><div class=cookie-banner>{NOTICE}</div>", "Short story that we want."),
+    (f"<article>{BODY}<div class=comments>{''.join(COMMENTS[:3])}</div></article>", STORY),
+    (f"<article>{BODY}<section id=comments>{''.join(COMMENTS)}</section></article>", STORY),
+    (f"<article>{SHORT}</article><ol class=commentlist>{''.join(f'<li><article class=comment>{c}</article>' for c in COMMENTS)}</ol>", "Short story that we want."),
+    (f"<article>{SHORT}</article>{''.join(f'<article class=comment>{c}</article>' for c in COMMENTS)}", "Short story that we want."),
+    (f"<main>{BODY}<div class='post-comments'>{''.join(COMMENTS)}</div></main>", STORY),
+    (f"<body><div>{BODY}</div><div id=comments>{''.join(COMMENTS)}</div>", STORY),
+    (f"<article>{SHORT}<form class=newsletter>{NOTICE}</form></article>", "Short story that we want."),
+    (f"<article>{SHORT}<form>{NOTICE}</form></article>", "Short story that we want."),
+    (f"<article>{SHORT}</article><div class='related-posts'><article>{NOTICE}</article></div>", "Short story that we want."),
+    (f"<div role=banner>{NOTICE}</div><div><h1>T</h1>{SHORT}</div><div class='sidebar-widget'>{NOTICE}</div>", "T Short story that we want."),
+    (f"<article class='post category-social has-sidebar'>{BODY}</article>", STORY),
+    (f"<article><div class='has-sidebar'>{BODY}</div></article>", STORY),
+    (f"<body><div class=widget>{BODY}</div>", STORY),  # nothing else remains
+    (f"<body><div class='layout has-sidebar'><div>{BODY}</div><div class=sidebar>{NOTICE}</div></div><p>Imprint", STORY),
+])
+def test_what_is_marked_goes_whatever_its_size(page, text):
+    assert main_text(page) == text
+
+
 PARTS = ["".join(f"<p>Part {k}, sentence {i}, {'and so on, ' * (1 + k)}to its end.</p>" for i in range(6)) for k in range(3)]
 SAID = [re.sub("<[^>]*>", " ", p) for p in PARTS]
 
