@@ -461,7 +461,8 @@ def q_final_selection(spark, sf):
     """H6 to H12 joined: the searches' result tables, best parameters over the defaults, refit,
     threshold on validation rows, test metrics, stability and selection."""
     p, kinds = prepared(spark, sf), list(REFERENCE_DEFAULTS)
-    params = TR.tuned_params({k: _draws(spark, sf, k) for k in kinds}, REFERENCE_DEFAULTS)
+    draws = M.parallel_map(lambda k: _draws(spark, sf, k), kinds)
+    params = TR.tuned_params(dict(zip(kinds, draws)), REFERENCE_DEFAULTS)
     return TR.final_selection(TR.threshold_tuning(p, kinds, params), None, TR.stability(p, kinds, params))
 
 
