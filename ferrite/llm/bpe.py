@@ -11,6 +11,10 @@ over as many chunks as it takes, is encoded anew.
 That gives the library's ids exactly: tokens of this vocabulary never contain
 white space, so its normaliser, its splitting and its added tokens never look
 across an ASCII blank, and the ids of a text are those of its pieces in turn.
+For the same reasons letters A-Z are as good as a-z, and a piece that ends in
+marks after a letter is a stem and its marks, so pieces that differ in these
+are encoded once.  All this holds for tokenizers of one make; ``checked``
+raises ValueError for any other.
 
 There is no shuffle.  Reuse is within a Python worker; its caches are bounded.
 """
@@ -18,7 +22,9 @@ There is no shuffle.  Reuse is within a Python worker; its caches are bounded.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from array import array
 
 import numpy as np
@@ -34,7 +40,7 @@ CUT_BITS = 9
 LONGEST_CHUNK = 1 << 14
 #: Bounds of a worker's caches: pieces in each of two generations, bytes of chunks likewise
 #: (a chunk's ids and decoded text take about four times its bytes).
-CACHED_PIECES = 120_000
+CACHED_PIECES = 160_000
 CACHED_CHUNK_BYTES = 4 << 20
 #: Bytes of text whose pieces are looked up together.
 GROUP_BYTES = 1 << 20
@@ -97,13 +103,41 @@ class _Generations:
         self.weight += weight
 
 
+#: How the tokenizer splits a normalised text (fixed value), and the parts of its normaliser.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALISERS = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"})
+#: A stem that ends in a letter, and marks that the split always parts from it.
+_STEM = re.compile(rb"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+#: What every added token begins with; pieces that hold it are left as they are.
+_ADDED = b"<|"
+
+
+def checked(spec: str) -> str:
+    """``spec``, if what pieces and stems rely on holds for this tokenizer."""
+    d = json.loads(spec)
+    split = (d.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    added = [t for t in d.get("added_tokens", ()) if t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]
+             or not t["content"].encode().startswith(_ADDED) or re.search(r"\s", t["content"])]
+    model = d["model"]
+    if ((d.get("normalizer") or {}).get("normalizers") != list(_NORMALISERS) or added or d.get("decoder") or d.get("post_processor")
+            or split[0].get("pattern") != {"Regex": _SPLIT} or not split[0].get("invert") or split[0].get("behavior") != "Removed"
+            or [x["type"] for x in split[1:]] != ["ByteLevel"] or split[1]["add_prefix_space"] or split[1]["use_regex"]
+            or model["type"] != "BPE" or model.get("dropout") or any(re.search(r"\s", t) for t in model["vocab"])):
+        raise ValueError("encoding by chunks is not known to hold for this tokenizer")
+    return spec
+
+
+def _lowered(piece: bytes) -> bytes:
+    return piece.lower() if piece.isascii() and _ADDED not in piece else piece
+
+
 class Encoder:
     """Encodes and decodes whole texts as the tokenizer of ``spec`` (its JSON) does."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer = Tokenizer.from_str(checked(spec))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.pieces = _Generations(CACHED_PIECES)
@@ -119,6 +153,39 @@ class Encoder:
             made += [(array("I", i).tobytes(), s.encode() + b" " if i else b"") for i, s in zip(ids, said)]
         return made
 
+    def _known(self, wanted: set[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
+        """Ids and decoded text of each piece: from the cache, from stem and marks, or encoded."""
+        known, stems, missing = {}, [], []
+        get = self.pieces.get
+        for p in wanted:
+            if (v := get(p)) is not None:
+                known[p] = v
+                continue
+            m = _STEM.fullmatch(p) if _ADDED not in p else None
+            if m is None:
+                missing.append(p)
+            else:
+                stem, marks = m.groups()
+                stems.append((p, stem, marks))
+        fresh = dict.fromkeys(missing)
+        for _, *two in stems:
+            for x in two:
+                if x not in known and x not in fresh:
+                    if (v := get(x)) is None:
+                        fresh[x] = None
+                    else:
+                        known[x] = v
+        made = list(fresh)
+        known.update(zip(made, self._encoded(made)))
+        for p, stem, marks in stems:
+            (a, b), (c, d) = known[stem], known[marks]
+            known[p] = (a + c, b + d)
+            made.append(p)
+        for p in made:
+            if len(p) <= LONGEST_CACHED_PIECE:
+                self.pieces.put(p, known[p])
+        return known
+
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(ids, decoded text) of each text."""
         plans, fresh, wanted = [], {}, set()
@@ -133,31 +200,22 @@ class Encoder:
                     head = pieces.pop(0) if pieces and not chunk[:1].isspace() else b""
                     blank = not (head == chunk)
                     tail = pieces.pop() if blank and pieces and not chunk[-1:].isspace() else b""
+                    # a head or tail is lowered when its piece is whole
+                    pieces = [p.lower() for p in pieces] if chunk.isascii() and _ADDED not in chunk else [_lowered(p) for p in pieces]
                     entry = fresh[chunk] = [blank, head, pieces, tail]
                     wanted.update(pieces)
                 blank, head, _, tail = entry
                 carry += head
                 if blank:
                     if carry:
-                        plan.append(carry)
+                        plan.append(_lowered(carry))
                     plan.append(entry)
                     carry = tail
             if carry:
-                plan.append(carry)
+                plan.append(_lowered(carry))
             plans.append(plan)
             wanted.update(p for p in plan if type(p) is bytes)
-        known = {}
-        get = self.pieces.get
-        missing = []
-        for p in wanted:
-            if (v := get(p)) is None:
-                missing.append(p)
-            else:
-                known[p] = v
-        for p, v in zip(missing, self._encoded(missing)):
-            known[p] = v
-            if len(p) <= LONGEST_CACHED_PIECE:
-                self.pieces.put(p, v)
+        known = self._known(wanted)
         for chunk, entry in fresh.items():
             parts = [known[p] for p in entry[2]]
             entry[2] = (b"".join([i for i, _ in parts]), b"".join([s for _, s in parts]))

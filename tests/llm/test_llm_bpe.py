@@ -11,7 +11,7 @@ from ferrite.llm import bpe
 PATH = bpe.word_bpe_path()
 PIECES = ["a", "B", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\u00a0", "\u2028", "\u00e9", "e\u0301", "\u0301", "\u0130", "\u03a3",
           "\ud55c", "\u1112\u1161", "<|endoftext|>", "<|", "endoftext|>", "|>", "'s", "'", "1", "23", "!", "\x00", "\U0001f642", "\u200d",
-          "\ufb01", "\u4e2d\u6587", " \u0301", "word", "the "]
+          "\ufb01", "\u4e2d\u6587", " \u0301", "word", "the ", "<", "|ENDOFTEXT|>", "I", "\u0307", "Stra\u00dfe,", "It'S.", "x.Y;", "##", ")"]
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +58,15 @@ def test_documents(spark, library):
         want.append((d, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(said.encode()).hexdigest()))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert bpe.encoded(frame(spark, []), PATH).count() == 0
+
+
+def test_other_tokenizers_are_refused():
+    import json
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    bpe.checked(json.dumps(spec))
+    for change in ({"normalizer": None}, {"decoder": {"type": "ByteLevel"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"model": {**spec["model"], "vocab": {**spec["model"]["vocab"], "a b": 60000}}},
+                   {"added_tokens": [{**spec["added_tokens"][0], "lstrip": True}]}, {"model": {**spec["model"], "dropout": 0.1}}):
+        with pytest.raises(ValueError):
+            bpe.checked(json.dumps(spec | change))
