@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrite.operators import trees
+from ferrite.operators import newton, trees
 from ferrite.operators.evaluate import confusion
 from ferrite.operators.resample import oversample, with_class_weights
 from ferrite.operators.splits import fold_assignment
@@ -57,8 +57,8 @@ MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest",
                "gbt": "Gradient Boosting", "mlp": "MLP"}
 
 SPARK_MAX_DEPTH = 30
-#: Families that operators.trees grows for many folds and draws together.
-GROWN = ("rf", "gbt")
+#: Families that operators.trees and operators.newton fit for many folds and draws together.
+TOGETHER = ("lr", "rf", "gbt")
 FEATURES = "features"
 PARALLELISM = 4
 
@@ -186,13 +186,13 @@ def random_search(kind: str, train: DataFrame, space: dict, n_iter: int = 20, fo
     rows, whose weights and regularisation are the fold's own.  Draws share
     what is equal: forests and boosters grow together in grouped passes, a
     forest serving its smaller sizes and depths and a booster its smaller
-    numbers of trees (``operators.trees``); logistic draws that differ in the
-    most iterations alone are one fit that stopped earlier.  Returns (best
+    numbers of trees (``operators.trees``); logistic fits take their steps
+    together (``operators.newton``).  Returns (best
     params, table of draws with cv mean/std F1); the first draw wins ties.
     """
     draws = sample_param_maps(space, n_iter, seed)
     rows = fold_assignment(train, folds, label, seed).select(KEY, label, FEATURES, "fold")
-    scored = {"rf": _forest_draws, "gbt": _boosted_draws}.get(kind)
+    scored = {"lr": _logistic_draws, "rf": _forest_draws, "gbt": _boosted_draws}.get(kind)
     if scored:
         scores = scored(trees.table(rows, KEY, label, FEATURES, "fold", range(folds), balanced), draws, folds)
     else:
@@ -208,32 +208,35 @@ def random_search(kind: str, train: DataFrame, space: dict, n_iter: int = 20, fo
 
 
 def _fitted_draws(kind: str, data: DataFrame, draws: list[dict], folds: int, balanced: bool, label: str, parallelism: int) -> DataFrame:
-    """(draw, fold, y, score) by one fit for each different draw and fold.
-
-    Logistic draws that differ in the most iterations alone start from the
-    largest; a fit that ended within fewer iterations than a draw allows is
-    the draw's fit too, as its path does not depend on the number allowed.
-    """
-    same: dict[str, list[int]] = {}
-    for i, d in enumerate(draws):
-        same.setdefault(json.dumps({k: v for k, v in d.items() if kind != "lr" or k != "max_iter"}, sort_keys=True), []).append(i)
-
+    """(draw, fold, y, score) by one fit for each draw and fold."""
     def one(cell):
-        mine, f = cell
-        rows, held, out, model = data.where(F.col("fold") != f), data.where(F.col("fold") == f), [], None
-        for i in sorted(mine, key=lambda i: -draws[i].get("max_iter", 0)):
-            if model is None or kind != "lr" or model.summary.totalIterations > draws[i].get("max_iter", 1000):
-                model = fit(kind, rows, draws[i], balanced, label)
-            out.append(score(model, held, label).withColumns({"draw": F.lit(i), "fold": F.lit(f)}))
-        return out
-
-    parts = [p for ps in parallel_map(one, [(m, f) for m in same.values() for f in range(folds)], parallelism) for p in ps]
+        i, f = cell
+        model = fit(kind, data.where(F.col("fold") != f), draws[i], balanced, label)
+        return score(model, data.where(F.col("fold") == f), label).withColumns({"draw": F.lit(i), "fold": F.lit(f)})
+
+    parts = parallel_map(one, [(i, f) for i in range(len(draws)) for f in range(folds)], parallelism)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _logistic_draws(t: trees.Table, draws: list[dict], folds: int) -> DataFrame:
+    """(draw, fold, y, score): one fit for each C and fold.
+
+    Newton's method ends within ``newton.PASSES`` steps, fewer than any draw
+    allows, so draws that differ in the most iterations alone are one fit.
+    """
+    same: dict[float, list[int]] = {}
+    for i, d in enumerate(draws):
+        same.setdefault(float(d["C"]), []).append(i)
+    fits = [newton.Fit(f * len(same) + k, f, c) for f in range(folds) for k, c in enumerate(same)]
+    cells = [(f * len(same) + k, i, f) for f in range(folds) for k, mine in enumerate(same.values()) for i in mine]
+    of = t.rows.sparkSession.createDataFrame(cells, "job int, draw int, fold int")  # one row for each draw and fold
+    found = newton.scores(t, fits, newton.coefficients(t, fits))
+    return found.join(F.broadcast(of), "job").select("draw", "fold", "y", "score")
+
+
 def _forest_draws(t: trees.Table, draws: list[dict], folds: int) -> DataFrame:
     """(draw, fold, y, score): one forest for each leaf size and fold, cut to each draw's size and depth."""
     depth = [SPARK_MAX_DEPTH if d["max_depth"] is None else d["max_depth"] for d in draws]
@@ -304,10 +307,10 @@ def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = No
                            seed: int = 42, balanced: bool = True, label: str = TARGET) -> DataFrame:
     """H8: out-of-fold scores (key, fold, y, score); weights recomputed per fold.
 
-    The forests or boosters of all folds grow in the same passes (``operators.trees``).
+    The models of all folds are fitted in the same passes (``operators.trees``, ``operators.newton``).
     """
     rows = fold_assignment(train, k, label, seed)
-    if kind in GROWN:
+    if kind in TOGETHER:
         t = trees.table(rows, KEY, label, FEATURES, "fold", range(k), balanced)
         return _grown_scores(kind, t, params or {}, range(k)).select(F.col("key").alias(KEY), "fold", "y", "score")
     data = materialize(rows)
@@ -326,7 +329,7 @@ def cross_validated_scores(kind: str, train: DataFrame, params: dict | None = No
 def fitted_scores(kind: str, train: DataFrame, held: DataFrame, params: dict | None = None,
                   balanced: bool = True, label: str = TARGET) -> DataFrame:
     """K1: (key, y, score) of ``held`` by a model of ``train``, where the model itself is not wanted."""
-    if kind not in GROWN:
+    if kind not in TOGETHER:
         return score(fit(kind, train, params, balanced, label), held, label)
     both = train.select(KEY, label, FEATURES, F.lit(0).alias("fold")).unionByName(held.select(KEY, label, FEATURES, F.lit(1).alias("fold")))
     t = trees.table(both, KEY, label, FEATURES, "fold", [1], balanced)
@@ -334,7 +337,10 @@ def fitted_scores(kind: str, train: DataFrame, held: DataFrame, params: dict | N
 
 
 def _grown_scores(kind: str, t: trees.Table, params: dict, folds: Sequence[int]) -> DataFrame:
-    """(key, fold, y, score) of the rows of each of ``folds``, by a forest or booster of the other rows."""
+    """(key, fold, y, score) of the rows of each of ``folds``, by a model of the other rows."""
+    if kind == "lr":
+        fits = [newton.Fit(f, f, float(params.get("C", 1.0))) for f in folds]
+        return newton.scores(t, fits, newton.coefficients(t, fits)).select("key", "y", F.col("job").alias("fold"), "score")
     if kind == "rf":
         depth = SPARK_MAX_DEPTH if params.get("max_depth") is None else params["max_depth"]
         n = params.get("n_estimators", 100)

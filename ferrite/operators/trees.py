@@ -249,7 +249,8 @@ def binned(x: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
         if len(edges) else np.zeros((len(x), 0), np.uint8)
 
 
-def _arrays(batch: pa.RecordBatch, n_features: int):
+def arrays(batch: pa.RecordBatch, n_features: int):
+    """Key, fold, label and features (row by feature) of a batch of a Table's rows."""
     key, fold, y = (batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("_key", "_fold", "_y"))
     x = batch.column(batch.schema.get_field_index("_x")).flatten().to_numpy(zero_copy_only=False).reshape(len(key), n_features)
     return key, fold, y, x
@@ -286,7 +287,7 @@ def _split_pass(t: Table, rows: DataFrame, jobs: Sequence[Grown], splits: dict,
         jobs, splits, open_ = sent.value
         total: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            key, fold, y, x = _arrays(batch, n_features)
+            key, fold, y, x = arrays(batch, n_features)
             by_fold = {f: binned(x, edges[f]) for f in {g.fold for g in jobs}}
             margin = None
             if margins is not None:
@@ -372,7 +373,7 @@ def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_r
         jobs, splits, _, closed = sent.value
         first = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(batches, first + 1):
-            key, fold, y, x = _arrays(batch, n_features)
+            key, fold, y, x = arrays(batch, n_features)
             by_fold = {f: binned(x, edges[f]) for f in {g.fold for g in jobs}}
             out = defaultdict(list)
             for g in jobs:
@@ -447,7 +448,7 @@ def _boosted_in_groups(t: Table, jobs: Sequence[Grown]) -> DataFrame:
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, fold, y, x = _arrays(batch, n_features)
+            key, fold, y, x = arrays(batch, n_features)
             for f, ids in per_fold.items():
                 blobs = [binned(x, edges[f]).tobytes(), (fold == f).tobytes(), y.astype(np.uint8).tobytes(), key.tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [pa.array([b] * len(ids), pa.binary()) for b in blobs],
@@ -506,7 +507,7 @@ def _boosted_in_passes(t: Table, jobs: Sequence[Grown]) -> DataFrame:
         def added(batches: Iterator[pa.RecordBatch], first: bool = i == 0) -> Iterator[pa.RecordBatch]:
             live, splits, leaf = sent.value
             for batch in batches:
-                key, _, _, x = _arrays(batch, n_features)
+                key, _, _, x = arrays(batch, n_features)
                 at = batch.schema.get_field_index("_margins")
                 margin = batch.column(at).flatten().to_numpy(zero_copy_only=False).reshape(len(key), -1).copy()
                 by_fold = {f: binned(x, edges[f]) for f in {g.fold for g in live}}
