@@ -415,7 +415,8 @@ DRAWS = {"lr": 20, "rf": 20, "gbt": 20, "mlp": 10}
 
 
 def _made_from(spark, sf, *more):
-    return [sf, A.file_stamps(spark, f"{sf}/events.parquet"), *more]
+    """Stamps of this application: a query never answers with what an earlier run, perhaps of other code, left."""
+    return [spark.sparkContext.applicationId, sf, A.file_stamps(spark, f"{sf}/events.parquet"), *more]
 
 
 def _draws(spark, sf, kind):
