@@ -104,43 +104,92 @@ def hash_ranks(df: DataFrame, partition_cols: Sequence[str], hash_col: str,
     return ranked
 
 
+# Rank error of the sketches that place the cuts, and half the distance between
+# the two cuts around a quantile, both as shares of a group.
+SKETCH_ERROR = 1 / 5000
+CUT_MARGIN = 2 * SKETCH_ERROR
+# Rows of a cell that one task may put in order (equal values are one row by
+# then); a larger cell is cut again, evenly, into so many parts.
+IN_ORDER = 1_000_000
+PARTS = 64
+
+
+def _wanted_ranks(probs: Sequence[float], total: Column) -> Column:
+    """0-based ranks on both sides of each quantile's position ``p * (total - 1)``."""
+    at = [(total - 1).cast("double") * F.lit(float(p)) for p in probs]
+    return F.array(*[f(x).cast("bigint") for x in at for f in (F.floor, F.ceil)])
+
+
+def _cells(inside: DataFrame, of: Sequence[str], v: Column, at: Sequence[float],
+           before: Column, total: Column | None, probs: Sequence[float]) -> DataFrame:
+    """Cut the values of each ``of`` at its sketched quantiles ``at``; the cells with a wanted rank.
+
+    Every cut is a cell of its own, so a hot value is apart from its
+    neighbours, and so is every range between cuts.  A sketch is off by a share
+    of the ranks, but any cuts give cells in the order of the values: how good
+    they are decides how small the cells are, never which value is found.
+    """
+    sketch = inside.groupBy(*of).agg(
+        F.percentile_approx(v, [float(x) for x in at], round(1 / SKETCH_ERROR)).alias("_cuts"))
+    tagged = inside.join(F.broadcast(sketch), list(of))  # a row or a few per group
+    cell = sum(((v > F.element_at("_cuts", i + 1)).cast("int") + (v >= F.element_at("_cuts", i + 1)).cast("int")
+                for i in range(len(at))), F.lit(0))
+    counted = tagged.withColumn("_cell", cell).groupBy(*of, "_cell").agg(
+        F.count(F.lit(1)).alias("_size"), F.min(v).alias("_from"), F.max(v).alias("_to"))
+    whole = Window.partitionBy(*of)  # 2 * len(at) + 1 cells at most
+    counted = counted.withColumn("_total", F.sum("_size").over(whole) if total is None else total).withColumn(
+        "_before", before + F.sum("_size").over(whole.orderBy("_cell")) - F.col("_size"))
+    return counted.where(F.exists(_wanted_ranks(probs, F.col("_total")),
+                                  lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size"))))
+
+
 def exact_quantiles(long_df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], n_buckets: int | None = None) -> DataFrame:
+                    probs: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles per group (like ``percentile``).
 
     ``long_df`` has one row per observation: group columns and a value.
     Returns one row per group with columns ``q_<i>`` for each probability
-    in ``probs`` (nulls ignored; NULL for an empty group).
+    in ``probs`` (nulls ignored; NULL for an empty group).  Groups are columns
+    or (class, column) pairs: tables of a few rows a group are broadcast.
+
+    No distinct values are exchanged but those near a quantile: a mergeable
+    sketch puts two cuts around each quantile, the rows between cuts are
+    counted (in each task first), and the few cells that hold a wanted rank, some
+    ``2 * CUT_MARGIN`` of the rows, are read once more and put in order.  A cell
+    of over ``IN_ORDER`` rows is cut again before.  ``long_df`` is read three
+    times, and twice more for each further cut.
     """
     g = list(group_cols)
     v = F.col(value_col)
-    counts = (long_df.where(v.isNotNull())
-              .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n")))
-    cum, sizes = running_totals(counts, g, [v], ["_n"], n_buckets=n_buckets, return_totals=True)
-    cum = cum.withColumn("_lo_rank", F.col("cum__n") - F.col("_n"))  # 0-based first rank
-    sizes = sizes.withColumnRenamed("_n", "_total")
-    # Ranks needed per group: floor and ceil of p*(n-1) for every p.
-    targets = []
+    values = long_df.where(v.isNotNull()).select(*g, value_col)
+    around = sorted({min(1.0, max(0.0, p + s * CUT_MARGIN)) for p in probs for s in (-1, 1)})
+    cells = _cells(values, g, v, around, F.lit(0).cast("bigint"), None, probs)
+    keep = [*g, "_from", "_to", "_size", "_total", "_before"]
+
+    def rows_of(cells: DataFrame) -> DataFrame:
+        c = cells.select(*g, *[F.col(x).alias(f"_c{x}") for x in keep[len(g):]])
+        return values.join(F.broadcast(c), g).where(v.between(F.col("_c_from"), F.col("_c_to")))
+
+    of = [*g, *[f"_c{x}" for x in keep[len(g):]]]
+    while True:
+        cells = materialize(cells.select(*keep), "cells")
+        largest = cells.where(F.col("_from") < F.col("_to")).agg(F.max("_size")).first()[0]
+        if (largest or 0) <= IN_ORDER:
+            break
+        even = [i / PARTS for i in range(1, PARTS)]
+        cells = _cells(rows_of(cells), of, v, even, F.col("_c_before"), F.col("_c_total"), probs)
+    counts = rows_of(cells).groupBy(*of, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*of).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("_upto", F.col("_c_before") + F.sum("_n").over(run))  # the value's last rank, plus 1
+    picked = []
     for i, p in enumerate(probs):
-        pos = (F.col("_total") - 1).cast("double") * F.lit(float(p))
-        targets.append(F.struct(F.lit(i).alias("i"), pos.alias("pos")))
-    t = sizes.select(*g, "_total", F.explode(F.array(*targets)).alias("_t"))
-    t = t.select(*g, F.col("_t.i").alias("_i"), F.col("_t.pos").alias("_pos"))
-    t = t.select(*g, "_i", "_pos",
-                 F.explode(F.array_distinct(F.array(
-                     F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint")))).alias("_r"))
-    # Each target rank hits exactly one value row.  The target table has
-    # at most 2 * len(probs) rows per group, so it is broadcast and the
-    # (large) table of distinct values streams past it, partitioned as is.
-    cond = [cum[c] == t[c] for c in g] + [
-        t["_r"] >= cum["_lo_rank"], t["_r"] < cum["cum__n"]]
-    hit = cum.join(F.broadcast(t), on=cond, how="inner").select(
-        *[cum[c] for c in g], cum[value_col], t["_i"], t["_pos"], t["_r"])
-    picked = hit.groupBy(*g, "_i", "_pos").agg(
-        F.min_by(v, F.col("_r")).alias("_vlo"), F.max_by(v, F.col("_r")).alias("_vhi"))
-    frac = F.col("_pos") - F.floor("_pos")
-    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
-    out = picked.select(*g, "_i", q.alias("_q"))
-    return (out.groupBy(*g).pivot("_i", list(range(len(probs))))
-               .agg(F.first("_q"))
-               .select(*g, *[F.col(str(i)).alias(f"q_{i}") for i in range(len(probs))]))
+        pos = (F.col("_c_total") - 1).cast("double") * F.lit(float(p))
+        for name, r in ((f"_lo{i}", F.floor(pos)), (f"_hi{i}", F.ceil(pos))):
+            holds = (r.cast("bigint") >= F.col("_upto") - F.col("_n")) & (r.cast("bigint") < F.col("_upto"))
+            picked.append(F.max(F.when(holds, v)).alias(name))
+        picked.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
+    found = cum.groupBy(*g).agg(*picked)
+    return found.select(*g, *[
+        F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}"))
+         .otherwise(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q_{i}")
+        for i in range(len(probs))])

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrite.functions import attach_one_row
-from ferrite.operators.splits import class_counts, ranked
+from ferrite.functions import attach_one_row, hash_key
+from ferrite.operators.selection import first_in_order
+from ferrite.operators.splits import class_counts
 from ferrite.schema import KEY, TARGET
 
 
@@ -32,10 +33,10 @@ def with_class_weights(df: DataFrame, label: str = TARGET, weight_col: str = "we
 
 def undersample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY) -> DataFrame:
     """every class cut to the smallest class size, first rows in hash order."""
-    r, c = ranked(df, label, seed, key, "_rank", with_counts=True)
-    n_min = c.agg(F.min("n_class").alias("n_min"))
-    return attach_one_row(r, n_min).where(F.col("_rank") <= F.col("n_min")) \
-            .drop("_rank", "n_min")
+    def smallest(sizes: DataFrame) -> DataFrame:
+        return sizes.select(label, F.min("n_class").over(Window.partitionBy()).alias("_k"))
+
+    return first_in_order(df, label, hash_key(seed, key), key, smallest, "_in").where("_in").drop("_in")
 
 
 def oversample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY,
@@ -46,13 +47,14 @@ def oversample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY,
     for its first ``n_max % n_c`` rows in hash order: exact class sizes,
     copies spread as evenly as possible.  ``copy`` numbers them from 1.
     """
-    r, c = ranked(df, label, seed, key, "_rank", with_counts=True)
-    c = c.select(label, "n_class", F.max("n_class").over(Window.partitionBy()).alias("n_max"))
-    r = r.join(F.broadcast(c), label)  # one row per class
-    copies = (F.floor(F.col("n_max") / F.col("n_class"))
-              + F.when(F.col("_rank") <= F.col("n_max") % F.col("n_class"), 1).otherwise(0)).cast("int")
-    out = r.withColumn(copy_col, F.explode(F.sequence(F.lit(1), copies)))
-    return out.drop("_rank", "n_class", "n_max")
+    def extra(sizes: DataFrame) -> DataFrame:
+        n_max = F.max("n_class").over(Window.partitionBy())
+        return sizes.select(label, F.floor(n_max / F.col("n_class")).alias("_whole"),
+                            (n_max % F.col("n_class")).alias("_k"))
+
+    r = first_in_order(df, label, hash_key(seed, key), key, extra, "_more")
+    copies = (F.col("_whole") + F.col("_more").cast("int")).cast("int")
+    return r.withColumn(copy_col, F.explode(F.sequence(F.lit(1), copies))).drop("_whole", "_more")
 
 
 def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int = 5, seed=42,

@@ -4,8 +4,9 @@ A row's place in the random order is ``md5(key-seed)`` (ties by key), so
 splits are reproducible across runs, cluster sizes and engines.  Quotas
 are exact (not Bernoulli like ``sampleBy``): ``ceil(f * n)`` rows in
 total, ``floor`` per class, the leftover to the largest remainders.
-Ranks inside a class come from ``hash_ranks``, which never puts a whole
-class in one task.
+Which rows are a class's first ones is found by ``selection.first_in_order``;
+ranks, where a fold needs them, come from ``hash_ranks``, which never puts a
+whole class in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ferrite.functions import hash_key
 from ferrite.operators.ordered import hash_ranks
+from ferrite.operators.selection import first_in_order
 from ferrite.schema import KEY, TARGET
 
 _H = "_h"
@@ -42,29 +44,25 @@ def class_quotas(counts: DataFrame, label: str, fraction: float) -> DataFrame:
     return c.select(label, "n_class", (F.col("_base") + extra).cast("bigint").alias("quota"))
 
 
-def ranked(df: DataFrame, label: str, seed, key: str = KEY, rank_col: str = "rank",
-           with_counts: bool = False):
-    """Rank of each row inside its class in hash order (1-based).
-
-    ``with_counts`` also returns the class-count table (label, n_class),
-    summed from the rank buckets rather than from another pass.
-    """
-    r, sizes = hash_ranks(df.withColumn(_H, hash_key(seed, key)), [label], _H, key,
-                          rank_col=rank_col, return_totals=True)
-    r = r.drop(_H)
-    return (r, sizes.withColumnRenamed("n_group", "n_class")) if with_counts else r
+def ranked(df: DataFrame, label: str, seed, key: str = KEY, rank_col: str = "rank") -> DataFrame:
+    """Rank of each row inside its class in hash order (1-based)."""
+    return hash_ranks(df.withColumn(_H, hash_key(seed, key)), [label], _H, key, rank_col=rank_col).drop(_H)
 
 
 def stratified_split(df: DataFrame, label: str = TARGET, fraction: float = 0.2, seed=42,
                      key: str = KEY, split_col: str = "split",
                      names: tuple[str, str] = ("train", "test")) -> DataFrame:
-    """add ``split_col`` = names[1] for the held-out rows, names[0] otherwise."""
-    r, counts = ranked(df, label, seed, key, "_rank", with_counts=True)
-    quotas = class_quotas(counts, label, fraction)
-    # One row per class: bounded by the number of classes.
-    j = r.join(F.broadcast(quotas.select(label, "quota")), label)
-    part = F.when(F.col("_rank") <= F.col("quota"), F.lit(names[1])).otherwise(F.lit(names[0]))
-    return j.withColumn(split_col, part).drop("_rank", "quota")
+    """add ``split_col`` = names[1] for the held-out rows, names[0] otherwise.
+
+    The class's quota-th row in hash order is found by counting digests, so no
+    row is exchanged or sorted (``selection.first_in_order``).
+    """
+    def held_out(sizes: DataFrame) -> DataFrame:
+        return class_quotas(sizes, label, fraction).select(label, F.col("quota").alias("_k"))
+
+    s = first_in_order(df, label, hash_key(seed, key), key, held_out, "_out")
+    part = F.when(F.col("_out"), F.lit(names[1])).otherwise(F.lit(names[0]))
+    return s.withColumn(split_col, part).drop("_out")
 
 
 def fold_assignment(df: DataFrame, k: int = 5, label: str = TARGET, seed=42,
