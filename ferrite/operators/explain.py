@@ -1,17 +1,18 @@
 """Model explanation.
 
-Permutation importance is one job: the test rows are exploded by
-(column, repeat), each (column, repeat) gets its own hash permutation
-(rank in ``md5(key-seed-column-repeat)`` order joined to the rank in a
-base hash order - an equi join on (column, repeat, rank), so no group is
-held by one task), one column is replaced, and the metric is aggregated
-per (column, repeat).  Shapley-style contributions are exact for linear
-scores and Monte Carlo (random feature orders against background rows,
-all hybrids scored in one ``transform``) for any model.
+Permutation importance ranks the test rows once (hash order); each
+(column, repeat) permutes the ranks by its own keyed bijection, so a row's
+value goes to the row of another rank by an equi join on the rank, one
+column is replaced, and the metric is aggregated per (column, repeat).  Shapley-style contributions are exact for linear
+scores, and for any model either exact over all coalitions (few features)
+or Monte Carlo (random feature orders against background rows); all hybrids
+are scored in one ``transform``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,32 +27,72 @@ from ferrite.session import materialize
 ScoreFn = Callable[[DataFrame], DataFrame]  # adds a `score` column
 
 
+# A prime below 2**31: products of two residues fit a BIGINT.
+MODULUS = 2 ** 31 - 1
+ROUNDS = 4
+
+
+def permutation_keys(seed, *names) -> list[int]:
+    """Two keys a round, from the digest of ``seed-name-...``."""
+    digest = hashlib.sha256("-".join(str(x) for x in (seed, *names)).encode()).hexdigest()
+    return [int(digest[8 * i:8 * i + 8], 16) % MODULUS for i in range(2 * ROUNDS)]
+
+
+def with_permuted_rank(df: DataFrame, rank: str, n: str, keys: str, out: str) -> DataFrame:
+    """Add ``out``: a keyed permutation of the ranks 0..n-1, computed row by row.
+
+    A Feistel network on pairs (x div a, x mod a) with a = ceil(sqrt(n)) is a
+    bijection of 0..a*a-1, which holds fewer than 2 sqrt(n) + 2 numbers beyond
+    n-1.  A rank that lands on one of these goes through the network again until
+    it is below n, after that many steps at most: the numbers beyond n-1 on one
+    cycle.  So nothing is sorted or exchanged to permute.
+    """
+    side = F.col("_side")
+
+    def mixed(half: Column, k: Column) -> Column:
+        return (half + k["a"]) % MODULUS * ((half + k["b"]) % MODULUS) % MODULUS
+
+    def network(x: Column) -> Column:
+        halves = F.struct(F.call_function("div", x, side).alias("l"), (x % side).alias("r"))
+        done = F.aggregate(F.col(keys), halves, lambda s, k: F.struct(
+            s["r"].alias("l"), ((s["l"] + mixed(s["r"], k)) % side).alias("r")))
+        return done["l"] * side + done["r"]
+
+    total = F.col(n)
+    once = df.withColumn("_side", F.ceil(F.sqrt(total.cast("double")))).withColumn("_once", network(F.col(rank)))
+    beyond = F.sequence(F.lit(1).cast("bigint"), side * side - total)
+    again = F.aggregate(beyond, F.col("_once"), lambda x, _: F.when(x < total, x).otherwise(network(x)))
+    return once.withColumn(out, F.when(F.col("_once") < total, F.col("_once")).otherwise(again)).drop("_side", "_once")
+
+
 def permuted_rows(df: DataFrame, cols: Sequence[str], repeats: int = 10, seed=42,
                   key: str = KEY) -> DataFrame:
     """Rows of ``df`` once per (column, repeat) with that column permuted.
 
+    The rows are ranked and written once.  Each (column, repeat) has its own
+    ``with_permuted_rank`` of the ranks, so a row knows where its values go:
+    what is exchanged for each copy is a rank, a value and the pair's numbers.
     Output: all columns of ``df`` plus ``perm_column`` and ``perm_repeat``.
     """
-    base = hash_ranks(df.select(key).withColumn("_h", hash_key(seed, key, "base")),
-                      [], "_h", key, rank_col="_rank").select(key, "_rank")
-    vals = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [key], list(cols), "perm_column", "_value")
-    vals = vals.withColumn("perm_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    h = hash_key(seed, key, F.col("perm_column"), F.col("perm_repeat").cast("string"))
-    donors = hash_ranks(vals.withColumn("_h", h), ["perm_column", "perm_repeat"], "_h", key,
-                        rank_col="_rank").select("perm_column", "perm_repeat", "_rank",
-                                                 F.col("_value").alias("_new"))
-    grid = F.array(*[F.struct(F.lit(c).alias("perm_column"), F.lit(r).alias("perm_repeat"))
-                     for c in cols for r in range(repeats)])
-    receivers = base.select(key, "_rank", F.explode(grid).alias("_g")).select(
-        key, "_rank", "_g.perm_column", "_g.perm_repeat")
-    moved = receivers.join(donors, ["perm_column", "perm_repeat", "_rank"]).select(
-        key, "perm_column", "perm_repeat", "_new")
-    out = df.join(moved, key)
-    repl = [F.when(F.col("perm_column") == c, F.col("_new")).otherwise(F.col(c).cast("double")).alias(c)
-            for c in cols]
+    ranked = hash_ranks(df.withColumn("_h", hash_key(seed, key, "base")), [], "_h", key, rank_col="_rank")
+    ranked = materialize(ranked.drop("_h").withColumn("_rank", F.col("_rank") - 1), "ranked")
+    n_rows = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    grid = F.array(*[F.struct(
+        F.lit(i).cast("short").alias("_c"), F.lit(r).cast("short").alias("_r"),
+        F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
+                  for a, b in zip(k[::2], k[1::2])]).alias("_keys"))
+        for i, c in enumerate(cols) for r in range(repeats) for k in [permutation_keys(seed, c, r)]])
+    values = F.array(*[F.col(c).cast("double") for c in cols])
+    donors = attach_one_row(ranked.select("_rank", values.alias("_v")), n_rows).select("*", F.inline(grid))
+    donors = with_permuted_rank(donors, "_rank", "_n", "_keys", "_to").select(
+        F.col("_to").alias("_rank"), "_c", "_r", F.element_at("_v", F.col("_c") + 1).alias("_new"))
+    out = ranked.join(donors, "_rank")
+    repl = [F.when(F.col("_c") == i, F.col("_new")).otherwise(F.col(c).cast("double")).alias(c)
+            for i, c in enumerate(cols)]
     keep = [c for c in df.columns if c not in cols]
-    return out.select(*keep, *repl, "perm_column", "perm_repeat")
+    names = F.array(*[F.lit(c) for c in cols])
+    return out.select(*keep, *repl, F.element_at(names, F.col("_c") + 1).alias("perm_column"),
+                      F.col("_r").cast("int").alias("perm_repeat"))
 
 
 def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn: ScoreFn,
@@ -59,9 +100,8 @@ def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn: ScoreFn
                            key: str = KEY, label: str = "y") -> DataFrame:
     """F1 drop per permuted column; mean and population std over repeats.
 
-    The rows feed four branches (baseline, base ranks, donors, receivers),
-    so they are written once to the checkpoint folder instead of being
-    re-derived by each branch.
+    The rows feed the baseline and the ranks, so they are written once to the
+    checkpoint folder instead of being re-derived by each.
     """
     df = materialize(df)
     base = confusion(score_fn(df), threshold, (), label, "score").select(F.col("f1").alias("_base_f1"))
@@ -142,3 +182,43 @@ def shapley_sampling(rows: DataFrame, background: DataFrame, cols: Sequence[str]
         key, F.element_at(F.col("_order"), F.col("_p").cast("int")).alias("feature"), "_delta")
     phi = d.groupBy(key, "feature").agg(F.avg("_delta").alias("phi"))
     return phi.join(base, key)
+
+
+def shapley_exact(rows: DataFrame, background: DataFrame, cols: Sequence[str], score_fn: ScoreFn,
+                  seed=42, key: str = KEY, bg_key: str = KEY) -> DataFrame:
+    """I4 (any model): exact Shapley values over the lattice of coalitions.
+
+    A coalition's worth is the mean score of the row with the features outside
+    the coalition taken from each background row.  Every explained row meets
+    every background row (by rank, an equi join) in all 2**p coalitions, and a
+    score adds ``(s-1)! (p-s)! / p!`` times itself to the features inside a
+    coalition of s and ``-s! (p-s-1)! / p!`` times to those outside, so one
+    combined aggregate of p sums a row gives all values.  Cost: rows x
+    background x 2**p scores, which is why ``background`` is a stated sample
+    and p is at most 16.  Per row ``sum(phi) = f(x) - base_value`` with
+    ``base_value`` the mean score of the background.  No row for an empty
+    background; null features are passed to the score as they are.
+    """
+    cols = list(cols)
+    p = len(cols)
+    if not 1 <= p <= 16:
+        raise ValueError(f"shapley_exact takes 1 to 16 features, not {p}")
+    bg = hash_ranks(background.select(F.col(bg_key).alias("_bg"), *[F.col(c).alias(f"_z_{c}") for c in cols])
+                    .withColumn("_hb", hash_key(seed, "_bg", "bg")), [], "_hb", "_bg", rank_col="_br").drop("_hb", "_bg")
+    n_bg = bg.agg(F.count(F.lit(1)).alias("_nb"))
+    met = attach_one_row(rows.select(key, *cols), n_bg).where(F.col("_nb") > 0)
+    met = met.withColumn("_br", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_nb")))).join(bg, "_br")
+    met = met.withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** p - 1))))
+    inside = [F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0 for i in range(p)]
+    hybrids = met.select(key, "_mask", *[F.when(x, F.col(c)).otherwise(F.col(f"_z_{c}")).alias(c)
+                                         for x, c in zip(inside, cols)])
+    weights = F.array(*[F.lit(math.factorial(s) * math.factorial(p - s - 1) / math.factorial(p)) for s in range(p)])
+    size = F.bit_count("_mask")
+    signed = [F.when(x, F.element_at(weights, size)).otherwise(-F.element_at(weights, size + 1)) for x in inside]
+    empty = F.col("_mask") == 0
+    sums = score_fn(hybrids).groupBy(key).agg(
+        F.avg(F.when(empty, F.col("score"))).alias("base_value"), F.count_if(empty).alias("_nb"),
+        *[F.sum(F.col("score") * w).alias(f"_phi{i}") for i, w in enumerate(signed)])
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), (F.col(f"_phi{i}") / F.col("_nb")).alias("phi"))
+                       for i, c in enumerate(cols)])
+    return sums.select(key, F.inline(values), "base_value")

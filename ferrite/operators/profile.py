@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrite.functions import ratio
+from ferrite.functions import attach_one_row, ratio
 from ferrite.operators.ordered import exact_quantiles
 from ferrite.schema import TARGET
+from ferrite.session import materialize
 
 
 def long_values(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (),
@@ -55,12 +56,30 @@ def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        F.round(ratio(F.col("n_null") * 100, F.col("_n")), 6).alias("pct_null"))
 
 
+def _fingerprint(cols: Sequence[str]) -> list:
+    """Two 64-bit hashes of a row.  A null leaves ``xxhash64`` as it was, so which columns are null is hashed too."""
+    seen = [F.col(c) for c in cols]
+    nulls = F.array(*[c.isNull() for c in seen])
+    return [F.xxhash64(nulls, *seen).alias("_f1"), F.xxhash64(F.lit(1), *reversed(seen), nulls).alias("_f2")]
+
+
 def duplicate_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows equal to an earlier row on ``cols`` (nulls compare equal)."""
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.sum("_c").cast("bigint").alias("n_rows"),
-                 F.count(F.lit(1)).alias("n_distinct"),
-                 F.sum(F.col("_c") - 1).cast("bigint").alias("n_duplicates"))
+    """Rows equal to an earlier row on ``cols`` (nulls compare equal).
+
+    Rows are counted by a fingerprint of 128 bits, so 24 bytes a row are
+    exchanged.  A fingerprint of one row is a distinct row; only rows that share
+    one are compared in full.
+    """
+    rows = df.select(*cols, *_fingerprint(cols))
+    prints = rows.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_c"))
+    several = materialize(prints.where(F.col("_c") > 1), "prints")
+    # written, so Spark knows its size: the rows are exchanged for it only where it is large
+    full = rows.join(several.select("_f1", "_f2"), ["_f1", "_f2"], "left_semi").groupBy("_f1", "_f2", *cols).agg(F.lit(1))
+    counted = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = attach_one_row(counted, several.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("_alike")))
+    counted = attach_one_row(counted, full.agg(F.count(F.lit(1)).alias("_full")))
+    n_distinct = F.col("n_rows") - F.col("_alike") + F.col("_full")
+    return counted.select("n_rows", n_distinct.alias("n_distinct"), (F.col("n_rows") - n_distinct).alias("n_duplicates"))
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

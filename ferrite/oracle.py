@@ -546,11 +546,27 @@ def _perm_sql(repeats=10):
     base = (f"base AS (SELECT reading_id, row_number() OVER (ORDER BY {_h(42, chr(32) + '|| ' + repr('-base'))}, "
             "reading_id) AS rk FROM tst)")
     longv = "\n UNION ALL ".join(
-        f"SELECT reading_id, '{c}' AS pc, CAST({c} AS DOUBLE) AS v FROM tst" for c in PERM_COLS)
-    donors = (f"donors AS (SELECT l.pc, g.rep, row_number() OVER (PARTITION BY l.pc, g.rep ORDER BY "
-              f"md5(CAST(l.reading_id AS VARCHAR) || '-42-' || l.pc || '-' || CAST(g.rep AS VARCHAR)), l.reading_id) AS rk, "
-              f"l.v FROM ({longv}) l CROSS JOIN range(0, {repeats}) g(rep))")
-    moved = ("moved AS (SELECT b.reading_id, d.pc, d.rep, d.v FROM base b JOIN donors d ON b.rk = d.rk)")
+        f"SELECT b.rk - 1 AS rk, '{c}' AS pc, CAST(t.{c} AS DOUBLE) AS v FROM tst t JOIN base b ON t.reading_id = b.reading_id"
+        for c in PERM_COLS)
+    keys = ", ".join(f"CAST('0x' || substr(d, {8 * i + 1}, 8) AS BIGINT) % 2147483647 AS k{i}" for i in range(8))
+    pairs = " UNION ALL ".join(f"SELECT '{c}' AS pc" for c in PERM_COLS)
+    ks = (f"ks AS (SELECT pc, rep, {keys} FROM (SELECT pc, rep, sha256('42-' || pc || '-' || CAST(rep AS VARCHAR)) AS d "
+          f"FROM ({pairs}) c CROSS JOIN range(0, {repeats}) g(rep)) x)")
+
+    def network(x):
+        left, right = f"({x} // a)", f"({x} % a)"
+        for i in range(0, 8, 2):
+            left, right = right, (f"(({left} + ({right} + k{i}) % 2147483647 * (({right} + k{i + 1}) % 2147483647) "
+                                  "% 2147483647) % a)")
+        return f"{left} * a + {right}"
+
+    size = "size AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM tst)"
+    walk = (f"walk AS (SELECT l.pc, ks.rep, l.rk AS origin, {network('l.rk')} AS x FROM ({longv}) l "
+            "JOIN ks ON l.pc = ks.pc CROSS JOIN size UNION ALL "
+            f"SELECT w.pc, w.rep, w.origin, {network('w.x')} AS x FROM walk w JOIN ks ON w.pc = ks.pc AND w.rep = ks.rep "
+            "CROSS JOIN size WHERE w.x >= n)")
+    moved = (f"moved AS (SELECT b.reading_id, w.pc, w.rep, l.v FROM walk w CROSS JOIN size JOIN base b ON b.rk - 1 = w.x "
+             f"JOIN ({longv}) l ON l.pc = w.pc AND l.rk = w.origin WHERE w.x < n)")
     sel = ", ".join(f"CASE WHEN m.pc = '{c}' THEN m.v ELSE CAST(t.{c} AS DOUBLE) END AS {c}" for c in PERM_COLS)
     perm = (f"perm AS (SELECT t.reading_id, t.failure_within_24h AS y, m.pc, m.rep, {sel} "
             "FROM tst t JOIN moved m ON t.reading_id = m.reading_id)")
@@ -560,12 +576,38 @@ def _perm_sql(repeats=10):
     bf1 = (f"bf1 AS (SELECT {f1} AS f1 FROM (SELECT failure_within_24h AS y, {_SCORE_EXPR} AS score FROM tst) x)")
     imp = ("imp AS (SELECT pc AS feature, round(avg(b.f1 - p.f1), 6) AS importance_mean, "
            "round(stddev_pop(b.f1 - p.f1), 6) AS importance_std FROM pf1 p CROSS JOIN bf1 b GROUP BY pc)")
-    return split_ctes() + ",\n" + ",\n".join([test, base, donors, moved, perm, pf1, bf1, imp])
+    return split_ctes() + ",\n" + ",\n".join([test, base, ks, size, walk, moved, perm, pf1, bf1, imp])
 
 
-register("permutation_importance", with_readings("SELECT * FROM imp", extra_ctes=_perm_sql()))
-register("top_importances", with_readings(
-    "SELECT * FROM imp ORDER BY importance_mean DESC, feature ASC LIMIT 10", extra_ctes=_perm_sql()))
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH", "WITH RECURSIVE", 1)
+
+
+register("permutation_importance", _recursive(with_readings("SELECT * FROM imp", extra_ctes=_perm_sql())))
+register("top_importances", _recursive(with_readings(
+    "SELECT * FROM imp ORDER BY importance_mean DESC, feature ASC LIMIT 10", extra_ctes=_perm_sql())))
+
+
+def _shapley_sql(n_rows=100, n_background=20):
+    """Shapley values from the definition: gains over all coalitions without the player."""
+    p = len(PERM_COLS)
+    part = {name: f"{name} AS (SELECT r.* FROM readings r JOIN split s ON r.reading_id = s.reading_id "
+                  f"WHERE s.part = '{name[1:]}' ORDER BY md5(CAST(r.reading_id AS VARCHAR) || '-42'), r.reading_id LIMIT {n})"
+            for name, n in (("_test", n_rows), ("_train", n_background))}
+    mixed = ", ".join(f"CASE WHEN (m.mask & {1 << i}) <> 0 THEN a.{c} ELSE b.{c} END AS {c}" for i, c in enumerate(PERM_COLS))
+    v = (f"v AS (SELECT rid, mask, avg({_SCORE_EXPR}) AS v FROM (SELECT a.reading_id AS rid, m.mask, {mixed} "
+         f"FROM _test a CROSS JOIN _train b CROSS JOIN range(0, {1 << p}) m(mask)) h GROUP BY rid, mask)")
+    players = " UNION ALL ".join(f"SELECT '{c}' AS feature, {1 << i} AS bit" for i, c in enumerate(PERM_COLS))
+    phi = ("phi AS (SELECT o.rid, f.feature, sum((w.v - o.v) * CAST(factorial(bit_count(o.mask)) AS DOUBLE) "
+           f"* CAST(factorial({p - 1} - bit_count(o.mask)) AS DOUBLE) / CAST(factorial({p}) AS DOUBLE)) AS phi "
+           f"FROM v o CROSS JOIN ({players}) f JOIN v w ON w.rid = o.rid AND w.mask = (o.mask | f.bit) "
+           "WHERE (o.mask & f.bit) = 0 GROUP BY o.rid, f.feature)")
+    return split_ctes() + ",\n" + ",\n".join([*part.values(), v, phi])
+
+
+register("shapley_values", with_readings(
+    "SELECT phi.rid AS reading_id, phi.feature, round(phi.phi, 6) + 0.0 AS phi, round(v.v, 6) AS base_value "
+    "FROM phi JOIN v ON v.rid = phi.rid AND v.mask = 0", extra_ctes=_shapley_sql()))
 
 # The composite score's linear coefficients (before clamping).
 LINEAR_COEF = {"temperature_motor": 3 / 67 / 5, "vibration_rms": 1.5 / 4 / 5,

@@ -330,9 +330,8 @@ def _fixed_score_fn(df):
 
 
 def _test_rows(spark, sf):
-    r = readings(spark, sf)
-    s = S.stratified_split(r.select(KEY, TARGET), TARGET, 0.2, 42)
-    return r.join(s.where(F.col("split") == "test").select(KEY), KEY).withColumnRenamed(TARGET, "y")
+    s = S.stratified_split(readings(spark, sf), TARGET, 0.2, 42)
+    return s.where(F.col("split") == "test").drop("split").withColumnRenamed(TARGET, "y")
 
 
 @query
@@ -346,6 +345,17 @@ def q_top_importances(spark, sf):
     return X.top_features(imp, 10)
 
 
+@query
+def q_shapley_values(spark, sf):
+    """I4: exact Shapley values of 100 test rows under the fixed score, against 20 training rows."""
+    s = S.stratified_split(readings(spark, sf), TARGET, 0.2, 42)
+    rows = S.hash_sample(s.where(F.col("split") == "test").drop("split"), 100, 42)
+    background = S.hash_sample(s.where(F.col("split") == "train").drop("split"), 20, 42)
+    phi = X.shapley_exact(rows, background, NUMERIC_FEATURES, _fixed_score_fn, 42)
+    return phi.select(KEY, "feature", (F.round("phi", 6) + F.lit(0.0)).alias("phi"),
+                      F.round("base_value", 6).alias("base_value"))
+
+
 def _imputed_for_score(df):
     return df.select(KEY, F.coalesce("temperature_motor", F.lit(62.0)).alias("temperature_motor"),
                      F.coalesce("vibration_rms", F.lit(2.35)).alias("vibration_rms"),
