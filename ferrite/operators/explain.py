@@ -47,19 +47,24 @@ def with_permuted_rank(df: DataFrame, rank: str, n: str, keys: str, out: str) ->
     it is below n, after that many steps at most: the numbers beyond n-1 on one
     cycle.  So nothing is sorted or exchanged to permute.
     """
-    side = F.col("_side")
+    side, total = F.col("_side"), F.col(n)
 
-    def mixed(half: Column, k: Column) -> Column:
-        return (half + k["a"]) % MODULUS * ((half + k["b"]) % MODULUS) % MODULUS
+    def step(left: Column, right: Column, k: Column) -> Column:
+        return (left + (right + k["a"]) % MODULUS * ((right + k["b"]) % MODULUS) % MODULUS) % side
 
     def network(x: Column) -> Column:
         halves = F.struct(F.call_function("div", x, side).alias("l"), (x % side).alias("r"))
         done = F.aggregate(F.col(keys), halves, lambda s, k: F.struct(
-            s["r"].alias("l"), ((s["l"] + mixed(s["r"], k)) % side).alias("r")))
+            s["r"].alias("l"), step(s["l"], s["r"], k).alias("r")))
         return done["l"] * side + done["r"]
 
-    total = F.col(n)
-    once = df.withColumn("_side", F.ceil(F.sqrt(total.cast("double")))).withColumn("_once", network(F.col(rank)))
+    # the first passage in generated code, round by round; few ranks need another
+    once = df.withColumn("_side", F.ceil(F.sqrt(total.cast("double"))))
+    once = once.withColumn("_left", F.call_function("div", F.col(rank), side)).withColumn("_right", F.col(rank) % side)
+    for i in range(ROUNDS):
+        mixed = step(F.col("_left"), F.col("_right"), F.col(keys)[i])
+        once = once.withColumns({"_left": F.col("_right"), "_right": mixed})
+    once = once.withColumn("_once", F.col("_left") * side + F.col("_right")).drop("_left", "_right")
     beyond = F.sequence(F.lit(1).cast("bigint"), side * side - total)
     again = F.aggregate(beyond, F.col("_once"), lambda x, _: F.when(x < total, x).otherwise(network(x)))
     return once.withColumn(out, F.when(F.col("_once") < total, F.col("_once")).otherwise(again)).drop("_side", "_once")
@@ -86,7 +91,8 @@ def permuted_rows(df: DataFrame, cols: Sequence[str], repeats: int = 10, seed=42
     donors = attach_one_row(ranked.select("_rank", values.alias("_v")), n_rows).select("*", F.inline(grid))
     donors = with_permuted_rank(donors, "_rank", "_n", "_keys", "_to").select(
         F.col("_to").alias("_rank"), "_c", "_r", F.element_at("_v", F.col("_c") + 1).alias("_new"))
-    out = ranked.join(donors, "_rank")
+    # never a broadcast: Spark's size estimate does not see that each row became many
+    out = ranked.hint("merge").join(donors, "_rank")
     repl = [F.when(F.col("_c") == i, F.col("_new")).otherwise(F.col(c).cast("double")).alias(c)
             for i, c in enumerate(cols)]
     keep = [c for c in df.columns if c not in cols]

@@ -34,3 +34,9 @@ def test_looks_random(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "reading_id BIGINT, a DOUBLE")
     assert X.permuted_rows(df, ["a"], 2).count() == 0
+
+
+def test_copies_are_not_broadcast(spark):
+    df = spark.range(100).select(F.col("id").alias("reading_id"), F.col("id").cast("double").alias("a"))
+    plan = X.permuted_rows(df, ["a"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
