@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrite.functions import attach_one_row, ratio
+from ferrite.operators.comoments import pair_moments
 from ferrite.operators.ordered import exact_quantiles
 from ferrite.schema import TARGET
 from ferrite.session import materialize
@@ -150,30 +151,24 @@ def group_profile(df: DataFrame, by: str, sensors: Sequence[str], label: str = T
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair, pairwise deletion of nulls.
 
-    Each row is spread into one (pair, a, b) row per unordered pair and
-    the diagonal, then grouped by pair: ``corr`` skips a row when either
-    side is null, ``stddev_pop`` of the diagonal gives 1 where the column
-    varies.  The partial aggregate runs before the shuffle (one row per
-    pair and task) and stays inside whole-stage codegen, unlike one wide
-    ``agg`` of a ``corr`` per pair.  Long form (col_a, col_b, r).
+    One scan adds co-moments under the mask of present values
+    (``comoments.pair_moments``).  A column's r with itself is 1, or null where
+    it does not vary; r of a pair is null where it has fewer than two rows or
+    one side does not vary over them, and NaN where a value in them is not
+    finite.  Long form (col_a, col_b, r).
     """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    d = lambda c: F.col(c).cast("double")
-    spread = F.array(*[F.struct(F.lit(i).alias("pair"), d(a).alias("a"), d(b).alias("b"))
-                       for i, (a, b) in enumerate(pairs)])
-    g = df.select(F.inline(spread)).groupBy("pair").agg(F.corr("a", "b").alias("r"),
-                                                        F.stddev_pop("a").alias("s"))
-    first = F.array(*[F.lit(a) for a, _ in pairs])
-    second = F.array(*[F.lit(b) for _, b in pairs])
-    g = g.select(F.element_at(first, F.col("pair") + 1).alias("a"),
-                 F.element_at(second, F.col("pair") + 1).alias("b"), "r", "s")
-    r = F.when(F.col("a") == F.col("b"), F.when(F.col("s") > 0, F.lit(1.0))).otherwise(F.col("r"))
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")))) \
-            .otherwise(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")),
-                               F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))))
-    out = g.select(r.alias("r"), F.explode(both).alias("e")).select("e.*", "r")
-    return out.select("col_a", "col_b", F.round("r", 6).alias("r"))
+    names = F.array(*[F.lit(c) for c in cols])
+    m = pair_moments(df, cols)
+    varies = (F.col("n") > 1) & ~F.col("steady_a") & ~F.col("steady_b")
+    r = F.when(F.col("i") == F.col("j"), F.when(varies | (F.col("odd") > 0), F.lit(1.0))) \
+         .when(F.col("odd") > 0, F.lit(float("nan"))) \
+         .when(varies, F.col("cross") / F.sqrt("sq_a") / F.sqrt("sq_b"))
+    places = F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("p"), F.col("j").alias("q")))) \
+              .otherwise(F.array(F.struct(F.col("i").alias("p"), F.col("j").alias("q")),
+                                 F.struct(F.col("j").alias("p"), F.col("i").alias("q"))))
+    out = m.select(F.round(r, 6).alias("r"), F.explode(places).alias("e"))
+    return out.select(names[F.col("e.p")].alias("col_a"), names[F.col("e.q")].alias("col_b"), "r")
 
 
 def _bounds(long: DataFrame, keys: Sequence[str]) -> DataFrame:
