@@ -331,8 +331,9 @@ def _q(name):
     return '"' + name + '"'
 
 
-def prepared_sql_body(src_split="split"):
-    """SQL for G1-G5: train-fitted median + population-std scaling, one-hot."""
+def prepared_sql_body(src_split="split", digits=6):
+    """SQL for G1-G5: train-fitted median + population-std scaling, one-hot (``digits`` None: not rounded)."""
+    shown = (lambda x: x) if digits is None else (lambda x: f"round({x}, {digits})")
     stats = []
     for c in NUMERIC_FEATURES:
         stats.append(f"(SELECT quantile_cont({c}, 0.5) FROM tr) AS med_{c}")
@@ -343,8 +344,8 @@ def prepared_sql_body(src_split="split"):
     ) + " FROM med m"
     cols = []
     for c in NUMERIC_FEATURES:
-        cols.append(f"round((coalesce(r.{c}, p.med_{c}) - p.mu_{c}) / "
-                    f"CASE WHEN p.sd_{c} > 0 THEN p.sd_{c} ELSE 1 END, 6) AS {_q('num__' + c)}")
+        cols.append(shown(f"(coalesce(r.{c}, p.med_{c}) - p.mu_{c}) / CASE WHEN p.sd_{c} > 0 THEN p.sd_{c} ELSE 1 END")
+                    + f" AS {_q('num__' + c)}")
     for c in CATEGORICAL_FEATURES:
         for lv in sorted(_CD[c]):
             cols.append(f"CASE WHEN r.{c} = '{lv}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END "
@@ -709,3 +710,41 @@ register("smote_sizes", with_readings(
 
 register("stream_equals_batch", with_readings(
     "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM readings"))
+
+
+def _smote_sql(k=5, seed=42):
+    """F7 by all pairs of minority rows.
+
+    A row's neighbours are the other copies of its vector, in turn from its own
+    place in hash order, then copies of other vectors by distance.  Other
+    vectors at one distance go by their least row here and by a digest in
+    the library: equal as long as no such tie meets the k-th place.
+    """
+    names = [_q("num__" + c) for c in NUMERIC_FEATURES] + [_q(f"cat__{c}_{lv}") for c in CATEGORICAL_FEATURES for lv in sorted(_CD[c])]
+    apart = " + ".join(f"(a.{n} - b.{n}) * (a.{n} - b.{n})" for n in names)
+    ctes, body = prepared_sql_body(digits=None)
+    digit = "CAST('0x' || substr(md5(CAST(i AS VARCHAR) || '-{}'), 1, 8) AS BIGINT)"
+    steps = f"""
+pre AS ({body}),
+fit AS (SELECT p.*, s.y FROM pre p JOIN split s ON p.reading_id = s.reading_id WHERE p.split = 'train'),
+few AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {_h(seed)}, reading_id) AS rk,
+   row_number() OVER (PARTITION BY {", ".join(names)} ORDER BY {_h(seed)}, reading_id) AS q,
+   count(*) OVER (PARTITION BY {", ".join(names)}) AS m, min(reading_id) OVER (PARTITION BY {", ".join(names)}) AS vid FROM fit WHERE y = 1),
+d AS (SELECT a.reading_id, b.reading_id AS nn, row_number() OVER (PARTITION BY a.reading_id ORDER BY
+     a.vid <> b.vid, CASE WHEN a.vid = b.vid THEN (b.q - a.q + a.m) % a.m ELSE sqrt({apart}) END, b.vid,
+     (b.q - a.q + 1000 * b.m) % b.m) AS nn_rank
+   FROM few a JOIN few b ON a.reading_id <> b.reading_id),
+sizes AS (SELECT count_if(y = 1) AS p, count_if(y <> 1) AS n FROM fit),
+i AS (SELECT unnest(range(1, n - p + 1)) AS i, p FROM sizes),
+made AS (SELECT i, (i - 1) % p + 1 AS rk, {digit.format("k")} % {k} + 1 AS nn_rank,
+   CAST({digit.format("g")} AS DOUBLE) / 4294967296 AS g FROM i)"""
+    new = ", ".join(f"round(a.{n} + g * (b.{n} - a.{n}), 6) AS {n}" for n in names)
+    old = ", ".join(f"round({n}, 6) AS {n}" for n in names)
+    return with_readings(
+        f"SELECT reading_id, y AS {TARGET}, {old} FROM fit UNION ALL "
+        f"SELECT -i AS reading_id, 1 AS {TARGET}, {new} FROM made JOIN few a ON a.rk = made.rk "
+        "JOIN d ON d.reading_id = a.reading_id AND d.nn_rank = made.nn_rank JOIN few b ON b.reading_id = d.nn",
+        extra_ctes=split_ctes() + ",\n" + ctes + "," + steps)
+
+
+register("smote", _smote_sql())

@@ -715,7 +715,8 @@ def q_smote(spark, sf):
     from pyspark.ml.functions import vector_to_array
     p = prepared(spark, sf)
     out = R.smote(p.part("train").select(KEY, TARGET, "features"), TARGET, seed=42)
-    return out.select(KEY, TARGET, vector_to_array("features").alias("features"))
+    out = out.select(KEY, TARGET, vector_to_array("features").alias("_x"))
+    return out.select(KEY, TARGET, *[F.round(F.col("_x")[i], 6).alias(n) for i, n in enumerate(p.feature_names)])
 
 
 @query
