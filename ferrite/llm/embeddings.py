@@ -208,3 +208,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 def op4_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors among all embeddings."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: The same by all pairs of rows, groups by the closure of their links.
+SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS MATERIALIZED (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a, min(vec_id) AS least FROM reach JOIN v ON v.r = reach.b GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+named AS (SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, least) AS component_id
+  FROM v LEFT JOIN least ON v.r = least.a LEFT JOIN n ON v.r = n.a)
+SELECT vec_id, CAST(n_links AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM named"""

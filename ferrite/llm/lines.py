@@ -220,3 +220,26 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 def op2_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links and removal of every line of all documents."""
     return line_links(table(spark, sf_dir, "documents")).drop("h")
+
+
+#: The same by all pairs of classes that share a shingle, where no doc_id repeats.
+SQL = f"""
+WITH RECURSIVE raw AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS line_no
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+worded AS (SELECT doc_id, line_no, list_filter(regexp_split_to_array(lower(line), '[ \\t\\r\\x0B\\x0C]+'), lambda w: w <> '') AS words FROM raw),
+lines AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY doc_id IS NULL, doc_id, line_no) AS place FROM worded WHERE len(words) > 0),
+classes AS MATERIALIZED (SELECT words, min(place) AS c, count(*) AS copies FROM lines GROUP BY words),
+tokens AS MATERIALIZED (SELECT DISTINCT c, words[i:i + {SHINGLE - 1}] AS token
+  FROM (SELECT c, words, unnest(range(1, len(words) - {SHINGLE - 2})) AS i FROM classes WHERE len(words) >= {SHINGLE})),
+sizes AS (SELECT c, count(*) AS n FROM tokens GROUP BY c),
+shared AS (SELECT a.c AS a, b.c AS b, count(*) AS n FROM tokens a JOIN tokens b ON a.token = b.token AND a.c <> b.c GROUP BY a.c, b.c),
+link AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes x ON x.c = a JOIN sizes y ON y.c = b WHERE 9 * shared.n >= 4 * (x.n + y.n)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+heads AS (SELECT a, min(b) AS head FROM reach GROUP BY a),
+linked AS (SELECT a, sum(y.copies) AS n, min(b) AS earliest FROM link JOIN classes y ON y.c = b GROUP BY a)
+SELECT l.doc_id, CAST(l.line_no AS INTEGER) AS line_no, CAST(coalesce(k.n, 0) + x.copies - 1 AS BIGINT) AS n_links,
+  f.doc_id AS class_doc_id, CAST(f.line_no AS INTEGER) AS class_line_no,
+  coalesce(k.earliest < x.c, false) OR l.place <> x.c AS removed
+FROM lines l JOIN classes x ON x.words = l.words LEFT JOIN heads h ON h.a = x.c LEFT JOIN linked k ON k.a = x.c
+  JOIN lines f ON f.place = least(x.c, h.head)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ferrite.llm import decontamination, merkle, quality, spelling
+from ferrite.llm import decontamination, embeddings, lines, merkle, quality, spelling
 from ferrite.llm.bpe import op5_bpe_chunks
 from ferrite.llm.decontamination import op3_decontaminate
 from ferrite.llm.embeddings import op4_pivot_permutations
@@ -30,10 +30,12 @@ REGISTRY = {
     "op13_quality_cascade": quality.op13_quality_cascade,
 }
 
-#: Shuffles, trained models and tokenizers have no SQL twin; tests/llm holds
-#: each of their queries against a brute-force version.
+#: Shuffles, trained models, tokenizers, rolling hashes and XXH64 have no SQL
+#: twin; tests/llm holds each of their queries against a brute-force version.
 SQL: dict[str, str] = {
+    "op2_line_set_join": lines.SQL,
     "op3_decontaminate": decontamination.SQL,
+    "op4_pivot_permutations": embeddings.SQL,
     "op11_merkle_manifest": merkle.SQL,
     "op12_pivotal_grams": spelling.SQL,
     "op13_quality_cascade": quality.SQL,
