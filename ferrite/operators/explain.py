@@ -140,10 +140,15 @@ def linear_contributions(rows: DataFrame, background: DataFrame, coefficients: d
 
 
 def contribution_summary(contrib: DataFrame) -> DataFrame:
-    """Mean |phi| per feature and the direction corr(value, phi)."""
+    """Mean |phi| per feature and the direction corr(value, phi), null where either is constant.
+
+    ``F.corr`` divides by zero there, an error in ANSI mode.
+    """
+    both = F.col("value").isNotNull() & F.col("phi").isNotNull()
+    spread = F.sqrt(F.var_pop(F.when(both, F.col("value")))) * F.sqrt(F.var_pop(F.when(both, F.col("phi"))))
     return contrib.groupBy("feature").agg(
         F.round(F.avg(F.abs("phi")), 6).alias("mean_abs_phi"),
-        F.round(F.corr("value", "phi"), 6).alias("direction"))
+        F.round(F.covar_pop("value", "phi") / F.nullif(spread, F.lit(0.0)), 6).alias("direction"))
 
 
 def shapley_sampling(rows: DataFrame, background: DataFrame, cols: Sequence[str],

@@ -62,3 +62,13 @@ def test_empty_background_and_too_many_features(spark):
     assert X.shapley_exact(rows, rows.limit(0), COLS, crossed).count() == 0
     with pytest.raises(ValueError, match="1 to 16"):
         X.shapley_exact(rows, rows, [f"x{i}" for i in range(17)], crossed)
+
+
+def test_summary_of_a_feature_without_effect(spark):
+    """A constant contribution (or value) has no direction; it must not end the query."""
+    rows = [(i, "a", float(i), 2.0 * i) for i in range(4)] + [(i, "b", float(i), 0.0) for i in range(4)]
+    rows += [(i, "c", 1.5, float(i)) for i in range(4)] + [(i, "d", None, 1.0) for i in range(4)]
+    rows += [(0, "e", None, 9.0), (1, "e", 1.0, 1.0), (2, "e", 2.0, 0.0)]
+    df = spark.createDataFrame(rows, "reading_id long, feature string, value double, phi double")
+    got = {r.feature: (r.mean_abs_phi, r.direction) for r in X.contribution_summary(df).collect()}
+    assert got == {"a": (3.0, 1.0), "b": (0.0, None), "c": (1.5, None), "d": (1.0, None), "e": (pytest.approx(10 / 3, abs=1e-6), -1.0)}
