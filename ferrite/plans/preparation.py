@@ -37,18 +37,22 @@ def run_preprocessing(readings: DataFrame, out_dir: str | None = None, test_frac
                       seed: int = 42) -> Prepared:
     """Split, fit on train only, transform all rows, write partitioned by split.
 
-    The written table cuts the lineage: every later fit reads Parquet.
+    The written table cuts the lineage: every later fit reads Parquet.  A row
+    group of Parquet is read by one task, so the rows are dealt by key before
+    they are written: as many files as the input has row groups would leave
+    most cores without work in each pass of each fit.
     """
     spark = readings.sparkSession
     out_dir = out_dir or work_dir(spark, "prepared")
     split = stratified_split(select_features(readings), TARGET, test_fraction, seed)
     split_path = f"{out_dir}/split"
-    files.write_prepared(split, split_path)
+    parts = 2 * spark.sparkContext.defaultParallelism
+    files.write_prepared(split.repartition(parts, KEY), split_path)
     split = files.read_prepared(spark, split_path)
     model = G.build_preprocessor().fit(split.where(F.col("split") == "train"))
     names = G.feature_names(model)
     rows = model.transform(split).drop(*G.transform_columns(model))
     rows_path = f"{out_dir}/rows"
-    files.write_prepared(rows, rows_path)
+    files.write_prepared(rows.repartition(parts, KEY), rows_path)
     files.save_model(model, f"{out_dir}/preprocessor")
     return Prepared(files.read_prepared(spark, rows_path), model, names, rows_path)
