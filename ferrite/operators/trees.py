@@ -354,20 +354,17 @@ def _split_pass(t: Table, rows: DataFrame, jobs: Sequence[Grown], splits: dict,
 
 # ---- forests ---------------------------------------------------------------
 
-def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_rows: int = LOCAL_ROWS) -> DataFrame:
-    """The tree-vote table (job, key, y, vote_0 ...): each tree's vote on each row of its left-out fold.
+def _tops(t: Table, jobs: Sequence[Grown], most: int, local_rows: int) -> tuple[dict, dict, dict]:
+    """By job: the splits of the histogram passes, the values of their nodes, and their leaves.
 
-    ``vote_i`` is the share of failures in the node that the tree cut at
-    ``depths[i]`` (rising) gives: a tree grows by levels and no split looks at
-    the depth allowed, so one tree serves every smaller depth.  Bags and
-    features depend on the tree's number alone, so the first trees of a forest
-    are a smaller forest.
+    A leaf's value is known, and its rows may be many; any other node that no
+    pass has split is a group for one task.
     """
     splits, known = {g.id: {} for g in jobs}, {g.id: {} for g in jobs}
-    closed = {g.id: set() for g in jobs}  # leaves of the passes: their value is known, and their rows may be many
+    closed = {g.id: set() for g in jobs}
     large = {g.id: {1} if t.n_train[g.fold] > local_rows else set() for g in jobs}
     depth = 0
-    while any(large.values()) and depth < max(depths):
+    while any(large.values()) and depth < most:
         found = _split_pass(t, t.rows, jobs, splits, large, None)
         large, depth = {g.id: set() for g in jobs}, depth + 1
         for r in found:
@@ -382,17 +379,22 @@ def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_r
                         large[r.job].add(child)
     for g in jobs:  # at the last depth
         closed[g.id] |= large[g.id]
-    sent = t.rows.sparkSession.sparkContext.broadcast((list(jobs), splits, known, closed))
-    by_id = {g.id: g for g in jobs}
-    edges, weights, n_features, depths = t.edges, t.weights, t.n_features, list(depths)
+    return splits, known, closed
 
-    names = [f"vote_{i}" for i in range(len(depths))]
-    group = "job int, node long, part long, bins binary, c binary, y binary, key binary"
+
+def _by_node(t: Table, sent, train: bool = True, rest: bool = True, n_parts: int = 0):
+    """Rows by tree and node, as blobs: (job, node, part, bins, c, y, key).
+
+    ``train``: a tree's bag; ``rest``: the rows of its left-out fold, which
+    have counts of 0 and whose keys are sent.  ``n_parts`` deals the rows of a
+    node to so many parts.  Leaves have a part for each batch.
+    """
+    edges, n_features = t.edges, t.n_features
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         jobs, splits, _, closed = sent.value
-        first = TaskContext.get().partitionId() << 32
-        for number, batch in enumerate(batches, first + 1):
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches, 1):
             key, fold, y, x = arrays(batch, n_features)
             by_fold = {f: binned(x, edges[f]) for f in {g.fold for g in jobs}}
             out = defaultdict(list)
@@ -400,7 +402,7 @@ def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_r
                 bins = by_fold[g.fold]
                 c = np.where(fold != g.fold, np.minimum(bag_counts(key, g.bag), 255), 0)
                 node = _descend(splits[g.id], bins)
-                use = np.flatnonzero((c > 0) | (fold == g.fold))
+                use = np.flatnonzero(((c > 0) & train) | ((fold == g.fold) & rest))
                 # rows by node; counts of 0 are the rows to score
                 order = use[np.argsort(node[use], kind="stable")]
                 ends = np.flatnonzero(np.diff(node[order])) + 1
@@ -411,7 +413,10 @@ def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_r
                     leaf = n in closed[g.id]  # only the rows to score, and those of one batch together
                     if leaf:
                         some = some[c[some] == 0]
-                    for name, v in (("job", g.id), ("node", n), ("part", number if leaf else 0), ("bins", b"" if leaf else bins[some].tobytes()),
+                        if not rest:
+                            continue
+                    part = (task << 32) + number if leaf else (task + number) % n_parts if n_parts else 0
+                    for name, v in (("job", g.id), ("node", n), ("part", part), ("bins", b"" if leaf else bins[some].tobytes()),
                                     ("c", c[some].astype(np.uint8).tobytes()), ("y", y[some].astype(np.uint8).tobytes()),
                                     ("key", key[some][c[some] == 0].tobytes())):
                         out[name].append(v)
@@ -420,6 +425,27 @@ def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_r
                     [pa.array(out["job"], pa.int32()), pa.array(out["node"], pa.int64()), pa.array(out["part"], pa.int64())]
                     + [pa.array(out[x], pa.binary()) for x in ("bins", "c", "y", "key")], names=list(out))
 
+    return parts
+
+
+_GROUP = "job int, node long, part long, bins binary, c binary, y binary, key binary"
+
+
+def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_rows: int = LOCAL_ROWS) -> DataFrame:
+    """The tree-vote table (job, key, y, vote_0 ...): each tree's vote on each row of its left-out fold.
+
+    ``vote_i`` is the share of failures in the node that the tree cut at
+    ``depths[i]`` (rising) gives: a tree grows by levels and no split looks at
+    the depth allowed, so one tree serves every smaller depth.  Bags and
+    features depend on the tree's number alone, so the first trees of a forest
+    are a smaller forest.
+    """
+    splits, known, closed = _tops(t, jobs, max(depths), local_rows)
+    sent = t.rows.sparkSession.sparkContext.broadcast((list(jobs), splits, known, closed))
+    by_id = {g.id: g for g in jobs}
+    weights, n_features, depths = t.weights, t.n_features, list(depths)
+
+    names = [f"vote_{i}" for i in range(len(depths))]
     def finished(key: tuple, got: pd.DataFrame) -> pd.DataFrame:
         _, _, known, closed = sent.value
         g, node = by_id[int(key[0])], int(key[1])
@@ -439,10 +465,75 @@ def forest_votes(t: Table, jobs: Sequence[Grown], depths: Sequence[int], local_r
                 votes[i] = known[g.id][node >> (level - d)]
         return pd.DataFrame({"job": np.int32(g.id), "key": keys, "y": y[rest].astype(np.int32), **dict(zip(names, votes))})
 
-    return t.rows.mapInArrow(parts, group).groupBy("job", "node", "part").applyInPandas(
+    return t.rows.mapInArrow(_by_node(t, sent), _GROUP).groupBy("job", "node", "part").applyInPandas(
         finished, "job int, key long, y int, " + ", ".join(f"{n} double" for n in names))
 
 
+@dataclass
+class Forest:
+    """A grown forest: what the passes split, and the written trees below, a row for each group."""
+    jobs: list[Grown]
+    splits: dict[int, dict]
+    known: dict[int, dict]
+    closed: dict[int, set]
+    edges: dict[int, list[np.ndarray]]
+    n_features: int
+    below: DataFrame                   # job, node, and a Tree's arrays
+
+
+_BELOW = "job int, node long, feature binary, bin binary, left binary, value binary"
+
+
+def forest(t: Table, jobs: Sequence[Grown], local_rows: int = LOCAL_ROWS) -> Forest:
+    """The trees of ``jobs``, which are those of ``forest_votes``, grown and written."""
+    splits, known, closed = _tops(t, jobs, max(g.max_depth for g in jobs), local_rows)
+    sent = t.rows.sparkSession.sparkContext.broadcast((list(jobs), splits, known, closed))
+    by_id, weights, n_features = {g.id: g for g in jobs}, t.weights, t.n_features
+
+    def finished(key: tuple, got: pd.DataFrame) -> pd.DataFrame:
+        g, node = by_id[int(key[0])], int(key[1])
+        bins, c, y = (np.frombuffer(b"".join(got[x]), np.uint8) for x in ("bins", "c", "y"))
+        w = np.where(y == 1, weights[g.fold][1], weights[g.fold][0])
+        tree = grown(bins.reshape(-1, n_features), c.astype(np.int64), w, y.astype(float), g, node, node.bit_length() - 1)
+        made = [v.astype(d).tobytes() for v, d in zip(tree.frozen(), _TYPES)]
+        return pd.DataFrame([(np.int32(g.id), node, *made)], columns=["job", "node", "feature", "bin", "left", "value"])
+
+    below = t.rows.mapInArrow(_by_node(t, sent, rest=False), _GROUP).groupBy("job", "node").applyInPandas(finished, _BELOW)
+    return Forest(list(jobs), splits, known, closed, t.edges, n_features, materialize(below, "forest"))
+
+
+_TYPES = (np.int16, np.uint8, np.int32, np.float64)
+
+
+def forest_scores(grown_: Forest, rows: DataFrame, local_rows: int = LOCAL_ROWS) -> DataFrame:
+    """(key, score): the mean vote of the trees on rows (_key long, _x array<double>).
+
+    A group is some ``local_rows`` rows at most that reach one node, and its tree.
+    """
+    f, fold = grown_, grown_.jobs[0].fold
+    n_parts = max(1, -(-rows.count() // local_rows))
+    held = Table(rows.select("_key", F.lit(fold).alias("_fold"), F.lit(0).alias("_y"), "_x"), f.edges, {}, {}, f.n_features)
+    sent = rows.sparkSession.sparkContext.broadcast((f.jobs, f.splits, f.known, f.closed))
+    by_id, n_features = {g.id: g for g in f.jobs}, f.n_features
+
+    def voted(key: tuple, got: pd.DataFrame, trees_: pd.DataFrame) -> pd.DataFrame:
+        g, node = by_id[int(key[0])], int(key[1])
+        keys = np.frombuffer(b"".join(got["key"]), np.int64)
+        if len(trees_):
+            tree, bins = Tree(), np.frombuffer(b"".join(got["bins"]), np.uint8).reshape(-1, n_features)
+            tree.feature, tree.bin, tree.left, tree.value = (
+                np.frombuffer(trees_[n].iloc[0], d) for n, d in zip(("feature", "bin", "left", "value"), _TYPES))
+            votes = values(tree, bins, [g.max_depth])[0]
+        else:
+            votes = np.full(len(keys), sent.value[2][g.id].get(node, 0.0))
+        return pd.DataFrame({"key": keys, "vote": votes})
+
+    below = f.below.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long"))))
+    blocks = held.rows.mapInArrow(_by_node(held, sent, train=False, n_parts=n_parts), _GROUP)
+    votes = blocks.groupBy("job", "node", "part").cogroup(below.groupBy("job", "node", "part")).applyInPandas(voted, "key long, vote double")
+    return votes.groupBy("key").agg((F.sum("vote") / len(f.jobs)).alias("score"))
+
+
 # ---- boosters --------------------------------------------------------------
 
 def boosted_scores(t: Table, jobs: Sequence[Grown], local_rows: int = LOCAL_ROWS) -> DataFrame:
