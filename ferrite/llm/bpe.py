@@ -13,7 +13,7 @@ white space, so its normaliser, its splitting and its added tokens never look
 across an ASCII blank, and the ids of a text are those of its pieces in turn.
 For the same reasons letters A-Z are as good as a-z, and a piece that ends in
 marks after a letter is a stem and its marks, so pieces that differ in these
-are encoded once.  All this holds for tokenizers of one make; ``checked``
+are encoded once, and many new pieces go to the library as one text.  All this holds for tokenizers of one make; ``checked``
 raises ValueError for any other.
 
 There is no shuffle.  Reuse is within a Python worker; its caches are bounded.
@@ -38,9 +38,9 @@ from ferrite.llm.common import append_columns, table, utf8
 CUT_BITS = 9
 #: A chunk is cut at so many bytes where its content gives no cut.
 LONGEST_CHUNK = 1 << 14
-#: Bounds of a worker's caches: pieces in each of two generations, bytes of chunks likewise
-#: (a chunk's ids and decoded text take about four times its bytes).
-CACHED_PIECES = 160_000
+#: Bounds of a worker's caches: pieces in each of two generations (and those of the last group), bytes of
+#: chunks likewise (a chunk's ids and decoded text take about four times its bytes).
+CACHED_PIECES = 320_000
 CACHED_CHUNK_BYTES = 4 << 20
 #: Bytes of text whose pieces are looked up together.
 GROUP_BYTES = 1 << 20
@@ -102,12 +102,22 @@ class _Generations:
         self.young[key] = value
         self.weight += weight
 
+    def turned(self) -> tuple[dict, dict]:
+        """The young half, to be filled by its number of keys, and the old one."""
+        if len(self.young) >= self.bound:
+            self.old, self.young = self.young, {}
+        return self.young, self.old
+
 
 #: How the tokenizer splits a normalised text (fixed value), and the parts of its normaliser.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMALISERS = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"})
-#: A stem that ends in a letter, and marks that the split always parts from it.
-_STEM = re.compile(rb"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+#: Marks that the split always parts from a letter before them.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A word that parts pieces encoded in one text; a piece that holds it is encoded alone.
+_MARK = b"0"
+#: Pieces encoded in one text.
+JOINED = 250
 #: What every added token begins with; pieces that hold it are left as they are.
 _ADDED = b"<|"
 
@@ -127,8 +137,13 @@ def checked(spec: str) -> str:
     return spec
 
 
-def _lowered(piece: bytes) -> bytes:
-    return piece.lower() if piece.isascii() and _ADDED not in piece else piece
+#: Bytes that begin neither U+0080 to U+00BF nor a character above U+00FF.
+_PLAIN = bytes([*range(0xC2), 0xC3])
+
+
+def _lowered(some: bytes) -> bytes:
+    """``some`` with A-Z in lower case, where ids cannot tell: no marks that could join a letter of one case alone."""
+    return some if some.translate(None, _PLAIN) or _ADDED in some else some.lower()
 
 
 class Encoder:
@@ -141,37 +156,55 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.pieces = _Generations(CACHED_PIECES)
+        self.mark_id, = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+        self.mark_said = b" " + self.tokenizer.decode([self.mark_id]).encode() + b" "
         self.chunks = _Generations(CACHED_CHUNK_BYTES)
 
     def _encoded(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text with a blank behind)."""
-        made = []
-        for at in range(0, len(pieces), 1000):
-            some = pieces[at:at + 1000]
+        """(ids as little-endian unsigned 32-bit integers, decoded text with a blank behind).
+
+        Pieces without the mark are encoded in one text, with the mark as a
+        word between them: its id then stands for nothing else.
+        """
+        joined = [p for p in pieces if _MARK not in p and _ADDED not in p]
+        made = {}
+        for at in range(0, len(joined), JOINED):
+            some = joined[at:at + JOINED]
+            ids = self.tokenizer.encode_batch_fast([(b" " + _MARK + b" ").join(some).decode()], add_special_tokens=False)[0].ids
+            said = self.tokenizer.decode(ids, skip_special_tokens=False).encode().split(self.mark_said)
+            ids = np.array(ids, "<u4")
+            ends, ids = (np.flatnonzero(ids == self.mark_id) * 4).tolist(), ids.tobytes()
+            if len(said) == len(some) == len(ends) + 1:  # else a piece has no ids
+                made.update((p, (ids[i:j], t + b" ")) for p, i, j, t in
+                            zip(some, [0, *[e + 4 for e in ends]], [*ends, len(ids)], said))
+        rest = [p for p in pieces if p not in made]
+        for at in range(0, len(rest), 1000):
+            some = rest[at:at + 1000]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
             said = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            made += [(array("I", i).tobytes(), s.encode() + b" " if i else b"") for i, s in zip(ids, said)]
-        return made
-
-    def _known(self, wanted: set[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
-        """Ids and decoded text of each piece: from the cache, from stem and marks, or encoded."""
-        known, stems, missing = {}, [], []
-        get = self.pieces.get
-        for p in wanted:
-            if (v := get(p)) is not None:
+            made.update((p, (array("I", i).tobytes(), s.encode() + b" " if i else b"")) for p, i, s in zip(some, ids, said))
+        return [made[p] for p in pieces]
+
+    def _learn(self, wanted: set[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
+        """The young cache, with ids and decoded text of each piece: from the old one, from stem and marks, or encoded.
+
+        It turns between groups only, and ``passing`` are the long ones to go after this group.
+        """
+        known, old = self.pieces.turned()
+        stems, fresh = [], {}
+        for p in wanted.difference(known):
+            if (v := old.get(p)) is not None:
                 known[p] = v
                 continue
-            m = _STEM.fullmatch(p) if _ADDED not in p else None
-            if m is None:
-                missing.append(p)
+            stem = p.rstrip(_MARKS)
+            if len(stem) < len(p) and stem[-1:].isalpha() and _ADDED not in p:
+                stems.append((p, stem, p[len(stem):]))
             else:
-                stem, marks = m.groups()
-                stems.append((p, stem, marks))
-        fresh = dict.fromkeys(missing)
+                fresh[p] = None
         for _, *two in stems:
             for x in two:
                 if x not in known and x not in fresh:
-                    if (v := get(x)) is None:
+                    if (v := old.get(x)) is None:
                         fresh[x] = None
                     else:
                         known[x] = v
@@ -181,27 +214,28 @@ class Encoder:
             (a, b), (c, d) = known[stem], known[marks]
             known[p] = (a + c, b + d)
             made.append(p)
-        for p in made:
-            if len(p) <= LONGEST_CACHED_PIECE:
-                self.pieces.put(p, known[p])
+        self.passing = [p for p in made if len(p) > LONGEST_CACHED_PIECE]
         return known
 
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(ids, decoded text) of each text."""
         plans, fresh, wanted = [], {}, set()
+        get = self.chunks.get
         for data in texts:
             # a plan is the text's parts in turn: a piece to encode, or a chunk's body
             plan, carry, last = [], b"", 0
             for end in cuts(data):
                 chunk, last = data[last:end], end
-                entry = self.chunks.get(chunk, len(chunk)) or fresh.get(chunk)
+                entry = get(chunk, len(chunk)) or fresh.get(chunk)
                 if entry is None:
                     pieces = chunk.split()
-                    head = pieces.pop(0) if pieces and not chunk[:1].isspace() else b""
-                    blank = not (head == chunk)
-                    tail = pieces.pop() if blank and pieces and not chunk[-1:].isspace() else b""
+                    head = pieces[0] if pieces and not chunk[:1].isspace() else b""
+                    blank = head != chunk
+                    tail = pieces[-1] if blank and len(pieces) > bool(head) and not chunk[-1:].isspace() else b""
                     # a head or tail is lowered when its piece is whole
-                    pieces = [p.lower() for p in pieces] if chunk.isascii() and _ADDED not in chunk else [_lowered(p) for p in pieces]
+                    body = _lowered(chunk)
+                    pieces = body.split() if body is not chunk else list(map(_lowered, pieces))
+                    pieces = pieces[bool(head):len(pieces) - bool(tail)]
                     entry = fresh[chunk] = [blank, head, pieces, tail]
                     wanted.update(pieces)
                 blank, head, _, tail = entry
@@ -214,16 +248,17 @@ class Encoder:
             if carry:
                 plan.append(_lowered(carry))
             plans.append(plan)
-            wanted.update(p for p in plan if type(p) is bytes)
-        known = self._known(wanted)
+            wanted.update([p for p in plan if type(p) is bytes])
+        known = self._learn(wanted)
         for chunk, entry in fresh.items():
-            parts = [known[p] for p in entry[2]]
-            entry[2] = (b"".join([i for i, _ in parts]), b"".join([s for _, s in parts]))
+            entry[2] = tuple(map(b"".join, zip(*map(known.__getitem__, entry[2])))) or (b"", b"")
             self.chunks.put(chunk, entry, len(chunk))
         out = []
         for plan in plans:
             parts = [known[p] if type(p) is bytes else p[2] for p in plan]
             out.append((b"".join([i for i, _ in parts]), b"".join([s for _, s in parts])[:-1]))
+        for p in self.passing:
+            del known[p]
         return out
 
 

@@ -70,3 +70,46 @@ def test_other_tokenizers_are_refused():
                    {"added_tokens": [{**spec["added_tokens"][0], "lstrip": True}]}, {"model": {**spec["model"], "dropout": 0.1}}):
         with pytest.raises(ValueError):
             bpe.checked(json.dumps(spec | change))
+
+
+def test_new_pieces_share_a_text(library, monkeypatch):
+    """Hundreds of new words are a few texts for the library, whatever stands between them or is the mark itself."""
+    with open(PATH, encoding="utf-8") as f:
+        encoder = bpe.Encoder(f.read())
+    sent = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return library.encode_batch_fast(texts, **more)
+
+    encoder.tokenizer = Counted()
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij\u00e9\u00c4", k=rng.randint(3, 9))) for _ in range(3000)]
+    odd = ["0", "00", "a0b", "10", "0</w>", "\u2028", "\x85", "\u0301", "H\u0331", "h\u0331", "\u00c4\u0331A", "x" * 200 + ".", "Q" * 100, "<|endoftext|>", "0."]
+    for text in (" ".join(words), " ".join(rng.choices(words[:500] + odd, k=4000)), " ".join(odd), ""):
+        (ids, said), = encoder.encode([text.encode()])
+        assert (ids, said.decode()) == whole(library, text)
+    assert len(sent) < 300
+    assert max(map(len, encoder.pieces.young)) <= bpe.LONGEST_CACHED_PIECE
+
+
+def test_letters_of_one_case_alone_are_kept():
+    assert bpe._lowered("\u00c4A\u00dfZ.".encode()) == "\u00c4a\u00dfz.".encode()
+    for kept in ("H\u0331", "\u0130I", "A\u00b5", "\u4e2dA", "<|A"):
+        assert bpe._lowered(kept.encode()) == kept.encode()
+
+
+@pytest.mark.parametrize("bound", [1, 50])
+def test_full_caches(library, monkeypatch, bound):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", bound)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = bpe.Encoder(f.read())
+    rng = random.Random(bound)
+    for _ in range(30):
+        texts = [" ".join(rng.choices(PIECES, k=40)) for _ in range(5)]
+        for text, (ids, said) in zip(texts, encoder.encode([t.encode() for t in texts])):
+            assert (ids, said.decode()) == whole(library, text)
