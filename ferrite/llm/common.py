@@ -70,15 +70,16 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 
 # ---- groups of bounded size, links and components --------------------------
 
-def bounded_shards(members: DataFrame, key: str, order: str, limit: int) -> DataFrame:
+def bounded_shards(members: DataFrame, key: str, order: str, limit: int, counted: DataFrame | None = None) -> DataFrame:
     """``members`` of keys with two rows or more, with ``_i``, ``_k`` and ``_slice``.
 
     A key with more than ``limit`` rows is cut into slices by a hash of
     ``order``, and a member of slice s goes to one shard (_i, _k) for each
     other slice: any two members of a key meet in a shard, and a shard holds
     about twice ``limit`` rows at most.  Other keys are one shard (0, 0).
+    ``counted`` has the same keys as often, where ``members`` is dear to make twice.
     """
-    sizes = members.groupBy(key).agg(F.count("*").alias("_size")).filter("_size > 1")
+    sizes = (members if counted is None else counted).groupBy(key).agg(F.count("*").alias("_size")).filter("_size > 1")
     g = F.ceil(F.col("_size") / limit)
     cut = members.join(sizes, key).withColumn("_g", g.cast("int")).withColumn(
         "_slice", F.pmod(F.xxhash64(F.col(order), F.lit(1)), F.col("_g")).cast("int"))

@@ -134,14 +134,15 @@ def _sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, ranks: str) ->
         "doc_id", "h", "x.line_no", "x.node", "x.copies", F.col("lines")[F.col("x.line_no")].alias("raw"))
     lines = _normalised(raw)
     sets = _with_keys(lines, ranks).select("node", _place().alias("first"), "copies", "keys")
-    return materialize(sets.dropDuplicates(["node"]), "line-sets")  # repeated rows hold a line twice
+    return sets.dropDuplicates(["node"])  # repeated rows hold a line twice
 
 
 def _links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, n, earlier) of each member of a list: node, group label, linked copies, an earlier line is linked."""
+    # each list's size is that of its nodes alone, so the sets are made once and go to their lists unwritten
     members = lists.join(sets, "node").withColumns({
         "n": F.size("keys"), "at": F.expr("cast(array_position(keys, key) as int)")})
-    shards = bounded_shards(members, "key", "node", SLICE).groupBy("key", "_i", "_k").agg(
+    shards = bounded_shards(members, "key", "node", SLICE, lists).groupBy("key", "_i", "_k").agg(
         F.collect_list(F.struct("node", "first", "copies", "keys", "n", "at", "_slice")).alias("m")).filter("size(m) > 1")
     linked = """a.node <> b.node and (_i = _k or a._slice <> b._slice)
         and 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)

@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 from cases import clashing, frame, rows
 
+from ferrite.llm import lines
 from ferrite.llm.lines import line_links, without_repeated_lines
 
 
@@ -82,3 +83,15 @@ def test_texts_without_removed_lines(spark):
 def test_empty_table(spark):
     assert line_links(frame(spark, [])).count() == 0
     assert without_repeated_lines(frame(spark, [])).count() == 0
+
+
+def test_sets_are_made_once_and_never_written(spark, monkeypatch):
+    """The text is read for the sets once, and no table of sets takes disk beside its shuffle."""
+    written, made, materialize, sets = [], [], lines.materialize, lines._sets
+    monkeypatch.setattr(lines, "materialize", lambda df, name: written.append((name, df)) or materialize(df, name))
+    monkeypatch.setattr(lines, "_sets", lambda docs, *more: made.append(docs) or sets(docs, *more))
+    assert line_links(frame(spark, rows())).count() > 0
+    assert made and all("keys" not in df.columns for _, df in written)
+    found = next(df for name, df in written if name == "line-links")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(array_distinct") == 1
