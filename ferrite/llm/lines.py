@@ -46,18 +46,25 @@ def _lines(docs: DataFrame) -> DataFrame:
 
     ``line`` is in lower case, its words parted by one blank.  Most lines are
     so but for the case, and a search for what is not is cheaper than a
-    replacement.  Blank lines go by their raw text, so that the filter does
-    not repeat the rest.
+    replacement: whole texts are lowered and searched, and the lines only of
+    those with a find.  Blank lines go by their raw text, so that the filter
+    does not repeat the rest.
     """
-    raw = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    # a select of its own: what stands beside posexplode is computed once for each line
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), F.expr(_other_blanks("text")).alias("odd"), F.lower("text").alias("low"))
+    raw = texts.select("doc_id", "h", "odd", F.posexplode(F.split("low", "\n")).alias("line_no", "raw"))
     return _normalised(raw.filter(F.expr(f"btrim(raw, {_BLANKS}) <> ''")))
 
 
+def _other_blanks(column: str) -> str:
+    return "(" + " or ".join(f"contains({column}, {b})" for b in (
+        r"'\t'", r"'\r'", "decode(unhex('0B'), 'UTF-8')", "decode(unhex('0C'), 'UTF-8')", "'  '")) + ")"
+
+
 def _normalised(lines: DataFrame) -> DataFrame:
-    other = " or ".join(f"contains(raw, {b})" for b in (
-        r"'\t'", r"'\r'", "decode(unhex('0B'), 'UTF-8')", "decode(unhex('0C'), 'UTF-8')", "'  '"))
-    return lines.withColumn("line", F.expr(f"""if({other} or startswith(raw, ' ') or endswith(raw, ' '),
-        trim(regexp_replace(lower(raw), concat('[', {_BLANKS}, ']+'), ' ')), lower(raw))""")).drop("raw")
+    """``line`` for ``raw``, which is in lower case; ``odd``: its text has blanks that lines do not keep."""
+    return lines.withColumn("line", F.expr(f"""if((odd and {_other_blanks('raw')}) or startswith(raw, ' ') or endswith(raw, ' '),
+        trim(regexp_replace(raw, concat('[', {_BLANKS}, ']+'), ' ')), raw)""")).drop("raw", "odd")
 
 
 def _hashed_words(lines: DataFrame) -> DataFrame:
@@ -65,12 +72,12 @@ def _hashed_words(lines: DataFrame) -> DataFrame:
 
 
 _SHINGLE_HASH = "xxhash64(" + ", ".join(f"words[i + {j}]" for j in range(SHINGLE)) + ")"
+_PLACES = f"if(size(words) < {SHINGLE}, cast(array() as array<int>), sequence(0, size(words) - {SHINGLE}))"
 
 
 def _ranks(docs: DataFrame) -> str:
     """A SQL array of the ranks of the token buckets: 64 log2 of the bucket's count."""
-    places = f"if(size(words) < {SHINGLE}, cast(array() as array<int>), sequence(0, size(words) - {SHINGLE}))"
-    counts = (_hashed_words(_lines(docs).select("line")).select("words", F.explode(F.expr(places)).alias("i"))
+    counts = (_hashed_words(_lines(docs).select("line")).select("words", F.explode(F.expr(_PLACES)).alias("i"))
               .groupBy(F.expr(f"cast({_SHINGLE_HASH} & {BUCKETS - 1} as int)").alias("bucket")).agg(F.count("*").alias("n")))
     ranks = [0] * BUCKETS
     for r in counts.collect():  # BUCKETS rows at most
@@ -84,8 +91,9 @@ def _with_keys(lines: DataFrame, ranks: str) -> DataFrame:
     A line of fewer words than a shingle matches only its equals, which the
     class holds already: its set is left empty.
     """
-    tokens = f"if(size(words) < {SHINGLE}, cast(array() as array<bigint>), transform(sequence(0, size(words) - {SHINGLE}), i -> {_SHINGLE_HASH}))"
-    key = (f"transform({tokens}, t -> shiftleft(cast(element_at({ranks}, cast(t & {BUCKETS - 1} as int) + 1) as bigint), 48)"
+    tokens = f"transform({_PLACES}, i -> {_SHINGLE_HASH})"
+    # never null, as far as types tell: so the sets are sorted as plain numbers
+    key = (f"transform({tokens}, t -> shiftleft(cast(coalesce({ranks}[cast(t & {BUCKETS - 1} as int)], 0) as bigint), 48)"
            f" | shiftrightunsigned(t, 16))")
     return _hashed_words(lines).withColumn("keys", F.sort_array(F.array_distinct(F.expr(key)))).drop("words")
 
@@ -130,8 +138,9 @@ def _sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, ranks: str) ->
     side = F.broadcast(by_doc) if size <= BROADCAST_BYTES else by_doc
     text = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").alias("t")
     raw = text.join(side.alias("w"), F.expr("t.h = w.h and t.doc_id <=> w.doc_id")).select(
-        "t.doc_id", "t.h", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("x")).select(
-        "doc_id", "h", "x.line_no", "x.node", "x.copies", F.col("lines")[F.col("x.line_no")].alias("raw"))
+        "t.doc_id", "t.h", F.split("text", "\n").alias("lines"), "wanted").select(
+        "doc_id", "h", "lines", F.explode("wanted").alias("x")).select(
+        "doc_id", "h", "x.line_no", "x.node", "x.copies", F.lower(F.col("lines")[F.col("x.line_no")]).alias("raw"), F.lit(True).alias("odd"))
     lines = _normalised(raw)
     sets = _with_keys(lines, ranks).select("node", _place().alias("first"), "copies", "keys")
     return sets.dropDuplicates(["node"])  # repeated rows hold a line twice

@@ -95,3 +95,32 @@ def test_sets_are_made_once_and_never_written(spark, monkeypatch):
     found = next(df for name, df in written if name == "line-links")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sort_array(array_distinct") == 1
+
+
+def test_texts_are_hashed_and_cut_once(spark):
+    """What stands beside a generator is computed for each of its rows: hashes and cuts of whole texts stand below it."""
+    docs = frame(spark, rows()).select("doc_id", "text")
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    cut = plan(lines._lines(docs))
+    assert -1 < cut.index("Generate") < cut.index("xxhash64(text")
+    ranks = lines._ranks(docs)
+    classes = lines._classes(docs, ranks)
+    sets = plan(lines._sets(docs, classes, classes.select("node"), ranks))
+    assert -1 < sets.index("Generate explode(wanted") < sets.index("split(text")
+
+
+def test_sets_are_sorted_as_plain_numbers(spark):
+    docs = frame(spark, rows()).select("doc_id", "text")
+    sets = lines._with_keys(lines._lines(docs), lines._ranks(docs))
+    assert not sets.schema["keys"].dataType.containsNull  # else each comparison is of objects
+    assert all(r["keys"] == sorted(set(r["keys"])) for r in sets.select("keys").collect())
+
+
+def test_whole_texts_are_lowered_as_their_lines(spark):
+    text = "ΟΔΟΣ\nΣ ΑΣ Β\r\n ΑΣ\tΣΑΣ.  İI \n\u000b\n  \nA  B\x0cC"
+    got = {r.line_no: r.line for r in lines._lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()}
+    each = spark.createDataFrame([(k, " ".join(x.split())) for k, x in enumerate(text.split("\n")) if x.split()], "k long, x string")
+    assert got == {r.k: r.x for r in each.selectExpr("k", "lower(x) as x").collect()}
+    assert sorted(got) == [0, 1, 2, 5]
