@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrite.operators import networks, newton, trees
+from ferrite.operators import held, networks, newton, trees
 from ferrite.operators.evaluate import confusion
 from ferrite.operators.resample import oversample, with_class_weights, with_copies
 from ferrite.operators.splits import fold_assignment
@@ -252,15 +252,28 @@ def _forest_draws(t: trees.Table, draws: list[dict], folds: int) -> DataFrame:
             mine = [i for i, d in enumerate(draws) if d["min_samples_leaf"] == leaf]
             for tree in range(max(draws[i]["n_estimators"] for i in mine)):
                 jobs.append(trees.Grown((f * len(leaves) + k) * most + tree, f, max(depth[i] for i in mine), leaf, tried, tree))
+    cells = {f * len(leaves) + k: [(d["n_estimators"], depths.index(x)) for d, x in zip(draws, depth) if d["min_samples_leaf"] == leaf]
+             for f in range(folds) for k, leaf in enumerate(leaves)}
+    means = _forest_means(t, jobs, most, depths, cells)
+    mine = [F.array(*[F.lit(i) for i, d in enumerate(draws) if d["min_samples_leaf"] == leaf]) for leaf in leaves]
+    of = F.get(F.array(*mine), F.expr(f"forest % {len(leaves)}"))
+    out = means.select("forest", "y", F.explode(F.arrays_zip(of.alias("draw"), F.col("scores").alias("score"))).alias("e"))
+    return out.select("e.draw", F.expr(f"forest div {len(leaves)}").cast("int").alias("fold"), "y", "e.score")
+
+
+def _forest_means(t: trees.Table, jobs: list[trees.Grown], most: int, depths: list[int], cells: dict[int, list[tuple[int, int]]]) -> DataFrame:
+    """``held.forest_means``, from the single votes where a task cannot hold the rows."""
+    if max((t.n_train[g.fold] for g in jobs), default=0) <= held.FOREST_ROWS:
+        return held.forest_means(t, jobs, most, depths, cells)
     votes = trees.forest_votes(t, jobs, depths)
     votes = votes.withColumns({"tree": F.col("job") % most, "forest": F.floor(F.col("job") / most).cast("int")})
-    cells = sorted({(d["n_estimators"], depths.index(x)) for d, x in zip(draws, depth)})
+    every = sorted({c for v in cells.values() for c in v})
     means = votes.groupBy("forest", "key", "y").agg(*[
-        F.avg(F.when(F.col("tree") < n, F.col(f"vote_{x}"))).alias(f"s_{n}_{x}") for n, x in cells])
-    each = [F.struct(F.lit(i).alias("draw"), F.lit(leaves.index(d["min_samples_leaf"])).alias("leaf"),
-                     F.col(f"s_{d['n_estimators']}_{depths.index(x)}").alias("score")) for i, (d, x) in enumerate(zip(draws, depth))]
-    out = means.select("forest", "y", F.explode(F.array(*each)).alias("e")).filter(F.expr(f"e.leaf = forest % {len(leaves)}"))
-    return out.select("e.draw", F.expr(f"forest div {len(leaves)}").cast("int").alias("fold"), "y", "e.score")
+        F.avg(F.when(F.col("tree") < n, F.col(f"vote_{d}"))).alias(f"s_{n}_{d}") for n, d in every])
+    scores = F.lit(None).cast("array<double>")
+    for forest, mine in cells.items():
+        scores = F.when(F.col("forest") == forest, F.array(*[F.col(f"s_{n}_{d}") for n, d in mine])).otherwise(scores)
+    return means.select("forest", "key", "y", scores.alias("scores"))
 
 
 def _boosted_draws(t: trees.Table, draws: list[dict], folds: int) -> DataFrame:
@@ -377,8 +390,9 @@ def _grown_scores(kind: str, t: trees.Table, params: dict, folds: Sequence[int])
         n = params.get("n_estimators", 100)
         jobs = [trees.Grown(f * n + i, f, depth, params.get("min_samples_leaf", 1), math.ceil(math.sqrt(t.n_features)), i)
                 for f in folds for i in range(n)]
-        votes = trees.forest_votes(t, jobs, [depth])
-        return votes.groupBy("key", "y", F.floor(F.col("job") / n).cast("int").alias("fold")).agg(F.avg("vote_0").alias("score"))
+        means = _forest_means(t, jobs, n, [depth], {f: [(n, 0)] for f in folds})
+        # written: a forest is not grown again for every reader of its scores
+        return materialize(means.select("key", "y", F.col("forest").alias("fold"), F.col("scores")[0].alias("score")), "forest-scores")
     n = params.get("max_iter", 100)
     jobs = [trees.Grown(f, f, params.get("max_depth", 5), params.get("min_samples_leaf", 20), step=params.get("learning_rate", 0.1), stages=(n,))
             for f in folds]

@@ -43,7 +43,7 @@ LOCAL_ROWS = 1 << 19
 SLICE = 512
 #: Bins of a feature, at quantiles of the training rows.
 BINS = 64
-#: Accuracy of the quantiles.
+#: Values of a summary that quantiles are read from.
 ACCURACY = 10_000
 _SEED = 42
 
@@ -69,6 +69,7 @@ class Table:
     weights: dict[int, tuple[float, float]]
     n_train: dict[int, int]
     n_features: int = field(default=0)
+    n_rows: int = field(default=0)
 
 
 # ---- hashes ----------------------------------------------------------------
@@ -249,19 +250,78 @@ def table(rows: DataFrame, key: str, label: str, features: str, fold: str, folds
     first = out.select(F.size("_x")).first()
     n_features = first[0] if first else 0
     counts: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
+    n_rows = 0
     for r in out.groupBy("_fold", "_y").agg(F.count("*").alias("n")).collect():
+        n_rows += r["n"]
         for f in folds:
             if r["_fold"] != f:
                 counts[f][r["_y"]] += r["n"]
-    probs = [i / BINS for i in range(1, BINS)]
-    q = out.agg(*[F.percentile_approx(F.when(F.col("_fold") != f, F.col("_x")[j]), probs, ACCURACY).alias(f"q_{f}_{j}")
-                  for f in folds for j in range(n_features)]).first() if n_features else None
+    cuts = _edges(out, folds, n_features)
     edges, weights, n_train = {}, {}, {}
     for f in folds:
-        edges[f] = [np.unique(np.array(q[f"q_{f}_{j}"] or [], float)) for j in range(n_features)]
+        edges[f] = [cuts.get((f, j), np.empty(0)) for j in range(n_features)]
         n_train[f] = sum(counts[f].values())
         weights[f] = tuple(n_train[f] / (2 * counts[f][c]) if balanced and counts[f][c] else 1.0 for c in (0, 1))
-    return Table(out, edges, weights, n_train, n_features)
+    return Table(out, edges, weights, n_train, n_features, n_rows)
+
+
+def summary(values_: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values, rising, with their counts; of more than ``ACCURACY`` the ones at even ranks, which count for those before them."""
+    order = np.argsort(values_, kind="stable")
+    v, total = values_[order], np.cumsum(counts[order])
+    last = np.flatnonzero(np.append(v[1:] != v[:-1], True)) if len(v) else np.empty(0, np.int64)
+    v, total = v[last], total[last]
+    if len(v) > ACCURACY:
+        some = np.unique(np.searchsorted(total, total[-1] * np.arange(1, ACCURACY + 1) / ACCURACY - 0.5))
+        v, total = v[some], total[some]
+    return v, np.diff(total, prepend=0)
+
+
+def _edges(rows: DataFrame, folds: Sequence[int], n_features: int) -> dict[tuple[int, int], np.ndarray]:
+    """By fold and feature: quantiles of its training rows, from summaries of each task's rows of each fold."""
+    if not n_features:
+        return {}
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, known = defaultdict(list), defaultdict(list)  # by fold: rows; by fold and feature: summaries
+
+        def put(part: int) -> None:
+            x = np.concatenate(waiting.pop(part))
+            for j in range(n_features):
+                known[part, j].append(summary(x[:, j], np.ones(len(x), np.int64)))
+
+        for batch in batches:
+            _, fold, _, x = arrays(batch, n_features)
+            for part in np.unique(fold).tolist():
+                waiting[part].append(x[fold == part])
+                if sum(map(len, waiting[part])) >= LOCAL_ROWS:
+                    put(part)
+        for part in list(waiting):
+            put(part)
+        made = {k: summary(*(np.concatenate(x) for x in zip(*v))) for k, v in known.items()}
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in made], pa.int32()), pa.array([k[1] for k in made], pa.int32()),
+                                              pa.array([v.astype(float).tobytes() for v, _ in made.values()], pa.binary()),
+                                              pa.array([n.astype(np.int64).tobytes() for _, n in made.values()], pa.binary())],
+                                             names=["part", "feature", "v", "n"])
+
+    def cut(key: tuple, got: pd.DataFrame) -> pd.DataFrame:
+        v, n = ([np.frombuffer(b, d) for b in got[x]] for x, d in (("v", float), ("n", np.int64)))
+        found = []
+        for f in folds:
+            mine = [i for i, part in enumerate(got["part"]) if part != f]
+            if not mine:
+                continue
+            values_, counts = (np.concatenate([x[i] for i in mine]) for x in (v, n))
+            order = np.argsort(values_, kind="stable")
+            total = np.cumsum(counts[order])
+            at = np.searchsorted(total, np.ceil(total[-1] * np.arange(1, BINS) / BINS))
+            found.append((f, int(key[0]), np.unique(values_[order][at]).tolist()))
+        return pd.DataFrame(found, columns=["fold", "feature", "edges"])
+
+    schema = "part int, feature int, v binary, n binary"
+    found = rows.mapInArrow(summaries, schema).groupBy("feature").applyInPandas(cut, "fold int, feature int, edges array<double>")
+    return {(r["fold"], r["feature"]): np.array(r["edges"], float) for r in found.collect()}  # BINS numbers a row
 
 
 def binned(x: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
@@ -484,8 +544,17 @@ class Forest:
 _BELOW = "job int, node long, feature binary, bin binary, left binary, value binary"
 
 
-def forest(t: Table, jobs: Sequence[Grown], local_rows: int = LOCAL_ROWS) -> Forest:
-    """The trees of ``jobs``, which are those of ``forest_votes``, grown and written."""
+def forest(t: Table, jobs: Sequence[Grown], local_rows: int | None = None) -> Forest:
+    """The trees of ``jobs``, which are those of ``forest_votes``, grown and written.
+
+    Trees grow whole in tasks that hold all rows (``held``) up to ``local_rows``
+    training rows (None: ``held.FOREST_ROWS``), below histogram passes beyond.
+    """
+    from ferrite.operators import held
+    if max((t.n_train[g.fold] for g in jobs), default=0) <= (held.FOREST_ROWS if local_rows is None else local_rows):
+        none, empty = {g.id: {} for g in jobs}, {g.id: set() for g in jobs}
+        return Forest(list(jobs), none, none, empty, t.edges, t.n_features, materialize(held.forest_trees(t, jobs), "forest"))
+    local_rows = LOCAL_ROWS if local_rows is None else local_rows
     splits, known, closed = _tops(t, jobs, max(g.max_depth for g in jobs), local_rows)
     sent = t.rows.sparkSession.sparkContext.broadcast((list(jobs), splits, known, closed))
     by_id, weights, n_features = {g.id: g for g in jobs}, t.weights, t.n_features
@@ -536,8 +605,13 @@ def forest_scores(grown_: Forest, rows: DataFrame, local_rows: int = LOCAL_ROWS)
 
 # ---- boosters --------------------------------------------------------------
 
-def boosted_scores(t: Table, jobs: Sequence[Grown], local_rows: int = LOCAL_ROWS) -> DataFrame:
-    """(job, key, y, stage, score): scores of the left-out rows after each number of trees in the job's ``stages``."""
+def boosted_scores(t: Table, jobs: Sequence[Grown], local_rows: int | None = None) -> DataFrame:
+    """(job, key, y, stage, score): scores of the left-out rows after each number of trees in the job's ``stages``.
+
+    ``local_rows``: training rows that a task may hold (None: ``held.BOOSTER_ROWS``).
+    """
+    if local_rows is None:
+        from ferrite.operators.held import BOOSTER_ROWS as local_rows
     small = [g for g in jobs if t.n_train[g.fold] <= local_rows]
     large = [g for g in jobs if t.n_train[g.fold] > local_rows]
     parts = ([_boosted_in_groups(t, small)] if small else []) + ([_boosted_in_passes(t, large)] if large else [])
@@ -551,40 +625,9 @@ _SCORES = "job int, key long, y int, stage int, score double"
 
 
 def _boosted_in_groups(t: Table, jobs: Sequence[Grown]) -> DataFrame:
-    """Boosters of ``LOCAL_ROWS`` training rows or fewer, each in one task."""
-    by_id, edges, weights, n_features = {g.id: g for g in jobs}, t.edges, t.weights, t.n_features
-    per_fold = defaultdict(list)
-    for g in jobs:
-        per_fold[g.fold].append(g.id)
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, fold, y, x = arrays(batch, n_features)
-            for f, ids in per_fold.items():
-                blobs = [binned(x, edges[f]).tobytes(), (fold == f).tobytes(), y.astype(np.uint8).tobytes(), key.tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [pa.array([b] * len(ids), pa.binary()) for b in blobs],
-                                                 names=["job", "bins", "out", "y", "key"])
-
-    def boosted(key: tuple, got: pd.DataFrame) -> pd.DataFrame:
-        g = by_id[int(key[0])]
-        bins = np.frombuffer(b"".join(got["bins"]), np.uint8).reshape(-1, n_features)
-        out, y = (np.frombuffer(b"".join(got[x]), np.uint8) for x in ("out", "y"))
-        keys = np.frombuffer(b"".join(got["key"]), np.int64)
-        order = np.argsort(keys, kind="stable")  # the order of the parts does not count
-        bins, out, y, keys = bins[order], out[order] > 0, y[order], keys[order]
-        w = np.where(y == 1, weights[g.fold][1], weights[g.fold][0])
-        train, c = ~out, np.ones(int((~out).sum()), np.int64)
-        margin, found = None, []
-        for i in range(max(g.stages)):
-            tree = grown(bins[train], c, w[train], residual(y[train], None if margin is None else margin[train]), g)
-            step = values(tree, bins, [g.max_depth])[0]
-            margin = step if margin is None else margin + g.step * step
-            if i + 1 in g.stages:
-                found.append(pd.DataFrame({"job": np.int32(g.id), "key": keys[out], "y": y[out].astype(np.int32),
-                                           "stage": np.int32(i + 1), "score": probability(margin[out])}))
-        return pd.concat(found)
-
-    return t.rows.mapInArrow(parts, "job int, bins binary, out binary, y binary, key binary").groupBy("job").applyInPandas(boosted, _SCORES)
+    """Boosters whose training rows a task holds: ``held.booster_scores``."""
+    from ferrite.operators import held
+    return held.booster_scores(t, jobs)
 
 
 def _boosted_in_passes(t: Table, jobs: Sequence[Grown]) -> DataFrame:
