@@ -115,3 +115,28 @@ def test_edges_are_quantiles(spark, monkeypatch):
     for f, mine in ((1, np.arange(40_000) % 4 != 1), (9, np.ones(40_000, bool))):
         ranks = np.searchsorted(np.sort(x[mine, 0]), t.edges[f][0], "right") / mine.sum()
         assert len(ranks) == 63 and np.abs(ranks - np.arange(1, 64) / 64).max() < 3e-4 and t.edges[f][1].tolist() == [0.0, 1.0, 2.0]
+
+
+def test_unsaved_booster_is_that_of_the_search(spark, monkeypatch):
+    """No fit of Spark ML, and the same scores as the fold's."""
+    from ferrite.operators import models as M
+    bins, y = drawn(500, 6)
+    df = spark.createDataFrame([(i, int(y[i]), bins[i].astype(float).tolist()) for i in range(500)], f"{KEY} long, {TARGET} int, x array<double>")
+    df = df.select(KEY, TARGET, array_to_vector("x").alias("features"))
+    train, out = df.filter(f"{KEY} % 4 <> 0"), df.filter(f"{KEY} % 4 = 0")
+    params = {"max_iter": 7, "max_depth": 3, "min_samples_leaf": 10}
+    monkeypatch.setattr(M, "fit", None)
+    got = {r[KEY]: r.score for r in M.score(M.fit_to_score("gbt", train, params), out).collect()}
+    want = {r[KEY]: r.score for r in M.fitted_scores("gbt", train, out, params).collect()}
+    assert len(got) == 125 and got == pytest.approx(want, abs=1e-9)
+
+
+def test_parts_and_slots_of_scored_rows(spark, table):
+    """Whole trees: rows in one part or in many give the mean of the single votes."""
+    jobs = [trees.Grown(i, 0, 8, 2, 3, i) for i in range(20)]
+    f = trees.forest(table, jobs)
+    rows = table.rows.filter("_fold = 0").select("_key", "_x").repartition(6)
+    one, many = ({r.key: r.score for r in held.forest_scores(f, rows, n).collect()} for n in (1 << 22, 40))
+    votes = {r.key: r.v for r in trees.forest_votes(table, jobs, [8]).groupBy("key").agg(F.avg("vote_0").alias("v")).collect()}
+    assert len(one) == len(votes) and one == pytest.approx(many, abs=1e-12)
+    assert one == pytest.approx(votes, abs=1e-9)
