@@ -77,7 +77,7 @@ def fit_all(prep: Prepared, kinds: Sequence[str], params: dict | None = None,
 
     def one(kind):
         t0 = time.time()
-        m = M.fit(kind, data, params.get(kind))
+        m = M.fit_to_score(kind, data, params.get(kind))
         return m, time.time() - t0
 
     res = M.parallel_map(one, kinds)
@@ -131,7 +131,8 @@ def compare_models(prep: Prepared, kinds: Sequence[str], params: dict | None = N
                    folds: int = 5) -> DataFrame:
     """Display name, stability, train time and test metrics at 0.5 per model."""
     models, times = fit_all(prep, kinds, params)
-    m = test_metrics(score_all(models, prep.part("test")))
+    # written: a forest is not asked again for each metric
+    m = test_metrics(materialize(score_all(models, prep.part("test"))))
     spark = prep.rows.sparkSession
     t = spark.createDataFrame([(k, float(v)) for k, v in times.items()], "model STRING, train_time_s DOUBLE")
     out = m.join(t, "model", "left").withColumn("name", display_name())
