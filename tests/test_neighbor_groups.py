@@ -40,3 +40,19 @@ def test_groups_of_any_size_give_the_same(spark, monkeypatch, bound):
     dist = {(r["id"], r["nn_rank"]): r["dist"] for r in got.select("id", "nn_rank", F.col("dist")).collect()}
     near = np.sort(d, axis=1)[:, :4]
     assert all(dist[i, r + 1] == near[i, r] for i in range(len(x)) for r in range(4))
+
+
+def test_siblings_share_a_group(spark, monkeypatch):
+    """A cut makes nodes far smaller than a group: siblings are packed, none above its bound, and every leaf has one group."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(neighbors, "GROUP_POINTS", 400)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(20_000, 3))
+    pts = spark.createDataFrame([(i, x[i].tolist()) for i in range(20_000)], "_k long, _v array<double>")
+    _, nodes, _ = neighbors.kd_tree(pts, 3, 20)
+    got = neighbors._groups(nodes)
+    leaves = nodes.where("_leaf").select("_node", "_n")
+    sizes = [r["n"] for r in got.join(leaves, "_node").groupBy("_g").agg(F.sum("_n").alias("n")).collect()]
+    most = min(4 * 400, 20_000 // (4 * spark.sparkContext.defaultParallelism))
+    assert got.count() == leaves.count() == got.select("_node").distinct().count() and sum(sizes) == 20_000
+    assert max(sizes) <= most and len(sizes) <= 3 * 20_000 / most  # before: one for each of some 250 nodes
